@@ -348,8 +348,13 @@ orders_silver AS (
 )"""
 
 _PRODUCTS_RAW = """
-products_base AS (
-  SELECT p_partkey AS k,
+part_rows AS (
+  SELECT p_partkey, p_name, p_retailprice FROM part
+  UNION ALL
+  SELECT p_partkey, p_name, p_retailprice + 1.0 FROM part WHERE p_partkey % 3 = 0
+),
+products_raw AS (
+  SELECT
     CASE WHEN p_partkey % 200 = 1 THEN 'POST'
          WHEN p_partkey % 200 = 2 THEN 'M'
          WHEN p_partkey % 200 = 3 THEN ' d '
@@ -368,12 +373,7 @@ products_base AS (
          WHEN p_partkey % 200 = 13 THEN 0.0
          WHEN p_partkey % 200 = 14 THEN -5.0
          ELSE p_retailprice END::DOUBLE AS UnitPrice
-  FROM part
-),
-products_raw AS (
-  SELECT StockCode, Description, UnitPrice FROM products_base
-  UNION ALL
-  SELECT StockCode, Description, UnitPrice + 1.0 FROM products_base WHERE k % 3 = 0
+  FROM part_rows
 ),
 products_trimmed AS (
   SELECT trim(StockCode) AS StockCode, trim(Description) AS Description, UnitPrice FROM products_raw

@@ -136,17 +136,16 @@ def _orders_with_nation(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def products_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     """StockCode, Description, UnitPrice; parts with key % 3 == 0 get a second
-    row priced one unit higher, so the product master's mean matters."""
+    row with the list price one unit higher (the planted bad prices apply to
+    both rows), so the product master's mean matters."""
     part = _table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_retailprice")
     k = F.col("p_partkey")
-    base = part.select(
-        k,
+    second = part.filter(k % DUPLICATE_PRICE_MOD == 0).withColumn("p_retailprice", F.col("p_retailprice") + 1.0)
+    return part.unionByName(second).select(
         _stock_code(k, padded=True).alias("StockCode"),
         _description(k, F.col("p_name")).alias("Description"),
         _unit_price(k, F.col("p_retailprice")).alias("UnitPrice"),
     )
-    second = base.filter(k % DUPLICATE_PRICE_MOD == 0).withColumn("UnitPrice", F.col("UnitPrice") + 1.0)
-    return base.unionByName(second).drop("p_partkey")
 
 
 def orders_extract(spark: SparkSession, sf_dir: str) -> DataFrame:

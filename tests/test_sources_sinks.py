@@ -1,0 +1,138 @@
+"""Extract files, the split job, and every writer/reader pair.
+
+Each test writes into its own fresh folder; the JDBC test uses an in-memory
+Derby database inside the Spark JVM (no server, no port).
+"""
+
+import os
+import tempfile
+
+from pyspark.sql import functions as F
+
+from tillroll.functions.text import clean_header
+from tillroll.schemas import DATE_PARTS, FLAT_EXTRACT, ORDERS_RAW
+from tillroll.sources import extracts, sinks, tables
+
+FLAT_HEADER = "InvoiceNo,StockCode,Description,Quantity,InvoiceDate,UnitPrice,CustomerID,Country"
+FLAT_ROWS = [
+    "489434,85048,15CM CHRISTMAS GLASS BALL 20 LIGHTS,12,12/1/2009 7:45,6.95,13085.0,United Kingdom",
+    "489434,79323P,PINK CHERRY LIGHTS,12,12/1/2009 7:45,6.75,13085.0,United Kingdom",
+    "C489449,22087,PAPER BUNTING WHITE LACE,-12,12/1/2009 10:33,2.95,16321.0,Australia",
+    "489450,POST,POSTAGE,1,12/1/2009 10:40,18.0,,Unspecified",
+    "489451,21232,CAF\u00c9 CREAM CUP,6,12/1/2009 11:00,1.25,12682.0,France",
+]
+
+
+def _fresh_dir():
+    return tempfile.mkdtemp(prefix="tillroll-test-")
+
+
+def _write_text(path, header, rows, encoding, bom=b""):
+    with open(path, "wb") as fh:
+        fh.write(bom + (header + "\n" + "\n".join(rows) + "\n").encode(encoding))
+    return path
+
+
+def test_clean_header_forms():
+    assert clean_header("\ufeffInvoiceNo") == "InvoiceNo"
+    assert clean_header("\u00ef\u00bb\u00bfInvoiceNo") == "InvoiceNo"
+    assert clean_header(" Country ") == "Country"
+
+
+def test_latin1_extract_with_bom_header(spark):
+    d = _fresh_dir()
+    # UTF-8 BOM bytes in front of a Latin-1 file: read as Latin-1 they become "ï»¿"
+    path = _write_text(os.path.join(d, "online_retail_09_10.csv"), FLAT_HEADER, FLAT_ROWS, "latin-1", bom=b"\xef\xbb\xbf")
+    df = extracts.read_latin1_csv(spark, path, schema=FLAT_EXTRACT)
+    assert df.columns[0] == "InvoiceNo"
+    rows = df.collect()
+    assert len(rows) == 5
+    assert rows[4]["Description"] == "CAF\u00c9 CREAM CUP"
+    assert rows[2]["Quantity"] == -12 and rows[0]["CustomerID"] == 13085.0
+    assert rows[3]["CustomerID"] is None
+    assert dict(df.dtypes)["UnitPrice"] == "double"
+
+
+def test_inferred_read_types(spark):
+    d = _fresh_dir()
+    path = _write_text(os.path.join(d, "x.csv"), FLAT_HEADER, FLAT_ROWS, "utf-8", bom="\ufeff".encode("utf-8"))
+    df = extracts.read_csv(spark, path, infer=True)
+    types = dict(df.dtypes)
+    assert df.columns[0] == "InvoiceNo"
+    assert types["InvoiceNo"] == "string" and types["InvoiceDate"] == "string"
+    assert types["CustomerID"] == "double" and types["Quantity"] == "int"
+
+
+def test_split_job(spark):
+    d = _fresh_dir()
+    a = _write_text(os.path.join(d, "a.csv"), FLAT_HEADER, FLAT_ROWS[:3], "latin-1", bom=b"\xef\xbb\xbf")
+    b = _write_text(os.path.join(d, "b.csv"), FLAT_HEADER, FLAT_ROWS[1:], "latin-1")
+    ea = extracts.read_latin1_csv(spark, a, schema=FLAT_EXTRACT)
+    eb = extracts.read_latin1_csv(spark, b, schema=FLAT_EXTRACT)
+    parts = extracts.split_extracts(ea, eb)
+    assert parts["orders_line"].count() == 3 + 4  # duplicates kept
+    assert parts["products"].count() == 5
+    orders = parts["orders"].collect()
+    assert len(orders) == 4  # 489434 appears on two lines and in both files
+    assert parts["orders"].columns == ["InvoiceNo", "InvoiceDate", "CustomerID", "Country"]
+
+
+def test_partitioned_parquet_roundtrip(spark):
+    out = os.path.join(_fresh_dir(), "orders")
+    df = spark.createDataFrame(
+        [("1", "12/1/2009 7:45", 1.0, "France"), ("2", "12/2/2009 7:45", None, "Spain"), ("3", "bad", 2.0, "EIRE")],
+        ORDERS_RAW,
+    )
+    from tillroll.functions.dates import date_parts
+
+    sinks.write_parquet(date_parts(df), out, partition_by=DATE_PARTS)
+    assert sorted(os.listdir(out))[0].startswith("_") or "year=2009" in os.listdir(out)
+    back = tables.read_parquet(spark, out)
+    assert set(back.columns) == set(ORDERS_RAW.names + DATE_PARTS)
+    assert dict(back.dtypes)["year"] == "int"
+    rows = {r["InvoiceNo"]: r for r in back.collect()}
+    assert rows["3"]["year"] is None and rows["2"]["day"] == 2
+    pruned = back.filter(F.col("day") == 1)
+    assert "PartitionFilters: [isnotnull(day" in pruned._jdf.queryExecution().executedPlan().toString()
+    assert pruned.count() == 1
+
+
+def test_round_robin_unpartitioned_write(spark):
+    out = os.path.join(_fresh_dir(), "lines")
+    sinks.write_parquet(spark.range(1000), out, num_partitions=sinks.INGEST_PARTITIONS)
+    files = [f for f in os.listdir(out) if f.endswith(".parquet")]
+    assert len(files) == sinks.INGEST_PARTITIONS
+    assert tables.read_parquet(spark, out).count() == 1000
+
+
+def test_catalog_tables(spark):
+    df = spark.createDataFrame([("1", 2009, 12, 1), ("2", 2009, 12, 2)], "InvoiceNo string, year int, month int, day int")
+    sinks.write_table(df, "default.t_orders", partition_by=DATE_PARTS)
+    sinks.write_table(df.select("InvoiceNo"), "default.t_invalid")
+    assert tables.read_table(spark, "default.t_orders").count() == 2
+    assert tables.read_table(spark, "default.t_invalid", ["InvoiceNo"]).count() == 2
+    sinks.write_table(df.limit(1), "default.t_orders", partition_by=DATE_PARTS)  # overwrite
+    assert tables.read_table(spark, "default.t_orders").count() == 1
+
+
+def test_jdbc_mart_roundtrip_in_memory_derby(spark):
+    url = "jdbc:derby:memory:tillroll_test;create=true"
+    props = {"driver": "org.apache.derby.jdbc.EmbeddedDriver"}
+    mart = spark.createDataFrame(
+        [("France", 10.5, 3, 6), ("Spain", 1.0, 1, 5)],
+        "Country string, total_sales double, number_of_orders bigint, total_quantity bigint",
+    )
+    sinks.write_jdbc(mart, url, "SALES_PER_COUNTRY", props)
+    sinks.write_jdbc(mart.filter("Country = 'France'"), url, "SALES_PER_COUNTRY", props)  # overwrite
+    back = tables.read_jdbc(spark, url, "SALES_PER_COUNTRY", props)
+    rows = back.collect()
+    assert len(rows) == 1 and rows[0]["Country"] == "France" and rows[0]["number_of_orders"] == 3
+
+
+def test_csv_writer_header_no_index(spark):
+    out = os.path.join(_fresh_dir(), "products")
+    df = spark.createDataFrame([("A", "lamp", 1.5)], "StockCode string, Description string, UnitPrice double")
+    sinks.write_csv(df.coalesce(1), out)
+    part = [f for f in os.listdir(out) if f.endswith(".csv")][0]
+    with open(os.path.join(out, part)) as fh:
+        assert fh.read().splitlines() == ["StockCode,Description,UnitPrice", "A,lamp,1.5"]

@@ -644,6 +644,12 @@ def _build_oracle() -> dict[str, str]:
         + " ORDER BY "
         + _ORDER["sales_by_period"]
         + " LIMIT 30",
+        "country_display": m
+        + """SELECT Country,
+       translate(format('{:,.2f}', round(total_sales, 2)), ',.', chr(8239) || ',') || ' ' || chr(8364) AS total_sales,
+       translate(format('{:,}', number_of_orders), ',', chr(8239)) AS number_of_orders,
+       translate(format('{:,}', total_quantity), ',', chr(8239)) AS total_quantity
+FROM m_country""",
         "split_union": f + "SELECT * FROM merged",
         "split_products": f + "SELECT DISTINCT StockCode, Description, UnitPrice FROM merged",
         "split_orders": f + "SELECT DISTINCT InvoiceNo, InvoiceDate, CustomerID, Country FROM merged",
@@ -655,6 +661,5 @@ def _build_oracle() -> dict[str, str]:
 
 
 def oracle_sql() -> dict[str, str]:
-    """DuckDB SQL for every query except ``country_display`` (locale
-    formatting has no DuckDB equivalent; it has a unit test instead)."""
+    """DuckDB SQL for every registered query."""
     return _build_oracle()

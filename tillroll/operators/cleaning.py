@@ -37,8 +37,14 @@ def product_master(valid_products: DataFrame) -> DataFrame:
     )
 
 
-def parse_order_dates(orders: DataFrame) -> DataFrame:
-    """Replace the ``InvoiceDate`` text by a timestamp (NULL when unparseable)."""
+def parse_order_dates(orders: DataFrame, keep_raw: bool = False) -> DataFrame:
+    """Replace the ``InvoiceDate`` text by a timestamp (NULL when unparseable).
+
+    With ``keep_raw`` the original text is kept as ``InvoiceDateText``, so a
+    quarantined order still shows the date that failed to parse.
+    """
+    if keep_raw:
+        orders = orders.withColumn("InvoiceDateText", F.col("InvoiceDate"))
     return orders.withColumn("InvoiceDate", parse_invoice_date("InvoiceDate"))
 
 

@@ -181,6 +181,28 @@ def mart_page(
     return page(mart, view.page_order(), page_no, page_size), page_meta(mart, page_no, page_size)
 
 
+def page_response(
+    mart: DataFrame,
+    name: str,
+    page_no: int = DEFAULT_PAGE,
+    page_size: int = DEFAULT_PAGE_SIZE,
+    year: int | None = None,
+    month: int | None = None,
+) -> dict:
+    """A page as a plain dict: ``total``, ``page``, ``page_size``,
+    ``total_pages``, ``filters`` (days only) and ``data`` (list of dicts).
+
+    Only the page (at most ``MAX_PAGE_SIZE`` rows) and the one meta row reach
+    the driver.
+    """
+    rows, meta = mart_page(mart, name, page_no, page_size, year=year, month=month)
+    out = meta.first().asDict()
+    if name == "sales_by_period":
+        out["filters"] = {"year": year, "month": month}
+    out["data"] = [r.asDict() for r in rows.collect()]
+    return out
+
+
 # --------------------------------------------------------------------------
 # Dashboard series and figures.
 

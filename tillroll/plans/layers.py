@@ -24,6 +24,7 @@ class RetailLayers:
     orders_raw: DataFrame
     lines_raw: DataFrame
     orders_have_date_parts: bool = False
+    keep_raw_dates: bool = False
 
     # ---- bronze ---------------------------------------------------------
     @cached_property
@@ -54,7 +55,7 @@ class RetailLayers:
     # ---- silver: orders -------------------------------------------------
     @cached_property
     def orders_parsed(self) -> DataFrame:
-        return cleaning.parse_order_dates(self.orders_bronze)
+        return cleaning.parse_order_dates(self.orders_bronze, keep_raw=self.keep_raw_dates)
 
     @cached_property
     def _orders_split(self) -> tuple[DataFrame, DataFrame]:

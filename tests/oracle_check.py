@@ -61,6 +61,20 @@ def normalise(columns: list[str], rows: list[tuple]) -> tuple[list[str], list[tu
     return cols, out
 
 
+def compare_frame(df, sql: str, con) -> str:
+    """``ok`` or a description of the first difference."""
+    sc, sr = normalise(df.columns, [tuple(r) for r in df.collect()])
+    cur = con.execute(sql)
+    dc, dr = normalise([c[0] for c in cur.description], cur.fetchall())
+    if sc != dc:
+        return f"schema {sc} vs {dc}"
+    if len(sr) != len(dr):
+        return f"rowcount {len(sr)} vs {len(dr)}"
+    if sr != dr:
+        return f"values {[(a, b) for a, b in zip(sr, dr) if a != b][:3]}"
+    return "ok"
+
+
 def compare(spark, sf_dir: str, name: str, con=None) -> dict:
     import __spark_entry__ as E
 

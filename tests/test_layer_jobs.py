@@ -73,7 +73,7 @@ def test_silver_and_gold(landed, spark):
     assert tables.read_table(spark, names.lines_invalid).count() == 1
 
     lines, orders, products = gold.layers_from_silver(spark, names)
-    built = gold.build_marts(lines, orders, products, reuse_sales=True)
+    built = gold.build_marts(lines, orders, products)
     gold.write_gold(built, lambda name, df: df.write.mode("overwrite").saveAsTable(f"default.g_{name}"))
     country = {r["Country"]: r for r in tables.read_table(spark, "default.g_sales_per_country").collect()}
     # UK: 489434 (12 x 7.0 + 12 x 6.75) + 489435 (-2 x 7.0); Unknown: 489451 (3 x 2.95)
@@ -84,9 +84,11 @@ def test_silver_and_gold(landed, spark):
     returns = {r["StockCode"]: r for r in tables.read_table(spark, "default.g_return_products").collect()}
     assert returns["85048"]["total_returned"] == -14 and returns["85048"]["number_of_returns"] == 2
 
-    lazy = gold.build_marts(lines, orders, products, reuse_sales=False)
-    for name, df in lazy.items():
-        assert sorted(map(tuple, df.collect())) == sorted(map(tuple, built[name].collect())), name
+    for strategy in ("reuse_sales", "recompute"):
+        other = gold.build_marts(lines, orders, products, strategy=strategy)
+        for name, df in other.items():
+            assert df.dtypes == built[name].dtypes, (strategy, name)
+            assert sorted(map(tuple, df.collect())) == sorted(map(tuple, built[name].collect())), (strategy, name)
     page, meta = serving.mart_page(built["sales_by_period"], "sales_by_period", 1, 10, year=2009, month=12)
     assert meta.first()["total"] == 2 and page.count() == 2
 

@@ -3,7 +3,9 @@
 import pytest
 
 import __spark_entry__ as E
-from tests.oracle_check import compare, duckdb_connection
+from tests.oracle_check import compare, compare_frame, duckdb_connection
+from tillroll.functions import as_money
+from tillroll.plans import gold
 
 
 @pytest.fixture(scope="module")
@@ -27,3 +29,11 @@ def test_entry_flagship(spark):
     df = E.entry(spark)
     assert df.columns == ["Country", "total_sales", "number_of_orders", "total_quantity"]
     assert df.count() == 25
+
+
+@pytest.mark.parametrize("strategy", ["one_pass", "reuse_sales"])
+def test_gold_strategies_match_mart_oracles(spark, sf_small, con, strategy):
+    built = gold.build_marts_from_layers(E._layers(spark, sf_small), strategy=strategy)
+    for name, df in built.items():
+        status = compare_frame(as_money(df, *E.MONEY_COLUMNS[name]), E.oracle_sql()[name], con)
+        assert status == "ok", (strategy, name, status)

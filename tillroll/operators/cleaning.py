@@ -28,12 +28,20 @@ def product_master(valid_products: DataFrame) -> DataFrame:
 
     The mean is over the distinct valid (code, description, price) rows of the
     extract ("average-price costing"). ``min`` picks the description so the
-    result does not depend on row order. Both aggregates combine map-side, so
-    a code with a very large number of rows costs one partial row per task.
+    result does not depend on row order.
+
+    Two levels: a hash aggregate per (code, description) pair keeps price sum
+    and count (fixed-width buffers, combined map-side, so a code with a very
+    large number of rows costs one partial row per task); the string ``min``,
+    which needs a sort-based aggregate, then runs over the distinct pairs only.
     """
-    return valid_products.groupBy("StockCode").agg(
+    pairs = valid_products.groupBy("StockCode", "Description").agg(
+        F.sum("UnitPrice").alias("_price_sum"),
+        F.count("UnitPrice").alias("_price_n"),
+    )
+    return pairs.groupBy("StockCode").agg(
         F.min("Description").alias("Description"),
-        F.avg("UnitPrice").alias("UnitPrice"),
+        (F.sum("_price_sum") / F.sum("_price_n")).alias("UnitPrice"),
     )
 
 

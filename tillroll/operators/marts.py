@@ -127,3 +127,85 @@ MART_BUILDERS = {
 def all_marts(sales: DataFrame) -> dict[str, DataFrame]:
     """The four marts over one sales frame (lazy; callers decide on reuse)."""
     return {name: build(sales) for name, build in MART_BUILDERS.items()}
+
+
+# ---------------------------------------------------------------------------
+# All four marts in one aggregation.
+#
+# The marts group the same joined lines three ways (country; product; day),
+# with one filter for sales and another for returns. ``GROUPING SETS`` runs
+# the three groupings in a single pass: every line is expanded into three
+# grouping rows inside the scan task and immediately folded into a map-side
+# hash aggregate, so what is shuffled is one partial row per group and task.
+# Sales and return measures are conditional aggregates side by side; a group
+# belongs to a mart only if that mart's filter kept at least one of its lines.
+
+_SET_KEYS = {
+    "country": ["Country"],
+    "product": ["StockCode", "Description"],
+    "day": list(DATE_PARTS),
+}
+_ALL_KEYS = [k for keys in _SET_KEYS.values() for k in keys]
+
+
+def _grouping_id(set_name: str) -> int:
+    """``grouping_id()`` of a set: bit i is 1 when key i is not grouped."""
+    keys = set(_SET_KEYS[set_name])
+    gid = 0
+    for key in _ALL_KEYS:
+        gid = (gid << 1) | (0 if key in keys else 1)
+    return gid
+
+
+def mart_measures(sales: DataFrame) -> DataFrame:
+    """One row per country, per product and per day with sales and return
+    measures; ``gid`` tells which grouping a row belongs to."""
+    sold = _not_cancelled()
+    returned = _is_return()
+    return sales.groupingSets(list(_SET_KEYS.values()), *_ALL_KEYS).agg(
+        F.grouping_id().alias("gid"),
+        F.sum(F.when(sold, F.col("Amount"))).alias("sold_amount"),
+        F.count(F.when(sold, F.lit(1))).alias("sold_lines"),
+        F.sum(F.when(sold, F.col("Quantity"))).alias("sold_quantity"),
+        F.sum(F.when(returned, F.col("Amount"))).alias("returned_amount"),
+        F.count(F.when(returned, F.lit(1))).alias("returned_lines"),
+        F.sum(F.when(returned, F.col("Quantity"))).alias("returned_quantity"),
+    )
+
+
+def marts_from_measures(measures: DataFrame) -> dict[str, DataFrame]:
+    """Cut the combined measures into the four marts (same columns and types
+    as the per-mart builders)."""
+
+    def grouping(set_name: str) -> DataFrame:
+        return measures.filter(F.col("gid") == F.lit(_grouping_id(set_name)))
+
+    sold = F.col("sold_lines") > 0
+    return {
+        "sales_per_country": grouping("country").filter(sold).select(
+            "Country",
+            F.col("sold_amount").alias("total_sales"),
+            F.col("sold_lines").alias("number_of_orders"),
+            F.col("sold_quantity").alias("total_quantity"),
+        ),
+        "top_products": grouping("product").filter(sold).select(
+            "StockCode",
+            "Description",
+            F.col("sold_amount").alias("total_revenue"),
+            F.col("sold_quantity").alias("total_quantity_sold"),
+            F.col("sold_lines").alias("number_of_sales"),
+        ),
+        "return_products": grouping("product").filter(F.col("returned_lines") > 0).select(
+            "StockCode",
+            "Description",
+            F.col("returned_quantity").alias("total_returned"),
+            F.col("returned_lines").alias("number_of_returns"),
+            F.col("returned_amount").alias("total_loss"),
+        ),
+        "sales_by_period": grouping("day").filter(sold).select(
+            *DATE_PARTS,
+            F.col("sold_amount").alias("total_sales"),
+            F.col("sold_lines").alias("number_of_orders"),
+            F.col("sold_quantity").alias("total_quantity"),
+        ),
+    }

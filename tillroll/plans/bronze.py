@@ -9,7 +9,7 @@ parts and lands in the default partition, to be quarantined downstream.
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 from typing import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,7 +18,7 @@ from pyspark.sql import types as T
 from tillroll.functions.dates import date_parts
 from tillroll.schemas import DATE_PARTS, LINES_RAW, ORDERS_RAW, PRODUCTS_RAW
 from tillroll.sources.extracts import read_csv
-from tillroll.sources.sinks import INGEST_PARTITIONS, write_parquet
+from tillroll.sources.sinks import write_parquet
 
 
 @dataclass(frozen=True)
@@ -29,7 +29,10 @@ class DatasetSpec:
     partitioned: bool = False
     schema: T.StructType | None = None
     encoding: str = "UTF-8"
-    extra: dict = field(default_factory=dict)
+    # Round-robin output file count for an unpartitioned dataset. None writes
+    # each input split as it is read (no shuffle; file sizes follow the input
+    # splits), which is what scales; the original flow used a fixed 8.
+    num_partitions: int | None = None
 
 
 DEFAULT_SCHEMAS = {"products": PRODUCTS_RAW, "orders": ORDERS_RAW, "orders_line": LINES_RAW}
@@ -58,7 +61,7 @@ def ingest_dataset(spark: SparkSession, spec: DatasetSpec, infer: bool = False)
     if spec.partitioned:
         write_parquet(out, spec.output, partition_by=DATE_PARTS)
     else:
-        write_parquet(out, spec.output, num_partitions=INGEST_PARTITIONS)
+        write_parquet(out, spec.output, num_partitions=spec.num_partitions)
     return spec.output
 
 

@@ -12,7 +12,9 @@ from typing import Sequence
 
 from pyspark.sql import DataFrame
 
-# Fixed value: number of output partitions of an unpartitioned ingest write.
+# Fixed value: the original flow's output file count for unpartitioned ingest
+# writes (available through ``num_partitions``; not a default, since a fixed
+# count cannot follow the data size).
 INGEST_PARTITIONS = 8
 
 
@@ -31,7 +33,8 @@ def write_parquet(
     """Parquet, optionally partitioned into ``col=value`` folders.
 
     ``num_partitions`` spreads an unpartitioned write round-robin over that
-    many files; a partitioned write is rebalanced on its partition columns.
+    many files; without it each task writes its own partition as is. A
+    partitioned write is rebalanced on its partition columns.
     """
     if partition_by:
         df = rebalance(df, partition_by)

@@ -135,3 +135,14 @@ def test_split_counts_add_up(spark, sf_small, dataset):
         (r["dataset"], r["is_valid"]): r["n"] for r in layers.validation_counts().collect()
     }
     assert summary[(dataset, True)] == valid and summary[(dataset, False)] == invalid
+
+
+def test_valid_side_pushes_rules_into_parquet_scan(spark):
+    import tempfile
+
+    out = tempfile.mkdtemp(prefix="tillroll-push-") + "/lines"
+    spark.createDataFrame([("1", "A", 2), ("", "B", 1), ("3", None, 0)], LINES_RAW).write.parquet(out)
+    valid, invalid = V.validate_and_split(spark.read.parquet(out), V.line_rules())
+    plan = valid._jdf.queryExecution().executedPlan().toString()
+    assert "PushedFilters: [IsNotNull(InvoiceNo), Not(EqualTo(InvoiceNo,))" in plan, plan
+    assert valid.count() == 1 and invalid.count() == 2

@@ -6,8 +6,10 @@ that evaluates to NULL sends the row to quarantine instead of dropping it
 from both sides, so ``valid + invalid == input`` always holds. An empty rule
 list accepts every row.
 
-The split is two filters over the same lazy input; Catalyst pushes the
-null tests of the valid side into the Parquet scan.
+The split is two filters over the same lazy input. The valid side filters
+on the plain conjunction (a NULL drops the row there just as ``false``
+does), so Catalyst splits it and pushes the null tests and comparisons into
+the Parquet scan; only the quarantine side needs the total form.
 """
 
 from __future__ import annotations
@@ -26,18 +28,20 @@ class Rule:
     check: Column
 
 
-def all_rules_hold(rules: Sequence[Rule]) -> Column:
-    """Total conjunction of the rules (NULL counts as failing)."""
+def _conjunction(rules: Sequence[Rule]) -> Column:
     if not rules:
         return F.lit(True)
-    conj = functools.reduce(lambda a, b: a & b, [r.check for r in rules])
-    return F.coalesce(conj, F.lit(False))
+    return functools.reduce(lambda a, b: a & b, [r.check for r in rules])
+
+
+def all_rules_hold(rules: Sequence[Rule]) -> Column:
+    """Total conjunction of the rules (NULL counts as failing)."""
+    return F.coalesce(_conjunction(rules), F.lit(False))
 
 
 def validate_and_split(df: DataFrame, rules: Sequence[Rule]) -> tuple[DataFrame, DataFrame]:
     """Return ``(valid, invalid)``; both keep the input's columns."""
-    ok = all_rules_hold(rules)
-    return df.filter(ok), df.filter(~ok)
+    return df.filter(_conjunction(rules)), df.filter(~all_rules_hold(rules))
 
 
 def flag_valid(df: DataFrame, rules: Sequence[Rule], name: str = "is_valid") -> DataFrame:

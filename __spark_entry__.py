@@ -21,10 +21,10 @@ from pyspark.sql import functions as F
 from tillroll.functions import as_money, fr_integer, fr_money
 from tillroll.operators import serving
 from tillroll.plans.layers import RetailLayers
-from tillroll.schemas import DATE_PARTS
+from tillroll.schemas import DATE_PARTS, FLAT_EXTRACT
 from tillroll.session import scratch_path
 from tillroll.sources import extracts, retail_views
-from tillroll.sources.sinks import write_parquet
+from tillroll.sources.sinks import write_csv, write_parquet
 from tillroll.sources.tables import read_parquet
 
 FLAGSHIP_SF_DIR = "/root/testdata/sf0.001"
@@ -233,6 +233,19 @@ def q_split_union(spark, d):
     return _extract_parts(spark, d)
 
 
+def q_extract_csv_roundtrip(spark, d):
+    """Both yearly extracts written as Latin-1 CSV and read back with the
+    declared schema, then concatenated. As with any CSV extract, empty text
+    reads back as NULL."""
+    root = scratch_path(spark, "extracts-csv")
+    paths = []
+    for label, extract in zip("ab", retail_views.yearly_extracts(spark, d)):
+        paths.append(f"{root}/{label}")
+        write_csv(extract, paths[-1], encoding=extracts.LATIN_1)
+    back = [extracts.read_latin1_csv(spark, p, schema=FLAT_EXTRACT) for p in paths]
+    return extracts.concat_extracts(*back)
+
+
 def q_split_products(spark, d):
     return extracts.split_products(_extract_parts(spark, d))
 
@@ -280,6 +293,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "period_series": q_period_series,
     "country_display": q_country_display,
     "split_union": q_split_union,
+    "extract_csv_roundtrip": q_extract_csv_roundtrip,
     "split_products": q_split_products,
     "split_orders": q_split_orders,
     "split_lines": q_split_lines,
@@ -651,6 +665,12 @@ def _build_oracle() -> dict[str, str]:
        translate(format('{:,}', total_quantity), ',', chr(8239)) AS total_quantity
 FROM m_country""",
         "split_union": f + "SELECT * FROM merged",
+        # CSV keeps no difference between an empty and a missing text value:
+        # both read back as NULL.
+        "extract_csv_roundtrip": f
+        + """SELECT NULLIF(InvoiceNo, '') AS InvoiceNo, NULLIF(StockCode, '') AS StockCode,
+       NULLIF(Description, '') AS Description, Quantity, NULLIF(InvoiceDate, '') AS InvoiceDate,
+       UnitPrice, CustomerID, NULLIF(Country, '') AS Country FROM merged""",
         "split_products": f + "SELECT DISTINCT StockCode, Description, UnitPrice FROM merged",
         "split_orders": f + "SELECT DISTINCT InvoiceNo, InvoiceDate, CustomerID, Country FROM merged",
         "split_lines": f + "SELECT InvoiceNo, StockCode, Quantity FROM merged",

@@ -76,5 +76,16 @@ def write_jdbc(
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite", encoding: str = "UTF-8") -> None:
-    """Header CSV (no index column); one file per task."""
-    df.write.mode(mode).option("header", True).option("encoding", encoding).csv(path)
+    """Header CSV (no index column); one file per task.
+
+    Text is written as it is: Spark's CSV writer would otherwise strip
+    leading and trailing spaces, and padded codes are data here.
+    """
+    (
+        df.write.mode(mode)
+        .option("header", True)
+        .option("encoding", encoding)
+        .option("ignoreLeadingWhiteSpace", False)
+        .option("ignoreTrailingWhiteSpace", False)
+        .csv(path)
+    )

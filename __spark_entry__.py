@@ -61,9 +61,6 @@ def _mart(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return as_money(_layers(spark, sf_dir).mart(name), *MONEY_COLUMNS[name])
 
 
-def _view(name: str) -> serving.MartView:
-    return serving.MART_VIEWS[name]
-
 
 # ---------------------------------------------------------------------------
 # Spark side.

@@ -7,10 +7,10 @@ lists are deterministic even when measures tie.
 Pages. A shallow page (``page * page_size`` up to ``TOP_K_LIMIT`` rows) is a
 ``orderBy().offset().limit()``, which Spark plans as a bounded top-k: each
 task keeps at most that many rows. A deeper page never funnels the skipped
-rows through one task or the driver: the mart is range-sorted across tasks,
-every row gets its position inside its sorted partition, the per-partition
-row counts (one number per partition) give each partition's starting rank,
-and only rows whose rank falls on the page are kept.
+rows through one task or the driver: the mart is range-sorted across tasks
+and stored as a ``RankedView`` (each row's sorted partition and position, plus
+one starting rank per partition); a page then reads only the partitions that
+overlap its rank range. Keep the view to serve many deep pages from one sort.
 """
 
 from __future__ import annotations
@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from tillroll.functions.dates import day_label
 from tillroll.functions.text import short_label
 from tillroll.schemas import DATE_PARTS
-from tillroll.session import materialize
+from tillroll.session import materialize, scratch_path
 
 # Page defaults and bounds of the read API.
 DEFAULT_PAGE = 1
@@ -104,34 +104,63 @@ def top_k(df: DataFrame, order: Sequence[Column], k: int) -> DataFrame:
     return df.orderBy(*order).limit(k)
 
 
-def _rank_window(df: DataFrame, order: Sequence[Column], start: int, stop: int) -> DataFrame:
-    """Rows with global rank in ``[start, stop)``, ranked across all tasks."""
-    sorted_df = df.orderBy(*order).withColumn("_row_id", F.monotonically_increasing_id())
-    # Fix the sorted layout once, so the counts and the rows agree.
-    tagged = materialize(sorted_df, "page-rank").withColumns(
+@dataclass(frozen=True)
+class RankedView:
+    """A frame sorted once and stored with each row's place, for any number of
+    pages.
+
+    ``rows`` is Parquet partitioned by ``_part`` (the sorted partition a row
+    landed in) with ``_pos`` (its position inside that partition); ``starts``
+    holds one row per sorted partition with its first global rank ``_first``
+    and row count ``_n``. A page joins the few ``starts`` rows that overlap its
+    rank range; as a broadcast join on the partition column this lets dynamic
+    partition pruning skip every other folder, so a page reads one or two
+    partitions whatever its depth.
+    """
+
+    rows: DataFrame
+    starts: DataFrame
+
+    def total(self) -> DataFrame:
+        return self.starts.agg(F.coalesce(F.sum("_n"), F.lit(0)).cast("bigint").alias("total"))
+
+    def page(self, page_no: int = DEFAULT_PAGE, page_size: int = DEFAULT_PAGE_SIZE) -> DataFrame:
+        check_page_args(page_no, page_size)
+        start = (page_no - 1) * page_size
+        stop = start + page_size
+        wanted = self.starts.filter((F.col("_first") < stop) & (F.col("_first") + F.col("_n") > start))
+        return (
+            self.rows.join(F.broadcast(wanted), "_part")
+            .withColumn("_rank", F.col("_first") + F.col("_pos"))
+            .filter((F.col("_rank") >= start) & (F.col("_rank") < stop))
+            .orderBy("_rank")
+            .drop("_part", "_pos", "_first", "_n", "_rank")
+        )
+
+
+def ranked_view(df: DataFrame, order: Sequence[Column], name: str = "ranked") -> RankedView:
+    """Sort ``df`` across tasks once and store it as a ``RankedView``.
+
+    The position inside a sorted partition is the low 33 bits of
+    ``monotonically_increasing_id`` (the documented layout: partition index
+    above, record number below); both columns are computed in the task that
+    produced the sorted partition and then stored, so later reads agree.
+    """
+    spark = df.sparkSession
+    tagged = df.orderBy(*order).withColumns(
         {
-            "_part": F.shiftright("_row_id", 33),
-            "_pos": F.col("_row_id").bitwiseAND(F.lit((1 << 33) - 1)),
+            "_part": F.spark_partition_id(),
+            "_pos": F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)),
         }
     )
-    # One row per sorted partition: its first global rank.
-    starts = (
-        tagged.groupBy("_part")
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .withColumn(
-            "_first",
-            F.sum("_n").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)),
-        )
-        .select("_part", F.coalesce("_first", F.lit(0)).alias("_first"))
-    )
-    ranked = tagged.join(F.broadcast(starts), "_part").withColumn(
-        "_rank", F.col("_first") + F.col("_pos")
-    )
-    return (
-        ranked.filter((F.col("_rank") >= start) & (F.col("_rank") < stop))
-        .orderBy("_rank")
-        .drop("_row_id", "_part", "_pos", "_first", "_rank")
-    )
+    rows_path = scratch_path(spark, f"{name}-rows")
+    tagged.write.mode("overwrite").partitionBy("_part").parquet(rows_path)
+    # Give the schema: an empty frame writes no files to infer it from.
+    rows = spark.read.schema(tagged.schema).parquet(rows_path)
+    counts = rows.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    starts = counts.withColumn("_first", F.coalesce(F.sum("_n").over(before), F.lit(0)).cast("bigint"))
+    return RankedView(rows, materialize(starts, f"{name}-starts"))
 
 
 def page(
@@ -146,7 +175,7 @@ def page(
     stop = start + page_size
     if stop <= TOP_K_LIMIT:
         return df.orderBy(*order).offset(start).limit(page_size)
-    return _rank_window(df, order, start, stop)
+    return ranked_view(df, order).page(page, page_size)
 
 
 def page_meta(df: DataFrame, page: int = DEFAULT_PAGE, page_size: int = DEFAULT_PAGE_SIZE) -> DataFrame:

@@ -125,3 +125,24 @@ def test_cli_runs_every_layer(spark, capsys):
 
 def test_mart_builders_are_the_gold_marts():
     assert set(marts.MART_BUILDERS) == set(serving.MART_VIEWS)
+
+
+def test_scratch_dir_without_checkpoint_setting():
+    """A session with no checkpoint folder at all gets a private one through
+    the SparkContext (the setting itself cannot change on a live session)."""
+    import subprocess
+    import sys
+
+    code = (
+        "import sys; sys.path.insert(0, %r)\n"
+        "from pyspark.sql import SparkSession\n"
+        "from tillroll.session import scratch_dir, materialize\n"
+        "s = SparkSession.builder.master('local[1]').config('spark.ui.enabled', 'false').getOrCreate()\n"
+        "assert s.sparkContext.getCheckpointDir() is None\n"
+        "d = scratch_dir(s); assert d == scratch_dir(s) and 'tillroll-ckpt-' in d\n"
+        "assert materialize(s.range(5), 'probe').count() == 5\n"
+        "print('OK')\n"
+    ) % os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    env = dict(os.environ, SPARK_CONF_DIR=tempfile.mkdtemp(prefix="tillroll-noconf-"))
+    out = subprocess.run([sys.executable, "-c", code], env=env, capture_output=True, text=True, timeout=300)
+    assert out.stdout.strip().endswith("OK"), out.stderr[-2000:]

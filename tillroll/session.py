@@ -52,15 +52,15 @@ def local_session(
 
 
 def scratch_dir(spark: SparkSession) -> str:
-    """The shared checkpoint folder of the session, set to a temp dir if unset."""
-    path = spark.conf.get("spark.checkpoint.dir", None)
-    if not path:
-        current = spark.sparkContext._jsc.sc().getCheckpointDir()
-        path = current.get() if current.isDefined() else None
+    """The shared checkpoint folder of the session, set to a temp dir if unset.
+
+    ``spark.checkpoint.dir`` is a core setting that cannot be changed on a
+    running session, so the fallback goes through the SparkContext.
+    """
+    path = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not path:
-        path = tempfile.mkdtemp(prefix="tillroll-ckpt-")
-        spark.sparkContext.setCheckpointDir(path)
-        spark.conf.set("spark.checkpoint.dir", path)
+        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="tillroll-ckpt-"))
+        path = spark.sparkContext.getCheckpointDir()
     return path.rstrip("/")
 
 

@@ -149,3 +149,27 @@ def test_mart_input_columns_cover_all_marts(spark, sf_small):
     narrow = layers.sales.select(*marts.MART_INPUT_COLUMNS)
     for name in marts.MART_BUILDERS:
         assert layers.mart(name, sales=narrow).count() == layers.mart(name).count()
+
+
+def test_layer_schemas_match_declared(spark, sf_small):
+    from __spark_entry__ import _layers
+    from tillroll import schemas
+
+    layers = _layers(spark, sf_small)
+
+    def names_types(struct):
+        return [(f.name, f.dataType) for f in struct.fields]
+
+    assert names_types(layers.products_raw.schema) == names_types(schemas.PRODUCTS_RAW)
+    assert names_types(layers.orders_raw.schema) == names_types(schemas.ORDERS_RAW)
+    assert names_types(layers.lines_raw.schema) == names_types(schemas.LINES_RAW)
+    assert names_types(layers.orders_bronze.schema) == names_types(schemas.ORDERS_BRONZE)
+    assert names_types(layers.products.schema) == names_types(schemas.PRODUCTS_SILVER)
+    assert names_types(layers.orders.schema) == names_types(schemas.ORDERS_SILVER)
+    assert names_types(layers.lines.schema) == names_types(schemas.LINES_RAW)
+    assert names_types(layers.orders_invalid.schema) == [
+        ("InvoiceNo", schemas.T.StringType()),
+        ("InvoiceDate", schemas.T.TimestampType()),
+        ("CustomerID", schemas.T.DoubleType()),
+        ("Country", schemas.T.StringType()),
+    ] + [(c, schemas.T.IntegerType()) for c in schemas.DATE_PARTS]

@@ -21,7 +21,7 @@ from __future__ import annotations
 import functools
 from typing import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -44,9 +44,9 @@ def read_csv(
 ) -> DataFrame:
     """Header CSV with normalised column names.
 
-    With ``schema`` the columns are read as text and converted with
-    ``try_cast`` to the declared types (a malformed value becomes NULL, as in
-    a permissive read), matched by their normalised header names. Without a
+    With ``schema`` the columns are read as text and converted to the
+    declared types (a malformed value becomes NULL, as in a permissive read),
+    matched by their normalised header names. Without a
     schema, ``infer`` chooses between inferred types and all-text columns.
     """
     reader = (
@@ -60,7 +60,21 @@ def read_csv(
     missing = [f.name for f in schema.fields if f.name not in df.columns]
     if missing:
         raise ValueError(f"CSV header lacks columns {missing}; found {df.columns}")
-    return df.select([F.col(f.name).try_cast(f.dataType).alias(f.name) for f in schema.fields])
+    return df.select([_typed(f.name, f.dataType).alias(f.name) for f in schema.fields])
+
+
+def _typed(name: str, data_type: T.DataType) -> Column:
+    """Text to ``data_type``; NULL when the text does not fit.
+
+    Integer columns also accept whole numbers written with a decimal part
+    (``12.0``), as a tool writes an integer column that has missing values.
+    """
+    text = F.col(name)
+    if isinstance(data_type, (T.ByteType, T.ShortType, T.IntegerType, T.LongType)):
+        number = text.try_cast("double")
+        whole = F.when(number == F.floor(number), number)
+        return F.coalesce(text.try_cast(data_type), whole.try_cast(data_type))
+    return text.try_cast(data_type)
 
 
 def read_latin1_csv(spark: SparkSession, paths: str | Sequence[str], schema: T.StructType | None = None) -> DataFrame:

@@ -30,11 +30,12 @@ from tillroll.sources.tables import read_parquet
 
 FLAGSHIP_SF_DIR = "/root/testdata/sf0.001"
 
-# Page requests exercised by the page queries (page number, page size).
-COUNTRY_PAGE = (2, 10)
-PRODUCT_PAGE = (3, 20)
-RETURN_PAGE = (1, 20)
-PERIOD_PAGE = (2, 20)
+# Page requests exercised by the page queries (page number, page size): the
+# API default size for countries, the dashboard's table size for the others.
+COUNTRY_PAGE = (2, serving.DEFAULT_PAGE_SIZE)
+PRODUCT_PAGE = (3, serving.TABLE_PAGE_SIZE)
+RETURN_PAGE = (1, serving.TABLE_PAGE_SIZE)
+PERIOD_PAGE = (2, serving.TABLE_PAGE_SIZE)
 PERIOD_YEAR = 1997
 PERIOD_MONTH = None
 SERIES_YEAR = 1998

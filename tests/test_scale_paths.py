@@ -146,3 +146,26 @@ def test_scratch_dir_without_checkpoint_setting():
     env = dict(os.environ, SPARK_CONF_DIR=tempfile.mkdtemp(prefix="tillroll-noconf-"))
     out = subprocess.run([sys.executable, "-c", code], env=env, capture_output=True, text=True, timeout=300)
     assert out.stdout.strip().endswith("OK"), out.stderr[-2000:]
+
+
+def test_one_pass_gold_plan_shape(spark, sf_small):
+    """Static plan with broadcasts off (as for a large product master): one
+    expand for all three groupings, a map-side partial aggregate, and only
+    the small per-group partials shuffled above it."""
+    from __spark_entry__ import _layers
+
+    old = {k: spark.conf.get(k) for k in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.enabled")}
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        layers = _layers(spark, sf_small)
+        sales = marts.sales_lines(layers.lines, layers.orders, layers.products).select(*marts.MART_INPUT_COLUMNS)
+        plan = marts.mart_measures(sales)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    assert plan.count("Expand [") == 1, plan
+    assert plan.count("Exchange hashpartitioning(InvoiceNo") == 2, plan
+    above_expand = plan[: plan.index("Expand [")]
+    assert above_expand.count("Exchange") == 1, above_expand
+    assert "partial_sum(CASE WHEN NOT IsCancel" in above_expand

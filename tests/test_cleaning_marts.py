@@ -173,3 +173,32 @@ def test_layer_schemas_match_declared(spark, sf_small):
         ("CustomerID", schemas.T.DoubleType()),
         ("Country", schemas.T.StringType()),
     ] + [(c, schemas.T.IntegerType()) for c in schemas.DATE_PARTS]
+
+
+def test_fixture_counts_documented_in_fixtures_md(spark, sf_small):
+    """Counts listed for sf0.001 in FIXTURES.md (checked there in two engines)."""
+    from __spark_entry__ import _layers
+
+    layers = _layers(spark, sf_small)
+    counts = {
+        "products_invalid": layers.products_invalid.count(),
+        "products_valid": layers.products_valid.count(),
+        "orders_invalid": layers.orders_invalid.count(),
+        "orders_valid": layers.orders.count(),
+        "lines_invalid": layers.lines_invalid.count(),
+        "lines_valid": layers.lines.count(),
+        "product_master": layers.products.count(),
+        "sales_lines": layers.sales.count(),
+        "cancelled": layers.sales.filter("IsCancel").count(),
+        "negative": layers.sales.filter("Quantity < 0").count(),
+        "both": layers.sales.filter("IsCancel AND Quantity < 0").count(),
+        "unknown_country": layers.orders.filter(F.col("Country") == "Unknown").count(),
+        "long_descriptions": layers.products.filter(F.length("Description") > 25).count(),
+    }
+    assert counts == {
+        "products_invalid": 18, "products_valid": 249, "orders_invalid": 18, "orders_valid": 1482,
+        "lines_invalid": 109, "lines_valid": 5891, "product_master": 186, "sales_lines": 5475,
+        "cancelled": 423, "negative": 906, "both": 72, "unknown_country": 56, "long_descriptions": 47,
+    }
+    mart_rows = {name: layers.mart(name).count() for name in marts.MART_BUILDERS}
+    assert mart_rows == {"sales_per_country": 25, "top_products": 186, "return_products": 186, "sales_by_period": 1014}

@@ -1,7 +1,7 @@
 """Bronze: land the extract files as Parquet.
 
-Each dataset is described by a ``DatasetSpec``; the driver only loops over
-the (few) specs, and every dataset is one Spark read-transform-write job.
+Each dataset is described by a ``DatasetSpec``; every dataset is one Spark
+read-transform-write job, and the (few) jobs are submitted concurrently.
 Orders get ``year``/``month``/``day`` from their date text and are written
 into ``year=/month=/day=`` folders; a date that does not parse gives NULL
 parts and lands in the default partition, to be quarantined downstream.
@@ -17,6 +17,7 @@ from pyspark.sql import types as T
 
 from tillroll.functions.dates import date_parts
 from tillroll.schemas import DATE_PARTS, LINES_RAW, ORDERS_RAW, PRODUCTS_RAW
+from tillroll.session import run_actions
 from tillroll.sources.extracts import read_csv
 from tillroll.sources.sinks import write_parquet
 
@@ -65,6 +66,9 @@ def ingest_dataset(spark: SparkSession, spec: DatasetSpec, infer: bool = False)
     return spec.output
 
 
-def ingest(spark: SparkSession, specs: Sequence[DatasetSpec], infer: bool = False) -> list[str]:
-    """Land every dataset; returns the output locations in spec order."""
-    return [ingest_dataset(spark, spec, infer=infer) for spec in specs]
+def ingest(
+    spark: SparkSession, specs: Sequence[DatasetSpec], infer: bool = False, max_parallel: int = 3
+) -> list[str]:
+    """Land every dataset (as concurrent jobs); returns the output locations
+    in spec order."""
+    return run_actions([lambda s=spec: ingest_dataset(spark, s, infer=infer) for spec in specs], max_parallel)

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, SparkSession
 from tillroll.operators import marts
 from tillroll.plans.layers import RetailLayers
 from tillroll.plans.silver import SilverTables
-from tillroll.session import materialize
+from tillroll.session import materialize, run_actions
 from tillroll.sources.sinks import write_jdbc, write_table
 from tillroll.sources.tables import read_table
 
@@ -68,7 +68,7 @@ def jdbc_writer(url: str, properties: dict[str, str]) -> MartWriter:
     return lambda name, df: write_jdbc(df, url, name, properties)
 
 
-def write_gold(built: dict[str, DataFrame], writer: MartWriter) -> list[str]:
-    for name, df in built.items():
-        writer(name, df)
+def write_gold(built: dict[str, DataFrame], writer: MartWriter, max_parallel: int = 4) -> list[str]:
+    """Write the marts as concurrent jobs (they read the same small measures)."""
+    run_actions([lambda n=name, df=df: writer(n, df) for name, df in built.items()], max_parallel)
     return list(built)

@@ -15,6 +15,7 @@ from pyspark.sql import SparkSession
 
 from tillroll.plans.layers import RetailLayers
 from tillroll.schemas import DATE_PARTS
+from tillroll.session import run_actions
 from tillroll.sources.sinks import write_table
 from tillroll.sources.tables import read_parquet
 
@@ -39,11 +40,17 @@ def layers_from_bronze(spark: SparkSession, products_path: str, orders_path: str
     )
 
 
-def write_silver(layers: RetailLayers, tables: SilverTables = SilverTables()) -> SilverTables:
-    write_table(layers.products, tables.products)
-    write_table(layers.products_invalid, tables.products_invalid)
-    write_table(layers.orders, tables.orders, partition_by=DATE_PARTS)
-    write_table(layers.orders_invalid, tables.orders_invalid)
-    write_table(layers.lines, tables.lines)
-    write_table(layers.lines_invalid, tables.lines_invalid)
+def write_silver(layers: RetailLayers, tables: SilverTables = SilverTables(), max_parallel: int = 3) -> SilverTables:
+    """Write the six silver tables as concurrent jobs."""
+    run_actions(
+        [
+            lambda: write_table(layers.products, tables.products),
+            lambda: write_table(layers.products_invalid, tables.products_invalid),
+            lambda: write_table(layers.orders, tables.orders, partition_by=DATE_PARTS),
+            lambda: write_table(layers.orders_invalid, tables.orders_invalid),
+            lambda: write_table(layers.lines, tables.lines),
+            lambda: write_table(layers.lines_invalid, tables.lines_invalid),
+        ],
+        max_parallel,
+    )
     return tables

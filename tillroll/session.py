@@ -12,9 +12,13 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from concurrent.futures import ThreadPoolExecutor
+from typing import Callable, Sequence, TypeVar
 
 from pyspark.sql import DataFrame, SparkSession
 
+T = TypeVar("T")
+
 # Settings the library relies on: adaptive execution re-plans joins from
 # runtime sizes, splits skewed join partitions and coalesces small shuffles.
 SCALE_CONF = {
@@ -80,3 +84,18 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     path = scratch_path(spark, name)
     df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
+
+
+def run_actions(actions: Sequence[Callable[[], T]], max_parallel: int = 4) -> list[T]:
+    """Run independent Spark actions (writes) as concurrent jobs.
+
+    Each action is submitted from its own driver thread, so a small dataset's
+    job uses the slots a large job leaves idle instead of waiting for it. With
+    the default FIFO scheduler the first job keeps priority. Results come back
+    in input order; the first failure is raised.
+    """
+    if max_parallel <= 1 or len(actions) <= 1:
+        return [action() for action in actions]
+    with ThreadPoolExecutor(max_workers=min(max_parallel, len(actions))) as pool:
+        futures = [pool.submit(action) for action in actions]
+        return [f.result() for f in futures]

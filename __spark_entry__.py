@@ -23,7 +23,7 @@ from tillroll.operators import serving
 from tillroll.plans import bronze, gold, silver
 from tillroll.plans.layers import RetailLayers
 from tillroll.schemas import DATE_PARTS, FLAT_EXTRACT
-from tillroll.session import scratch_path
+from tillroll.session import run_actions, scratch_path
 from tillroll.sources import extracts, retail_views
 from tillroll.sources.sinks import write_csv, write_parquet
 from tillroll.sources.tables import read_parquet
@@ -229,8 +229,8 @@ def q_landed_sales_by_period(spark, d):
     into marts by the (one-pass) gold job."""
     root = scratch_path(spark, "landed")
     layers = _layers(spark, d)
-    for name, df in [("products", layers.products_raw), ("orders", layers.orders_raw), ("orders_line", layers.lines_raw)]:
-        write_csv(df, f"{root}/csv/{name}.csv")
+    datasets = {"products": layers.products_raw, "orders": layers.orders_raw, "orders_line": layers.lines_raw}
+    run_actions([lambda n=n, df=df: write_csv(df, f"{root}/csv/{n}.csv") for n, df in datasets.items()])
     bronze.ingest(spark, bronze.standard_specs(f"{root}/csv", f"{root}/bronze"))
     landed = silver.layers_from_bronze(
         spark, f"{root}/bronze/products_partitioned", f"{root}/bronze/orders_partitioned", f"{root}/bronze/orders_line"
@@ -252,11 +252,9 @@ def q_extract_csv_roundtrip(spark, d):
     declared schema, then concatenated. As with any CSV extract, empty text
     reads back as NULL."""
     root = scratch_path(spark, "extracts-csv")
-    paths = []
-    for label, extract in zip("ab", retail_views.yearly_extracts(spark, d)):
-        paths.append(f"{root}/{label}")
-        write_csv(extract, paths[-1], encoding=extracts.LATIN_1)
-    back = [extracts.read_latin1_csv(spark, p, schema=FLAT_EXTRACT) for p in paths]
+    parts = dict(zip([f"{root}/a", f"{root}/b"], retail_views.yearly_extracts(spark, d)))
+    run_actions([lambda p=p, df=df: write_csv(df, p, encoding=extracts.LATIN_1) for p, df in parts.items()])
+    back = [extracts.read_latin1_csv(spark, p, schema=FLAT_EXTRACT) for p in parts]
     return extracts.concat_extracts(*back)
 
 

@@ -36,6 +36,7 @@ COUNTRY_PAGE = (2, serving.DEFAULT_PAGE_SIZE)
 PRODUCT_PAGE = (3, serving.TABLE_PAGE_SIZE)
 RETURN_PAGE = (1, serving.TABLE_PAGE_SIZE)
 PERIOD_PAGE = (2, serving.TABLE_PAGE_SIZE)
+RANKED_PAGE = (15, 50)
 PERIOD_YEAR = 1997
 PERIOD_MONTH = None
 SERIES_YEAR = 1998
@@ -174,6 +175,15 @@ def q_page_periodic(spark, d):
     return _page(spark, d, "sales_by_period", *PERIOD_PAGE, year=PERIOD_YEAR, month=PERIOD_MONTH)
 
 
+def q_page_periodic_ranked(spark, d):
+    """A page served through the distributed ranking path: the day mart is
+    range-sorted across tasks once and only the partitions holding ranks
+    700-749 are read."""
+    mart = _mart(spark, d, "sales_by_period")
+    view = serving.ranked_view(mart, serving.MART_VIEWS["sales_by_period"].page_order())
+    return view.page(*RANKED_PAGE)
+
+
 def q_period_filtered(spark, d):
     return serving.period_filter(_mart(spark, d, "sales_by_period"), SERIES_YEAR, SERIES_MONTH)
 
@@ -296,6 +306,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "page_top_products": q_page_top_products,
     "page_return_products": q_page_return_products,
     "page_periodic": q_page_periodic,
+    "page_periodic_ranked": q_page_periodic_ranked,
     "period_filtered": q_period_filtered,
     "page_meta": q_page_meta,
     "overview_kpis": q_overview_kpis,
@@ -633,6 +644,7 @@ def _build_oracle() -> dict[str, str]:
         "page_return_products": m + _page_sql("returns", _ORDER["return_products"], *RETURN_PAGE),
         "page_periodic": m
         + _page_sql("period", _ORDER["sales_by_period"], *PERIOD_PAGE, _period_where(PERIOD_YEAR, PERIOD_MONTH)),
+        "page_periodic_ranked": m + _page_sql("period", _ORDER["sales_by_period"], *RANKED_PAGE),
         "period_filtered": m + f"SELECT * FROM period {_period_where(SERIES_YEAR, SERIES_MONTH)}",
         "page_meta": m
         + " UNION ALL ".join(

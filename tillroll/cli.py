@@ -38,14 +38,9 @@ def _silver_tables(database: str):
 
 
 def cmd_split(args) -> None:
-    from tillroll.schemas import FLAT_EXTRACT
-    from tillroll.sources.extracts import read_latin1_csv, split_extracts
-    from tillroll.sources.sinks import write_csv
-
-    spark = _spark("split")
-    extracts = [read_latin1_csv(spark, p, schema=FLAT_EXTRACT) for p in args.extract]
-    for name, df in split_extracts(*extracts).items():
-        write_csv(df, os.path.join(args.output, f"{name}.csv"))
+    from tillroll.plans.split import split_job
+
+    split_job(_spark("split"), args.extract, args.output)
 
 
 def cmd_bronze(args) -> None:

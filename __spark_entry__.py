@@ -63,7 +63,6 @@ def _mart(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return as_money(_layers(spark, sf_dir).mart(name), *MONEY_COLUMNS[name])
 
 
-
 # ---------------------------------------------------------------------------
 # Spark side.
 

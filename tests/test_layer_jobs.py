@@ -115,3 +115,21 @@ def test_streaming_ingest_matches_batch(landed, spark):
     after = tables.read_parquet(spark, out)
     assert after.count() == 6
     assert after.filter("InvoiceNo = '489500' AND day = 3").count() == 1
+
+
+def test_streaming_ingest_continuous_mode(spark):
+    from tillroll.streaming.ingest import ingest_stream
+
+    src = tempfile.mkdtemp(prefix="tillroll-stream-in-")
+    with open(os.path.join(src, "lines-1.csv"), "w") as fh:
+        fh.write(LINES_CSV)
+    out = tempfile.mkdtemp(prefix="tillroll-stream-out-")
+    spec = bronze.DatasetSpec("orders_line", src, out)
+    q = ingest_stream(spark, spec, checkpoint_location=tempfile.mkdtemp(prefix="tillroll-stream-ckpt-"), available_now=False, interval="1 second")
+    try:
+        q.processAllAvailable()
+    finally:
+        q.stop()
+    landed_lines = tables.read_parquet(spark, out)
+    assert landed_lines.count() == 7
+    assert dict(landed_lines.dtypes)["Quantity"] == "int"

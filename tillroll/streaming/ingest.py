@@ -23,11 +23,13 @@ def ingest_stream(
     checkpoint_location: str | None = None,
     available_now: bool = True,
     max_files_per_trigger: int | None = None,
+    interval: str = "1 minute",
 ) -> StreamingQuery:
     """Start a file-to-Parquet stream for one dataset folder.
 
     ``spec.input`` is a folder to watch. Columns are taken in file order
     with the declared types; a value that does not parse becomes NULL.
+    Without ``available_now`` the query runs on, checking every ``interval``.
     """
     schema = spec.schema or DEFAULT_SCHEMAS[spec.name]
     reader = (
@@ -47,5 +49,5 @@ def ingest_stream(
     )
     if spec.partitioned:
         writer = writer.partitionBy(*DATE_PARTS)
-    writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
+    writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime=interval)
     return writer.start()

@@ -122,7 +122,7 @@ def test_streaming_ingest_continuous_mode(spark):
 
     src = tempfile.mkdtemp(prefix="tillroll-stream-in-")
     with open(os.path.join(src, "lines-1.csv"), "w") as fh:
-        fh.write(LINES_CSV)
+        fh.write(LINES_CSV + "489452,22087,4.0\n")
     out = tempfile.mkdtemp(prefix="tillroll-stream-out-")
     spec = bronze.DatasetSpec("orders_line", src, out)
     q = ingest_stream(spark, spec, checkpoint_location=tempfile.mkdtemp(prefix="tillroll-stream-ckpt-"), available_now=False, interval="1 second")
@@ -131,5 +131,6 @@ def test_streaming_ingest_continuous_mode(spark):
     finally:
         q.stop()
     landed_lines = tables.read_parquet(spark, out)
-    assert landed_lines.count() == 7
+    assert landed_lines.count() == 8
     assert dict(landed_lines.dtypes)["Quantity"] == "int"
+    assert landed_lines.filter("InvoiceNo = '489452'").first()["Quantity"] == 4

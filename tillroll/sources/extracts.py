@@ -60,10 +60,20 @@ def read_csv(
     missing = [f.name for f in schema.fields if f.name not in df.columns]
     if missing:
         raise ValueError(f"CSV header lacks columns {missing}; found {df.columns}")
-    return df.select([_typed(f.name, f.dataType).alias(f.name) for f in schema.fields])
+    return apply_schema(df, schema)
 
 
-def _typed(name: str, data_type: T.DataType) -> Column:
+def apply_schema(text_columns: DataFrame, schema: T.StructType) -> DataFrame:
+    """Convert text columns (named as in ``schema``) to the declared types."""
+    return text_columns.select([typed_column(f.name, f.dataType).alias(f.name) for f in schema.fields])
+
+
+def text_schema(schema: T.StructType) -> T.StructType:
+    """The same column names, all as text."""
+    return T.StructType([T.StructField(f.name, T.StringType()) for f in schema.fields])
+
+
+def typed_column(name: str, data_type: T.DataType) -> Column:
     """Text to ``data_type``; NULL when the text does not fit.
 
     Integer columns also accept whole numbers written with a decimal part

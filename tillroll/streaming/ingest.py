@@ -15,6 +15,7 @@ from pyspark.sql.streaming import StreamingQuery
 from tillroll.plans.bronze import DEFAULT_SCHEMAS, DatasetSpec, bronze_frame
 from tillroll.schemas import DATE_PARTS
 from tillroll.session import scratch_path
+from tillroll.sources.extracts import apply_schema, text_schema
 
 
 def ingest_stream(
@@ -27,8 +28,9 @@ def ingest_stream(
 ) -> StreamingQuery:
     """Start a file-to-Parquet stream for one dataset folder.
 
-    ``spec.input`` is a folder to watch. Columns are taken in file order
-    with the declared types; a value that does not parse becomes NULL.
+    ``spec.input`` is a folder to watch. Columns are taken in file order and
+    converted to the declared types as in the batch read; a value that does
+    not fit becomes NULL.
     Without ``available_now`` the query runs on, checking every ``interval``.
     """
     schema = spec.schema or DEFAULT_SCHEMAS[spec.name]
@@ -36,11 +38,11 @@ def ingest_stream(
         spark.readStream.option("header", True)
         .option("encoding", spec.encoding)
         .option("mode", "PERMISSIVE")
-        .schema(schema)
+        .schema(text_schema(schema))
     )
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    stream = bronze_frame(reader.csv(spec.input), spec.partitioned)
+    stream = bronze_frame(apply_schema(reader.csv(spec.input), schema), spec.partitioned)
     writer = (
         stream.writeStream.format("parquet")
         .option("path", spec.output)

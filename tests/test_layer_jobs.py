@@ -89,6 +89,11 @@ def test_silver_and_gold(landed, spark):
         for name, df in other.items():
             assert df.dtypes == built[name].dtypes, (strategy, name)
             assert sorted(map(tuple, df.collect())) == sorted(map(tuple, built[name].collect())), (strategy, name)
+    written = {}
+    gold.write_gold(built, lambda name, df: written.__setitem__(name, [tuple(r) for r in df.collect()]), sort=True)
+    assert [r[:3] for r in written["sales_by_period"]] == [(2009, 12, 1), (2009, 12, 2)]
+    revenue = [r[2] for r in written["top_products"]]
+    assert revenue == sorted(revenue, reverse=True)
     page, meta = serving.mart_page(built["sales_by_period"], "sales_by_period", 1, 10, year=2009, month=12)
     assert meta.first()["total"] == 2 and page.count() == 2
 

@@ -24,6 +24,7 @@ from typing import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tillroll.operators import marts
+from tillroll.operators.serving import sorted_mart
 from tillroll.plans.layers import RetailLayers
 from tillroll.plans.silver import SilverTables
 from tillroll.session import materialize, run_actions
@@ -68,7 +69,16 @@ def jdbc_writer(url: str, properties: dict[str, str]) -> MartWriter:
     return lambda name, df: write_jdbc(df, url, name, properties)
 
 
-def write_gold(built: dict[str, DataFrame], writer: MartWriter, max_parallel: int = 4) -> list[str]:
-    """Write the marts as concurrent jobs (they read the same small measures)."""
+def write_gold(
+    built: dict[str, DataFrame], writer: MartWriter, max_parallel: int = 4, sort: bool = False
+) -> list[str]:
+    """Write the marts as concurrent jobs (they read the same small measures).
+
+    ``sort`` writes each mart in the batch order of the original job (sales
+    and revenue descending, returns by quantity descending, days ascending),
+    for readers that rely on the insertion order of a fresh table.
+    """
+    if sort:
+        built = {name: sorted_mart(df, name) for name, df in built.items()}
     run_actions([lambda n=name, df=df: writer(n, df) for name, df in built.items()], max_parallel)
     return list(built)

@@ -71,7 +71,7 @@ def cmd_gold(args) -> None:
         writer = gold.jdbc_writer(args.jdbc_url, props)
     else:
         writer = gold.table_writer(args.database)
-    gold.write_gold(built, writer)
+    gold.write_gold(built, writer, sort=args.sort)
 
 
 def cmd_page(args) -> None:
@@ -110,6 +110,7 @@ def parser() -> argparse.ArgumentParser:
     s.add_argument("--jdbc-user")
     s.add_argument("--jdbc-password-env", help="name of the environment variable holding the password")
     s.add_argument("--jdbc-driver")
+    s.add_argument("--sort", action="store_true", help="write each mart in the original batch order")
     s.set_defaults(fn=cmd_gold)
 
     s = sub.add_parser("page")

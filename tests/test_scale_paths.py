@@ -169,3 +169,35 @@ def test_one_pass_gold_plan_shape(spark, sf_small):
     above_expand = plan[: plan.index("Expand [")]
     assert above_expand.count("Exchange") == 1, above_expand
     assert "partial_sum(CASE WHEN NOT IsCancel" in above_expand
+
+
+def test_hot_day_is_written_by_several_tasks(spark):
+    """Rebalanced partitioned writes split a day holding most of the rows."""
+    from tillroll.sources.sinks import write_parquet
+
+    conf = {
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "512KB",
+        "spark.sql.adaptive.coalescePartitions.minPartitionSize": "1KB",
+    }
+    old = {k: spark.conf.get(k, None) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        n = 60_000
+        df = spark.range(n).select(
+            F.lit(2010).alias("year"),
+            F.lit(1).alias("month"),
+            F.when(F.col("id") % 3 == 0, (F.col("id") % 28) + 2).otherwise(F.lit(1)).cast("int").alias("day"),
+            F.sha2(F.col("id").cast("string"), 256).alias("payload"),
+        )
+        out = os.path.join(tempfile.mkdtemp(prefix="tillroll-hotday-"), "t")
+        write_parquet(df, out, partition_by=["year", "month", "day"])
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    hot = os.path.join(out, "year=2010", "month=1", "day=1")
+    cold = os.path.join(out, "year=2010", "month=1", "day=5")
+    hot_files = [f for f in os.listdir(hot) if f.endswith(".parquet")]
+    cold_files = [f for f in os.listdir(cold) if f.endswith(".parquet")]
+    assert len(hot_files) > 1 and len(cold_files) == 1, (len(hot_files), len(cold_files))
+    assert spark.read.parquet(out).count() == n

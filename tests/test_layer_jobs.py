@@ -139,3 +139,26 @@ def test_streaming_ingest_continuous_mode(spark):
     assert landed_lines.count() == 8
     assert dict(landed_lines.dtypes)["Quantity"] == "int"
     assert landed_lines.filter("InvoiceNo = '489452'").first()["Quantity"] == 4
+
+
+def test_mart_over_stored_silver_prunes_and_pushes(landed, spark):
+    from tillroll.operators import marts as M
+
+    layers = silver.layers_from_bronze(spark, landed["products"], landed["orders"], landed["orders_line"])
+    names = silver.SilverTables(
+        products="default.p_products",
+        products_invalid="default.p_products_invalid",
+        orders="default.p_orders",
+        orders_invalid="default.p_orders_invalid",
+        lines="default.p_lines",
+        lines_invalid="default.p_lines_invalid",
+    )
+    silver.write_silver(layers, names)
+    lines, orders, products = gold.layers_from_silver(spark, names)
+    country = M.sales_per_country(M.sales_lines(lines, orders, products))
+    plan = country._jdf.queryExecution().executedPlan().toString()
+    orders_scan = [ln for ln in plan.splitlines() if "p_orders" in ln and "FileScan" in ln]
+    assert orders_scan, plan
+    scan = orders_scan[0]
+    assert "ReadSchema: struct<InvoiceNo:string,Country:string,IsCancel:boolean>" in scan, scan
+    assert "Not(EqualTo(IsCancel,true))" in scan or "EqualTo(IsCancel,false)" in scan, scan

@@ -133,7 +133,10 @@ class RankedView:
             self.rows.join(F.broadcast(wanted), "_part")
             .withColumn("_rank", F.col("_first") + F.col("_pos"))
             .filter((F.col("_rank") >= start) & (F.col("_rank") < stop))
-            .orderBy("_rank")
+            # At most ``page_size`` rows remain: gather them in one task and
+            # sort there, instead of a sampled range sort of a few rows.
+            .repartition(1)
+            .sortWithinPartitions("_rank")
             .drop("_part", "_pos", "_first", "_n", "_rank")
         )
 

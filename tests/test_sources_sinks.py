@@ -166,3 +166,15 @@ def test_jdbc_column_subset_pushdown_and_parallel_read(spark):
         partition_column="month", num_partitions=4, lower_bound=1, upper_bound=13,
     )
     assert ranged.rdd.getNumPartitions() == 4 and ranged.count() == 36
+
+
+def test_jdbc_truncate_keeps_the_table(spark):
+    url = "jdbc:derby:memory:tillroll_trunc;create=true"
+    props = {"driver": "org.apache.derby.jdbc.EmbeddedDriver"}
+    mart = spark.createDataFrame([("France", 10.5), ("Spain", 1.0)], "Country string, total_sales double")
+    sinks.write_jdbc(mart, url, "COUNTRIES", props)
+    # a column type chosen by the database owner survives a truncating overwrite
+    before = tables.read_jdbc(spark, url, "COUNTRIES", props).schema
+    sinks.write_jdbc(mart.limit(1), url, "COUNTRIES", props, truncate=True, max_connections=1)
+    back = tables.read_jdbc(spark, url, "COUNTRIES", props)
+    assert back.count() == 1 and back.schema == before

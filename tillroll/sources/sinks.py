@@ -69,9 +69,21 @@ def write_jdbc(
     properties: dict[str, str] | None = None,
     mode: str = "overwrite",
     batch_size: int = 10_000,
+    truncate: bool = False,
+    max_connections: int | None = None,
 ) -> None:
-    """Replace (or append to) a database table; one connection per task."""
+    """Replace (or append to) a database table; one connection per task.
+
+    ``truncate`` keeps an existing table (its grants, indexes and column
+    types) and only empties it before an overwrite, instead of dropping and
+    recreating it. ``max_connections`` caps the number of tasks writing at
+    once (Spark coalesces the frame to that many partitions).
+    """
     props = {"batchsize": str(batch_size), **(properties or {})}
+    if truncate:
+        props["truncate"] = "true"
+    if max_connections:
+        props["numPartitions"] = str(max_connections)
     df.write.jdbc(url=url, table=table, mode=mode, properties=props)
 
 

@@ -68,7 +68,7 @@ def cmd_gold(args) -> None:
         props = {"user": args.jdbc_user or "", "password": os.environ.get(args.jdbc_password_env or "", "")}
         if args.jdbc_driver:
             props["driver"] = args.jdbc_driver
-        writer = gold.jdbc_writer(args.jdbc_url, props)
+        writer = gold.jdbc_writer(args.jdbc_url, props, truncate=args.jdbc_truncate)
     else:
         writer = gold.table_writer(args.database)
     gold.write_gold(built, writer, sort=args.sort)
@@ -110,6 +110,7 @@ def parser() -> argparse.ArgumentParser:
     s.add_argument("--jdbc-user")
     s.add_argument("--jdbc-password-env", help="name of the environment variable holding the password")
     s.add_argument("--jdbc-driver")
+    s.add_argument("--jdbc-truncate", action="store_true", help="empty existing mart tables instead of recreating them")
     s.add_argument("--sort", action="store_true", help="write each mart in the original batch order")
     s.set_defaults(fn=cmd_gold)
 

@@ -65,8 +65,8 @@ def table_writer(database: str = "default") -> MartWriter:
     return lambda name, df: write_table(df, f"{database}.{name}")
 
 
-def jdbc_writer(url: str, properties: dict[str, str]) -> MartWriter:
-    return lambda name, df: write_jdbc(df, url, name, properties)
+def jdbc_writer(url: str, properties: dict[str, str], truncate: bool = False) -> MartWriter:
+    return lambda name, df: write_jdbc(df, url, name, properties, truncate=truncate)
 
 
 def write_gold(

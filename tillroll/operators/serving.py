@@ -35,8 +35,10 @@ TABLE_PAGE_SIZE = 20
 SERIES_SIZE = 15
 PERIOD_SERIES_SIZE = 30
 
-# Pages ending beyond this many rows use the distributed ranking path.
-TOP_K_LIMIT = 10_000
+# Pages ending beyond this many rows use the distributed ranking path. A
+# shallow page keeps at most this many rows per task, and the final merge sees
+# at most (tasks x TOP_K_LIMIT) rows, so the bound stays small.
+TOP_K_LIMIT = 1_000
 
 
 @dataclass(frozen=True)

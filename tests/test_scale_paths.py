@@ -113,7 +113,7 @@ def test_cli_runs_every_layer(spark, capsys):
     cli.main(["bronze", "--input", split_dir, "--output", bronze_dir])
     spark.sql("CREATE DATABASE IF NOT EXISTS cli_db")
     cli.main(["silver", "--bronze", bronze_dir, "--database", "cli_db"])
-    cli.main(["gold", "--database", "cli_db", "--sort"])
+    cli.main(["gold", "--database", "cli_db", "--sort", "--strategy", "reuse_sales"])
     capsys.readouterr()
     cli.main(["page", "--mart", "sales_per_country", "--database", "cli_db"])
     out = json.loads(capsys.readouterr().out)

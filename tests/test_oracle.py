@@ -37,3 +37,16 @@ def test_gold_strategies_match_mart_oracles(spark, sf_small, con, strategy):
     for name, df in built.items():
         status = compare_frame(as_money(df, *E.MONEY_COLUMNS[name]), E.oracle_sql()[name], con)
         assert status == "ok", (strategy, name, status)
+
+
+@pytest.mark.parametrize("name", ["page_top_products", "page_periodic_ranked", "top_products", "overview_kpis"])
+def test_results_do_not_depend_on_adaptive_execution(spark, sf_small, con, name):
+    old = {k: spark.conf.get(k) for k in ("spark.sql.adaptive.enabled", "spark.sql.shuffle.partitions")}
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", "37")
+    try:
+        result = compare(spark, sf_small, name, con)
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    assert result["status"] == "ok", result

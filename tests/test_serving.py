@@ -19,7 +19,13 @@ def _rows(df):
     return [tuple(r) for r in df.collect()]
 
 
-@pytest.mark.parametrize("page_no,size", [(0, 10), (1, 0), (1, 101), (-1, 5)])
+def test_numpy_integers_are_valid_page_args(spark):
+    import numpy as np
+
+    assert serving.page(spark.range(30), [F.col("id")], np.int64(2), np.int32(10)).count() == 10
+
+
+@pytest.mark.parametrize("page_no,size", [(0, 10), (1, 0), (1, 101), (-1, 5), (True, 10), (1.0, 10)])
 def test_page_argument_bounds(spark, page_no, size):
     with pytest.raises(ValueError):
         serving.page(spark.range(3), [F.col("id")], page_no, size)

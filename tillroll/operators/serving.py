@@ -15,6 +15,7 @@ overlap its rank range. Keep the view to serve many deep pages from one sort.
 
 from __future__ import annotations
 
+import numbers
 from dataclasses import dataclass
 from typing import Sequence
 
@@ -76,15 +77,19 @@ def sorted_mart(df: DataFrame, name: str) -> DataFrame:
     return df.orderBy(*[F.col(c).desc() if d else F.col(c).asc() for c, d in MART_SORT[name]])
 
 
+def _is_int(value) -> bool:
+    return isinstance(value, numbers.Integral) and not isinstance(value, bool)
+
+
 def check_page_args(page: int, page_size: int) -> None:
-    if not isinstance(page, int) or page < 1:
+    if not _is_int(page) or page < 1:
         raise ValueError(f"page must be an integer >= 1, got {page!r}")
-    if not isinstance(page_size, int) or not 1 <= page_size <= MAX_PAGE_SIZE:
+    if not _is_int(page_size) or not 1 <= page_size <= MAX_PAGE_SIZE:
         raise ValueError(f"page_size must be an integer in [1, {MAX_PAGE_SIZE}], got {page_size!r}")
 
 
 def check_month(month: int | None) -> None:
-    if month is not None and (not isinstance(month, int) or not 1 <= month <= 12):
+    if month is not None and (not _is_int(month) or not 1 <= month <= 12):
         raise ValueError(f"month must be an integer in [1, 12], got {month!r}")
 
 
@@ -128,6 +133,7 @@ class RankedView:
 
     def page(self, page_no: int = DEFAULT_PAGE, page_size: int = DEFAULT_PAGE_SIZE) -> DataFrame:
         check_page_args(page_no, page_size)
+        page_no, page_size = int(page_no), int(page_size)
         start = (page_no - 1) * page_size
         stop = start + page_size
         wanted = self.starts.filter((F.col("_first") < stop) & (F.col("_first") + F.col("_n") > start))
@@ -176,6 +182,7 @@ def page(
 ) -> DataFrame:
     """Rows ``(page-1)*page_size`` .. ``page*page_size - 1`` of ``df`` in ``order``."""
     check_page_args(page, page_size)
+    page, page_size = int(page), int(page_size)
     start = (page - 1) * page_size
     stop = start + page_size
     if stop <= TOP_K_LIMIT:
@@ -189,6 +196,7 @@ def page_meta(df: DataFrame, page: int = DEFAULT_PAGE, page_size: int = DEFAULT_
     ``total_pages`` is the integer ceiling of ``total / page_size``.
     """
     check_page_args(page, page_size)
+    page, page_size = int(page), int(page_size)
     total = F.count(F.lit(1))
     return df.agg(
         total.alias("total"),

@@ -41,16 +41,21 @@ def layers_from_bronze(spark: SparkSession, products_path: str, orders_path: str
 
 
 def write_silver(layers: RetailLayers, tables: SilverTables = SilverTables(), max_parallel: int = 3) -> SilverTables:
-    """Write the six silver tables as concurrent jobs."""
+    """Write the six silver tables as concurrent jobs.
+
+    The frames are built on the calling thread first (the layers cache them),
+    and only the writes run in the pool.
+    """
+    targets = [
+        (layers.products, tables.products, None),
+        (layers.products_invalid, tables.products_invalid, None),
+        (layers.orders, tables.orders, DATE_PARTS),
+        (layers.orders_invalid, tables.orders_invalid, None),
+        (layers.lines, tables.lines, None),
+        (layers.lines_invalid, tables.lines_invalid, None),
+    ]
     run_actions(
-        [
-            lambda: write_table(layers.products, tables.products),
-            lambda: write_table(layers.products_invalid, tables.products_invalid),
-            lambda: write_table(layers.orders, tables.orders, partition_by=DATE_PARTS),
-            lambda: write_table(layers.orders_invalid, tables.orders_invalid),
-            lambda: write_table(layers.lines, tables.lines),
-            lambda: write_table(layers.lines_invalid, tables.lines_invalid),
-        ],
+        [lambda df=df, name=name, parts=parts: write_table(df, name, partition_by=parts) for df, name, parts in targets],
         max_parallel,
     )
     return tables

@@ -377,7 +377,7 @@ orders_ok AS (
 ),
 orders_silver AS (
   SELECT InvoiceNo, InvoiceDate,
-    COALESCE(TRY_CAST(CustomerID AS INTEGER), -1) AS CustomerID,
+    COALESCE(TRY_CAST(trunc(CustomerID) AS INTEGER), -1) AS CustomerID,
     CASE WHEN Country IS NULL OR Country = 'Unspecified' THEN 'Unknown' ELSE Country END AS Country,
     COALESCE(starts_with(InvoiceNo, 'C'), FALSE) AS IsCancel,
     "year", "month", "day"

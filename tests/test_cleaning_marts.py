@@ -34,6 +34,7 @@ def test_customer_country_and_cancel_columns(spark):
         ("536380", "12/1/2009 9:41", None, "France"),
         ("536381", "12/1/2009 9:41", math.nan, "EIRE"),
         ("c536382", "12/1/2009 9:41", 1e12, "Unknown"),
+        ("536383", "12/1/2009 9:41", 13085.7, "France"),
     ]
     layers = RetailLayers(
         spark.createDataFrame([], PRODUCTS_RAW), spark.createDataFrame(rows, ORDERS_RAW), spark.createDataFrame([], LINES_RAW)
@@ -45,6 +46,7 @@ def test_customer_country_and_cancel_columns(spark):
     assert out["536381"]["CustomerID"] == -1  # NaN
     assert out["c536382"]["CustomerID"] == -1  # out of int range
     assert out["c536382"]["IsCancel"] is False  # case kept
+    assert out["536383"]["CustomerID"] == 13085  # truncated, as an int cast does
     assert layers.orders.columns == ["InvoiceNo", "InvoiceDate", "CustomerID", "Country", "IsCancel", "year", "month", "day"]
     types = dict(layers.orders.dtypes)
     assert types["CustomerID"] == "int" and types["IsCancel"] == "boolean" and types["InvoiceDate"] == "timestamp"

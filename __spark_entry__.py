@@ -447,8 +447,8 @@ lines_raw AS (
          ELSE CAST(l.l_partkey AS VARCHAR) END AS StockCode,
     CASE WHEN (l.l_orderkey * 7 + l.l_linenumber) % 1000 = 1 THEN NULL
          WHEN (l.l_orderkey * 7 + l.l_linenumber) % 1000 = 2 THEN 0
-         WHEN l.l_returnflag = 'R' AND l.l_linestatus = 'O' THEN CAST(-l.l_quantity AS INTEGER)
-         ELSE CAST(l.l_quantity AS INTEGER) END AS Quantity
+         WHEN l.l_returnflag = 'R' AND l.l_linestatus = 'O' THEN CAST(trunc(-l.l_quantity) AS INTEGER)
+         ELSE CAST(trunc(l.l_quantity) AS INTEGER) END AS Quantity
   FROM lineitem l LEFT JOIN orders o ON l.l_orderkey = o.o_orderkey
 ),
 lines_ok AS (
@@ -517,7 +517,7 @@ flat AS (
          ELSE CAST(o.o_orderkey AS VARCHAR) END AS InvoiceNo,
     CAST(l.l_partkey AS VARCHAR) AS StockCode,
     p.p_name AS Description,
-    CAST(l.l_quantity AS INTEGER) AS Quantity,
+    CAST(trunc(l.l_quantity) AS INTEGER) AS Quantity,
     strftime(o.o_orderdate, '%-m/%-d/%Y %-H:%M') AS InvoiceDate,
     p.p_retailprice AS UnitPrice,
     CASE WHEN o.o_orderkey % 7 = 0 THEN NULL ELSE CAST(o.o_custkey AS DOUBLE) END AS CustomerID,

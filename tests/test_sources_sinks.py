@@ -178,3 +178,15 @@ def test_jdbc_truncate_keeps_the_table(spark):
     sinks.write_jdbc(mart.limit(1), url, "COUNTRIES", props, truncate=True, max_connections=1)
     back = tables.read_jdbc(spark, url, "COUNTRIES", props)
     assert back.count() == 1 and back.schema == before
+
+
+def test_replace_partitions_only(spark):
+    day = "InvoiceNo string, year int, month int, day int"
+    first = spark.createDataFrame([("1", 2010, 1, 1), ("2", 2010, 1, 2)], day)
+    again = spark.createDataFrame([("3", 2010, 1, 2)], day)
+    out = os.path.join(_fresh_dir(), "orders")
+    sinks.write_parquet(first, out, partition_by=DATE_PARTS)
+    sinks.write_parquet(again, out, partition_by=DATE_PARTS, replace_partitions_only=True)
+    assert sorted(r["InvoiceNo"] for r in tables.read_parquet(spark, out).collect()) == ["1", "3"]
+    sinks.write_parquet(again, out, partition_by=DATE_PARTS)  # a plain overwrite replaces every day
+    assert [r["InvoiceNo"] for r in tables.read_parquet(spark, out).collect()] == ["3"]

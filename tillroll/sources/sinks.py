@@ -29,12 +29,17 @@ def write_parquet(
     partition_by: Sequence[str] | None = None,
     num_partitions: int | None = None,
     mode: str = "overwrite",
+    replace_partitions_only: bool = False,
 ) -> None:
     """Parquet, optionally partitioned into ``col=value`` folders.
 
     ``num_partitions`` spreads an unpartitioned write round-robin over that
     many files; without it each task writes its own partition as is. A
     partitioned write is rebalanced on its partition columns.
+
+    ``replace_partitions_only`` overwrites just the partitions present in
+    ``df`` (dynamic partition overwrite), so re-landing a few days leaves
+    every other day untouched.
     """
     if partition_by:
         df = rebalance(df, partition_by)
@@ -43,6 +48,8 @@ def write_parquet(
     writer = df.write.mode(mode)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
+        if replace_partitions_only:
+            writer = writer.option("partitionOverwriteMode", "dynamic")
     writer.parquet(path)
 
 
@@ -53,7 +60,12 @@ def write_table(
     mode: str = "overwrite",
     fmt: str = "parquet",
 ) -> None:
-    """A managed catalog table (Parquet files), optionally partitioned."""
+    """A managed catalog table (Parquet files), optionally partitioned.
+
+    An overwrite replaces the whole table, as the silver job's full reload
+    expects; use ``write_parquet(replace_partitions_only=True)`` on a path to
+    re-land single days.
+    """
     if partition_by:
         df = rebalance(df, partition_by)
     writer = df.write.mode(mode).format(fmt)

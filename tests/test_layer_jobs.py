@@ -181,3 +181,19 @@ def test_inferred_ingest_gives_the_same_marts(landed, spark):
         a = sorted(map(tuple, inferred.mart(name).collect()))
         b = sorted(map(tuple, declared.mart(name).collect()))
         assert a == b, name
+
+
+def test_relanding_some_days_keeps_the_others(spark):
+    src = tempfile.mkdtemp(prefix="tillroll-reland-")
+    with open(os.path.join(src, "orders.csv"), "w") as fh:
+        fh.write(ORDERS_CSV)
+    out = tempfile.mkdtemp(prefix="tillroll-reland-out-") + "/orders"
+    bronze.ingest_dataset(spark, bronze.DatasetSpec("orders", os.path.join(src, "orders.csv"), out, partitioned=True))
+    fix = os.path.join(src, "fix.csv")
+    with open(fix, "w") as fh:
+        fh.write("InvoiceNo,InvoiceDate,CustomerID,Country\n489451,12/2/2009 9:00,1.0,France\n")
+    spec = bronze.DatasetSpec("orders", fix, out, partitioned=True, replace_partitions_only=True)
+    bronze.ingest_dataset(spark, spec)
+    landed_orders = {r["InvoiceNo"]: r for r in tables.read_parquet(spark, out).collect()}
+    assert len(landed_orders) == 5  # 12/1 and the bad-date rows kept, 12/2 replaced
+    assert landed_orders["489451"]["Country"] == "France"

@@ -34,6 +34,9 @@ class DatasetSpec:
     # each input split as it is read (no shuffle; file sizes follow the input
     # splits), which is what scales; the original flow used a fixed 8.
     num_partitions: int | None = None
+    # For the date-partitioned dataset: replace only the days present in the
+    # input (re-landing some days keeps all others).
+    replace_partitions_only: bool = False
 
 
 DEFAULT_SCHEMAS = {"products": PRODUCTS_RAW, "orders": ORDERS_RAW, "orders_line": LINES_RAW}
@@ -60,7 +63,7 @@ def ingest_dataset(spark: SparkSession, spec: DatasetSpec, infer: bool = False)
     df = read_csv(spark, paths, schema=schema, infer=infer, encoding=spec.encoding)
     out = bronze_frame(df, spec.partitioned)
     if spec.partitioned:
-        write_parquet(out, spec.output, partition_by=DATE_PARTS)
+        write_parquet(out, spec.output, partition_by=DATE_PARTS, replace_partitions_only=spec.replace_partitions_only)
     else:
         write_parquet(out, spec.output, num_partitions=spec.num_partitions)
     return spec.output

@@ -5,8 +5,8 @@ in the order of the input; ``orders`` is large as well, ``products`` is one
 row per stock code. The line/order join is a shuffle join on ``InvoiceNo``;
 with adaptive execution on, a hot invoice is split across tasks by the
 skew-join rule instead of landing on one task. The product join is broadcast
-only under a size bound: statically when the planner's estimate (an upper
-bound from file sizes) is under the threshold, otherwise adaptive execution
+only under a size bound: statically when the planner's estimate (from the
+stored file sizes) is under the threshold, otherwise adaptive execution
 converts the shuffle join once the product master's measured size is.
 
 Semantics kept on purpose:

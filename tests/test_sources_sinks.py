@@ -190,3 +190,13 @@ def test_replace_partitions_only(spark):
     assert sorted(r["InvoiceNo"] for r in tables.read_parquet(spark, out).collect()) == ["1", "3"]
     sinks.write_parquet(again, out, partition_by=DATE_PARTS)  # a plain overwrite replaces every day
     assert [r["InvoiceNo"] for r in tables.read_parquet(spark, out).collect()] == ["3"]
+
+    sinks.write_table(first, "default.t_days", partition_by=DATE_PARTS, replace_partitions_only=True)
+    sinks.write_table(again, "default.t_days", partition_by=DATE_PARTS, replace_partitions_only=True)
+    assert sorted(r["InvoiceNo"] for r in tables.read_table(spark, "default.t_days").collect()) == ["1", "3"]
+    sinks.write_table(first, "default.t_plain", partition_by=DATE_PARTS)
+    import pytest
+
+    with pytest.raises(ValueError):
+        sinks.write_table(again, "default.t_plain", partition_by=DATE_PARTS, replace_partitions_only=True)
+    assert tables.read_table(spark, "default.t_plain").count() == 2  # untouched

@@ -59,21 +59,44 @@ def write_table(
     partition_by: Sequence[str] | None = None,
     mode: str = "overwrite",
     fmt: str = "parquet",
+    replace_partitions_only: bool = False,
 ) -> None:
     """A managed catalog table (Parquet files), optionally partitioned.
 
-    An overwrite replaces the whole table, as the silver job's full reload
-    expects; use ``write_parquet(replace_partitions_only=True)`` on a path to
-    re-land single days.
+    A plain overwrite replaces the whole table, as the silver job's full
+    reload expects. With ``replace_partitions_only`` a partitioned table keeps
+    every partition that ``df`` does not contain: the first such write creates
+    the table with dynamic partition overwrite as a table option, and later
+    ones insert-overwrite into it. A table created without that option is
+    refused rather than silently replaced as a whole.
     """
     if partition_by:
         df = rebalance(df, partition_by)
+    spark = df.sparkSession
+    if replace_partitions_only:
+        if not partition_by:
+            raise ValueError("replace_partitions_only needs partition_by")
+        if spark.catalog.tableExists(name):
+            if not _overwrites_partitions_only(spark, name):
+                raise ValueError(f"{name} was not created with replace_partitions_only; overwrite it whole first")
+            df.select(*spark.table(name).columns).write.insertInto(name, overwrite=True)
+            return
     writer = df.write.mode(mode).format(fmt)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
+        if replace_partitions_only:
+            writer = writer.option("partitionOverwriteMode", "dynamic")
     writer.saveAsTable(name)
 
 
+def _overwrites_partitions_only(spark, name: str) -> bool:
+    """Whether the table stores dynamic partition overwrite as an option."""
+    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {name}").collect()
+    return any(
+        r.col_name == "Storage Properties" and "partitionOverwriteMode=dynamic" in (r.data_type or "") for r in rows
+    )
+
+
 def write_jdbc(
     df: DataFrame,
     url: str,

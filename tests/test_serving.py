@@ -154,3 +154,13 @@ def test_ranked_view_serves_pages_with_partition_pruning(spark, marts):
         assert empty.page(3, 10).count() == 0 and empty.total().first()["total"] == 0
     finally:
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+
+
+def test_large_top_k_stays_distributed(marts, monkeypatch):
+    name = "sales_by_period"
+    mart, order = marts[name], serving.MART_VIEWS[name].page_order()
+    expected = _rows(mart.orderBy(*order).limit(300))
+    monkeypatch.setattr(serving, "TOP_K_LIMIT", 100)
+    got = serving.top_k(mart, order, 300)
+    assert _rows(got) == expected
+    assert "TakeOrderedAndProject" not in got._jdf.queryExecution().executedPlan().toString()

@@ -107,8 +107,16 @@ def period_filter(df: DataFrame, year: int | None = None, month: int | None = No
 
 
 def top_k(df: DataFrame, order: Sequence[Column], k: int) -> DataFrame:
-    """The first ``k`` rows in ``order`` (a bounded per-task top-k)."""
-    return df.orderBy(*order).limit(k)
+    """The first ``k`` rows in ``order``.
+
+    Up to ``TOP_K_LIMIT`` rows this is a bounded per-task top-k; a larger
+    ``k`` is served from a ``RankedView`` so the rows stay distributed.
+    """
+    if not _is_int(k) or k < 0:
+        raise ValueError(f"k must be a non-negative integer, got {k!r}")
+    if k <= TOP_K_LIMIT:
+        return df.orderBy(*order).limit(int(k))
+    return ranked_view(df, order).first(int(k))
 
 
 @dataclass(frozen=True)
@@ -131,6 +139,17 @@ class RankedView:
     def total(self) -> DataFrame:
         return self.starts.agg(F.coalesce(F.sum("_n"), F.lit(0)).cast("bigint").alias("total"))
 
+    def first(self, k: int) -> DataFrame:
+        """The ``k`` first rows, as a distributed frame sorted by rank."""
+        wanted = self.starts.filter(F.col("_first") < k)
+        return (
+            self.rows.join(F.broadcast(wanted), "_part")
+            .withColumn("_rank", F.col("_first") + F.col("_pos"))
+            .filter(F.col("_rank") < k)
+            .orderBy("_rank")
+            .drop("_part", "_pos", "_first", "_n", "_rank")
+        )
+
     def page(self, page_no: int = DEFAULT_PAGE, page_size: int = DEFAULT_PAGE_SIZE) -> DataFrame:
         check_page_args(page_no, page_size)
         page_no, page_size = int(page_no), int(page_size)

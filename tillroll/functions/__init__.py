@@ -11,7 +11,7 @@ from tillroll.functions.dates import (
 )
 from tillroll.functions.display import fr_integer, fr_money
 from tillroll.functions.money import as_money, money
-from tillroll.functions.text import clean_header, short_label, trim_columns
+from tillroll.functions.text import clean_header, normalise_headers, short_label, trim_columns
 
 __all__ = [
     "INVOICE_DATE_FORMAT",
@@ -22,6 +22,7 @@ __all__ = [
     "fr_integer",
     "fr_money",
     "money",
+    "normalise_headers",
     "parse_invoice_date",
     "short_label",
     "trim_columns",

@@ -19,10 +19,14 @@ from pyspark.sql import DataFrame, SparkSession
 
 T = TypeVar("T")
 
-# Settings the library relies on: adaptive execution re-plans joins from
+# Settings the library is written for: adaptive execution re-plans joins from
 # runtime sizes, splits skewed join partitions and coalesces small shuffles.
+# Broadcast joins are chosen only from measured sizes: the static estimate
+# (from compressed file sizes) can understate a side's size in memory.
 SCALE_CONF = {
     "spark.sql.adaptive.enabled": "true",
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "64MB",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",

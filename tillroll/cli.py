@@ -63,7 +63,11 @@ def cmd_gold(args) -> None:
     from tillroll.plans import gold
 
     spark = _spark("gold")
-    built = gold.build_marts(*gold.layers_from_silver(spark, _silver_tables(args.database)), strategy=args.strategy)
+    built = gold.build_marts(
+        *gold.layers_from_silver(spark, _silver_tables(args.database)),
+        strategy=args.strategy,
+        salt_buckets=args.salt_buckets,
+    )
     if args.jdbc_url:
         props = {"user": args.jdbc_user or "", "password": os.environ.get(args.jdbc_password_env or "", "")}
         if args.jdbc_driver:
@@ -113,6 +117,7 @@ def parser() -> argparse.ArgumentParser:
     s.add_argument("--jdbc-truncate", action="store_true", help="empty existing mart tables instead of recreating them")
     s.add_argument("--sort", action="store_true", help="write each mart in the original batch order")
     s.add_argument("--strategy", default="one_pass", choices=["one_pass", "reuse_sales", "recompute"])
+    s.add_argument("--salt-buckets", type=int, help="salt hot invoices (for clusters without adaptive skew joins)")
     s.set_defaults(fn=cmd_gold)
 
     s = sub.add_parser("page")

@@ -12,4 +12,6 @@ Every step is a ``DataFrame -> DataFrame`` function; nothing builds a
 session at import time and no path is fixed in code.
 """
 
+__version__ = "0.1.0"
+
 __all__ = ["functions", "operators", "sources", "plans", "streaming", "schemas", "session"]

@@ -328,8 +328,23 @@ def entry(spark: SparkSession) -> DataFrame:
     return q_sales_per_country(spark, FLAGSHIP_SF_DIR)
 
 
+def _optional() -> tuple[dict, dict]:
+    """Queries and SQL of the optional operator subpackage and its pipeline;
+    nothing where they are not installed."""
+    try:
+        import corpus_pipeline
+        from tillroll.llm import queries as operators
+    except ImportError:
+        return {}, {}
+    found, sql = dict(operators.QUERIES), dict(operators.ORACLE_SQL)
+    found["pipeline"] = corpus_pipeline.run
+    if corpus_pipeline.ORACLE_SQL:
+        sql["pipeline"] = corpus_pipeline.ORACLE_SQL
+    return found, sql
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return dict(_QUERIES)
+    return {**_QUERIES, **_optional()[0]}
 
 
 # ---------------------------------------------------------------------------
@@ -706,5 +721,5 @@ FROM m_country""",
 
 
 def oracle_sql() -> dict[str, str]:
-    """DuckDB SQL for every registered query."""
-    return _build_oracle()
+    """DuckDB SQL for every registered query that SQL can express."""
+    return {**_build_oracle(), **_optional()[1]}

@@ -57,7 +57,7 @@ p AS (SELECT r, unnest(range(1, len(w) - 33)) AS i, w FROM d WHERE len(w) >= 35)
 win AS (SELECT r, i, array_to_string(list_slice(w, i, i + 34), ' ') AS s FROM p),
 dup AS (SELECT s FROM win GROUP BY s HAVING count(*) > 1),
 hit AS (SELECT r, list(i) AS starts FROM win SEMI JOIN dup USING (s) GROUP BY r),
-cov AS (SELECT DISTINCT r, unnest(list_distinct(flatten(list_transform(starts, i -> range(i, i + 35))))) AS j FROM hit),
+cov AS (SELECT DISTINCT r, unnest(list_distinct(flatten(list_transform(starts, lambda i: range(i, i + 35))))) AS j FROM hit),
 gone AS (SELECT r, list(j) AS js FROM cov GROUP BY r),
 pos AS (SELECT d.r, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS j FROM d),
 kept AS (SELECT r, string_agg(word, ' ' ORDER BY j) AS t FROM pos ANTI JOIN cov USING (r, j) GROUP BY r)

@@ -276,20 +276,21 @@ def repeat_frames(docs: DataFrame, text_col: str, spec: RepeatSpec, solver: Solv
     texts = keyed.groupBy("k1", "k2").agg(
         F.count(F.lit(1)).alias("copies"), F.first("text").alias("text"), F.first("doc").alias("doc")
     )
-    bare = texts.select("k1", "k2", "text")
+    # Every step takes all columns of ``texts``: with equal columns their plans
+    # share the one shuffle of the texts.
     counts = (
-        bare.mapInArrow(lambda it: _minimisers(it, spec, False), "h bigint")
+        texts.mapInArrow(lambda it: _minimisers(it, spec, False), "h bigint")
         .groupBy("h")
         .agg(F.count(F.lit(1)).alias("n"))
         .filter("n > 1")
     )
-    placed = bare.mapInArrow(lambda it: _minimisers(it, spec, True), "h bigint, k1 bigint, k2 bigint, at bigint")
+    placed = texts.mapInArrow(lambda it: _minimisers(it, spec, True), "h bigint, k1 bigint, k2 bigint, at bigint")
     hits = (
         placed.join(counts, "h")
         .groupBy("k1", "k2")
         .agg(F.collect_list(F.struct("h", "at", (F.col("n") > spec.hot_group).alias("hot"))).alias("hits"))
     )
-    runs = bare.join(hits, ["k1", "k2"]).mapInArrow(
+    runs = texts.join(hits, ["k1", "k2"]).mapInArrow(
         lambda it: _contexts(it, spec, False), "h bigint, k1 bigint, k2 bigint, at bigint, ctx binary"
     )
     covered = (
@@ -297,7 +298,7 @@ def repeat_frames(docs: DataFrame, text_col: str, spec: RepeatSpec, solver: Solv
         .sortWithinPartitions("h")
         .mapInArrow(lambda it: _solve(it, spec, solver), "k1 bigint, k2 bigint, start bigint, stop bigint")
     )
-    windows = bare.join(hits.filter(F.exists("hits", lambda x: x["hot"])), ["k1", "k2"]).mapInArrow(
+    windows = texts.join(hits.filter(F.exists("hits", lambda x: x["hot"])), ["k1", "k2"]).mapInArrow(
         lambda it: _contexts(it, spec, True), "w1 bigint, w2 bigint, k1 bigint, k2 bigint, start bigint"
     )
     repeated = windows.groupBy("w1", "w2").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n")
@@ -327,13 +328,12 @@ def remove_repeats(docs: DataFrame, text_col: str, spec: RepeatSpec, solver: Sol
     single = (
         frames.texts.filter("copies = 1")
         .join(spans, ["k1", "k2"], "left")
-        .select("doc", "text", "copies", "spans")
         .mapInArrow(lambda it: _cut(it, spec, ["doc"]), T.StructType([T.StructField("doc", doc_type), *results]))
     )
     # Copies need no spans: a window of a copied text always repeats.
     copied = (
         frames.texts.filter("copies > 1")
-        .select("k1", "k2", "text", "copies", F.lit(None).cast(_SPANS).alias("spans"))
+        .withColumn("spans", F.lit(None).cast(_SPANS))
         .mapInArrow(lambda it: _cut(it, spec, ["k1", "k2"]), f"k1 bigint, k2 bigint, {result}")
         .join(frames.keyed, ["k1", "k2"])
         .select("doc", "kept", "n_symbols", "n_removed", "removed")

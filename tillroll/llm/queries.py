@@ -11,17 +11,51 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillroll.llm import phrase_dedup, suffix_dedup
+from tillroll.llm import decontam, near_dedup, packing, phrase_dedup, quality_rules, suffix_dedup, url_rules
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def tokenizer_path(name: str) -> str:
+    """Place of a public tokenizer's file on this machine and every executor."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 def _hex_sha256(col) -> F.Column:
     return F.sha2(col.cast("binary"), 256)
 
 
+def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = quality_rules.judge(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    measured = judged.select(
+        "doc_id", "failed_rule", *[measure(F.col("text")).alias(name) for name, measure in quality_rules.MEASURES.items()]
+    )
+    base_failed = (F.col("n_words") < 20) | (100 * F.col("n_repeat_words") > 30 * F.col("n_words"))
+    return measured.select(
+        "doc_id",
+        *quality_rules.MEASURES,
+        base_failed.alias("base_failed"),
+        (~base_failed & F.col("failed_rule").isNull()).alias("kept"),
+    )
+
+
+def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    out = decontam.find_leaks(docs, _table(spark, sf_dir, "benchmark"))
+    return out.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("items").cast("long").alias("n_items"),
+        _hex_sha256(F.array_join("items", ",")).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"),
+    )
+
+
 def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     out = suffix_dedup.remove_repeated_bytes(docs)
@@ -34,6 +68,27 @@ def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+URL_RULES = (
+    url_rules.UrlRule("org/", True),
+    url_rules.UrlRule("example.org/es/", False),
+    url_rules.UrlRule("example.org/en/1", False),
+    url_rules.UrlRule("com/fr/", True),
+    url_rules.UrlRule("com/de/", False),
+)
+
+
+def op7_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = _table(spark, sf_dir, "pages").select("page_id", "url")
+    out = url_rules.judge_urls(pages, URL_RULES)
+    return out.select(
+        "page_id", "host", "path", "rule", F.when(F.col("allowed"), "allow").otherwise("block").alias("verdict")
+    )
+
+
+def op8_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.link_documents(_table(spark, sf_dir, "documents"))
+
+
 def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     out = phrase_dedup.remove_repeated_passages(docs)
@@ -42,15 +97,89 @@ def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    out = packing.pack_documents(docs, tokenizer_path(packing.TOKENIZER_FILE))
+    return out.select(
+        "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset"
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_quality_rules": op1_quality_rules,
+    "op2_decontamination": op2_decontamination,
     "op4_suffix_dedup": op4_suffix_dedup,
+    "op7_url_filters": op7_url_filters,
+    "op8_minhash_near_dedup": op8_minhash_near_dedup,
     "op9_substring_dedup": op9_substring_dedup,
+    "op10_packing": op10_packing,
 }
 
 # The word classes in SQL.
 _WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
 
+_UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+_LOWERED = f"translate(coalesce(text, ''), '{_UPPER}', '{_UPPER.lower()}')"
+_ALNUM_WORDS = rf"regexp_extract_all({_LOWERED}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+
 ORACLE_SQL: dict[str, str] = {
+    "op1_quality_rules": rf"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t, {_WORDS} AS w,
+    list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines
+  FROM documents),
+p AS (SELECT r, unnest(range(1, len(w) - 6)) AS i, w FROM d WHERE len(w) >= 8),
+win AS (SELECT r, i, array_to_string(list_slice(w, i, i + 7), ' ') AS s FROM p),
+dup AS (SELECT r, s FROM win GROUP BY r, s HAVING count(*) > 1),
+hit AS (SELECT r, list(i) AS starts FROM win SEMI JOIN dup USING (r, s) GROUP BY r),
+rep AS (SELECT r, len(list_distinct(flatten(list_transform(starts, lambda i: range(i, i + 8))))) AS n FROM hit),
+m AS (SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words,
+    CAST(length(regexp_replace(t, '[\x20\x09-\x0D]', '', 'g')) AS BIGINT) AS word_chars,
+    CAST(length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
+    CAST(len(lines) - len(list_distinct(lines)) AS BIGINT) AS n_dup_lines,
+    CAST(coalesce(rep.n, 0) AS BIGINT) AS n_repeat_words, len(lines) AS n_lines,
+    len(regexp_extract_all(t, '[A-Z]')) > len(regexp_extract_all(t, '[a-z]')) AS shouts,
+    10 * len(list_filter(range(2, len(w) + 1), lambda i: w[i] = w[i - 1])) > 3 * len(w) AS stutters
+  FROM d LEFT JOIN rep USING (r)),
+b AS (SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed FROM m)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+  NOT (base_failed OR 100 * n_symbols > 10 * n_words OR 100 * n_dup_lines > 50 * n_lines
+       OR word_chars < 2 * n_words OR word_chars > 15 * n_words OR shouts OR stutters) AS kept
+FROM b""",
+    "op2_decontamination": rf"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, {_ALNUM_WORDS} AS w FROM documents),
+b AS (SELECT coalesce(CAST(item_id AS VARCHAR), '') AS item, {_ALNUM_WORDS} AS w FROM benchmark),
+q AS (SELECT DISTINCT item, least(len(w), 10) AS size,
+    unnest(list_transform(range(1, len(w) - least(len(w), 10) + 2), lambda i: array_to_string(list_slice(w, i, i + least(len(w), 10) - 1), ' '))) AS s
+  FROM b WHERE len(w) > 0),
+win AS (SELECT r, i, size, array_to_string(list_slice(w, i, i + size - 1), ' ') AS s
+  FROM (SELECT r, w, size, unnest(range(1, len(w) - size + 2)) AS i FROM d, (SELECT DISTINCT size FROM q) WHERE len(w) >= size)),
+hit AS (SELECT r, i, win.size, item FROM win JOIN q ON win.s = q.s AND win.size = q.size),
+n AS (SELECT r, count(DISTINCT j) AS n_hit FROM (SELECT r, unnest(range(i, i + size)) AS j FROM hit) GROUP BY r),
+it AS (SELECT r, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items FROM (SELECT DISTINCT r, item FROM hit) GROUP BY r)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit,
+  CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN n USING (r) LEFT JOIN it USING (r)""",
+    "op7_url_filters": rf"""
+WITH u AS (SELECT row_number() OVER () AS r, page_id,
+    CASE WHEN contains(url, '://') THEN substring(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages),
+p AS (SELECT r, page_id, translate(regexp_extract(rest, '^([^/?#]*)', 1), '{_UPPER}', '{_UPPER.lower()}') AS host,
+    regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM u),
+rules(rule, h, p, verdict) AS (VALUES ('org/', 'org', '', 'allow'), ('example.org/es/', 'example.org', '/es/', 'block'),
+  ('example.org/en/1', 'example.org', '/en/1', 'block'), ('com/fr/', 'com', '/fr/', 'allow'), ('com/de/', 'com', '/de/', 'block')),
+best AS (SELECT r, arg_max(rule, length(rule)) AS rule, arg_max(verdict, length(rule)) AS verdict
+  FROM p JOIN rules ON (host = h OR ends_with(host, '.' || h)) AND starts_with(path, rules.p) GROUP BY r)
+SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM p LEFT JOIN best USING (r)""",
+    "op8_minhash_near_dedup": rf"""
+WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all({_LOWERED}, '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (SELECT DISTINCT doc_id, unnest(list_transform(range(1, len(w) - least(len(w), 5) + 2),
+    lambda i: array_to_string(list_slice(w, i, i + 4), ' '))) AS x FROM d WHERE len(w) > 0),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+c AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS k FROM s a JOIN s b ON a.x = b.x AND a.doc_id <> b.doc_id GROUP BY ALL),
+links AS (SELECT a, b FROM c JOIN n na ON a = na.doc_id JOIN n nb ON b = nb.doc_id WHERE 100 * k >= 75 * (na.n + nb.n - k)),
+reach AS (SELECT doc_id, doc_id AS to_id FROM d UNION SELECT r.doc_id, l.b FROM reach r JOIN links l ON r.to_id = l.a),
+comp AS (SELECT doc_id, min(to_id) AS component_id FROM reach GROUP BY doc_id)
+SELECT d.doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_shingles, component_id, d.doc_id = component_id AS kept
+FROM d LEFT JOIN n USING (doc_id) JOIN comp USING (doc_id)""",
     "op9_substring_dedup": rf"""
 WITH d AS (SELECT row_number() OVER () AS r, doc_id, {_WORDS} AS w FROM documents),
 p AS (SELECT r, unnest(range(1, len(w) - 33)) AS i, w FROM d WHERE len(w) >= 35),

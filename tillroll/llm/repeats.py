@@ -254,6 +254,18 @@ def _cut(batches: Iterator[pa.RecordBatch], spec: RepeatSpec, passed: list[str])
 _SPANS = "array<struct<start:bigint,stop:bigint>>"
 
 
+def join_hot(rows: DataFrame, keys: DataFrame, on: list[str]) -> DataFrame:
+    """``rows.join(keys, on)`` for keys that an aggregation has just made unique.
+
+    ``keys`` is already partitioned by ``on``, so Spark would join it without a
+    shuffle of its own, and adaptive execution could not split a hot key. Both
+    sides are joined on the complement instead, which shuffles both.
+    """
+    flipped = keys.select(*[F.bitwise_not(c).alias(f"_{c}") for c in on], *[c for c in keys.columns if c not in on])
+    same = [F.bitwise_not(rows[c]) == flipped[f"_{c}"] for c in on]
+    return rows.join(flipped, same).drop(*[f"_{c}" for c in on])
+
+
 @dataclass(frozen=True)
 class RepeatFrames:
     """The steps of one removal, for reports beside the removal itself."""
@@ -286,7 +298,7 @@ def repeat_frames(docs: DataFrame, text_col: str, spec: RepeatSpec, solver: Solv
     )
     placed = texts.mapInArrow(lambda it: _minimisers(it, spec, True), "h bigint, k1 bigint, k2 bigint, at bigint")
     hits = (
-        placed.join(counts, "h")
+        join_hot(placed, counts, ["h"])
         .groupBy("k1", "k2")
         .agg(F.collect_list(F.struct("h", "at", (F.col("n") > spec.hot_group).alias("hot"))).alias("hits"))
     )
@@ -303,7 +315,7 @@ def repeat_frames(docs: DataFrame, text_col: str, spec: RepeatSpec, solver: Solv
     )
     repeated = windows.groupBy("w1", "w2").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n")
     covered = covered.unionByName(
-        windows.join(repeated, ["w1", "w2"]).select(
+        join_hot(windows, repeated, ["w1", "w2"]).select(
             "k1", "k2", "start", (F.col("start") + F.lit(spec.window)).cast("bigint").alias("stop")
         )
     )

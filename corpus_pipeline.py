@@ -1,8 +1,68 @@
-"""Corpus pipeline; its stages follow with their operators."""
+"""Corpus pipeline: from raw documents to packed training sequences.
 
-STAGES = []
+Quality rules, near-dedup, substring dedup, decontamination and packing, each
+over everything the stage before it kept. Every stage's result is written as
+Parquet to the shared scratch folder and read again, so a lost executor costs
+the current stage's tasks at most.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from tillroll.llm import decontam, near_dedup, packing, phrase_dedup, quality_rules, queries
+from tillroll.session import materialize
+
+
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that no quality rule rejects."""
+    return quality_rules.keep_good(docs)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near duplicates."""
+    return near_dedup.drop_near_duplicates(docs)
+
+
+def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without passages that recur; those left without words go.
+    Documents that lose nothing keep their text as it is."""
+    spec = phrase_dedup.spec_for(keep_layout=True)
+    cut = phrase_dedup.remove_repeated_passages(docs, spec=spec)
+    return (
+        cut.filter("n_removed = 0 OR n_removed < n_symbols")
+        .withColumn("text", F.col("kept"))
+        .withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+        .select(docs.columns)
+    )
+
+
+def benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without any benchmark window."""
+    return decontam.drop_leaks(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of all documents in training sequences."""
+    return packing.pack_documents(docs, queries.tokenizer_path(packing.TOKENIZER_FILE)).withColumn("ids_crc32", F.crc32("ids")).drop("ids")
+
+
+STAGES = [
+    ("quality_rules", quality),
+    ("near_dedup", near_duplicates),
+    ("substring_dedup", repeated_passages),
+    ("decontamination", benchmark_leaks),
+    ("packing", pack),
+]
+
+# Token packing has no SQL form; a brute-force version checks run() in the tests.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    return spark.read.parquet(f"{sf_dir}/documents.parquet")
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over ``documents``."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    for name, stage in STAGES[:-1]:
+        docs = materialize(stage(spark, docs, sf_dir), f"pipeline-{name}")
+    return STAGES[-1][1](spark, docs, sf_dir)

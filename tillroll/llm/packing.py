@@ -19,6 +19,8 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -31,7 +33,19 @@ from tillroll.llm import textkit
 
 TOKENIZER_FILE = "word_bpe_49k.json"
 END_ID = 2
-CACHE_WORDS = 600_000
+CACHE_WORDS = 700_000
+_CLOSERS = b".,;:!?"
+
+
+def _byte_chars() -> list[str]:
+    """The character that stands for each byte in a byte-level vocabulary: a
+    visible Latin-1 character is itself, the others follow from U+0100 on."""
+    visible = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    others = iter(range(0x100, 0x200))
+    return [chr(b) if b in visible else chr(next(others)) for b in range(256)]
+
+
+_BYTE_CHARS = _byte_chars()
 
 
 @dataclass(frozen=True)
@@ -52,7 +66,8 @@ class WordTokenizer:
     For a tokenizer that lower-cases, drops white space and never joins across it
     (its pre-tokenizer splits there), the ids of a text are those of its
     ASCII-white-space-separated words one after the other. Each distinct word
-    is encoded once; the cache is bounded.
+    is encoded once; the cache is bounded. The vocabulary is byte-level BPE with
+    letters, digits and other characters as separate pre-tokens.
     """
 
     def __init__(self, path: str):
@@ -62,34 +77,53 @@ class WordTokenizer:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.model = self.tokenizer.model
         self._reset()
 
     def _reset(self) -> None:
         self.known: dict[bytes, int] = {}
+        self.cores: dict[bytes, list[int]] = {}
+        self.tails: dict[bytes, list[int]] = {}
         self.lengths = np.zeros(0, np.int64)
         self.starts = np.zeros(0, np.int64)
         self.pool = np.zeros(0, np.uint32)
 
+    def _by_parts(self, word: bytes) -> list[int] | None:
+        """Ids of a word of lower-case Latin letters with closing punctuation,
+        from the model alone; None for any other word. Letters and punctuation
+        are separate pre-tokens, and normalisation changes neither."""
+        core = word.rstrip(_CLOSERS)
+        if not core or (core[-1] >= 0x80 and len(core) < len(word) and not core.decode("utf-8", "replace").isalpha()):
+            return None
+        ids = self.cores.get(core)
+        if ids is None:
+            text = core.decode("utf-8", "replace")
+            if not text.isalpha() or max(text) > "\u024f" or text != text.lower():
+                return None
+            ids = [t.id for t in self.model.tokenize("".join(map(_BYTE_CHARS.__getitem__, core)))]
+            self.cores[core] = ids
+        if len(core) == len(word):
+            return ids
+        tail = word[len(core) :]
+        closing = self.tails.get(tail)
+        if closing is None:
+            closing = self.tails[tail] = self.tokenizer.encode(tail.decode(), add_special_tokens=False).ids
+        return ids + closing
+
     def _learn(self, new: list[bytes]) -> None:
-        # One call for many words: a token belongs to the word it begins in.
-        # Words with marks or symbols that normalisation may move go alone.
-        decoded = [(w, w.decode("utf-8", "replace")) for w in new]
-        plain = [(w, t) for w, t in decoded if t.isascii() or all(c < "\x80" or c.isalpha() for c in t)]
-        alone = set(new).difference(w for w, _ in plain)
-        new = [w for w, _ in plain] + list(alone)
-        texts = [t for _, t in plain]
-        parts, counts = [], []
-        for lo in range(0, len(texts), 1024):
-            some = texts[lo : lo + 1024]
-            found = self.tokenizer.encode(" ".join(some), add_special_tokens=False)
-            ends = np.cumsum(np.fromiter(map(len, some), np.int64, len(some)) + 1)
-            begins = np.fromiter((a for a, _ in found.offsets), np.int64, len(found))
-            counts.append(np.bincount(np.searchsorted(ends, begins, side="right"), minlength=len(some)))
-            parts.append(np.array(found.ids, np.uint32))
-        for found in self.tokenizer.encode_batch([w.decode("utf-8", "replace") for w in alone], add_special_tokens=False):
-            counts.append([len(found)])
-            parts.append(np.array(found.ids, np.uint32))
-        lengths, flat = np.concatenate(counts).astype(np.int64), np.concatenate(parts)
+        parts: list[list[int]] = []
+        alone: list[int] = []
+        for k, word in enumerate(new):
+            ids = self._by_parts(word)
+            if ids is None:
+                alone.append(k)
+                ids = []
+            parts.append(ids)
+        texts = [new[k].decode("utf-8", "replace") for k in alone]
+        for k, found in zip(alone, self.tokenizer.encode_batch(texts, add_special_tokens=False)):
+            parts[k] = found.ids
+        lengths = np.fromiter(map(len, parts), np.int64, len(parts))
+        flat = np.fromiter(chain.from_iterable(parts), np.uint32, int(lengths.sum()))
         self.starts = np.concatenate([self.starts, len(self.pool) + np.cumsum(lengths) - lengths])
         self.lengths = np.concatenate([self.lengths, lengths])
         self.pool = np.concatenate([self.pool, flat])
@@ -120,6 +154,12 @@ class WordTokenizer:
         return out
 
 
+@lru_cache(maxsize=1)
+def _tokenizer(path: str) -> WordTokenizer:
+    """One tokenizer for all tasks of a worker process, so its cache stays warm."""
+    return WordTokenizer(path)
+
+
 @dataclass
 class _Piece:
     """``ids[start:start+length]`` of a document; ``quiet`` of its leading ids bear no loss."""
@@ -240,7 +280,7 @@ def _batch(rows: list[tuple], doc_type: pa.DataType) -> pa.RecordBatch:
 
 
 def _pack(batches: Iterator[pa.RecordBatch], path: str, end_id: int, limits: Limits) -> Iterator[pa.RecordBatch]:
-    tokenizer = WordTokenizer(path)
+    tokenizer = _tokenizer(path)
     packer = _Packer(limits, TaskContext.get().partitionId() << 40)
     number, rows, doc_type = 0, [], None
     for batch in batches:

@@ -90,8 +90,10 @@ def covered_by_phrases(slab: pa.Table, spec: RepeatSpec) -> tuple[np.ndarray, np
     return spans[:, 0], spans[:, 1]
 
 
-def spec_for(window: int = WINDOW_WORDS, gram: int = GRAM_WORDS, hot_group: int = 1 << 16) -> RepeatSpec:
-    return RepeatSpec("words", window, gram, hot_group)
+def spec_for(
+    window: int = WINDOW_WORDS, gram: int = GRAM_WORDS, hot_group: int = 1 << 16, keep_layout: bool = False
+) -> RepeatSpec:
+    return RepeatSpec("words", window, gram, hot_group, keep_layout=keep_layout)
 
 
 def remove_repeated_passages(docs: DataFrame, text_col: str = "text", spec: RepeatSpec | None = None) -> DataFrame:

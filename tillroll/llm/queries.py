@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillroll.llm import decontam, near_dedup, packing, phrase_dedup, quality_rules, suffix_dedup, url_rules
+from tillroll.llm import chat_format, classifier, decontam, licenses, near_dedup, packing, phrase_dedup, quality_rules, suffix_dedup, url_rules
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -56,6 +56,14 @@ def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    out = licenses.scan_licenses(docs)
+    return out.select("doc_id", F.explode("licenses").alias("l")).select(
+        "doc_id", "l.license", "l.start", "l.stop", "l.differing_words", F.round("l.saving", 6).alias("saving")
+    )
+
+
 def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     out = suffix_dedup.remove_repeated_bytes(docs)
@@ -68,6 +76,36 @@ def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    net = classifier.train(docs, _table(spark, sf_dir, "labels"))
+    return classifier.score_documents(docs, net).select(
+        "doc_id",
+        classifier.held_out(F.col("doc_id")).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.7).cast("int").alias("predicted"),
+    )
+
+
+CONTROL_CHAT = [(-7, 0, "user", "</s>[INST] ok [/INST]"), (-7, 1, "assistant", "</s>[INST] ok [/INST]")]
+
+
+def op6_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    extra = spark.createDataFrame(CONTROL_CHAT, turns.schema)
+    path = tokenizer_path(chat_format.TOKENIZER_FILE)
+    back = chat_format.read_back(chat_format.format_chats(turns.unionByName(extra), path), path)
+    told = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
+    return back.select(
+        "conv_id",
+        F.size("turns").cast("long").alias("n_turns"),
+        _hex_sha256(told).alias("turns_sha256"),
+        F.length("loss_text").cast("long").alias("loss_chars"),
+        _hex_sha256(F.col("loss_text")).alias("loss_sha256"),
+        F.length("formatted").cast("long").alias("formatted_chars"),
+    )
+
+
 URL_RULES = (
     url_rules.UrlRule("org/", True),
     url_rules.UrlRule("example.org/es/", False),
@@ -108,7 +146,10 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
     "op2_decontamination": op2_decontamination,
+    "op3_license_scans": op3_license_scans,
     "op4_suffix_dedup": op4_suffix_dedup,
+    "op5_quality_classifier": op5_quality_classifier,
+    "op6_chat_formatting": op6_chat_formatting,
     "op7_url_filters": op7_url_filters,
     "op8_minhash_near_dedup": op8_minhash_near_dedup,
     "op9_substring_dedup": op9_substring_dedup,
@@ -159,6 +200,21 @@ it AS (SELECT r, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS ite
 SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit,
   CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
 FROM d LEFT JOIN n USING (r) LEFT JOIN it USING (r)""",
+    # Markers: 3 characters of <s>, 13 around a user turn, 15 around a system
+    # turn, 10 around an assistant turn; two more characters for each control
+    # string and one for each escape character in a text.
+    "op6_chat_formatting": rf"""
+WITH c AS (SELECT conv_id, turn, role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '</s>[INST] ok [/INST]' UNION ALL SELECT -7, 1, 'assistant', '</s>[INST] ok [/INST]'),
+m AS (SELECT *, CASE role WHEN 'user' THEN 13 WHEN 'system' THEN 15 WHEN 'assistant' THEN 10 END
+    + length(text) + length(text) - length(replace(text, chr(27), ''))
+    + 2 * len(regexp_extract_all(text, '<<SYS>>|<</SYS>>|</?s>|\[/?INST\]|\[/?ROLE\]|\[ASST\]')) AS shown FROM c)
+SELECT conv_id, count(*) AS n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+  CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+  CAST(3 + sum(shown) AS BIGINT) AS formatted_chars
+FROM m GROUP BY conv_id""",
     "op7_url_filters": rf"""
 WITH u AS (SELECT row_number() OVER () AS r, page_id,
     CASE WHEN contains(url, '://') THEN substring(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages),

@@ -43,13 +43,16 @@ Solver = Callable[[pa.Table], tuple[np.ndarray, np.ndarray]]
 
 @dataclass(frozen=True)
 class RepeatSpec:
-    """``unit`` is ``bytes`` or ``words``; ``gram`` < ``window`` symbols."""
+    """``unit`` is ``bytes`` or ``words``; ``gram`` < ``window`` symbols. Kept
+    words are joined by one space; with ``keep_layout`` the kept stretches keep
+    their white space, and a text that loses nothing stays as it is."""
 
     unit: str
     window: int
     gram: int
     hot_group: int = 1 << 16
     slab_rows: int = 1 << 13
+    keep_layout: bool = False
 
     def __post_init__(self) -> None:
         if self.unit not in ("bytes", "words"):
@@ -238,6 +241,9 @@ def _cut(batches: Iterator[pa.RecordBatch], spec: RepeatSpec, passed: list[str])
                 pieces = [symbols.span(x, y) for x, y in zip(left.tolist(), right.tolist()) if y > x]
                 if spec.unit == "bytes":
                     kept.append(b"".join(raw[x:y] for x, y in pieces))
+                elif spec.keep_layout:
+                    whole = raw[offsets[r] - base : offsets[r + 1] - base]
+                    kept.append(b"\n".join(raw[x:y] for x, y in pieces) if len(starts) else whole)
                 else:
                     kept.append(b" ".join(b" ".join(raw[x:y].split()) for x, y in pieces))
                 totals.append(n)

@@ -13,20 +13,21 @@ order by their measure and then by the mart's grain keys ascending.
 from __future__ import annotations
 
 import functools
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillroll.functions import as_money, fr_integer, fr_money
-from tillroll.operators import serving
+from tillroll.functions import as_money
+from tillroll.operators import marts, serving
 from tillroll.plans import bronze, gold, silver
 from tillroll.plans.layers import RetailLayers
 from tillroll.schemas import DATE_PARTS, FLAT_EXTRACT
-from tillroll.session import run_actions, scratch_path
+from tillroll.session import materialize, run_actions, scratch_path
 from tillroll.sources import extracts, retail_views
-from tillroll.sources.sinks import write_csv, write_parquet
-from tillroll.sources.tables import read_parquet
+from tillroll.sources.sinks import write_csv, write_parquet, write_table
+from tillroll.sources.tables import read_parquet, read_table
 
 FLAGSHIP_SF_DIR = "/root/testdata/sf0.001"
 
@@ -37,6 +38,7 @@ PRODUCT_PAGE = (3, serving.TABLE_PAGE_SIZE)
 RETURN_PAGE = (1, serving.TABLE_PAGE_SIZE)
 PERIOD_PAGE = (2, serving.TABLE_PAGE_SIZE)
 RANKED_PAGE = (15, 50)
+DEEP_PAGE = (13, 100)
 PERIOD_YEAR = 1997
 PERIOD_MONTH = None
 SERIES_YEAR = 1998
@@ -187,6 +189,47 @@ def q_period_filtered(spark, d):
     return serving.period_filter(_mart(spark, d, "sales_by_period"), SERIES_YEAR, SERIES_MONTH)
 
 
+def _measures(spark, d):
+    """All four marts' measures from one pass over the lines, stored once."""
+    sales = _layers(spark, d).sales.select(*marts.MART_INPUT_COLUMNS)
+    return materialize(marts.mart_measures(sales), "measures")
+
+
+def _ordered(spark, d, name):
+    """A mart in its batch order, with each row's place in it."""
+    order = [F.col(c).desc() if down else F.col(c).asc() for c, down in serving.MART_SORT[name]]
+    return serving.ranked_view(_mart(spark, d, name), order, f"ordered-{name}").ranked()
+
+
+def q_page_top_products_deep(spark, d):
+    view = serving.ranked_view(_mart(spark, d, "top_products"), serving.MART_VIEWS["top_products"].page_order())
+    return serving.page(view, [], *DEEP_PAGE)
+
+
+def q_period_series_all(spark, d):
+    return serving.period_series(_mart(spark, d, "sales_by_period"))
+
+
+def _display(spark, d, name):
+    return serving.display_rows(_layers(spark, d).mart(name), name)
+
+
+def q_silver_orders_table(spark, d):
+    """Valid orders through a catalog table in day folders."""
+    return _through_table(_layers(spark, d).orders, DATE_PARTS)
+
+
+def q_silver_invalid_products_table(spark, d):
+    """Quarantined products through a catalog table."""
+    return _through_table(_layers(spark, d).products_invalid)
+
+
+def _through_table(df, partition_by=None):
+    name = f"default.q_{uuid.uuid4().hex[:16]}"
+    write_table(df, name, partition_by=partition_by)
+    return read_table(df.sparkSession, name)
+
+
 def q_page_meta(spark, d):
     requests = [
         ("sales_per_country", COUNTRY_PAGE, {}),
@@ -194,16 +237,22 @@ def q_page_meta(spark, d):
         ("return_products", RETURN_PAGE, {}),
         ("sales_by_period", PERIOD_PAGE, {"year": PERIOD_YEAR, "month": PERIOD_MONTH}),
     ]
+    measures = _measures(spark, d)
+    counts = marts.mart_counts(measures)
     metas = []
     for name, (page_no, size), filters in requests:
-        _, meta = serving.mart_page(_mart(spark, d, name), name, page_no, size, **filters)
+        if filters:
+            mart = marts.marts_from_measures(measures)[name]
+            meta = serving.page_meta(serving.period_filter(mart, **filters), page_no, size)
+        else:
+            meta = serving.page_meta_from_counts(counts, name, page_no, size)
         metas.append(meta.select(F.lit(name).alias("mart"), "*"))
     return functools.reduce(DataFrame.unionByName, metas)
 
 
 def q_overview_kpis(spark, d):
-    layers = _layers(spark, d)
-    return serving.overview_kpis(*(layers.mart(n) for n in serving.MART_VIEWS))
+    sales = _layers(spark, d).sales.select(*marts.MART_INPUT_COLUMNS)
+    return serving.kpis_from_counts(marts.mart_counts(marts.mart_measures(sales)))
 
 
 def q_country_series(spark, d):
@@ -223,13 +272,7 @@ def q_period_series(spark, d):
 
 
 def q_country_display(spark, d):
-    countries = _layers(spark, d).mart("sales_per_country")
-    return countries.select(
-        "Country",
-        fr_money("total_sales").alias("total_sales"),
-        fr_integer("number_of_orders").alias("number_of_orders"),
-        fr_integer("total_quantity").alias("total_quantity"),
-    )
+    return _display(spark, d, "sales_per_country")
 
 
 def q_landed_sales_by_period(spark, d):
@@ -314,6 +357,14 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "returns_series": q_returns_series,
     "period_series": q_period_series,
     "country_display": q_country_display,
+    **{f"ordered_{n}": functools.partial(_ordered, name=n) for n in serving.MART_SORT},
+    "page_top_products_deep": q_page_top_products_deep,
+    "period_series_all": q_period_series_all,
+    "product_display": functools.partial(_display, name="top_products"),
+    "return_display": functools.partial(_display, name="return_products"),
+    "period_display": functools.partial(_display, name="sales_by_period"),
+    "silver_orders_table": q_silver_orders_table,
+    "silver_invalid_products_table": q_silver_invalid_products_table,
     "landed_sales_by_period": q_landed_sales_by_period,
     "split_union": q_split_union,
     "extract_csv_roundtrip": q_extract_csv_roundtrip,
@@ -624,6 +675,15 @@ def _meta_sql(mart: str, source: str, page_no: int, size: int, where: str = "")
     )
 
 
+def _shown_money(col: str) -> str:
+    shown = f"translate(format('{{:,.2f}}', round({col}, 2) + 0.0), ',.', chr(8239) || ',')"
+    return f"{shown} || ' ' || chr(8364) AS {col}"
+
+
+def _shown_integer(col: str) -> str:
+    return f"translate(format('{{:,}}', {col}), ',', chr(8239)) AS {col}"
+
+
 def _build_oracle() -> dict[str, str]:
     o, p, l, m, f = _with("orders"), _with("products"), _with("lines"), _with("marts"), _with("flat")
     sql = {
@@ -699,7 +759,7 @@ def _build_oracle() -> dict[str, str]:
         + " LIMIT 30",
         "country_display": m
         + """SELECT Country,
-       translate(format('{:,.2f}', round(total_sales, 2)), ',.', chr(8239) || ',') || ' ' || chr(8364) AS total_sales,
+       translate(format('{:,.2f}', round(total_sales, 2) + 0.0), ',.', chr(8239) || ',') || ' ' || chr(8364) AS total_sales,
        translate(format('{:,}', number_of_orders), ',', chr(8239)) AS number_of_orders,
        translate(format('{:,}', total_quantity), ',', chr(8239)) AS total_quantity
 FROM m_country""",
@@ -716,6 +776,22 @@ FROM m_country""",
     }
     for name, select in _MART_SELECT.items():
         sql[name] = m + select
+    for name, columns in serving.MART_SORT.items():
+        order = ", ".join(f'"{c}" {"DESC" if down else "ASC"}' for c, down in columns)
+        sql[f"ordered_{name}"] = m + f"SELECT *, row_number() OVER (ORDER BY {order}) AS rank FROM ({_MART_SELECT[name]})"
+    sql["page_top_products_deep"] = m + _page_sql("products", _ORDER["top_products"], *DEEP_PAGE)
+    day = """CAST("year" AS VARCHAR) || '-' || lpad(CAST("month" AS VARCHAR), 2, '0') || '-' || lpad(CAST("day" AS VARCHAR), 2, '0') AS day_label"""
+    sql["period_series_all"] = (
+        m + f'SELECT "year", "month", "day", {day}, total_sales FROM period ORDER BY {_ORDER["sales_by_period"]} LIMIT 30'
+    )
+    sql["product_display"] = m + f"""SELECT StockCode, Description, {_shown_money("total_revenue")},
+       {_shown_integer("total_quantity_sold")}, {_shown_integer("number_of_sales")} FROM m_products"""
+    sql["return_display"] = m + f"""SELECT StockCode, Description, {_shown_integer("total_returned")},
+       {_shown_integer("number_of_returns")}, {_shown_money("total_loss")} FROM m_returns"""
+    sql["period_display"] = m + f"""SELECT {day}, {_shown_money("total_sales")}, {_shown_integer("number_of_orders")},
+       {_shown_integer("total_quantity")} FROM m_period"""
+    sql["silver_orders_table"] = sql["orders_valid"]
+    sql["silver_invalid_products_table"] = sql["products_invalid"]
     sql["landed_sales_by_period"] = sql["sales_by_period"]
     return sql
 

@@ -89,20 +89,3 @@ def test_one_pass_marts_equal_per_mart_aggregations(spark, rows):
     for name in marts.MART_BUILDERS:
         assert one_pass[name].columns == per_mart[name].columns, name
         assert rounded(one_pass[name]) == rounded(per_mart[name]), name
-
-
-@SETTINGS
-@given(
-    st.lists(st.tuples(st.sampled_from(["i1", "i2", "i3", "HOT"]), st.sampled_from(["A", "B"])), max_size=60),
-    st.lists(st.tuples(st.sampled_from(["i1", "i2", "HOT", "none"]), st.sampled_from(["FR", "ES"])), max_size=6),
-    st.integers(min_value=2, max_value=6),
-    st.integers(min_value=0, max_value=5),
-)
-def test_salted_join_equals_plain_join(spark, line_rows, order_rows, buckets, hot_lines):
-    from tillroll.operators import marts
-
-    lines = spark.createDataFrame(line_rows, "InvoiceNo string, StockCode string")
-    orders = spark.createDataFrame(order_rows, "InvoiceNo string, Country string")
-    plain = sorted(map(tuple, lines.join(orders, "InvoiceNo").collect()))
-    salted = sorted(map(tuple, marts.salted_invoice_join(lines, orders, buckets, hot_lines).collect()))
-    assert salted == plain

@@ -113,7 +113,7 @@ def test_cli_runs_every_layer(spark, capsys):
     cli.main(["bronze", "--input", split_dir, "--output", bronze_dir])
     spark.sql("CREATE DATABASE IF NOT EXISTS cli_db")
     cli.main(["silver", "--bronze", bronze_dir, "--database", "cli_db"])
-    cli.main(["gold", "--database", "cli_db", "--sort", "--strategy", "reuse_sales", "--salt-buckets", "4"])
+    cli.main(["gold", "--database", "cli_db", "--strategy", "reuse_sales"])
     capsys.readouterr()
     cli.main(["page", "--mart", "sales_per_country", "--database", "cli_db"])
     out = json.loads(capsys.readouterr().out)
@@ -203,31 +203,3 @@ def test_hot_day_is_written_by_several_tasks(spark):
     assert spark.read.parquet(out).count() == n
 
 
-def test_salted_invoice_join_without_adaptive_execution(spark):
-    """With AQE off, salting spreads a hot invoice and keeps the result exact."""
-    old = {k: spark.conf.get(k) for k in ("spark.sql.adaptive.enabled", "spark.sql.autoBroadcastJoinThreshold")}
-    spark.conf.set("spark.sql.adaptive.enabled", "false")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
-        n = 12_000
-        lines = spark.range(n).select(
-            F.when(F.col("id") % 3 == 0, F.lit("HOT")).otherwise((F.col("id") % 500).cast("string")).alias("InvoiceNo"),
-            (F.col("id") % 7).cast("string").alias("StockCode"),
-            F.lit(1).alias("Quantity"),
-        )
-        orders = spark.range(500).select(
-            F.col("id").cast("string").alias("InvoiceNo"), F.lit("France").alias("Country")
-        ).union(spark.createDataFrame([("HOT", "Spain"), ("HOT", "Italy")], "InvoiceNo string, Country string"))
-        plain = lines.join(orders, "InvoiceNo")
-        salted = marts.salted_invoice_join(lines, orders, buckets=8, hot_lines=1_000)
-        key = ["InvoiceNo", "StockCode", "Country"]
-        a = sorted(map(tuple, plain.groupBy(*key).count().collect()))
-        b = sorted(map(tuple, salted.groupBy(*key).count().collect()))
-        assert a == b and salted.count() == plain.count() == (n - n // 3) + 2 * (n // 3)
-        # the hot invoice's rows come out of several join partitions (tasks)
-        hot_parts = salted.filter(F.col("InvoiceNo") == "HOT").select(F.spark_partition_id().alias("p")).distinct().count()
-        plain_parts = plain.filter(F.col("InvoiceNo") == "HOT").select(F.spark_partition_id().alias("p")).distinct().count()
-        assert plain_parts == 1 and hot_parts > 1, (plain_parts, hot_parts)
-    finally:
-        for k, v in old.items():
-            spark.conf.set(k, v)

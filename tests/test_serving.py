@@ -51,8 +51,8 @@ def test_deep_page_path_matches_top_k_path(marts, monkeypatch):
     name = "sales_by_period"
     mart, order = marts[name], serving.MART_VIEWS[name].page_order()
     shallow = [_rows(serving.page(mart, order, p, 50)) for p in (1, 4, 21)]
-    monkeypatch.setattr(serving, "TOP_K_LIMIT", 0)
-    deep = [_rows(serving.page(mart, order, p, 50)) for p in (1, 4, 21)]
+    view = serving.ranked_view(mart, order)
+    deep = [_rows(serving.page(view, order, p, 50)) for p in (1, 4, 21)]
     assert deep == shallow
     assert len(deep[2]) == 1014 - 20 * 50
 
@@ -124,14 +124,15 @@ def test_deep_pages_across_many_sorted_partitions(spark, marts, monkeypatch):
         name = "top_products"
         mart, order = marts[name], serving.MART_VIEWS[name].page_order()
         full = _rows(mart.orderBy(*order))
-        monkeypatch.setattr(serving, "TOP_K_LIMIT", 0)
+        view = serving.ranked_view(mart, order)
         sorted_parts = mart.orderBy(*order).rdd.getNumPartitions()
         assert sorted_parts > 1
         size = 40
         got = []
         for p in range(1, len(full) // size + 2):
-            got += _rows(serving.page(mart, order, p, size))
+            got += _rows(serving.page(view, order, p, size))
         assert got == full
+        assert [r[:-1] for r in sorted(_rows(view.ranked()), key=lambda r: r[-1])] == full
     finally:
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
 
@@ -156,11 +157,17 @@ def test_ranked_view_serves_pages_with_partition_pruning(spark, marts):
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
 
 
-def test_large_top_k_stays_distributed(marts, monkeypatch):
+def test_plain_pages_are_lazy_and_large_top_k_comes_from_a_view(spark, marts):
+    import os
+
+    from tillroll.session import scratch_dir
+
     name = "sales_by_period"
     mart, order = marts[name], serving.MART_VIEWS[name].page_order()
-    expected = _rows(mart.orderBy(*order).limit(300))
-    monkeypatch.setattr(serving, "TOP_K_LIMIT", 100)
-    got = serving.top_k(mart, order, 300)
-    assert _rows(got) == expected
-    assert "TakeOrderedAndProject" not in got._jdf.queryExecution().executedPlan().toString()
+    root = os.path.join(scratch_dir(spark).removeprefix("file:"), "tillroll")
+    before = set(os.listdir(root)) if os.path.isdir(root) else set()
+    deep = _rows(serving.page(mart, order, 11, 100))
+    assert (set(os.listdir(root)) if os.path.isdir(root) else set()) == before
+    view = serving.ranked_view(mart, order)
+    assert _rows(view.page(11, 100)) == deep and len(deep) == 14
+    assert _rows(view.first(300)) == _rows(serving.top_k(mart, order, 300))

@@ -23,7 +23,8 @@ def _fr(c: Column, digits: int) -> Column:
 def fr_money(col: str | Column, with_currency: bool = True) -> Column:
     """Two decimals, French separators, optionally followed by `` €``."""
     c = F.col(col) if isinstance(col, str) else col
-    text = _fr(F.round(c, 2), 2)
+    # Adding zero turns a rounded negative zero into zero.
+    text = _fr(F.round(c, 2) + F.lit(0.0), 2)
     return F.concat(text, F.lit(EURO_SUFFIX)) if with_currency else text
 
 

@@ -39,68 +39,16 @@ MART_INPUT_COLUMNS = [
 ]
 
 
-def sales_lines(
-    lines: DataFrame,
-    orders: DataFrame,
-    products: DataFrame,
-    salt_buckets: int | None = None,
-    hot_lines: int = 100_000,
-) -> DataFrame:
+def sales_lines(lines: DataFrame, orders: DataFrame, products: DataFrame) -> DataFrame:
     """Valid lines joined to cleaned orders and the product master, plus ``Amount``.
 
     ``Amount = Quantity * UnitPrice`` where ``UnitPrice`` is the product's mean
     price, not a price recorded on the line.
-
-    ``salt_buckets`` salts the invoice join for sessions without adaptive skew
-    splitting (see ``salted_invoice_join``); the result is the same.
     """
-    if salt_buckets and salt_buckets > 1:
-        joined = salted_invoice_join(lines, orders, salt_buckets, hot_lines)
-    else:
-        joined = lines.join(orders, "InvoiceNo")
+    joined = lines.join(orders, "InvoiceNo")
     return joined.join(products, "StockCode").withColumn("Amount", F.col("Quantity") * F.col("UnitPrice"))
 
 
-# At most this many hot invoices are salted; it bounds the broadcast list.
-MAX_SALTED_INVOICES = 10_000
-
-
-def salted_invoice_join(
-    lines: DataFrame, orders: DataFrame, buckets: int, hot_lines: int = 100_000
-) -> DataFrame:
-    """``lines.join(orders, "InvoiceNo")`` with hot invoices spread over tasks.
-
-    For sessions where adaptive skew splitting is off. An invoice is hot when
-    it has more than ``hot_lines`` lines; the (at most ``MAX_SALTED_INVOICES``)
-    largest are salted: their lines draw a random salt in ``[0, buckets)`` and
-    their order rows are repeated once per salt, so each line still meets
-    every matching order row exactly once. The result therefore does not
-    depend on the salt drawn (a retried task may draw differently), and an
-    invoice left unsalted by the cap is simply joined unsplit. Finding the hot
-    invoices costs one extra aggregation of the lines by invoice.
-    """
-    hot = (
-        lines.groupBy("InvoiceNo")
-        .agg(F.count(F.lit(1)).alias("_lines"))
-        .filter(F.col("_lines") > F.lit(hot_lines))
-        .orderBy(F.desc("_lines"))
-        .limit(MAX_SALTED_INVOICES)
-        .select("InvoiceNo", F.lit(True).alias("_hot"))
-    )
-    salted_lines = (
-        lines.join(F.broadcast(hot), "InvoiceNo", "left")
-        .withColumn("_salt", F.when(F.col("_hot"), (F.rand() * buckets).cast("int")).otherwise(F.lit(0)))
-        .drop("_hot")
-    )
-    salts = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(buckets - 1))).otherwise(F.array(F.lit(0)))
-    salted_orders = (
-        orders.join(F.broadcast(hot), "InvoiceNo", "left")
-        .withColumn("_salt", F.explode(salts))
-        .drop("_hot")
-    )
-    return salted_lines.join(salted_orders, ["InvoiceNo", "_salt"]).drop("_salt")
-
-
 def _not_cancelled() -> Column:
     return ~F.col("IsCancel")
 
@@ -258,3 +206,17 @@ def marts_from_measures(measures: DataFrame) -> dict[str, DataFrame]:
             F.col("sold_quantity").alias("total_quantity"),
         ),
     }
+
+
+def mart_counts(measures: DataFrame) -> DataFrame:
+    """One row: how many rows each mart has, from the combined measures alone."""
+
+    def rows(set_name: str, lines: str) -> Column:
+        return F.count_if((F.col("gid") == F.lit(_grouping_id(set_name))) & (F.col(lines) > 0))
+
+    return measures.agg(
+        rows("country", "sold_lines").alias("sales_per_country"),
+        rows("product", "sold_lines").alias("top_products"),
+        rows("product", "returned_lines").alias("return_products"),
+        rows("day", "sold_lines").alias("sales_by_period"),
+    )

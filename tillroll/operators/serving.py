@@ -4,13 +4,11 @@ series and key figures.
 Every order ends with the mart's grain keys ascending, so pages and top-k
 lists are deterministic even when measures tie.
 
-Pages. A shallow page (``page * page_size`` up to ``TOP_K_LIMIT`` rows) is a
-``orderBy().offset().limit()``, which Spark plans as a bounded top-k: each
-task keeps at most that many rows. A deeper page never funnels the skipped
-rows through one task or the driver: the mart is range-sorted across tasks
-and stored as a ``RankedView`` (each row's sorted partition and position, plus
-one starting rank per partition); a page then reads only the partitions that
-overlap its rank range. Keep the view to serve many deep pages from one sort.
+Pages. The kind of input chooses the way, never its size. A plain frame gives
+``orderBy().offset().limit()``, lazily. To serve many pages, or deep ones, build a
+``RankedView`` once: the mart range-sorted across tasks and stored with each
+row's sorted partition and position and one starting rank per partition; every
+page then reads only the partitions that overlap its ranks.
 """
 
 from __future__ import annotations
@@ -23,6 +21,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillroll.functions.dates import day_label
+from tillroll.functions.display import fr_integer, fr_money
 from tillroll.functions.text import short_label
 from tillroll.schemas import DATE_PARTS
 from tillroll.session import materialize, scratch_path
@@ -36,12 +35,6 @@ TABLE_PAGE_SIZE = 20
 SERIES_SIZE = 15
 PERIOD_SERIES_SIZE = 30
 
-# Pages ending beyond this many rows use the distributed ranking path. A
-# shallow page keeps at most this many rows per task, and the final merge sees
-# at most (tasks x TOP_K_LIMIT) rows, so the bound stays small.
-TOP_K_LIMIT = 1_000
-
-
 @dataclass(frozen=True)
 class MartView:
     name: str
@@ -107,16 +100,12 @@ def period_filter(df: DataFrame, year: int | None = None, month: int | None = No
 
 
 def top_k(df: DataFrame, order: Sequence[Column], k: int) -> DataFrame:
-    """The first ``k`` rows in ``order``.
-
-    Up to ``TOP_K_LIMIT`` rows this is a bounded per-task top-k; a larger
-    ``k`` is served from a ``RankedView`` so the rows stay distributed.
-    """
+    """The first ``k`` rows in ``order``, lazily (a per-task top-k). A large
+    ``k`` is better read from a ``RankedView`` (``first``), where rows stay
+    distributed."""
     if not _is_int(k) or k < 0:
         raise ValueError(f"k must be a non-negative integer, got {k!r}")
-    if k <= TOP_K_LIMIT:
-        return df.orderBy(*order).limit(int(k))
-    return ranked_view(df, order).first(int(k))
+    return df.orderBy(*order).limit(int(k))
 
 
 @dataclass(frozen=True)
@@ -139,6 +128,14 @@ class RankedView:
     def total(self) -> DataFrame:
         return self.starts.agg(F.coalesce(F.sum("_n"), F.lit(0)).cast("bigint").alias("total"))
 
+    def ranked(self) -> DataFrame:
+        """All rows with their global ``rank`` from 1, distributed."""
+        return (
+            self.rows.join(self.starts, "_part")
+            .withColumn("rank", (F.col("_first") + F.col("_pos") + F.lit(1)).cast("bigint"))
+            .drop("_part", "_pos", "_first", "_n")
+        )
+
     def first(self, k: int) -> DataFrame:
         """The ``k`` first rows, as a distributed frame sorted by rank."""
         wanted = self.starts.filter(F.col("_first") < k)
@@ -194,19 +191,18 @@ def ranked_view(df: DataFrame, order: Sequence[Column], name: str = "ranked") ->
 
 
 def page(
-    df: DataFrame,
+    df: DataFrame | RankedView,
     order: Sequence[Column],
     page: int = DEFAULT_PAGE,
     page_size: int = DEFAULT_PAGE_SIZE,
 ) -> DataFrame:
-    """Rows ``(page-1)*page_size`` .. ``page*page_size - 1`` of ``df`` in ``order``."""
+    """Rows ``(page-1)*page_size`` .. ``page*page_size - 1`` of ``df`` in
+    ``order``; a ``RankedView`` is served in its own order."""
     check_page_args(page, page_size)
+    if isinstance(df, RankedView):
+        return df.page(page, page_size)
     page, page_size = int(page), int(page_size)
-    start = (page - 1) * page_size
-    stop = start + page_size
-    if stop <= TOP_K_LIMIT:
-        return df.orderBy(*order).offset(start).limit(page_size)
-    return ranked_view(df, order).page(page, page_size)
+    return df.orderBy(*order).offset((page - 1) * page_size).limit(page_size)
 
 
 def page_meta(df: DataFrame, page: int = DEFAULT_PAGE, page_size: int = DEFAULT_PAGE_SIZE) -> DataFrame:
@@ -225,6 +221,18 @@ def page_meta(df: DataFrame, page: int = DEFAULT_PAGE, page_size: int = DEFAULT_
     )
 
 
+def page_meta_from_counts(counts: DataFrame, name: str, page: int, page_size: int) -> DataFrame:
+    """``page_meta`` of a mart from ``marts.mart_counts``."""
+    check_page_args(page, page_size)
+    total = F.col(name)
+    return counts.select(
+        total.alias("total"),
+        F.lit(int(page)).alias("page"),
+        F.lit(int(page_size)).alias("page_size"),
+        F.ceil(total / F.lit(int(page_size))).cast("bigint").alias("total_pages"),
+    )
+
+
 def mart_page(
     mart: DataFrame,
     name: str,
@@ -304,6 +312,33 @@ def period_series(
     )
 
 
+def kpis_from_counts(counts: DataFrame) -> DataFrame:
+    """``overview_kpis`` from ``marts.mart_counts``: one pass over the lines."""
+    return counts.select(
+        F.col("sales_per_country").alias("countries"),
+        F.col("top_products").alias("products"),
+        F.col("return_products").alias("returned_products"),
+        F.col("sales_by_period").alias("active_days"),
+    )
+
+
+# Columns of each dashboard table: text, money and whole numbers.
+_DISPLAY = {
+    "sales_per_country": (("Country",), {"total_sales"}, ("total_sales", "number_of_orders", "total_quantity")),
+    "top_products": (("StockCode", "Description"), {"total_revenue"}, ("total_revenue", "total_quantity_sold", "number_of_sales")),
+    "return_products": (("StockCode", "Description"), {"total_loss"}, ("total_returned", "number_of_returns", "total_loss")),
+    "sales_by_period": ((), {"total_sales"}, ("total_sales", "number_of_orders", "total_quantity")),
+}
+
+
+def display_rows(mart: DataFrame, name: str) -> DataFrame:
+    """A mart's rows as the dashboard's tables show them, all as text."""
+    texts, money, columns = _DISPLAY[name]
+    shown = [(fr_money(c) if c in money else fr_integer(c)).alias(c) for c in columns]
+    head = [day_label().alias("day_label")] if name == "sales_by_period" else list(texts)
+    return mart.select(*head, *shown)
+
+
 def overview_kpis(
     countries: DataFrame, products: DataFrame, returns: DataFrame, periods: DataFrame
 ) -> DataFrame:

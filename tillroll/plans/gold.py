@@ -24,7 +24,6 @@ from typing import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tillroll.operators import marts
-from tillroll.operators.serving import sorted_mart
 from tillroll.plans.layers import RetailLayers
 from tillroll.plans.silver import SilverTables
 from tillroll.session import materialize, run_actions
@@ -47,16 +46,11 @@ def build_marts(
     orders: DataFrame,
     products: DataFrame,
     strategy: str = "one_pass",
-    salt_buckets: int | None = None,
 ) -> dict[str, DataFrame]:
-    """The four marts from the silver lines, orders and product master.
-
-    ``salt_buckets`` salts hot invoices in the line/order join, for clusters
-    that run without adaptive skew splitting.
-    """
+    """The four marts from the silver lines, orders and product master."""
     if strategy not in STRATEGIES:
         raise ValueError(f"strategy must be one of {STRATEGIES}, got {strategy!r}")
-    sales = marts.sales_lines(lines, orders, products, salt_buckets=salt_buckets).select(*marts.MART_INPUT_COLUMNS)
+    sales = marts.sales_lines(lines, orders, products).select(*marts.MART_INPUT_COLUMNS)
     if strategy == "one_pass":
         measures = materialize(marts.mart_measures(sales), "mart-measures")
         return marts.marts_from_measures(measures)
@@ -77,16 +71,10 @@ def jdbc_writer(url: str, properties: dict[str, str], truncate: bool = False) ->
     return lambda name, df: write_jdbc(df, url, name, properties, truncate=truncate)
 
 
-def write_gold(
-    built: dict[str, DataFrame], writer: MartWriter, max_parallel: int = 4, sort: bool = False
-) -> list[str]:
+def write_gold(built: dict[str, DataFrame], writer: MartWriter, max_parallel: int = 4) -> list[str]:
     """Write the marts as concurrent jobs (they read the same small measures).
 
-    ``sort`` writes each mart in the batch order of the original job (sales
-    and revenue descending, returns by quantity descending, days ascending),
-    for readers that rely on the insertion order of a fresh table.
+    Stored rows have no order; readers sort (``serving.sorted_mart``).
     """
-    if sort:
-        built = {name: sorted_mart(df, name) for name, df in built.items()}
     run_actions([lambda n=name, df=df: writer(n, df) for name, df in built.items()], max_parallel)
     return list(built)

@@ -11,10 +11,11 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import SparkSession
 
 from tillroll.plans.layers import RetailLayers
-from tillroll.schemas import DATE_PARTS
+from tillroll.schemas import DATE_PARTS, ORDERS_BRONZE
 from tillroll.session import run_actions
 from tillroll.sources.sinks import write_table
 from tillroll.sources.tables import read_parquet
@@ -30,11 +31,21 @@ class SilverTables:
     lines_invalid: str = "default.orders_line_invalid"
 
 
+def _bronze_orders(spark: SparkSession, path: str):
+    """Landed orders; a landing without any row has folders but no file."""
+    try:
+        return read_parquet(spark, path)
+    except AnalysisException as exc:
+        if exc.getCondition() != "UNABLE_TO_INFER_SCHEMA":
+            raise
+        return read_parquet(spark, path, schema=ORDERS_BRONZE)
+
+
 def layers_from_bronze(spark: SparkSession, products_path: str, orders_path: str, lines_path: str) -> RetailLayers:
     """Lazy layers over landed Parquet (orders carry their date folders)."""
     return RetailLayers(
         products_raw=read_parquet(spark, products_path),
-        orders_raw=read_parquet(spark, orders_path),
+        orders_raw=_bronze_orders(spark, orders_path),
         lines_raw=read_parquet(spark, lines_path),
         orders_have_date_parts=True,
     )

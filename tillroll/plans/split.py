@@ -3,7 +3,8 @@
 The extracts are parsed once: the flat rows are staged as Parquet in the
 shared scratch folder, and the three datasets are column-pruned reads of
 that copy, written as concurrent jobs. Without the staging step each
-dataset would parse the (row-oriented) CSV text again.
+dataset would parse the (row-oriented) CSV text again. The copy is deleted
+when the job ends.
 """
 
 from __future__ import annotations
@@ -13,7 +14,7 @@ from typing import Sequence
 from pyspark.sql import SparkSession
 
 from tillroll.schemas import FLAT_EXTRACT
-from tillroll.session import materialize, run_actions
+from tillroll.session import delete_path, run_actions, scratch_path
 from tillroll.sources.extracts import concat_extracts, read_latin1_csv, split_extracts
 from tillroll.sources.sinks import write_csv
 
@@ -22,8 +23,13 @@ def split_job(spark: SparkSession, extract_paths: Sequence[str], output_dir: str
     """Write ``products.csv``, ``orders.csv`` and ``orders_line.csv`` folders
     under ``output_dir``; returns their locations by dataset name."""
     flat = concat_extracts(*[read_latin1_csv(spark, p, schema=FLAT_EXTRACT) for p in extract_paths])
-    staged = materialize(flat, "flat-extracts")
+    staging = scratch_path(spark, "flat-extracts")
+    flat.write.parquet(staging)
+    staged = spark.read.schema(flat.schema).parquet(staging)
     out = {name: f"{output_dir.rstrip('/')}/{name}.csv" for name in ("products", "orders", "orders_line")}
     parts = split_extracts(staged)
-    run_actions([lambda n=n: write_csv(parts[n], out[n]) for n in out], max_parallel)
+    try:
+        run_actions([lambda n=n: write_csv(parts[n], out[n]) for n in out], max_parallel)
+    finally:
+        delete_path(spark, staging)
     return out

@@ -4,8 +4,8 @@
 the caller's session (or just DataFrames) and never create one.
 
 ``scratch_dir`` resolves the shared folder used to cut lineage. On a cluster it
-is whatever ``spark.checkpoint.dir`` names; a private temporary folder is set
-only when the session has none (local tests).
+is whatever ``spark.checkpoint.dir`` names, and it is an error if that is
+unset; a private temporary folder is used only with a local master (tests).
 """
 
 from __future__ import annotations
@@ -67,6 +67,9 @@ def scratch_dir(spark: SparkSession) -> str:
     """
     path = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not path:
+        master = spark.sparkContext.master
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="tillroll-ckpt-"))
         path = spark.sparkContext.getCheckpointDir()
     return path.rstrip("/")
@@ -90,6 +93,12 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Delete a job's own scratch through Hadoop's file system."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def run_actions(actions: Sequence[Callable[[], T]], max_parallel: int = 4) -> list[T]:
     """Run independent Spark actions (writes) as concurrent jobs.
 

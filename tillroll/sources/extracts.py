@@ -30,6 +30,9 @@ from tillroll.functions.text import normalise_headers
 # Fixed value: encoding of the yearly extracts.
 LATIN_1 = "ISO-8859-1"
 
+# Quotes inside quoted text are doubled, and backslashes are plain text.
+DIALECT = {"quote": '"', "escape": '"'}
+
 PRODUCT_COLUMNS = ["StockCode", "Description", "UnitPrice"]
 ORDER_COLUMNS = ["InvoiceNo", "InvoiceDate", "CustomerID", "Country"]
 LINE_COLUMNS = ["InvoiceNo", "StockCode", "Quantity"]
@@ -41,8 +44,13 @@ def read_csv(
     schema: T.StructType | None = None,
     infer: bool = False,
     encoding: str = "UTF-8",
+    multi_line: bool = True,
 ) -> DataFrame:
-    """Header CSV with normalised column names.
+    """Header CSV with normalised column names; quotes inside quoted text are
+    doubled. All files must have the first file's header, else reading fails.
+
+    ``multi_line`` allows line breaks inside quoted text and reads each file in
+    one task; turn it off for large files known to have none.
 
     With ``schema`` the columns are read as text and converted to the
     declared types (a malformed value becomes NULL, as in a permissive read),
@@ -53,10 +61,15 @@ def read_csv(
         spark.read.option("header", True)
         .option("encoding", encoding)
         .option("inferSchema", bool(infer) and schema is None)
+        .option("multiLine", multi_line)
+        .options(**DIALECT)
     )
-    df = normalise_headers(reader.csv(paths))
+    raw = reader.csv(paths)
     if schema is None:
-        return df
+        return normalise_headers(raw)
+    # Declared as text in file order, and checked against every file's header.
+    checked = reader.option("inferSchema", False).option("enforceSchema", False).schema(text_schema(raw.schema))
+    df = normalise_headers(checked.csv(paths))
     missing = [f.name for f in schema.fields if f.name not in df.columns]
     if missing:
         raise ValueError(f"CSV header lacks columns {missing}; found {df.columns}")

@@ -8,7 +8,7 @@ listed in FIXTURES.md and are written a second time, as DuckDB SQL, in the
 oracle of ``__spark_entry__.py``.
 
 All of it is lazy DataFrame code: scans prune to the needed columns, the
-25-row ``nation`` table is broadcast (its size is fixed), the other joins are
+small tables are broadcast where Spark measures them as such, other joins are
 left to the planner.
 """
 
@@ -122,7 +122,7 @@ def _customer_nations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (
         _table(spark, sf_dir, "customer")
         .select("c_custkey", "c_nationkey")
-        .join(F.broadcast(nation), F.col("c_nationkey") == F.col("n_nationkey"), "left")
+        .join(nation, F.col("c_nationkey") == F.col("n_nationkey"), "left")
         .select("c_custkey", "n_name")
     )
 

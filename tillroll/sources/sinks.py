@@ -125,7 +125,7 @@ def write_jdbc(
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite", encoding: str = "UTF-8") -> None:
     """Header CSV (no index column); one file per task.
 
-    Text is written as it is: Spark's CSV writer would otherwise strip
+    Quotes are doubled, as ``read_csv`` expects. Text is written as it is: Spark's CSV writer would otherwise strip
     leading and trailing spaces, and padded codes are data here.
     """
     (
@@ -134,5 +134,6 @@ def write_csv(df: DataFrame, path: str, mode: str = "overwrite", encoding: str =
         .option("encoding", encoding)
         .option("ignoreLeadingWhiteSpace", False)
         .option("ignoreTrailingWhiteSpace", False)
+        .option("escape", '"')
         .csv(path)
     )

@@ -5,15 +5,19 @@ from __future__ import annotations
 from typing import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 
-def read_parquet(spark: SparkSession, path: str, columns: Sequence[str] | None = None) -> DataFrame:
+def read_parquet(
+    spark: SparkSession, path: str, columns: Sequence[str] | None = None, schema: T.StructType | None = None
+) -> DataFrame:
     """A Parquet directory; ``key=value`` sub-folders become partition columns.
 
     Selecting ``columns`` here (or later) prunes the scan to those columns;
-    filters on partition columns prune whole folders.
+    filters on partition columns prune whole folders. With ``schema`` a folder
+    without any file (an empty partitioned write) reads as an empty frame.
     """
-    df = spark.read.parquet(path)
+    df = (spark.read.schema(schema) if schema else spark.read).parquet(path)
     return df.select(*columns) if columns else df
 
 

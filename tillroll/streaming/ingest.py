@@ -1,4 +1,4 @@
-"""Land extract files as they arrive, exactly once per file.
+"""Land extract files as they arrive, each once per checkpoint.
 
 The transformation is the batch one (``bronze_frame``); the file source and
 its checkpoint remember which files were already landed, so a restart after
@@ -14,21 +14,22 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tillroll.plans.bronze import DEFAULT_SCHEMAS, DatasetSpec, bronze_frame
 from tillroll.schemas import DATE_PARTS
-from tillroll.session import scratch_path
-from tillroll.sources.extracts import apply_schema, text_schema
+from tillroll.sources.extracts import DIALECT, apply_schema, text_schema
 
 
 def ingest_stream(
     spark: SparkSession,
     spec: DatasetSpec,
-    checkpoint_location: str | None = None,
+    checkpoint_location: str,
     available_now: bool = True,
     max_files_per_trigger: int | None = None,
     interval: str = "1 minute",
 ) -> StreamingQuery:
     """Start a file-to-Parquet stream for one dataset folder.
 
-    ``spec.input`` is a folder to watch. Columns are taken in file order and
+    ``checkpoint_location`` belongs to the output and must be the same at every
+    start. ``spec.input`` is a folder to watch; a file whose header differs from
+    the declared columns fails the query. Columns are taken in file order and
     converted to the declared types as in the batch read; a value that does
     not fit becomes NULL.
     Without ``available_now`` the query runs on, checking every ``interval``.
@@ -38,6 +39,9 @@ def ingest_stream(
         spark.readStream.option("header", True)
         .option("encoding", spec.encoding)
         .option("mode", "PERMISSIVE")
+        .option("multiLine", spec.multi_line)
+        .option("enforceSchema", False)
+        .options(**DIALECT)
         .schema(text_schema(schema))
     )
     if max_files_per_trigger:
@@ -46,7 +50,7 @@ def ingest_stream(
     writer = (
         stream.writeStream.format("parquet")
         .option("path", spec.output)
-        .option("checkpointLocation", checkpoint_location or scratch_path(spark, f"ingest-{spec.name}"))
+        .option("checkpointLocation", checkpoint_location)
         .outputMode("append")
     )
     if spec.partitioned:

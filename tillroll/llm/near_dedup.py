@@ -5,10 +5,11 @@ Documents are linked when the Jaccard similarity of their sets of distinct
 groups are the connected components of these links.
 
 1. Exact copies collapse by text key; the texts move through one shuffle.
-2. 128 minima per text make 32 bands of 4. At the threshold a pair shares no
+2. The first 128 minima per text make 32 bands of 4. At the threshold a pair shares no
    band with probability (1 - 0.75^4)^32 = 5e-6. Texts without a shared band
    need no further look.
-3. Of the minima only the low 4 bits are kept, packed into eight 64-bit words.
+3. Texts with a shared band get 512 minima, of which only the low 4 bits are
+   kept, packed into thirty-two 64-bit words.
    In each band bucket every text is paired with the bucket's least text (a
    star, not all pairs), the share of equal 4-bit fields is counted with bit
    operations and corrected for chance matches (1 in 16), and pairs far below
@@ -41,11 +42,14 @@ LINK_PERCENT = 75
 BANDS = 32
 ROWS = 4
 BITS = 4
-MINIMA = BANDS * ROWS
+BANDED = BANDS * ROWS
+MINIMA = 512
 SIGNATURE_WORDS = MINIMA * BITS // 64
 RANK_GROWTH = 8
-# 4.5 standard errors of the estimate at the threshold (missed with 3e-6).
-SLACK = 4.5 * (0.75 * 0.25 / MINIMA) ** 0.5
+# 4.5 standard errors of the estimate at the threshold (missed with 3e-6),
+# where 4-bit fields agree with probability 1/16 + 15/16 * 0.75.
+_AGREE = 1 / 16 + 15 / 16 * 0.75
+SLACK = 4.5 * (_AGREE * (1 - _AGREE) / MINIMA) ** 0.5 / (15 / 16)
 
 _rng = np.random.Generator(np.random.PCG64(20))
 _FLIP = _rng.integers(0, 1 << 63, MINIMA, dtype=np.uint64)
@@ -69,17 +73,17 @@ def shingle_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, n
     return textkit.span_hashes(words, begin, begin + width[row]), out_first
 
 
-def minima(hashes: np.ndarray, first: np.ndarray) -> np.ndarray:
-    """``(rows, MINIMA)`` of the non-empty rows."""
+def minima(hashes: np.ndarray, first: np.ndarray, count: int = MINIMA) -> np.ndarray:
+    """``(rows, count)`` of the non-empty rows."""
     heads = first[:-1][np.diff(first) > 0]
-    out = np.empty((len(heads), MINIMA), np.uint64)
-    for i in range(MINIMA):
+    out = np.empty((len(heads), count), np.uint64)
+    for i in range(count):
         out[:, i] = np.minimum.reduceat((hashes ^ _FLIP[i]) * _SPREAD[i], heads)
     return out
 
 
 def band_keys(mins: np.ndarray) -> np.ndarray:
-    joined = (mins.reshape(-1, BANDS, ROWS) * _JOIN).sum(axis=2, dtype=np.uint64)
+    joined = (mins[:, :BANDED].reshape(-1, BANDS, ROWS) * _JOIN).sum(axis=2, dtype=np.uint64)
     return textkit.mix(joined + np.arange(BANDS, dtype=np.uint64)).view(np.int64)
 
 
@@ -102,7 +106,7 @@ def _band_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             hashes, first = shingle_hashes(data[base : offsets[hi]], offsets[lo : hi + 1] - base)
             if not len(hashes):
                 continue
-            keys = band_keys(minima(hashes, first))
+            keys = band_keys(minima(hashes, first, BANDED))
             some = pa.array(np.repeat(np.flatnonzero(np.diff(first) > 0), BANDS))
             yield pa.RecordBatch.from_arrays([pa.array(keys.ravel()), nodes.slice(lo, hi - lo).take(some)], ["band", "node"])
 
@@ -124,9 +128,11 @@ def _feature_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
             bands = pa.nulls(hi - lo, pa.list_(pa.int64()))
             marks = bands
             if len(picked):
-                mins = minima(hashes, first)
-                place = np.cumsum(np.diff(first) > 0) - 1  # of each row among the non-empty
-                chosen = mins[place[picked]]
+                # the candidates' rows alone, one after the other
+                sizes_picked = np.diff(first)[picked]
+                own_first = np.concatenate([[0], np.cumsum(sizes_picked)])
+                own = np.repeat(first[picked] - own_first[:-1], sizes_picked) + np.arange(own_first[-1])
+                chosen = minima(hashes[own], own_first)
                 index = np.full(hi - lo, -1)
                 index[picked] = np.arange(len(picked))
                 take = pa.array(index, mask=index < 0)

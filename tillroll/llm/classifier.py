@@ -171,15 +171,28 @@ def held_out(doc_id: Column) -> Column:
 
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality",
           sample_rows: int = SAMPLE_ROWS, sample_bytes: int = SAMPLE_BYTES) -> Net:
-    """Fit on at most ``sample_rows`` labelled rows that are not held out and
-    have at most ``sample_bytes`` bytes, the first in hash order of their ids."""
-    text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    wanted = labels.filter(F.col(label_col).isin(0, 1) & ~held_out(F.col(id_col))).select(id_col, F.col(label_col).alias("_y"))
+    """Fit on at most ``sample_rows`` labelled documents that are not held out and
+    have at most ``sample_bytes`` bytes, the first in hash order of their ids.
+
+    They are chosen among the first ``4 * sample_rows`` labelled ids in that
+    order, found by a cut on the hash, so that the texts moved do not grow with
+    the input. An id with several labels or texts counts once, with the
+    smallest. Null ids and labels are not used.
+    """
+    place = F.shiftrightunsigned(F.xxhash64(id_col), 11)  # 53 bits
+    usable = F.col(label_col).isin(0, 1) & F.col(id_col).isNotNull() & ~held_out(F.col(id_col))
+    wanted = labels.filter(usable).groupBy(id_col).agg(F.min(label_col).alias("_y"))
+    # twice the ids needed pass the cut on average; the limit bounds the broadcast
+    first = 4 * sample_rows
+    cut = min(1.0, 2 * first / max(1, wanted.count()))
+    chosen = wanted.filter(place < int(cut * 2**53)).orderBy(place, id_col).limit(first)
     rows = (
-        docs.select(id_col, text.alias("_text"))
+        docs.select(id_col, F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("_text"))
         .filter(F.octet_length("_text") <= sample_bytes)
-        .join(wanted, id_col)
-        .orderBy(F.xxhash64(id_col), "_text", "_y")
+        .join(F.broadcast(chosen), id_col)
+        .groupBy(id_col)
+        .agg(F.min("_text").alias("_text"), F.min("_y").alias("_y"))
+        .orderBy(place, id_col)
         .limit(sample_rows)
         .select("_text", "_y")
         .collect()

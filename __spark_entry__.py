@@ -191,8 +191,8 @@ def q_period_filtered(spark, d):
 
 def _measures(spark, d):
     """All four marts' measures from one pass over the lines, stored once."""
-    sales = _layers(spark, d).sales.select(*marts.MART_INPUT_COLUMNS)
-    return materialize(marts.mart_measures(sales), "measures")
+    layers = _layers(spark, d)
+    return materialize(marts.mart_measures(layers.lines, layers.orders, layers.products), "measures")
 
 
 def _ordered(spark, d, name):
@@ -251,8 +251,8 @@ def q_page_meta(spark, d):
 
 
 def q_overview_kpis(spark, d):
-    sales = _layers(spark, d).sales.select(*marts.MART_INPUT_COLUMNS)
-    return serving.kpis_from_counts(marts.mart_counts(marts.mart_measures(sales)))
+    layers = _layers(spark, d)
+    return serving.kpis_from_counts(marts.mart_counts(marts.mart_measures(layers.lines, layers.orders, layers.products)))
 
 
 def q_country_series(spark, d):
@@ -422,7 +422,8 @@ orders_raw AS (
          WHEN o.o_orderkey % 500 = 6 THEN ''
          WHEN cn.n_name = 'NATION_24' THEN 'Unspecified'
          ELSE cn.n_name END AS Country
-  FROM orders o LEFT JOIN cust_nation cn ON o.o_custkey = cn.c_custkey
+  FROM (SELECT * FROM orders UNION ALL SELECT * FROM orders WHERE o_orderkey % 500 = 7) o
+  LEFT JOIN cust_nation cn ON o.o_custkey = cn.c_custkey
 ),
 orders_bronze AS (
   SELECT InvoiceNo, InvoiceDate, CustomerID, Country,
@@ -454,7 +455,8 @@ _PRODUCTS_RAW = """
 part_rows AS (
   SELECT p_partkey, p_name, p_retailprice FROM part
   UNION ALL
-  SELECT p_partkey, p_name, p_retailprice + 1.0 FROM part WHERE p_partkey % 3 = 0
+  SELECT p_partkey, CASE WHEN p_partkey % 6 = 0 THEN 'A ' || p_name ELSE p_name END, p_retailprice + 1.0
+  FROM part WHERE p_partkey % 3 = 0
 ),
 products_raw AS (
   SELECT
@@ -510,6 +512,7 @@ lines_raw AS (
          WHEN l.l_partkey % 200 = 3 THEN ' d '
          WHEN l.l_partkey % 200 = 4 THEN ''
          WHEN l.l_partkey % 200 = 5 THEN NULL
+         WHEN l.l_partkey % 200 = 15 AND l.l_linenumber = 2 THEN ' ' || CAST(l.l_partkey AS VARCHAR) || ' '
          ELSE CAST(l.l_partkey AS VARCHAR) END AS StockCode,
     CASE WHEN (l.l_orderkey * 7 + l.l_linenumber) % 1000 = 1 THEN NULL
          WHEN (l.l_orderkey * 7 + l.l_linenumber) % 1000 = 2 THEN 0

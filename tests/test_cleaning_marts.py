@@ -196,11 +196,16 @@ def test_fixture_counts_documented_in_fixtures_md(spark, sf_small):
         "both": layers.sales.filter("IsCancel AND Quantity < 0").count(),
         "unknown_country": layers.orders.filter(F.col("Country") == "Unknown").count(),
         "long_descriptions": layers.products.filter(F.length("Description") > 25).count(),
+        "repeated_invoices": layers.orders.groupBy("InvoiceNo").count().filter("count > 1").count(),
+        "two_descriptions": layers.products_valid.groupBy("StockCode").agg(F.count_distinct("Description").alias("n")).filter("n > 1").count(),
+        "padded_line_codes": layers.lines.withColumn("StockCode", F.trim("StockCode")).join(layers.products, "StockCode").count()
+        - layers.lines.join(layers.products, "StockCode").count(),
     }
     assert counts == {
-        "products_invalid": 18, "products_valid": 249, "orders_invalid": 18, "orders_valid": 1482,
-        "lines_invalid": 109, "lines_valid": 5891, "product_master": 186, "sales_lines": 5475,
-        "cancelled": 423, "negative": 906, "both": 72, "unknown_country": 56, "long_descriptions": 47,
+        "products_invalid": 18, "products_valid": 249, "orders_invalid": 18, "orders_valid": 1485,
+        "lines_invalid": 109, "lines_valid": 5891, "product_master": 186, "sales_lines": 5480,
+        "cancelled": 422, "negative": 907, "both": 71, "unknown_country": 56, "long_descriptions": 47,
+        "repeated_invoices": 3, "two_descriptions": 32, "padded_line_codes": 4,
     }
     mart_rows = {name: layers.mart(name).count() for name in marts.MART_BUILDERS}
     assert mart_rows == {"sales_per_country": 25, "top_products": 186, "return_products": 186, "sales_by_period": 1014}

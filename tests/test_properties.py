@@ -70,18 +70,19 @@ sales_rows = st.lists(
 def test_one_pass_marts_equal_per_mart_aggregations(spark, rows):
     from tillroll.operators import marts
 
-    price = {"A": 1.5, "B": 2.25, "C": 4.0}
-    data = [
-        (code, f"item {code}", q, q * price[code], country, cancel, 2010, 1, day)
-        for code, q, cancel, country, day in rows
-    ]
-    sales = spark.createDataFrame(
-        data,
-        "StockCode string, Description string, Quantity int, Amount double, Country string, "
-        "IsCancel boolean, year int, month int, day int",
+    lines = spark.createDataFrame(
+        [(str(i), code, q) for i, (code, q, *_) in enumerate(rows)], "InvoiceNo string, StockCode string, Quantity int"
     )
-    one_pass = marts.marts_from_measures(marts.mart_measures(sales))
-    per_mart = marts.all_marts(sales)
+    orders = spark.createDataFrame(
+        [(str(i), country, cancel, 2010, 1, day) for i, (_, _, cancel, country, day) in enumerate(rows)],
+        "InvoiceNo string, Country string, IsCancel boolean, year int, month int, day int",
+    )
+    products = spark.createDataFrame(
+        [("A", "item A", 1.5), ("B", "item B", 2.25), ("C", "item C", 4.0)],
+        "StockCode string, Description string, UnitPrice double",
+    )
+    one_pass = marts.marts_from_measures(marts.mart_measures(lines, orders, products))
+    per_mart = marts.all_marts(marts.sales_lines(lines, orders, products))
 
     def rounded(df):
         return sorted(tuple(round(v, 6) if isinstance(v, float) else v for v in r) for r in df.collect())

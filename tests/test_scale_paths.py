@@ -150,8 +150,9 @@ def test_scratch_dir_without_checkpoint_setting():
 
 def test_one_pass_gold_plan_shape(spark, sf_small):
     """Static plan with broadcasts off (as for a large product master): one
-    expand for all three groupings, a map-side partial aggregate, and only
-    the small per-group partials shuffled above it."""
+    expand for all three groupings over a map-side partial aggregate. Lines
+    are shuffled by invoice only; what is shuffled by stock code to meet the
+    products are the partial rows above the expand."""
     from __spark_entry__ import _layers
 
     old = {k: spark.conf.get(k) for k in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.enabled")}
@@ -159,16 +160,20 @@ def test_one_pass_gold_plan_shape(spark, sf_small):
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     try:
         layers = _layers(spark, sf_small)
-        sales = marts.sales_lines(layers.lines, layers.orders, layers.products).select(*marts.MART_INPUT_COLUMNS)
-        plan = marts.mart_measures(sales)._jdf.queryExecution().executedPlan().toString()
+        measures = marts.mart_measures(layers.lines, layers.orders, layers.products)
+        plan = measures._jdf.queryExecution().executedPlan().toString()
     finally:
         for k, v in old.items():
             spark.conf.set(k, v)
     assert plan.count("Expand [") == 1, plan
     assert plan.count("Exchange hashpartitioning(InvoiceNo") == 2, plan
-    above_expand = plan[: plan.index("Expand [")]
-    assert above_expand.count("Exchange") == 1, above_expand
+    above_expand, below = plan.split("Expand [", 1)
     assert "partial_sum(CASE WHEN NOT IsCancel" in above_expand
+    # partial rows per group, those by stock code, and the final groups
+    assert above_expand.count("Exchange") == 3, above_expand
+    # below: the product master's own side alone is hashed by stock code
+    lines_side = below.split("FileScan", 1)[0]
+    assert "hashpartitioning(StockCode" not in lines_side, below
 
 
 def test_hot_day_is_written_by_several_tasks(spark):

@@ -130,43 +130,64 @@ def all_marts(sales: DataFrame) -> dict[str, DataFrame]:
 # All four marts in one aggregation.
 #
 # The marts group the same joined lines three ways (country; product; day),
-# with one filter for sales and another for returns. ``GROUPING SETS`` runs
-# the three groupings in a single pass: every line is expanded into three
-# grouping rows inside the scan task and immediately folded into a map-side
-# hash aggregate, so what is shuffled is one partial row per group and task.
+# with one filter for sales and another for returns. A line's amount depends
+# only on its quantity and its code's price, so lines are first added up per
+# stock code within each grouping (``GROUPING SETS``, one pass: every line is
+# expanded into three grouping rows inside its task and folded into a map-side
+# hash aggregate). Only these partial rows meet the products: no line is
+# shuffled by stock code, a hot code has at most one row per country and day,
+# and quantities stay exact integers until they are multiplied by the price.
 # Sales and return measures are conditional aggregates side by side; a group
 # belongs to a mart only if that mart's filter kept at least one of its lines.
 
-_SET_KEYS = {
-    "country": ["Country"],
-    "product": ["StockCode", "Description"],
-    "day": list(DATE_PARTS),
-}
-_ALL_KEYS = [k for keys in _SET_KEYS.values() for k in keys]
+_SET_KEYS = {"country": ["Country"], "product": [], "day": list(DATE_PARTS)}
+_PLACE_KEYS = ["Country", *DATE_PARTS]
+_ALL_KEYS = [*_PLACE_KEYS, "StockCode"]
 
 
 def _grouping_id(set_name: str) -> int:
     """``grouping_id()`` of a set: bit i is 1 when key i is not grouped."""
-    keys = set(_SET_KEYS[set_name])
+    keys = {*_SET_KEYS[set_name], "StockCode"}
     gid = 0
     for key in _ALL_KEYS:
         gid = (gid << 1) | (0 if key in keys else 1)
     return gid
 
 
-def mart_measures(sales: DataFrame) -> DataFrame:
+def mart_measures(lines: DataFrame, orders: DataFrame, products: DataFrame) -> DataFrame:
     """One row per country, per product and per day with sales and return
     measures; ``gid`` tells which grouping a row belongs to."""
     sold = _not_cancelled()
     returned = _is_return()
-    return sales.groupingSets(list(_SET_KEYS.values()), *_ALL_KEYS).agg(
-        F.grouping_id().alias("gid"),
-        F.sum(F.when(sold, F.col("Amount"))).alias("sold_amount"),
-        F.count(F.when(sold, F.lit(1))).alias("sold_lines"),
-        F.sum(F.when(sold, F.col("Quantity"))).alias("sold_quantity"),
-        F.sum(F.when(returned, F.col("Amount"))).alias("returned_amount"),
-        F.count(F.when(returned, F.lit(1))).alias("returned_lines"),
-        F.sum(F.when(returned, F.col("Quantity"))).alias("returned_quantity"),
+    by_code = (
+        lines.join(orders, "InvoiceNo")
+        .groupingSets([[*keys, "StockCode"] for keys in _SET_KEYS.values()], *_ALL_KEYS)
+        .agg(
+            F.grouping_id().alias("gid"),
+            F.count(F.when(sold, F.lit(1))).alias("sold_lines"),
+            F.sum(F.when(sold, F.col("Quantity"))).alias("sold_quantity"),
+            F.count(F.when(returned, F.lit(1))).alias("returned_lines"),
+            F.sum(F.when(returned, F.col("Quantity"))).alias("returned_quantity"),
+        )
+    )
+    per_product = F.col("gid") == F.lit(_grouping_id("product"))
+    price = F.col("UnitPrice")
+    return (
+        by_code.join(products, "StockCode")
+        .groupBy(
+            "gid",
+            *_PLACE_KEYS,
+            F.when(per_product, F.col("StockCode")).alias("StockCode"),
+            F.when(per_product, F.col("Description")).alias("Description"),
+        )
+        .agg(
+            F.sum(F.col("sold_quantity") * price).alias("sold_amount"),
+            F.sum("sold_lines").alias("sold_lines"),
+            F.sum("sold_quantity").alias("sold_quantity"),
+            F.sum(F.col("returned_quantity") * price).alias("returned_amount"),
+            F.sum("returned_lines").alias("returned_lines"),
+            F.sum("returned_quantity").alias("returned_quantity"),
+        )
     )
 
 

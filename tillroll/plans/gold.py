@@ -2,11 +2,12 @@
 
 Strategies (``strategy=``):
 
-* ``"one_pass"`` (default) - the joined lines go through a single
-  ``GROUPING SETS`` aggregation that yields all four marts' measures; only
-  that small result (one row per country, product and day) is written to the
-  shared scratch folder (``spark.checkpoint.dir``) and cut into the marts.
-  The line-level join runs once and no line-level data is written.
+* ``"one_pass"`` (default) - the lines, joined to their orders, go through a
+  single ``GROUPING SETS`` aggregation per stock code; its partial rows meet
+  the products and are added up to all four marts' measures. Only that small
+  result (one row per country, product and day) is written to the shared
+  scratch folder (``spark.checkpoint.dir``) and cut into the marts. The
+  line-level join runs once, and no line is written or shuffled by stock code.
 * ``"reuse_sales"`` - the mart columns of the joined lines are written once
   as Parquet and the four marts aggregate that (column-pruned) copy.
 * ``"recompute"`` - each mart re-runs both joins (the original job's plan;
@@ -50,10 +51,10 @@ def build_marts(
     """The four marts from the silver lines, orders and product master."""
     if strategy not in STRATEGIES:
         raise ValueError(f"strategy must be one of {STRATEGIES}, got {strategy!r}")
-    sales = marts.sales_lines(lines, orders, products).select(*marts.MART_INPUT_COLUMNS)
     if strategy == "one_pass":
-        measures = materialize(marts.mart_measures(sales), "mart-measures")
+        measures = materialize(marts.mart_measures(lines, orders, products), "mart-measures")
         return marts.marts_from_measures(measures)
+    sales = marts.sales_lines(lines, orders, products).select(*marts.MART_INPUT_COLUMNS)
     if strategy == "reuse_sales":
         sales = materialize(sales, "sales")
     return marts.all_marts(sales)

@@ -23,7 +23,10 @@ PART_MOD = 200
 QUANTITY_MOD = 1000
 CUSTOMER_NULL_MOD = 7
 CANCEL_MOD = 5
+REPEATED_INVOICE = 7
+PADDED_LINE_CODE = 15
 DUPLICATE_PRICE_MOD = 3
+OTHER_DESCRIPTION_MOD = 6
 LONG_DESCRIPTION_MOD = 4
 LONG_DESCRIPTION_SUFFIX = " deluxe edition in gift box"
 UNSPECIFIED_NATION = "NATION_24"
@@ -137,10 +140,14 @@ def _orders_with_nation(spark: SparkSession, sf_dir: str) -> DataFrame:
 def products_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     """StockCode, Description, UnitPrice; parts with key % 3 == 0 get a second
     row with the list price one unit higher (the planted bad prices apply to
-    both rows), so the product master's mean matters."""
+    both rows), so the product master's mean matters. For keys % 6 == 0 that
+    row has another description, so its choice matters too."""
     part = _table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_retailprice")
     k = F.col("p_partkey")
-    second = part.filter(k % DUPLICATE_PRICE_MOD == 0).withColumn("p_retailprice", F.col("p_retailprice") + 1.0)
+    other_name = F.when(k % OTHER_DESCRIPTION_MOD == 0, F.concat(F.lit("A "), F.col("p_name"))).otherwise(F.col("p_name"))
+    second = part.filter(k % DUPLICATE_PRICE_MOD == 0).withColumns(
+        {"p_retailprice": F.col("p_retailprice") + 1.0, "p_name": other_name}
+    )
     return part.unionByName(second).select(
         _stock_code(k, padded=True).alias("StockCode"),
         _description(k, F.col("p_name")).alias("Description"),
@@ -149,9 +156,12 @@ def products_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def orders_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """InvoiceNo, InvoiceDate (text), CustomerID (double), Country."""
+    """InvoiceNo, InvoiceDate (text), CustomerID (double), Country; orders with
+    key % 500 == 7 come twice, so their lines fan out."""
     o = F.col("o_orderkey")
-    return _orders_with_nation(spark, sf_dir).select(
+    copies = F.when(o % ORDER_MOD == REPEATED_INVOICE, F.lit(2)).otherwise(F.lit(1))
+    orders = _orders_with_nation(spark, sf_dir).withColumn("_copy", F.explode(F.sequence(F.lit(1), copies)))
+    return orders.select(
         _invoice_no(o, F.col("o_orderstatus")).alias("InvoiceNo"),
         _date_text(o, F.col("o_orderdate")).alias("InvoiceDate"),
         _customer_id(o, F.col("o_custkey")).alias("CustomerID"),
@@ -160,16 +170,19 @@ def orders_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def lines_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """InvoiceNo, StockCode (not padded), Quantity (int)."""
+    """InvoiceNo, StockCode, Quantity (int). Codes are not padded but for second
+    lines of parts with key % 200 == 15; these match no product."""
     line = _table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_linenumber", "l_quantity", "l_returnflag", "l_linestatus"
     )
     status = _table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus")
     joined = line.join(status, F.col("l_orderkey") == F.col("o_orderkey"), "left")
     o = F.col("l_orderkey")
+    code = _stock_code(F.col("l_partkey"), padded=False)
+    padded = (F.col("l_partkey") % PART_MOD == PADDED_LINE_CODE) & (F.col("l_linenumber") == 2)
     return joined.select(
         _invoice_no(o, F.col("o_orderstatus")).alias("InvoiceNo"),
-        _stock_code(F.col("l_partkey"), padded=False).alias("StockCode"),
+        F.when(padded, F.concat(F.lit(" "), code, F.lit(" "))).otherwise(code).alias("StockCode"),
         _quantity(
             o, F.col("l_linenumber"), F.col("l_quantity"), F.col("l_returnflag"), F.col("l_linestatus")
         ).alias("Quantity"),

@@ -4,7 +4,9 @@ Join plan. ``lines`` is the fact table and is the only frame whose size is
 in the order of the input; ``orders`` is large as well, ``products`` is one
 row per stock code. The line/order join is a shuffle join on ``InvoiceNo``;
 with adaptive execution on, a hot invoice is split across tasks by the
-skew-join rule instead of landing on one task. The product join is broadcast
+skew-join rule instead of landing on one task. ``mart_measures`` meets the
+products only after adding lines up per stock code; ``sales_lines``, which
+returns the lines themselves, joins them line by line. A product join is broadcast
 only under a size bound: with the session settings of ``tillroll.session``
 (static auto-broadcast off) adaptive execution converts the shuffle join once
 the product master's measured size is under its threshold.

@@ -82,3 +82,16 @@ def test_licenses_found_and_confirmed(spark):
     assert out[3] == out[4] == out[5] == out[6] == []
     assert out[7] == [("CC-BY-NC-4.0", 0), ("Apache-2.0", 0)]
     assert licenses.scan_licenses(df.limit(0)).count() == 0
+
+
+def _licenses(spark, texts, templates=licenses.TEMPLATES):
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    rows = {r["doc_id"]: r["licenses"] for r in licenses.scan_licenses(df, templates=templates).collect()}
+    return [[(x["license"], x["differing_words"]) for x in rows[i]] for i in range(len(texts))]
+
+
+def test_statement_inside_a_paragraph_of_one_line(spark):
+    before = "The harbour was quiet that morning and the boats lay in long rows along the eastern quay, he said. "
+    after = " Nobody could remember when the last of the painters had left the village for the northern towns."
+    texts = [before + statement + after for _, statement in licenses.TEMPLATES]
+    assert _licenses(spark, texts) == [[(name, 0)] for name, _ in licenses.TEMPLATES]

@@ -3,8 +3,9 @@
 Candidate blocks (the lines of a text that hold a license word, and the lines
 after them up to the longest template's size) are compressed alone and with
 each license template as a zstandard raw-content dictionary. The saving against
-the plain size ranks the templates; the best ones are then confirmed by exact
-comparison of words: the differing words between the template and the block's
+the plain size only ranks the templates (beside prose it is small for a
+word-for-word statement too); the best ones are then accepted or rejected by
+exact comparison of words: the differing words between the template and the block's
 best matching stretch, as inserted, deleted and replaced words.
 """
 
@@ -33,7 +34,6 @@ TEMPLATES = (
     ("All-rights-reserved", "Copyright. All rights reserved."),
 )
 HINT = r"(?i)licen[cs]e|copyright|creative commons|\bCC[ -]BY\b|rights reserved|redistribution|copying"
-MIN_SAVING = 0.25
 MAX_DIFFERENCE = 0.25
 FINALISTS = 3
 _WORD = re.compile(r"[^\W_]+(?:[.-][^\W_]+)*")
@@ -101,8 +101,6 @@ def scan_text(text: str, templates: tuple[tuple[str, str], ...]) -> list[dict]:
         ranked = sorted(zip(savings(block, templates), range(len(templates))), key=lambda x: (-x[0], x[1]))
         best = None
         for saving, k in ranked[:FINALISTS]:
-            if saving < MIN_SAVING:
-                break
             differ, total = differences(templates[k][1], block)
             if differ <= MAX_DIFFERENCE * total and (best is None or differ / total < best[0]):
                 best = (differ / total, k, saving, differ)

@@ -95,3 +95,36 @@ def test_statement_inside_a_paragraph_of_one_line(spark):
     after = " Nobody could remember when the last of the painters had left the village for the northern towns."
     texts = [before + statement + after for _, statement in licenses.TEMPLATES]
     assert _licenses(spark, texts) == [[(name, 0)] for name, _ in licenses.TEMPLATES]
+
+
+def test_every_statement_of_a_line_is_listed(spark):
+    texts = [
+        "Released under the MIT License. Licensed under CC BY-NC 4.0.",
+        "Released under the MIT License. Under the MIT License, Released under the MIT License.",
+    ]
+    got = _licenses(spark, texts)
+    assert got[0] == [("MIT", 0), ("CC-BY-NC-4.0", 0)]
+    assert got[1] == [("MIT", 0), ("MIT", 1), ("MIT", 0)]
+    # overlapping stretches: the fewest differences, then the longer template
+    longer = ("MIT-long", "Released under the MIT License. Use it freely.")
+    both = (*licenses.TEMPLATES, longer)
+    assert _licenses(spark, [longer[1], "Released under the MIT License."], both) == [[("MIT-long", 0)], [("MIT", 0)]]
+
+
+def test_differences_equal_brute_force():
+    rng = np.random.default_rng(8)
+
+    def distance(x, y):
+        row = list(range(len(y) + 1))
+        for i, a in enumerate(x, 1):
+            old, row = row, [i]
+            for j, b in enumerate(y, 1):
+                row.append(min(old[j] + 1, row[-1] + 1, old[j - 1] + (a != b)))
+        return row[-1]
+
+    for _ in range(60):
+        want, have = rng.integers(1, 5, rng.integers(1, 7)), rng.integers(0, 5, rng.integers(0, 12))
+        differ, start = licenses.differences(want, have)
+        for stop in range(len(have) + 1):
+            each = [distance(want, have[a:stop]) for a in range(stop + 1)]
+            assert differ[stop] == min(each) and start[stop] == max(a for a, d in enumerate(each) if d == min(each))

@@ -5,17 +5,20 @@ after them up to the longest template's size) are compressed alone and with
 each license template as a zstandard raw-content dictionary. The saving against
 the plain size only ranks the templates (beside prose it is small for a
 word-for-word statement too); the best ones are then accepted or rejected by
-exact comparison of words: the differing words between the template and the block's
-best matching stretch, as inserted, deleted and replaced words.
+exact comparison of words: the differing words between the template and the
+best matching stretches of the block, as inserted, deleted and replaced words.
+Every confirmed stretch is given out; of overlapping ones the one with the
+smallest share of differing words stays.
 """
 
 from __future__ import annotations
 
-import difflib
 import re
+from bisect import bisect_right
 from collections.abc import Iterator, Sequence
 from functools import lru_cache
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -35,7 +38,6 @@ TEMPLATES = (
 )
 HINT = r"(?i)licen[cs]e|copyright|creative commons|\bCC[ -]BY\b|rights reserved|redistribution|copying"
 MAX_DIFFERENCE = 0.25
-FINALISTS = 3
 _WORD = re.compile(r"[^\W_]+(?:[.-][^\W_]+)*")
 
 
@@ -65,19 +67,53 @@ def savings(block: str, templates: tuple[tuple[str, str], ...]) -> list[float]:
     return [1 - len(c.compress(raw)) / alone for c in with_template]
 
 
-def differences(template: str, block: str) -> tuple[int, int]:
-    """``(differing words, template words)`` against the best stretch of the block."""
-    want, have = _words(template), _words(block)
-    matcher = difflib.SequenceMatcher(None, want, have, autojunk=False)
-    matched = [b for b in matcher.get_matching_blocks() if b.size]
-    if not matched:
-        return len(want), len(want)
-    # one stretch as long as the template, placed by its longest common run
-    anchor = max(matched, key=lambda b: b.size)
-    start = max(0, anchor.b - anchor.a)
-    stretch = have[start : start + len(want)]
-    ops = difflib.SequenceMatcher(None, want, stretch, autojunk=False).get_opcodes()
-    return sum(max(b - a, d - c) for kind, a, b, c, d in ops if kind != "equal"), len(want)
+@lru_cache(maxsize=4)
+def _coded(templates: tuple[tuple[str, str], ...]) -> tuple[dict[str, int], list[np.ndarray]]:
+    """Numbers of all template words (from 1), and each template in them."""
+    numbers: dict[str, int] = {}
+    coded = [np.array([numbers.setdefault(w, len(numbers) + 1) for w in _words(t)], np.int64) for _, t in templates]
+    return numbers, coded
+
+
+def differences(want: np.ndarray, have: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For every end in ``have`` the fewest differing words of a stretch that
+    ends there, and that stretch's start (the latest of equal ones)."""
+    step = len(have) + 1
+    ramp = np.arange(step) * step
+    # differing words * step - start: one minimum compares both
+    cost = -np.arange(step)
+    for word in want.tolist():
+        row = cost + step
+        np.minimum(row[1:], cost[:-1] + np.where(have == word, 0, step), out=row[1:])
+        cost = np.minimum.accumulate(row - ramp) + ramp
+    differ = -(-cost // step)
+    return differ, differ * step - cost
+
+
+def stretches(have: np.ndarray, lo: int, hi: int, last: int, coded: list[np.ndarray], order: list[int]) -> list[tuple[int, int, int, int]]:
+    """``(start, stop, template, differing words)`` of all confirmed stretches
+    in ``have[lo:hi]`` that start up to ``last``, without overlaps."""
+    found = []
+    for rank, k in enumerate(order):
+        n = len(coded[k])
+        limit = int(MAX_DIFFERENCE * n)
+        if not n or int(np.isin(coded[k], have[lo:hi]).sum()) < n - limit:
+            continue  # each absent word is a difference
+        differ, start = differences(coded[k], have[lo:hi])
+        for stop in np.flatnonzero(differ <= limit).tolist():
+            a, d = int(start[stop]), int(differ[stop])
+            if lo + a <= last:
+                found.append((d / n, -n, rank, abs(stop - a - n), lo + a, lo + stop, k, d))
+    taken: list[tuple[int, int, int, int]] = []
+    for *_, a, b, k, d in sorted(found):
+        at = bisect_right(taken, (a, b, k, d))
+        if (at == 0 or taken[at - 1][1] <= a) and (at == len(taken) or b <= taken[at][0]):
+            taken.insert(at, (a, b, k, d))
+    if not taken or len(taken) == len(found):
+        return taken
+    # a stretch that overlapped may have a shorter form beside those taken
+    edges = [lo, *[e for a, b, _, _ in taken for e in (a, b)], hi]
+    return sorted(taken + [x for a, b in zip(edges[::2], edges[1::2]) if b > a for x in stretches(have, a, b, last, coded, order)])
 
 
 def blocks(text: str, size: int) -> Iterator[tuple[int, str]]:
@@ -95,18 +131,24 @@ def blocks(text: str, size: int) -> Iterator[tuple[int, str]]:
 
 
 def scan_text(text: str, templates: tuple[tuple[str, str], ...]) -> list[dict]:
-    size = max(len(t) for _, t in templates)
+    size = max((len(t) for _, t in templates), default=0)
+    numbers, coded = _coded(templates)
     out = []
     for start, block in blocks(text, size):
-        ranked = sorted(zip(savings(block, templates), range(len(templates))), key=lambda x: (-x[0], x[1]))
-        best = None
-        for saving, k in ranked[:FINALISTS]:
-            differ, total = differences(templates[k][1], block)
-            if differ <= MAX_DIFFERENCE * total and (best is None or differ / total < best[0]):
-                best = (differ / total, k, saving, differ)
-        if best:
-            _, k, saving, differ = best
-            out.append({"license": templates[k][0], "start": start, "stop": start + len(block), "saving": saving, "differing_words": differ})
+        spans = [m.span() for m in _WORD.finditer(block)]
+        have = np.array([numbers.get(block[a:b].lower(), 0) for a, b in spans], np.int64)
+        saving = savings(block, templates)
+        order = sorted(range(len(templates)), key=lambda k: (-saving[k], k))
+        for a, b, k, differ in stretches(have, 0, len(have), len(have), coded, order):
+            out.append(
+                {
+                    "license": templates[k][0],
+                    "start": start + spans[a][0],
+                    "stop": start + spans[b - 1][1],
+                    "saving": saving[k],
+                    "differing_words": differ,
+                }
+            )
     return out
 
 
@@ -123,7 +165,7 @@ def _scan(batches: Iterator[pa.RecordBatch], templates: tuple[tuple[str, str], .
 
 
 def scan_licenses(docs: DataFrame, text_col: str = "text", templates: Sequence[tuple[str, str]] = TEMPLATES) -> DataFrame:
-    """``docs`` with ``licenses``: the blocks found, in text order.
+    """``docs`` with ``licenses``: the stretches found, in text order.
 
     Texts without a license word (null and empty ones among them) get an empty
     list without leaving the JVM's filter; whole texts are searched. Repeated

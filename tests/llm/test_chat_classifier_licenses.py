@@ -128,3 +128,26 @@ def test_differences_equal_brute_force():
         for stop in range(len(have) + 1):
             each = [distance(want, have[a:stop]) for a in range(stop + 1)]
             assert differ[stop] == min(each) and start[stop] == max(a for a, d in enumerate(each) if d == min(each))
+
+
+def test_wrapped_statements_and_templates_of_several_lines(spark):
+    prose = "The boats lay in long rows along the eastern quay.\n" * 5
+    wrapped = [
+        "Licensed under the Creative Commons\nAttribution 4.0 International License.",
+        "# This work is licensed under\n# the GNU General Public License,\n# version 3.",
+        "All rights\n * reserved.",
+    ]
+    got = _licenses(spark, [prose + t + "\n" + prose for t in wrapped])
+    assert got == [[("CC-BY-4.0", 0)], [("GPL-3.0", 0)], [("All-rights-reserved", 1)]]
+
+    lines = [" ".join(f"w{10 * i + j}" for j in range(10)) for i in range(30)]
+    full = "Permission is granted to copy this text, provided that\n" + "\n".join(lines) + "\nstays in all copies of the License."
+    text = prose + full.replace("w77 ", "").replace("w200", "other") + "\n" + prose
+    assert _licenses(spark, [text, prose + "a License\n" + prose], [("own", full), *licenses.TEMPLATES]) == [[("own", 2)], []]
+
+
+def test_blocks_of_many_statements(spark):
+    # one long line, and long rows of license words: several blocks
+    names = [name for name, _ in licenses.TEMPLATES]
+    line = " ".join(statement for _, statement in licenses.TEMPLATES)
+    assert _licenses(spark, [" ".join([line] * 20), "license " * 3000 + line]) == [[(n, 0) for n in names * 20], [(n, 0) for n in names]]

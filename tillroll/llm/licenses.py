@@ -1,7 +1,8 @@
 """License scans by conditional compression.
 
-Candidate blocks (the lines of a text that hold a license word, and the lines
-after them up to the longest template's size) are compressed alone and with
+Candidate blocks (the words around a license word, on both sides as many as the
+longest stretch that can be accepted has; line breaks and marks of comments are
+white space) are compressed alone and with
 each license template as a zstandard raw-content dictionary. The saving against
 the plain size only ranks the templates (beside prose it is small for a
 word-for-word statement too); the best ones are then accepted or rejected by
@@ -36,8 +37,9 @@ TEMPLATES = (
     ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."),
     ("All-rights-reserved", "Copyright. All rights reserved."),
 )
-HINT = r"(?i)licen[cs]e|copyright|creative commons|\bCC[ -]BY\b|rights reserved|redistribution|copying"
+HINT = r"(?i)licen[cs]e|copyright|creative\W+commons|\bCC\W+BY\b|rights\W+reserved|redistribution|copying"
 MAX_DIFFERENCE = 0.25
+BLOCK_REACHES = 8  # a longer row of license words is more than one block
 _WORD = re.compile(r"[^\W_]+(?:[.-][^\W_]+)*")
 
 
@@ -90,9 +92,9 @@ def differences(want: np.ndarray, have: np.ndarray) -> tuple[np.ndarray, np.ndar
     return differ, differ * step - cost
 
 
-def stretches(have: np.ndarray, lo: int, hi: int, last: int, coded: list[np.ndarray], order: list[int]) -> list[tuple[int, int, int, int]]:
+def stretches(have: np.ndarray, lo: int, hi: int, coded: list[np.ndarray], order: list[int]) -> list[tuple[int, int, int, int]]:
     """``(start, stop, template, differing words)`` of all confirmed stretches
-    in ``have[lo:hi]`` that start up to ``last``, without overlaps."""
+    in ``have[lo:hi]``, without overlaps."""
     found = []
     for rank, k in enumerate(order):
         n = len(coded[k])
@@ -102,8 +104,7 @@ def stretches(have: np.ndarray, lo: int, hi: int, last: int, coded: list[np.ndar
         differ, start = differences(coded[k], have[lo:hi])
         for stop in np.flatnonzero(differ <= limit).tolist():
             a, d = int(start[stop]), int(differ[stop])
-            if lo + a <= last:
-                found.append((d / n, -n, rank, abs(stop - a - n), lo + a, lo + stop, k, d))
+            found.append((d / n, -n, rank, abs(stop - a - n), lo + a, lo + stop, k, d))
     taken: list[tuple[int, int, int, int]] = []
     for *_, a, b, k, d in sorted(found):
         at = bisect_right(taken, (a, b, k, d))
@@ -113,42 +114,59 @@ def stretches(have: np.ndarray, lo: int, hi: int, last: int, coded: list[np.ndar
         return taken
     # a stretch that overlapped may have a shorter form beside those taken
     edges = [lo, *[e for a, b, _, _ in taken for e in (a, b)], hi]
-    return sorted(taken + [x for a, b in zip(edges[::2], edges[1::2]) if b > a for x in stretches(have, a, b, last, coded, order)])
-
-
-def blocks(text: str, size: int) -> Iterator[tuple[int, str]]:
-    """``(start, block)``: pieces around license words, of at most ``size``
-    characters before and after them, cut at line ends where these are near."""
-    last = -1
-    for hint in re.finditer(HINT, text):
-        if hint.start() < last:
-            continue
-        start = max(text.rfind("\n", max(0, hint.start() - size), hint.start()) + 1, hint.start() - size, 0)
-        end = text.find("\n", hint.end(), hint.end() + size)
-        end = end if end >= 0 else min(len(text), hint.end() + size)
-        last = end
-        yield start, text[start:end]
+    return sorted(taken + [x for a, b in zip(edges[::2], edges[1::2]) if b > a for x in stretches(have, a, b, coded, order)])
+
+
+def blocks(hints: Sequence[int], reach: int, n_words: int) -> Iterator[tuple[int, int, int]]:
+    """``(lo, hi, last)``: word ranges around license words (by word number),
+    of ``reach`` words before the first and after the last one. Hints with
+    common words share a block. In a long row of hints a block ends early: the
+    stretches that start after its word ``last`` are left to the next block,
+    but those that overlap earlier ones are in sight."""
+    i, begin = 0, 0
+    while i < len(hints):
+        lo = max(hints[i] - reach, begin)
+        while i + 1 < len(hints) and hints[i + 1] - hints[i] <= 2 * reach and hints[i + 1] - lo <= BLOCK_REACHES * reach:
+            i += 1
+        goes_on = i + 1 < len(hints) and hints[i + 1] - hints[i] <= 2 * reach
+        hi = min(hints[i] + (2 if goes_on else 1) * reach + 1, n_words)
+        last = hints[i] if goes_on else hi
+        yield lo, hi, last
+        begin = last + 1 if goes_on else hi
+        i += 1
 
 
 def scan_text(text: str, templates: tuple[tuple[str, str], ...]) -> list[dict]:
-    size = max((len(t) for _, t in templates), default=0)
+    hints = [m.start() for m in re.finditer(HINT, text)]
+    if not hints:
+        return []
     numbers, coded = _coded(templates)
-    out = []
-    for start, block in blocks(text, size):
-        spans = [m.span() for m in _WORD.finditer(block)]
-        have = np.array([numbers.get(block[a:b].lower(), 0) for a, b in spans], np.int64)
-        saving = savings(block, templates)
+    reach = int((1 + MAX_DIFFERENCE) * max(map(len, coded), default=0))
+    starts, ends, have = np.fromiter(
+        ((m.start(), m.end(), numbers.get(m.group().lower(), 0)) for m in _WORD.finditer(text)), np.dtype((np.int64, 3))
+    ).T
+    out: list[dict] = []
+    done = 0
+    at = (np.searchsorted(starts, hints, side="right") - 1).tolist()
+    for lo, hi, last in blocks(at, reach, len(have)):
+        lo = max(lo, done)
+        if lo >= hi:
+            continue
+        saving = savings(text[starts[lo] : ends[hi - 1]], templates)
         order = sorted(range(len(templates)), key=lambda k: (-saving[k], k))
-        for a, b, k, differ in stretches(have, 0, len(have), len(have), coded, order):
+        for a, b, k, differ in stretches(have, lo, hi, coded, order):
+            if a > last:
+                break
             out.append(
                 {
                     "license": templates[k][0],
-                    "start": start + spans[a][0],
-                    "stop": start + spans[b - 1][1],
+                    "start": int(starts[a]),
+                    "stop": int(ends[b - 1]),
                     "saving": saving[k],
                     "differing_words": differ,
                 }
             )
+            done = b
     return out
 
 

@@ -93,3 +93,28 @@ def test_estimate_agrees_with_similarity(spark):
     df = spark.createDataFrame([(marks[0].tolist(), marks[1].tolist())], "a array<bigint>, b array<bigint>")
     native = df.select(near_dedup.estimate("a", "b").alias("e")).first()["e"]
     assert np.isclose(native, near_dedup._estimates(marks[0], marks[1:])[0])
+
+
+def test_buckets_split_into_cells(spark, monkeypatch):
+    # the same groups when every bucket is a grid of cells
+    monkeypatch.setattr(near_dedup, "CELL", 2)
+    texts = _corpus(11)
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r["doc_id"]: r["component_id"] for r in near_dedup.link_documents(df).collect()}
+    assert got == dict(enumerate(_components(range(len(texts)), _sets(texts))))
+
+
+def test_no_cell_grows_with_its_bucket(spark, monkeypatch):
+    from pyspark.sql import functions as F
+
+    monkeypatch.setattr(near_dedup, "CELL", 16)
+    # bucket 5: a component of 400 texts and 40 outsiders; bucket 6: one component
+    name = lambda i: i.to_bytes(4, "big")
+    found = spark.createDataFrame([(name(i), [5 if i < 440 else 6]) for i in range(600)], "node binary, bands array<bigint>")
+    labels = spark.createDataFrame([(name(i), name(0 if i < 400 else 500)) for i in [*range(400), *range(440, 600)]], "node binary, label binary")
+    cells = near_dedup._cells(near_dedup._seats(found, labels), labels)
+    largest = cells.groupBy("cell").count().agg(F.max("count")).first()[0]
+    assert largest <= 4 * 16
+    left, right = cells.filter("is_left").alias("l"), cells.filter("is_member").alias("r")
+    met = left.join(right, "cell").select("l.node", F.col("r.node").alias("other"))
+    assert met.count() == met.distinct().count() == 40 * 440

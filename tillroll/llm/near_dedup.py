@@ -16,10 +16,12 @@ groups are the connected components of these links.
    the threshold (4.5 standard errors) go. The rest are confirmed on full sets.
 4. Components come from iterated minimum labels. Buckets that still hold
    several components are searched again for pairs *between* components, by
-   the same signatures: first each outsider's most similar text, then, in
-   rounds of growing ranks, whichever texts are still in other components.
-   Confirmed links join the others after each round. Groups close up after a
-   round or two, so few pairs are left to confirm, yet none is left out.
+   the same signatures: first each outsider's most similar text of every other
+   component, then, in rounds of growing shares of the pairs, whichever pairs
+   are still in different components. Confirmed links join the others after
+   each round. Groups close up after a round or two, so few pairs are left to
+   confirm, yet none is left out. A bucket is searched in cells of about a
+   thousand outsiders by a thousand members, whatever its size.
 """
 
 from __future__ import annotations
@@ -34,7 +36,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tillroll.llm import textkit
-from tillroll.llm.repeats import key_slabs
+from tillroll.llm.repeats import join_hot, key_slabs
 from tillroll.session import materialize
 
 SHINGLE_WORDS = 5
@@ -45,7 +47,9 @@ BITS = 4
 BANDED = BANDS * ROWS
 MINIMA = 512
 SIGNATURE_WORDS = MINIMA * BITS // 64
-RANK_GROWTH = 8
+CELL = 1024
+# After the round of best partners: pairs by hash, in shares of 64.
+SHARES = ((0, 8), (8, 64))
 # 4.5 standard errors of the estimate at the threshold (missed with 3e-6),
 # where 4-bit fields agree with probability 1/16 + 15/16 * 0.75.
 _AGREE = 1 / 16 + 15 / 16 * 0.75
@@ -183,42 +187,79 @@ def _confirm(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.Rec
             yield out
 
 
-def _between(batches: Iterator[pa.RecordBatch], floor: float, low: int, high: int) -> Iterator[pa.RecordBatch]:
-    """Pairs of likely similar texts of different components in one bucket.
+def _between(batches: Iterator[pa.RecordBatch], floor: float, share: tuple[int, int] | None) -> Iterator[pa.RecordBatch]:
+    """Pairs of likely similar texts of different components in one cell.
 
-    Every text outside the bucket's largest first component ranks the bucket's
-    other texts by estimate; those of ranks ``low`` to ``high - 1`` whose
-    component still differs are given out. The ranks depend on the bucket alone,
-    so rounds of growing ranks meet every pair once. A text with such partners
-    at later ranks comes out paired with itself.
+    A pair is given out in the first bucket its texts share. Without ``share``
+    these are, for every outsider and other component, the best partner of the
+    cell; with it the pairs whose hash falls into that share. Pairs that are
+    left for later rounds are reported by one text paired with itself.
     """
-    for slab in key_slabs(batches, "band", 4096):
-        bands = slab.column("band").to_numpy()
-        nodes, labels = slab.column("node").combine_chunks(), slab.column("label").to_pylist()
-        firsts = slab.column("first").to_pylist()
+    later = share is None or share[1] < 64
+    for slab in key_slabs(batches, "cell", 4096):
+        cells = slab.column("cell").to_numpy()
+        pos = slab.column("pos").to_numpy()
+        nodes = slab.column("node").to_pylist()
+        names = {v: i for i, v in enumerate(set(slab.column("label").to_pylist()))}
+        labels = slab.column("label").to_pylist()
+        group = np.array([names[v] for v in labels])
+        is_left, is_member, outsider = (slab.column(c).to_numpy().astype(bool) for c in ("is_left", "is_member", "outsider"))
         marks = np.array(slab.column("marks").combine_chunks().flatten().to_numpy()).reshape(-1, SIGNATURE_WORDS)
-        heads = np.flatnonzero(np.concatenate([[True], bands[1:] != bands[:-1]])).tolist() + [len(bands)]
+        bands = np.array(slab.column("bands").combine_chunks().flatten().to_numpy()).reshape(-1, BANDS)
+        heads = np.flatnonzero(np.concatenate([[True], cells[1:] != cells[:-1]])).tolist() + [len(cells)]
+        left, right, scores, waiting = [], [], [], None
         for x, y in zip(heads, heads[1:]):
-            order = np.array(sorted(range(x, y), key=lambda i: nodes[i].as_py()))
-            names = {v: i for i, v in enumerate(sorted(set(firsts[x:y]) | set(labels[x:y])))}
-            group = np.array([names[labels[i]] for i in order])
-            start = np.array([names[firsts[i]] for i in order])
-            largest = int(np.bincount(start).argmax())
-            left, right = [], []
-            for i in np.flatnonzero(start != largest).tolist():
-                score = _estimates(marks[order[i]], marks[order])
-                score[i] = -1
-                likely = np.flatnonzero(score >= floor)
-                likely = likely[np.argsort(-score[likely], kind="stable")]
-                now, later = likely[low:high], likely[high:]
-                now = now[group[now] != group[i]]
-                left += [order[i]] * len(now)
-                right += order[now].tolist()
-                if (group[later] != group[i]).any():
-                    left.append(order[i])
-                    right.append(order[i])
-            if left:
-                yield pa.RecordBatch.from_arrays([nodes.take(pa.array(left)), nodes.take(pa.array(right))], ["a", "b"])
+            members = x + np.flatnonzero(is_member[x:y])
+            for i in (x + np.flatnonzero(is_left[x:y])).tolist():
+                other = members[group[members] != group[i]]
+                if not len(other):
+                    continue
+                score = _estimates(marks[i], marks[other])
+                likely = score >= floor
+                other, score = other[likely], score[likely]
+                if not len(other):
+                    continue
+                common = bands[other] == bands[i]
+                keep = common[:, pos[i]] & (common.argmax(axis=1) == pos[i])
+                # two outsiders meet in both directions
+                keep &= np.fromiter((not outsider[j] or nodes[i] < nodes[j] for j in other.tolist()), bool, len(other))
+                other, score = other[keep], score[keep]
+                if not len(other):
+                    continue
+                if share is None:
+                    order = np.lexsort((-score, group[other]))
+                    best = order[np.concatenate([[True], np.diff(group[other][order]) != 0])]
+                    if len(best) < len(other):
+                        waiting = i
+                    other, score = other[best], score[best]
+                else:
+                    place = np.array([_place(nodes[i], nodes[j]) for j in other.tolist()])
+                    if (place >= share[1]).any():
+                        waiting = i
+                    now = (place >= share[0]) & (place < share[1])
+                    other, score = other[now], score[now]
+                left += [i] * len(other)
+                right += other.tolist()
+                scores += score.tolist()
+        if later and waiting is not None:
+            left.append(waiting)
+            right.append(waiting)
+            scores.append(0.0)
+        if left:
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array([nodes[i] for i in left], pa.binary()),
+                    pa.array([nodes[j] for j in right], pa.binary()),
+                    pa.array([labels[j] for j in right], pa.binary()),
+                    pa.array(scores, pa.float64()),
+                ],
+                ["a", "b", "label", "score"],
+            )
+
+
+def _place(a: bytes, b: bytes) -> int:
+    """0 to 63 by the hash of a pair; the texts' keys are hashes already."""
+    return (a[0] ^ b[0]) & 63
 
 
 def components(edges: DataFrame, name: str = "components") -> DataFrame:
@@ -272,6 +313,83 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return pairs.join(left, "a").join(right, "b").mapInArrow(lambda it: _confirm(it, percent), "a binary, b binary")
 
 
+def _seats(found: DataFrame, labels: DataFrame) -> DataFrame:
+    """The places ``(band, pos, node)`` of all buckets that hold several
+    components, with the bucket's numbers of cells. Texts outside the bucket's
+    largest component are its outsiders."""
+    first = labels.select("node", F.col("label").alias("first"))
+    placed = (
+        found.select("node", F.posexplode("bands").alias("pos", "band"))
+        .join(first, "node", "left")
+        .withColumn("first", F.coalesce("first", "node"))
+    )
+    buckets = (
+        placed.groupBy("band", "first")
+        .agg(F.count(F.lit(1)).alias("n"))
+        .groupBy("band")
+        .agg(F.max(F.struct("n", "first")).alias("largest"), F.sum("n").alias("n"))
+        .filter("n > largest.n")
+        .select(
+            "band",
+            F.col("largest.first").alias("largest"),
+            F.ceil(F.col("n") / CELL).alias("member_cells"),
+            F.ceil((F.col("n") - F.col("largest.n")) / CELL).alias("outsider_cells"),
+        )
+    )
+    return join_hot(placed, buckets, ["band"]).select(
+        "band", "pos", "node", "member_cells", "outsider_cells", (F.col("first") != F.col("largest")).alias("outsider")
+    )
+
+
+def _cells(seats: DataFrame, labels: DataFrame) -> DataFrame:
+    """The seats under the cells they are compared in.
+
+    The cells of a bucket are a grid of parts of its outsiders and parts of its
+    members. An outsider goes to all cells of its row and a member to all of
+    its column, so each pair meets in one cell and no cell grows with the
+    bucket. Buckets of one component by now are left out.
+    """
+    labelled = seats.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+    mixed = (
+        labelled.groupBy("band").agg(F.min("label").alias("_least"), F.max("label").alias("_most")).filter("_least <> _most").select("band")
+    )
+    own = F.xxhash64("node", "band")
+    cell = lambda i, k: F.struct(i.alias("i"), k.alias("k"))
+    return (
+        join_hot(labelled, mixed, ["band"])
+        .withColumns({"row": F.pmod(own, "outsider_cells"), "column": F.pmod(F.shiftright(own, 20), "member_cells")})
+        .withColumn("as_member", F.transform(F.sequence(F.lit(0).cast("bigint"), F.col("outsider_cells") - 1), lambda i: cell(i, F.col("column"))))
+        .withColumn("as_left", F.transform(F.sequence(F.lit(0).cast("bigint"), F.col("member_cells") - 1), lambda k: cell(F.col("row"), k)))
+        .withColumn("at", F.explode(F.when(F.col("outsider"), F.array_union("as_member", "as_left")).otherwise(F.col("as_member"))))
+        .select(
+            # equal hashes of two cells do no harm: pairs are tested for a common bucket
+            F.xxhash64("band", "at.i", "at.k").alias("cell"),
+            "pos",
+            "node",
+            "label",
+            "outsider",
+            (F.col("at.k") == F.col("column")).alias("is_member"),
+            (F.col("outsider") & (F.col("at.i") == F.col("row"))).alias("is_left"),
+        )
+    )
+
+
+def _across(seats: DataFrame, found: DataFrame, labels: DataFrame, floor: float, share: tuple[int, int] | None) -> DataFrame:
+    """One round of pairs ``(a, b)`` between the present components; ``more``
+    or a text paired with itself tells of pairs left for later rounds."""
+    pairs = (
+        _cells(seats, labels).join(found.select("node", "marks", "bands"), "node")
+        .repartition("cell")
+        .sortWithinPartitions("cell")
+        .mapInArrow(lambda it: _between(it, floor, share), "a binary, b binary, label binary, score double")
+    )
+    if share is None:
+        # n > 1: cells had partners that are not the best of all
+        best = pairs.groupBy("a", "label").agg(F.max(F.struct("score", "b")).alias("best"), F.count(F.lit(1)).alias("n"))
+        return best.select("a", F.col("best.b").alias("b"), (F.col("n") > 1).alias("more"))
+    return pairs.select("a", "b", F.lit(False).alias("more"))
+
+
 def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = LINK_PERCENT) -> DataFrame:
     """One row per distinct text: ``node`` (its key), ``n`` (set size), ``root``
     (least id of its copies), ``component_id`` (least id of its component)."""
@@ -316,37 +434,15 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", per
     links = materialize(_confirmed(likely, sets, percent), "near-links")
     labels = components(links, "near-first")
 
-    first = labels.select("node", F.col("label").alias("first"))
-    low, high = 0, 1
-    while True:
-        labelled = (
-            places.join(labels, "node", "left")
-            .join(first, "node", "left")
-            .withColumns({"label": F.coalesce("label", "node"), "first": F.coalesce("first", "node")})
-        )
-        mixed = (
-            labelled.groupBy("band")
-            .agg(F.min("label").alias("least"), F.max("label").alias("most"))
-            .filter("least <> most")
-            .select(F.bitwise_not("band").alias("_band"))
-        )
-        across = (
-            labelled.join(mixed, F.bitwise_not(F.col("band")) == F.col("_band"))
-            .select("band", "node", "marks", "label", "first")
-            .repartition("band")
-            .sortWithinPartitions("band")
-            .mapInArrow(lambda it, low=low, high=high: _between(it, floor, low, high), "a binary, b binary")
-            .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-            .distinct()
-        )
-        across = materialize(across, "near-across")
+    seats = materialize(_seats(found, labels), "near-seats")
+    for share in (None, *SHARES):
+        across = materialize(_across(seats, found, labels, floor, share), "near-across")
         more = materialize(_confirmed(across.filter("a <> b"), sets, percent), "near-more-links")
         if more.limit(1).count():
             links = links.unionByName(more)
             labels = components(links, "near-next")
-        if not across.filter("a = b").limit(1).count():
+        if not across.filter("a = b OR more").limit(1).count():
             break
-        low, high = high, high * RANK_GROWTH
 
     nodes = features.select("node", "root", "n").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     least = nodes.groupBy("label").agg(F.min("root").alias("component_id"))

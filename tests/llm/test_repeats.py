@@ -85,6 +85,34 @@ def test_maximal_repeats_list_all_occurrences(spark):
     assert len(top) == 3 and {s for _, s in top} == {2}
 
 
+def _listed(spark, texts, spec):
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = {}
+    for r in suffix_dedup.maximal_repeats(df, spec=spec).collect():
+        found.setdefault((r["h"], r["repeat"]), []).append((r["doc"]["doc_id"], r["start"], r["length"]))
+    out = sorted(sorted(x) for x in found.values())
+    assert all(len(set(x)) == len(x) > 1 for x in out)
+    for x in out:
+        assert len({texts[d].encode()[s : s + n] for d, s, n in x}) == 1
+    return out
+
+
+def test_maximal_repeats_of_hot_groups_and_copies(spark):
+    texts = [t or "" for t in _texts(9, "abc")]
+    whole = _listed(spark, texts, suffix_dedup.spec_for(20, 6))
+    assert _listed(spark, texts, suffix_dedup.spec_for(20, 6, 2)) == whole
+    # the listed occurrences cover what is removed, copies included
+    flags = brute.covered([list(t.encode()) for t in texts], 20)
+    covered = [[False] * len(f) for f in flags]
+    for d, s, n in (x for group in whole for x in group):
+        covered[d][s : s + n] = [True] * n
+    assert covered == flags
+
+    # a passage in the copies of one text alone, and every copy of another one
+    alone = _listed(spark, ["only in two copies", "only in two copies", "something else here"], suffix_dedup.spec_for(8, 4))
+    assert alone and all({d for d, _, _ in x} == {0, 1} for x in alone)
+
+
 def test_prefix_intervals():
     # items: a, ab, abc, abd, b  -> lcp 1 2 2 0
     import numpy as np

@@ -17,15 +17,16 @@ covered stretches join again in the text they belong to.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillroll.llm import textkit
-from tillroll.llm.repeats import RepeatSpec, key_slabs, remove_repeats, repeat_frames
+from tillroll.llm.repeats import RepeatSpec, _contexts, _minimisers, join_hot, key_slabs, remove_repeats, repeat_frames
 
 WINDOW_BYTES = 200
 GRAM_BYTES = 40
@@ -139,11 +140,13 @@ def remove_repeated_bytes(docs: DataFrame, text_col: str = "text", spec: RepeatS
 
 def _groups(batches: Iterator[pa.RecordBatch], spec: RepeatSpec) -> Iterator[pa.RecordBatch]:
     for slab in key_slabs(batches, "h", spec.slab_rows):
-        work = _Slab(slab, spec)
-        h, k1, k2 = (slab.column(c).to_numpy() for c in ("h", "k1", "k2"))
-        origin = slab.column("at").to_numpy() >> 16
+        # a context met more than once stands twice, so that it repeats itself
+        own = np.repeat(np.arange(slab.num_rows), np.minimum(slab.column("n").to_numpy(), 2))
+        work = _Slab(slab.take(pa.array(own)), spec)
+        h, c1, c2 = (slab.column(c).to_numpy() for c in ("h", "c1", "c2"))
         seen: dict[int, int] = {}
-        for l, r, rows in work.repeats():
+        for l, r, members in work.repeats():
+            rows = np.unique(own[members])
             key = int(h[rows[0]])
             seen[key] = seen.get(key, 0) + 1
             yield pa.RecordBatch.from_pydict(
@@ -151,27 +154,127 @@ def _groups(batches: Iterator[pa.RecordBatch], spec: RepeatSpec) -> Iterator[pa.
                     "h": h[rows],
                     "repeat": np.full(len(rows), seen[key]),
                     "length": np.full(len(rows), l + r),
-                    "k1": k1[rows],
-                    "k2": k2[rows],
-                    "start": origin[rows] + work.off[rows] - l,
+                    "l": np.full(len(rows), l),
+                    "c1": c1[rows],
+                    "c2": c2[rows],
                 }
             )
 
 
+def _digests(parts: list[bytes]) -> np.ndarray:
+    joined = b"".join(hashlib.blake2b(p, digest_size=16).digest() for p in parts)
+    return np.frombuffer(joined, np.int64).reshape(-1, 2)
+
+
+def _prefixes(batches: Iterator[pa.RecordBatch], spec: RepeatSpec) -> Iterator[pa.RecordBatch]:
+    """Every right prefix of a context that may end a repeat, and the symbol after it (-1 at the end)."""
+    for batch in batches:
+        for h, at, ctx, n, c1, c2 in zip(*(batch.column(c).to_pylist() for c in ("h", "at", "ctx", "n", "c1", "c2"))):
+            right = ctx[at & 255 :]
+            r = np.arange(spec.gram, len(right) + 1)
+            d = _digests([b"%d %d " % (h, x) + right[:x] for x in r.tolist()])
+            beyond = [*right[spec.gram :], -1]
+            yield pa.RecordBatch.from_pydict(
+                {"d1": d[:, 0].copy(), "d2": d[:, 1].copy(), "r": r, "after": pa.array(beyond, pa.int64())}
+                | {k: np.full(len(r), v) for k, v in (("n", n), ("c1", c1), ("c2", c2))}
+            )
+
+
+def _nodes(batches: Iterator[pa.RecordBatch], spec: RepeatSpec) -> Iterator[pa.RecordBatch]:
+    """Every string around the minimiser of at least a window that ends where right sides branch."""
+    for batch in batches:
+        for h, at, ctx, n, c1, c2, ends in zip(*(batch.column(c).to_pylist() for c in ("h", "at", "ctx", "n", "c1", "c2", "ends"))):
+            left, right = ctx[: at & 255][::-1], ctx[at & 255 :]
+            pairs = [(l, r) for r in ends for l in range(max(spec.window - r, 0), len(left) + 1)]
+            if not pairs:
+                continue
+            d = _digests([b"%d %d %d " % (h, l, r) + left[:l] + right[:r] for l, r in pairs])
+            yield pa.RecordBatch.from_pydict(
+                {
+                    "d1": d[:, 0].copy(),
+                    "d2": d[:, 1].copy(),
+                    "h": np.full(len(pairs), h),
+                    "length": pa.array([l + r for l, r in pairs], pa.int64()),
+                    "l": pa.array([l for l, _ in pairs], pa.int64()),
+                    "before": pa.array([left[l] if l < len(left) else -1 for l, _ in pairs], pa.int64()),
+                    "after": pa.array([right[r] if r < len(right) else -1 for _, r in pairs], pa.int64()),
+                    "n": np.full(len(pairs), n),
+                    "c1": np.full(len(pairs), c1),
+                    "c2": np.full(len(pairs), c2),
+                }
+            )
+
+
+def _diverse(column: str) -> Column:
+    """Whether the members disagree in a symbol; an end agrees with nothing."""
+    return (F.min(column) < 0) | (F.min(column) < F.max(column))
+
+
+def _hot_repeats(contexts: DataFrame, spec: RepeatSpec) -> DataFrame:
+    """The repeats of ``_groups`` where a group has too many different contexts
+    for one task: the common-prefix tree by counts of digested strings."""
+    prefixes = contexts.mapInArrow(
+        lambda it: _prefixes(it, spec), "d1 bigint, d2 bigint, r bigint, after bigint, n bigint, c1 bigint, c2 bigint"
+    )
+    branching = prefixes.groupBy("d1", "d2").agg(F.sum("n").alias("_n"), _diverse("after").alias("_ok")).filter("_n > 1 AND _ok")
+    ends = join_hot(prefixes, branching.select("d1", "d2"), ["d1", "d2"]).groupBy("c1", "c2").agg(F.collect_list("r").alias("ends"))
+    nodes = contexts.join(ends, ["c1", "c2"]).mapInArrow(
+        lambda it: _nodes(it, spec),
+        "d1 bigint, d2 bigint, h bigint, length bigint, l bigint, before bigint, after bigint, n bigint, c1 bigint, c2 bigint",
+    )
+    maximal = (
+        nodes.groupBy("d1", "d2")
+        .agg(F.sum("n").alias("_n"), (_diverse("before") & _diverse("after")).alias("_ok"))
+        .filter("_n > 1 AND _ok")
+        .select("d1", "d2")
+    )
+    return join_hot(nodes, maximal, ["d1", "d2"]).select("h", F.col("d1").alias("repeat"), "length", "l", "c1", "c2")
+
+
 def maximal_repeats(docs: DataFrame, text_col: str = "text", spec: RepeatSpec | None = None) -> DataFrame:
     """All occurrences of every maximal repeat inside the runs.
 
-    One row per occurrence: the repeat's id (``h``, ``repeat``), its length,
-    the key of the text and the first byte. Only distinct texts are listed;
-    groups above ``hot_group`` runs have no repeat rows.
+    One row per occurrence in each row of ``docs``, exact copies included: the
+    repeat's id (``h``, ``repeat``), its length, the key of the text, the first
+    byte and ``doc`` (the row's other columns). Equal contexts of a minimiser
+    are compared once; a minimiser with more than ``hot_group`` different ones
+    is counted by digests instead of going to one task.
     """
     spec = spec or spec_for()
-    runs = repeat_frames(docs, text_col, spec, covered_by_suffixes).runs
-    return (
-        runs.repartition("h")
+    frames = repeat_frames(docs, text_col, spec, covered_by_suffixes)
+    texts = frames.texts
+    # Unlike for removal, a minimiser met in the copies of one text alone counts.
+    placed = texts.mapInArrow(lambda it: _minimisers(it, spec, True), "h bigint, k1 bigint, k2 bigint, at bigint")
+    copied = texts.filter("copies > 1").select("k1", "k2", F.lit(2).cast("bigint").alias("n"))
+    weighed = placed.join(copied, ["k1", "k2"], "left").withColumn("n", F.coalesce("n", F.lit(1).cast("bigint")))
+    counts = weighed.groupBy("h").agg(F.sum("n").alias("_n")).filter("_n > 1").select("h")
+    hits = (
+        join_hot(placed, counts, ["h"])
+        .groupBy("k1", "k2")
+        .agg(F.collect_list(F.struct("h", "at", F.lit(False).alias("hot"))).alias("hits"))
+    )
+    runs = texts.join(hits, ["k1", "k2"]).mapInArrow(
+        lambda it: _contexts(it, spec, False), "h bigint, k1 bigint, k2 bigint, at bigint, ctx binary"
+    )
+    off = F.col("at").bitwiseAND(F.lit(255))
+    keyed = runs.withColumns({"c1": F.xxhash64("h", off, "ctx"), "c2": F.xxhash64(F.lit(29), "h", off, "ctx")})
+    contexts = (
+        keyed.join(copied, ["k1", "k2"], "left")
+        .select("h", off.alias("at"), "ctx", "c1", "c2", F.coalesce("n", F.lit(1).cast("bigint")).alias("n"))
+        .groupBy("h", "at", "ctx", "c1", "c2")
+        .agg(F.sum("n").alias("n"))
+    )
+    groups = contexts.groupBy("h").agg((F.count(F.lit(1)) > spec.hot_group).alias("hot"))
+    sized = join_hot(contexts, groups, ["h"])
+    cold = (
+        sized.filter("NOT hot")
+        .repartition("h")
         .sortWithinPartitions("h")
-        .mapInArrow(
-            lambda it: _groups(it, spec),
-            "h bigint, repeat bigint, length bigint, k1 bigint, k2 bigint, start bigint",
-        )
+        .mapInArrow(lambda it: _groups(it, spec), "h bigint, repeat bigint, length bigint, l bigint, c1 bigint, c2 bigint")
+    )
+    found = cold.unionByName(_hot_repeats(sized.filter("hot").drop("hot"), spec))
+    return (
+        found.join(keyed.select("c1", "c2", "k1", "k2", "at"), ["c1", "c2"])
+        .join(frames.keyed, ["k1", "k2"])
+        .select("h", "repeat", "length", "k1", "k2", (F.shiftright("at", 16) + off - F.col("l")).alias("start"), "doc")
     )

@@ -92,8 +92,9 @@ def band_keys(mins: np.ndarray) -> np.ndarray:
 
 
 def signatures(mins: np.ndarray) -> np.ndarray:
-    """Low bits of the minima, packed 16 to a 64-bit word."""
-    low = (mins & np.uint64((1 << BITS) - 1)).reshape(-1, SIGNATURE_WORDS, 64 // BITS)
+    """Low bits of the mixed minima, packed 16 to a 64-bit word. Unmixed, the low
+    bits of two shingles would agree for all functions or for none."""
+    low = (textkit.mix(mins.copy()) & np.uint64((1 << BITS) - 1)).reshape(-1, SIGNATURE_WORDS, 64 // BITS)
     return np.bitwise_or.reduce(low << (np.arange(64 // BITS, dtype=np.uint64) * np.uint64(BITS)), axis=2).view(np.int64)
 
 

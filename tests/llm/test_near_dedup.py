@@ -129,3 +129,17 @@ def test_signature_bits_collide_independently():
     marks = near_dedup.signatures(near_dedup.minima(hashes, np.arange(66)))
     found = near_dedup._estimates(marks[0], marks[1:])
     assert np.abs(found).max() < 0.06
+
+
+def test_label_join_shuffles_both_sides(spark, monkeypatch):
+    from pyspark.sql import functions as F
+
+    rows = [(b"a", 1), (b"a", 2), (b"b", 3)]
+    nodes = spark.createDataFrame(rows, "label binary, root bigint").repartition(4)
+    least = nodes.groupBy("label").agg(F.min("root").alias("component_id"))
+    out = near_dedup._join_label(nodes, least)
+    assert sorted((r["root"], r["component_id"]) for r in out.collect()) == [(1, 1), (2, 1), (3, 3)]
+    plan = out._jdf.queryExecution().sparkPlan().toString()
+    executed = out._jdf.queryExecution().executedPlan().toString()
+    # one shuffle for the aggregate and one for each side of the join
+    assert "Join" in plan and executed.count("hashpartitioning") >= 3 and executed.count("hashpartitioning(concat(") + executed.count("hashpartitioning(_label") == 2

@@ -391,6 +391,14 @@ def _across(seats: DataFrame, found: DataFrame, labels: DataFrame, floor: float,
     return pairs.select("a", "b", F.lit(False).alias("more"))
 
 
+def _join_label(nodes: DataFrame, least: DataFrame) -> DataFrame:
+    """``nodes.join(least, "label")``, joined on a longer key than ``least`` was
+    grouped by: both sides are shuffled, and a large component can be split."""
+    longer = lambda label: F.concat(label, F.lit(b"\0"))
+    keys = least.select(longer(F.col("label")).alias("_label"), *[c for c in least.columns if c != "label"])
+    return nodes.join(keys, longer(nodes["label"]) == keys["_label"]).drop("_label")
+
+
 def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = LINK_PERCENT) -> DataFrame:
     """One row per distinct text: ``node`` (its key), ``n`` (set size), ``root``
     (least id of its copies), ``component_id`` (least id of its component)."""
@@ -447,7 +455,7 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", per
 
     nodes = features.select("node", "root", "n").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     least = nodes.groupBy("label").agg(F.min("root").alias("component_id"))
-    return nodes.join(least, "label").select("node", "n", "root", "component_id")
+    return _join_label(nodes, least).select("node", "n", "root", "component_id")
 
 
 def link_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = LINK_PERCENT) -> DataFrame:

@@ -1,0 +1,113 @@
+"""Vector codes against a plain version, and their edge cases."""
+
+import hashlib
+import math
+
+import numpy as np
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from tillroll.llm import vector_codes as vc
+
+SCHEMA = "vec_id bigint, embedding array<float>, label int"
+
+
+def plain(rows, parts=16, entries=64, rounds=2):
+    """``(codes by row, error by row, digest)`` in plain Python."""
+    kept = [r for r in rows if r[1] and all(x is not None and math.isfinite(x) for x in r[1])]
+    kept.sort(key=lambda r: (r[0] is None, r[0] or 0, r[1]))
+    ints = [[math.floor(np.float32(x).item() * 256) for x in r[1]] for r in kept]
+    width = len(ints[0]) // parts
+    cut = [[v[p * width : (p + 1) * width] for p in range(parts)] for v in ints]
+    books = [[cut[i][p] for i in range(min(entries, len(cut)))] for p in range(parts)]
+
+    def nearest(part, book):
+        far = [sum((a - b) ** 2 for a, b in zip(part, e)) for e in book]
+        return far.index(min(far)), min(far)
+
+    for _ in range(rounds):
+        for p in range(parts):
+            groups = {}
+            for v in cut:
+                groups.setdefault(nearest(v[p], books[p])[0], []).append(v[p])
+            books[p] = [[sum(x) // len(groups[i]) for x in zip(*groups[i])] if i in groups else e for i, e in enumerate(books[p])]
+    codes, errors = [], []
+    for v in cut:
+        found = [nearest(v[p], books[p]) for p in range(parts)]
+        codes.append("".join(f"{i:02x}" for i, _ in found))
+        errors.append(sum(d for _, d in found))
+    digest = hashlib.sha256(",".join(str(x) for b in books for e in b for x in e).encode()).hexdigest()
+    return kept, codes, errors, digest
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.integers(1, 5), st.integers(1, 40), st.integers(1, 60), st.integers(0, 2**32 - 1), st.sampled_from([2, 8, 5000]))
+def test_search_finds_the_nearest_entry(width, entries, n, seed, spread):
+    rng = np.random.default_rng(seed)
+    parts = rng.integers(-spread, spread + 1, (n, width))
+    book = rng.integers(-spread, spread + 1, (entries, width))
+    far = ((parts[:, None] - book[None]) ** 2).sum(2)
+    index, best = vc.nearest_entries(parts, book)
+    assert (index == far.argmin(1)).all() and (best == far.min(1)).all()
+
+
+def test_whole_run_equals_the_plain_version(spark):
+    rng = np.random.default_rng(4)
+    rows = [(int(i), [float(x) for x in rng.normal(0, 0.2, 32).astype(np.float32)], [None, 1, 1, 1, 2][i % 5]) for i in range(150)]
+    rows += [rows[3], rows[3], (None, rows[5][1], None), (900, None, 1), (901, [None] * 32, 1), (902, [float("nan")] * 32, 2)]
+    rows += [(903, [float("inf")] + [0.0] * 31, 1), (904, [], 1)]
+    table = spark.createDataFrame(rows, SCHEMA).withColumn("code", F.lit("mine")).withColumn("error", F.lit(7)).repartition(5)
+    books = vc.train(table)
+    kept, codes, errors, digest = plain(rows)
+    assert books.sha256() == digest
+    got = vc.with_label_error(vc.encode(table, books)).collect()
+    per_label = {}
+    for r, e in zip(kept, errors):
+        per_label[r[2]] = per_label.get(r[2], 0) + e
+    want = [(r[0], r[2], c, e, per_label[r[2]]) for r, c, e in zip(kept, codes, errors)]
+    key = lambda t: tuple(str(x) for x in t)
+    assert sorted(((r.vec_id, r.label, r.code, r.error, r.label_error) for r in got), key=key) == sorted(want, key=key)
+
+
+def test_result_does_not_depend_on_partitions(spark):
+    rng = np.random.default_rng(9)
+    rows = [(i, [float(x) for x in rng.normal(0, 1, 16)], 0) for i in range(300)]
+    digests = {vc.train(spark.createDataFrame(rows, SCHEMA).repartition(n)).sha256() for n in (1, 3, 8)}
+    assert len(digests) == 1
+
+
+def test_empty_and_unusable_tables(spark):
+    empty = spark.createDataFrame([], SCHEMA)
+    assert vc.train(empty) is None
+    assert vc.with_label_error(vc.encode(empty, None)).collect() == []
+    bad = spark.createDataFrame([(1, None, 1), (2, [1.0] * 7, 1), (3, [float("nan")] * 16, 1)], SCHEMA)
+    assert vc.train(bad) is None
+
+
+def test_vectors_of_another_length_are_left_out(spark):
+    rows = [(i, [float(i)] * 16, 1) for i in range(3)] + [(9, [1.0] * 32, 1), (10, [1.0] * 5, 1)]
+    table = spark.createDataFrame(rows, SCHEMA)
+    assert {r.vec_id for r in vc.encode(table, vc.train(table)).collect()} == {0, 1, 2}
+
+
+def test_components_too_large_to_add_up_are_an_error(spark):
+    table = spark.createDataFrame([(1, [1e30] * 16, 1)], SCHEMA)
+    with pytest.raises(Exception, match="beyond"):
+        vc.train(table)
+
+
+def test_decoding_is_near_the_vector(spark):
+    rng = np.random.default_rng(2)
+    rows = [(i, [float(x) for x in rng.normal(0, 0.3, 64).astype(np.float32)], 0) for i in range(64)]
+    table = spark.createDataFrame(rows, SCHEMA)
+    books = vc.train(table, spec=vc.CodeSpec(rounds=0))  # every vector is its own entry
+    coded = {r.vec_id: r.code for r in vc.encode(table, books).collect()}
+    for i, vector, _ in rows:
+        assert np.abs(books.decode(coded[i]) - np.array(vector)).max() <= 0.5 / 256 + 1e-9
+
+
+def test_bad_parameters():
+    with pytest.raises(ValueError):
+        vc.CodeSpec(entries=257)

@@ -11,7 +11,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillroll.llm import chat_format, classifier, decontam, licenses, near_dedup, packing, phrase_dedup, quality_rules, suffix_dedup, url_rules
+from tillroll.llm import chat_format, classifier, decontam, licenses, near_dedup, packing, phrase_dedup, quality_rules, suffix_dedup, url_rules, vector_codes
+from tillroll.session import materialize
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -143,6 +144,15 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = _table(spark, sf_dir, "embeddings").select("vec_id", "embedding", "label")
+    books = vector_codes.train(vectors)
+    coded = materialize(vector_codes.encode(vectors, books), "vector-codes")
+    return vector_codes.with_label_error(coded).select(
+        "vec_id", "code", "error", "label_error", F.lit(books.sha256() if books else None).alias("codebooks_sha256")
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
     "op2_decontamination": op2_decontamination,
@@ -154,6 +164,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_minhash_near_dedup": op8_minhash_near_dedup,
     "op9_substring_dedup": op9_substring_dedup,
     "op10_packing": op10_packing,
+    "op11_vector_codes": op11_vector_codes,
 }
 
 # The word classes in SQL.
@@ -250,3 +261,36 @@ SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(len(js), 0) AS
        sha256(coalesce(t, '')) AS kept_sha256
 FROM d LEFT JOIN gone USING (r) LEFT JOIN kept USING (r)""",
 }
+
+
+def _codebook_sql(rounds: int) -> str:
+    """Codebooks c0, c1, ... and the assignments a0, a1, ... made with them."""
+    steps = []
+    for n in range(rounds + 1):
+        steps.append(
+            f"""d{n} AS (SELECT x.r, x.p, c.i, list_sum(list_transform(list_zip(x.v, c.v), lambda z: (z[1] - z[2]) * (z[1] - z[2]))) AS d
+  FROM parts x JOIN c{n} c USING (p)),
+a{n} AS (SELECT r, p, CAST(min(d) AS BIGINT) AS d, arg_min(i, d * 64 + i) AS i FROM d{n} GROUP BY r, p)"""
+        )
+        if n < rounds:
+            steps.append(
+                f"""s{n} AS (SELECT p, i, k, CAST(sum(v[k]) AS BIGINT) AS s, count(*) AS n
+  FROM (SELECT a.p, a.i, x.v, unnest(range(1, len(x.v) + 1)) AS k FROM a{n} a JOIN parts x USING (r, p)) GROUP BY p, i, k),
+m{n} AS (SELECT p, i, list((s - ((s % n) + n) % n) // n ORDER BY k) AS v FROM s{n} GROUP BY p, i),
+c{n + 1} AS (SELECT p, i, coalesce(m.v, c.v) AS v FROM c{n} c LEFT JOIN m{n} m USING (p, i))"""
+            )
+    return ",\n".join(steps)
+
+
+ORACLE_SQL["op11_vector_codes"] = f"""
+WITH e AS (SELECT row_number() OVER (ORDER BY vec_id NULLS LAST, embedding) AS r, vec_id, label,
+    list_transform(embedding, lambda x: CAST(floor(CAST(x AS DOUBLE) * 256) AS BIGINT)) AS v
+  FROM embeddings WHERE len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+parts AS (SELECT r, p, list_slice(v, p * (len(v) // 16) + 1, (p + 1) * (len(v) // 16)) AS v FROM e, (SELECT unnest(range(16)) AS p)),
+c0 AS (SELECT p, r - 1 AS i, v FROM parts WHERE r <= 64),
+{_codebook_sql(2)},
+books AS (SELECT sha256(string_agg(array_to_string(v, ','), ',' ORDER BY p, i)) AS codebooks_sha256 FROM c2),
+coded AS (SELECT r, string_agg(lpad(lower(to_hex(i)), 2, '0'), '' ORDER BY p) AS code, CAST(sum(d) AS BIGINT) AS error FROM a2 GROUP BY r),
+per_label AS (SELECT label, CAST(sum(error) AS BIGINT) AS label_error FROM coded JOIN e USING (r) GROUP BY label)
+SELECT e.vec_id, code, error, label_error, codebooks_sha256
+FROM e JOIN coded USING (r) JOIN per_label ON e.label IS NOT DISTINCT FROM per_label.label, books"""

@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillroll.llm import chat_format, classifier, decontam, licenses, near_dedup, packing, phrase_dedup, quality_rules, suffix_dedup, url_rules, vector_codes
+from tillroll.llm import chat_format, classifier, decontam, licenses, near_dedup, packing, phrase_dedup, quality_rules, secret_scan, suffix_dedup, url_rules, vector_codes
 from tillroll.session import materialize
 
 
@@ -153,6 +153,25 @@ def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = secret_scan.scan_secrets(docs, secret_scan.train(docs))
+
+    def listed(spans):
+        return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["stop"])), ",")
+
+    def counted(kind):
+        return F.size(F.filter("secrets", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    base = F.filter("secrets", lambda s: s["kind"].isin(*secret_scan.BASE_KINDS))
+    return found.select(
+        "doc_id",
+        *[counted(kind) for kind in secret_scan.BASE_KINDS],
+        _hex_sha256(listed(base)).alias("base_sha256"),
+        listed(F.col("secrets")).alias("spans"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
     "op2_decontamination": op2_decontamination,
@@ -165,6 +184,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_substring_dedup": op9_substring_dedup,
     "op10_packing": op10_packing,
     "op11_vector_codes": op11_vector_codes,
+    "op13_secret_scans": op13_secret_scans,
 }
 
 # The word classes in SQL.
@@ -294,3 +314,71 @@ coded AS (SELECT r, string_agg(lpad(lower(to_hex(i)), 2, '0'), '' ORDER BY p) AS
 per_label AS (SELECT label, CAST(sum(error) AS BIGINT) AS label_error FROM coded JOIN e USING (r) GROUP BY label)
 SELECT e.vec_id, code, error, label_error, codebooks_sha256
 FROM e JOIN coded USING (r) JOIN per_label ON e.label IS NOT DISTINCT FROM per_label.label, books"""
+
+
+def _either_case(word: str) -> str:
+    return "".join(f"[{c.upper()}{c}]" if c.isalpha() else c for c in word)
+
+
+_ASSIGN = "(" + "|".join(_either_case(w) for w in ("password", "passwd", "secret", "token", "api_?key")) + ")"
+_ASSIGN += r"""["'']?\x20*[:=]\x20*["'']?([A-Za-z0-9+/_.=-]+)"""  # quotes doubled, as in an SQL string
+_TOKEN = r"[A-Za-z0-9+/_\-\x{80}-\x{10FFFF}]{16,}"
+
+
+def _spans_sql(number: int, kind: str, pattern: str, value: str) -> str:
+    """Matches of a pattern with their places: the lengths of the stretches
+    between matches and of the matches before add up. ``value`` is the length
+    of the part at the end that spells the secret."""
+    return f"""
+  SELECT r, {number} AS k, '{kind}' AS kind, found[i] AS s, start, start + length(found[i]) AS stop, {value} AS size
+  FROM (SELECT r, found, values, i, CAST(list_sum(list_transform(gaps[:i], lambda x: length(x)))
+      + coalesce(list_sum(list_transform(found[:i - 1], lambda x: length(x))), 0) AS BIGINT) AS start
+    FROM (SELECT r, string_split_regex(t, '{pattern}') AS gaps, regexp_extract_all(t, '{pattern}') AS found,
+        regexp_extract_all(t, '{pattern}', {2 if kind == "assign" else 0}) AS values,
+        unnest(range(1, len(regexp_extract_all(t, '{pattern}')) + 1)) AS i
+      FROM d))"""
+
+
+def _chains_sql(n: str, ordinary: str) -> str:
+    """Chains of characters: transitions of both classes, with 16 more dealt
+    out by the frequency of single characters (smoothed by one half), their
+    log ratios in units of 2**-20, and the tokens' scores."""
+    chance = [
+        f"(coalesce(n{y}, 0) + 16 * (coalesce(c{y}, 0) + 0.5::DOUBLE) / (a{y} + 33)) / (coalesce(t{y}, 0) + 16)" for y in (0, 1)
+    ]
+    return f"""samples{n} AS (SELECT 1 AS y, s FROM runs UNION ALL SELECT 0, s FROM {ordinary}),
+n{n} AS (SELECT b, c, count(*) FILTER (y = 0) AS n0, count(*) FILTER (y = 1) AS n1
+  FROM (SELECT y, CASE WHEN i = 1 THEN '' ELSE s[i - 1] END AS b, s[i] AS c
+    FROM (SELECT y, s, unnest(range(1, length(s) + 1)) AS i FROM samples{n})) GROUP BY b, c),
+before{n} AS (SELECT b, sum(n0) AS t0, sum(n1) AS t1 FROM n{n} GROUP BY b),
+single{n} AS (SELECT c, sum(n0) AS c0, sum(n1) AS c1 FROM n{n} GROUP BY c),
+every{n} AS (SELECT coalesce(sum(n0), 0) AS a0, coalesce(sum(n1), 0) AS a1 FROM n{n}),
+scored{n} AS (SELECT r, start, stop, any_value(s) AS s, sum(CAST(round((ln({chance[1]}) - ln({chance[0]})) * 1048576) AS BIGINT)) / 1048576 AS score
+  FROM (SELECT r, start, stop, s, CASE WHEN i = 1 THEN '' ELSE s[i - 1] END AS b, s[i] AS c
+    FROM (SELECT r, start, stop, s, unnest(range(1, length(s) + 1)) AS i FROM tokens))
+  LEFT JOIN n{n} USING (b, c) LEFT JOIN before{n} USING (b) LEFT JOIN single{n} USING (c), every{n} GROUP BY r, start, stop)"""
+
+
+ORACLE_SQL["op13_secret_scans"] = rf"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t FROM documents),
+base AS (SELECT * FROM ({_spans_sql(0, "assign", _ASSIGN, "length(values[i])")}) WHERE size >= 12
+  UNION ALL SELECT * FROM ({_spans_sql(1, "access", "AKIA[A-Z0-9]+", "length(found[i]) - 4")}) WHERE size >= 14
+  UNION ALL SELECT * FROM ({_spans_sql(2, "hex", "[0-9a-f]{16,}", "length(found[i])")})),
+tokens AS (SELECT r, start, stop, s FROM ({_spans_sql(3, "random", _TOKEN, "0")}) x
+  WHERE NOT regexp_matches(s, '[^\x00-\x7F]')
+    AND NOT EXISTS (SELECT 1 FROM base b WHERE b.r = x.r AND b.start < x.stop AND x.start < b.stop)),
+spelt AS (SELECT DISTINCT r, p, substring(t, p + 1, 1) AS c
+  FROM (SELECT r, unnest(range(stop - size, stop)) AS p FROM base) JOIN d USING (r)
+  WHERE regexp_matches(substring(t, p + 1, 1), '[A-Za-z0-9+/_\-]')),
+runs AS (SELECT r, g, string_agg(c, '' ORDER BY p) AS s FROM (SELECT *, p - row_number() OVER (PARTITION BY r ORDER BY p) AS g FROM spelt)
+  GROUP BY r, g HAVING count(*) >= 12),
+{_chains_sql("", "tokens")},
+{_chains_sql("2", "(SELECT s FROM scored WHERE score <= 0)")},
+odds AS (SELECT ln((count(*) FILTER (y = 0) + 1)::DOUBLE / (count(*) FILTER (y = 1) + 1)) AS least FROM samples2),
+hits AS (SELECT r, k, kind, start, stop FROM base UNION ALL SELECT r, 3, 'random', start, stop FROM scored2, odds WHERE score > least),
+told AS (SELECT r, count(*) FILTER (k = 0) AS a, count(*) FILTER (k = 1) AS b, count(*) FILTER (k = 2) AS c,
+    string_agg(concat(kind, ':', start, ':', stop), ',' ORDER BY start, k) FILTER (k < 3) AS base,
+    string_agg(concat(kind, ':', start, ':', stop), ',' ORDER BY start, k) AS spans FROM hits GROUP BY r)
+SELECT doc_id, coalesce(a, 0) AS n_assign, coalesce(b, 0) AS n_access, coalesce(c, 0) AS n_hex,
+  sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM d LEFT JOIN told USING (r)"""

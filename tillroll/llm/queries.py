@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillroll.llm import chat_format, classifier, decontam, licenses, near_dedup, packing, phrase_dedup, quality_rules, secret_scan, suffix_dedup, url_rules, vector_codes
+from tillroll.llm import chat_format, chat_trie, classifier, decontam, licenses, near_dedup, packing, phrase_dedup, quality_rules, secret_scan, suffix_dedup, url_rules, vector_codes
 from tillroll.session import materialize
 
 
@@ -153,6 +153,10 @@ def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat_trie.prefix_trie(_table(spark, sf_dir, "conversations")).drop("node")
+
+
 def op13_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     found = secret_scan.scan_secrets(docs, secret_scan.train(docs))
@@ -184,6 +188,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_substring_dedup": op9_substring_dedup,
     "op10_packing": op10_packing,
     "op11_vector_codes": op11_vector_codes,
+    "op12_prefix_trie": op12_prefix_trie,
     "op13_secret_scans": op13_secret_scans,
 }
 
@@ -382,3 +387,32 @@ told AS (SELECT r, count(*) FILTER (k = 0) AS a, count(*) FILTER (k = 1) AS b, c
 SELECT doc_id, coalesce(a, 0) AS n_assign, coalesce(b, 0) AS n_access, coalesce(c, 0) AS n_hex,
   sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
 FROM d LEFT JOIN told USING (r)"""
+
+
+# crc32 bit by bit: the register is the first element of the list, the text's
+# bits follow, lowest first.
+_CRC32 = """xor(list_reduce(list_concat([4294967295::BIGINT], flatten(list_transform(string_split(CAST(conv_id AS VARCHAR), ''),
+    lambda ch: list_transform(range(8), lambda i: CAST((ascii(ch) >> CAST(i AS INTEGER)) & 1 AS BIGINT))))),
+    lambda crc, bit: xor(crc >> 1, 3988292384::BIGINT * (xor(crc, bit) & 1))), 4294967295::BIGINT)"""
+
+ORACLE_SQL["op12_prefix_trie"] = rf"""
+WITH RECURSIVE t AS (SELECT conv_id, concat(length(coalesce(role, '')), ':', coalesce(role, ''), coalesce(text, '')) AS told,
+    len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS words, turn FROM conversations WHERE conv_id IS NOT NULL),
+o AS (SELECT conv_id, told, words, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, sha256(told)) AS pos FROM t),
+c AS (SELECT conv_id, conv_id - conv_id % 20 AS base, {_CRC32} % 4 AS h FROM (SELECT DISTINCT conv_id FROM t)),
+again AS (SELECT c.conv_id, 0 AS own, pos, told, words FROM c JOIN o ON o.conv_id = c.base AND o.pos <= c.h
+  UNION ALL SELECT c.conv_id, 1, pos, told, words FROM c JOIN o USING (conv_id) WHERE o.pos > c.h),
+d AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY own, pos) AS depth FROM again),
+p AS (SELECT conv_id, depth, words, sha256(string_agg(sha256(told), '' ) OVER (PARTITION BY conv_id ORDER BY depth)) AS key FROM d
+  UNION ALL SELECT conv_id, 0, 0, '' FROM c),
+q AS (SELECT *, lag(key) OVER (PARTITION BY conv_id ORDER BY depth) AS up, max(depth) OVER (PARTITION BY conv_id) AS size FROM p),
+n AS (SELECT key, min(conv_id) AS conv_id, depth, any_value(up) AS up, count(*) AS n_convs, any_value(words) AS words,
+    coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (depth = size), '') AS ends
+  FROM q GROUP BY key, depth),
+kids AS (SELECT up AS key, count(*) AS n_children FROM n WHERE up IS NOT NULL GROUP BY up),
+below AS (SELECT DISTINCT a.key, b.key AS under FROM p a JOIN p b ON a.conv_id = b.conv_id AND b.depth >= a.depth),
+sums AS (SELECT below.key, count(*) FILTER (n_children IS NULL) AS n_leaves, CAST(sum((n_convs - 1) * words) AS BIGINT) AS saved_tokens
+  FROM below JOIN n ON below.under = n.key LEFT JOIN kids ON below.under = kids.key GROUP BY below.key)
+SELECT n.conv_id, n.depth, m.conv_id AS parent_conv_id, n.n_convs, coalesce(n_children, 0) AS n_children, n_leaves, saved_tokens,
+  sha256(n.ends) AS ends_sha256
+FROM n LEFT JOIN n m ON n.up = m.key LEFT JOIN kids ON n.key = kids.key JOIN sums ON n.key = sums.key"""

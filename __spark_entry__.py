@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from tillroll.functions import as_money
 from tillroll.operators import marts, serving
-from tillroll.plans import bronze, gold, silver
+from tillroll.plans import bronze, gold, incremental, silver
 from tillroll.plans.layers import RetailLayers
 from tillroll.schemas import DATE_PARTS, FLAT_EXTRACT
 from tillroll.session import materialize, run_actions, scratch_path
@@ -322,6 +322,71 @@ def q_split_lines(spark, d):
     return extracts.split_lines(_extract_parts(spark, d))
 
 
+def _measured_mart(spark, d, name):
+    """A mart as the gold job builds it by default: from daily sums."""
+    return as_money(gold.build_marts_from_layers(_layers(spark, d))[name], *MONEY_COLUMNS[name])
+
+
+# Per mart: key, amount, lines and quantity, for reports over all four.
+STACKED = {
+    "sales_per_country": (["Country"], "total_sales", "number_of_orders", "total_quantity"),
+    "top_products": (["StockCode", "Description"], "total_revenue", "number_of_sales", "total_quantity_sold"),
+    "return_products": (["StockCode", "Description"], "total_loss", "number_of_returns", "total_returned"),
+    "sales_by_period": (DATE_PARTS, "total_sales", "number_of_orders", "total_quantity"),
+}
+
+
+def _stacked(built: dict[str, DataFrame], amount_type: str | None = None) -> DataFrame:
+    """All four marts as rows ``mart, key, amount, n_lines, quantity``."""
+    parts = [
+        built[name].select(
+            F.lit(name).alias("mart"),
+            F.concat_ws("|", *keys).alias("key"),
+            (F.col(amount).cast(amount_type) if amount_type else F.round(amount, 2).cast("decimal(18,2)")).alias("amount"),
+            F.col(lines).alias("n_lines"),
+            F.col(quantity).alias("quantity"),
+        )
+        for name, (keys, amount, lines, quantity) in STACKED.items()
+    ]
+    return functools.reduce(DataFrame.unionByName, parts)
+
+
+def q_incremental_marts(spark, d):
+    """All marts from stored daily sums, after a first delivery of everything
+    in which the first and the last day were wrong, and a second one of these
+    two days alone."""
+    layers = _layers(spark, d)
+    orders = materialize(layers.orders, "orders-delivered")
+    edge = orders.agg(*[f(F.struct(*DATE_PARTS)).alias(f.__name__) for f in (F.min, F.max)]).first()
+    days = [tuple(x) for x in edge if x is not None]
+    wrong = F.struct(*DATE_PARTS).isin(*[F.struct(*[F.lit(p) for p in day]) for day in days]) if days else F.lit(False)
+    store = incremental.DailySums(spark, scratch_path(spark, "daily-sums"))
+    store.deliver(layers.lines, orders.withColumn("Country", F.when(wrong, F.lit("Wrong")).otherwise(F.col("Country"))))
+    store.deliver(layers.lines, incremental.of_days(orders, days))
+    return _stacked(store.marts(layers.products))
+
+
+def q_incremental_product_master(spark, d):
+    """The product master with both yearly extracts in, and after the first
+    one was withdrawn."""
+    a, b = retail_views.yearly_extracts(spark, d)
+    store = incremental.ProductCounts(spark, scratch_path(spark, "product-counts"))
+    store.add("A", a)
+    store.add("B", b)
+    both = materialize(store.master(), "master-of-both")
+    store.withdraw("A")
+    states = {"both": both, "second": store.master()}
+    return functools.reduce(
+        DataFrame.unionByName, [as_money(df, "UnitPrice").select(F.lit(name).alias("state"), "*") for name, df in states.items()]
+    )
+
+
+def q_exact_marts(spark, d):
+    """All marts in exact decimals."""
+    layers = _layers(spark, d)
+    return _stacked(gold.build_marts(layers.lines, layers.orders, layers.exact_products), "decimal(28,6)")
+
+
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "scan_parquet": q_scan_parquet,
     "partition_roundtrip": q_partition_roundtrip,
@@ -371,6 +436,10 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "split_products": q_split_products,
     "split_orders": q_split_orders,
     "split_lines": q_split_lines,
+    **{f"measured_{n}": functools.partial(_measured_mart, name=n) for n in marts.MART_BUILDERS},
+    "incremental_marts": q_incremental_marts,
+    "incremental_product_master": q_incremental_product_master,
+    "exact_marts": q_exact_marts,
 }
 
 
@@ -451,6 +520,16 @@ orders_silver AS (
   FROM orders_ok WHERE ok
 )"""
 
+_PRODUCT_OK = """COALESCE(
+      StockCode IS NOT NULL AND StockCode <> ''
+      AND upper(StockCode) NOT IN ('POST', 'POSTAGE', 'M', 'D', 'BANK CHARGES')
+      AND Description IS NOT NULL AND Description <> ''
+      AND NOT contains(lower(Description), 'bad debt')
+      AND NOT contains(lower(Description), 'adjust')
+      AND NOT contains(lower(Description), 'dotcom postage')
+      AND NOT contains(lower(Description), 'amazon fee')
+      AND UnitPrice IS NOT NULL AND UnitPrice > 0, FALSE)"""
+
 _PRODUCTS_RAW = """
 part_rows AS (
   SELECT p_partkey, p_name, p_retailprice FROM part
@@ -484,15 +563,7 @@ products_trimmed AS (
   SELECT trim(StockCode) AS StockCode, trim(Description) AS Description, UnitPrice FROM products_raw
 ),
 products_ok AS (
-  SELECT *, COALESCE(
-      StockCode IS NOT NULL AND StockCode <> ''
-      AND upper(StockCode) NOT IN ('POST', 'POSTAGE', 'M', 'D', 'BANK CHARGES')
-      AND Description IS NOT NULL AND Description <> ''
-      AND NOT contains(lower(Description), 'bad debt')
-      AND NOT contains(lower(Description), 'adjust')
-      AND NOT contains(lower(Description), 'dotcom postage')
-      AND NOT contains(lower(Description), 'amazon fee')
-      AND UnitPrice IS NOT NULL AND UnitPrice > 0, FALSE) AS ok
+  SELECT *, """ + _PRODUCT_OK + """ AS ok
   FROM products_trimmed
 ),
 products_master AS (
@@ -603,7 +674,33 @@ merged AS (
   SELECT * EXCLUDE (odate) FROM flat WHERE odate >= DATE '1998-03-01'
 )"""
 
+# Prices as integers of 1/10000, mean prices and amounts as integers of 1/1000000.
+_EXACT = """
+products_exact AS (
+  SELECT StockCode, min(Description) AS Description,
+         (200 * sum(CAST(round(UnitPrice * 10000) AS HUGEINT)) + count(*)) // (2 * count(*)) AS units
+  FROM products_ok WHERE ok GROUP BY StockCode
+),
+sales_exact AS (
+  SELECT l.StockCode, l.Quantity, o.Country, o.IsCancel, o."year", o."month", o."day", p.Description, l.Quantity * p.units AS units
+  FROM lines_ok l
+  JOIN orders_silver o ON l.InvoiceNo = o.InvoiceNo
+  JOIN products_exact p ON l.StockCode = p.StockCode
+  WHERE l.ok
+),
+exact_marts AS (
+  SELECT 'sales_per_country' AS mart, Country AS key, sum(units) AS units, count(*) AS n_lines, sum(Quantity) AS quantity
+  FROM sales_exact WHERE NOT IsCancel GROUP BY Country
+  UNION ALL SELECT 'top_products', StockCode || '|' || Description, sum(units), count(*), sum(Quantity)
+  FROM sales_exact WHERE NOT IsCancel GROUP BY StockCode, Description
+  UNION ALL SELECT 'return_products', StockCode || '|' || Description, sum(units), count(*), sum(Quantity)
+  FROM sales_exact WHERE Quantity < 0 OR IsCancel GROUP BY StockCode, Description
+  UNION ALL SELECT 'sales_by_period', concat_ws('|', "year", "month", "day"), sum(units), count(*), sum(Quantity)
+  FROM sales_exact WHERE NOT IsCancel GROUP BY "year", "month", "day"
+)"""
+
 _VIEWS = {
+    "exact": _EXACT,
     "cust": _CUSTOMER_NATION,
     "orders": _ORDERS_RAW,
     "products": _PRODUCTS_RAW,
@@ -620,6 +717,7 @@ _DEPENDS = {
     "marts": ["sales"],
     "flat": ["cust"],
     "cust": [],
+    "exact": ["orders", "products", "lines"],
 }
 
 
@@ -793,6 +891,22 @@ FROM m_country""",
        {_shown_integer("number_of_returns")}, {_shown_money("total_loss")} FROM m_returns"""
     sql["period_display"] = m + f"""SELECT {day}, {_shown_money("total_sales")}, {_shown_integer("number_of_orders")},
        {_shown_integer("total_quantity")} FROM m_period"""
+    for name, select in _MART_SELECT.items():
+        sql[f"measured_{name}"] = sql[name]
+    sql["incremental_marts"] = m + """SELECT 'sales_per_country' AS mart, Country AS key, total_sales AS amount,
+       number_of_orders AS n_lines, total_quantity AS quantity FROM country
+UNION ALL SELECT 'top_products', StockCode || '|' || Description, total_revenue, number_of_sales, total_quantity_sold FROM products
+UNION ALL SELECT 'return_products', StockCode || '|' || Description, total_loss, number_of_returns, total_returned FROM returns
+UNION ALL SELECT 'sales_by_period', concat_ws('|', "year", "month", "day"), total_sales, number_of_orders, total_quantity FROM period"""
+    sql["exact_marts"] = _with("exact") + """SELECT mart, key, CAST(CAST(units AS DECIMAL(30,0)) * 0.000001::DECIMAL(7,6) AS DECIMAL(28,6)) AS amount,
+       n_lines, CAST(quantity AS BIGINT) AS quantity FROM exact_marts"""
+    rows = {"both": "merged", "second": "(SELECT * FROM flat WHERE odate >= DATE '1998-03-01')"}
+    sql["incremental_product_master"] = f + " UNION ALL ".join(
+        f"""SELECT '{state}' AS state, StockCode, min(Description) AS Description, {_money("avg(UnitPrice)")} AS UnitPrice
+FROM (SELECT trim(StockCode) AS StockCode, trim(Description) AS Description, UnitPrice FROM (SELECT DISTINCT StockCode, Description, UnitPrice FROM {source}))
+WHERE {_PRODUCT_OK} GROUP BY StockCode"""
+        for state, source in rows.items()
+    )
     sql["silver_orders_table"] = sql["orders_valid"]
     sql["silver_invalid_products_table"] = sql["products_invalid"]
     sql["landed_sales_by_period"] = sql["sales_by_period"]

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -23,6 +25,39 @@ def trim_products(products: DataFrame) -> DataFrame:
     return trim_columns(products, "Description", "StockCode")
 
 
+# Decimals of a price and of a mean price in exact money.
+PRICE_DECIMALS = 4
+MEAN_DECIMALS = 6
+
+
+def exact_mean_price(price_sum: Column, count: Column) -> Column:
+    """The mean of ``count`` positive prices whose sum is given in units of the
+    last price decimal: rounded half up once, to ``MEAN_DECIMALS``, by integer
+    division, as a decimal."""
+    scaled = price_sum * F.lit(10 ** (MEAN_DECIMALS - PRICE_DECIMALS))
+    units = F.call_function("div", F.lit(2) * scaled + count, F.lit(2) * count)
+    return (units.cast("decimal(18,0)") * F.lit(Decimal(1).scaleb(-MEAN_DECIMALS))).cast(f"decimal(18,{MEAN_DECIMALS})")
+
+
+def exact_product_master(valid_products: DataFrame) -> DataFrame:
+    """``product_master`` with decimal prices that do not depend on row order.
+
+    Every price is rounded half up to ``PRICE_DECIMALS`` decimals and added up
+    as an integer; the mean is rounded half up to ``MEAN_DECIMALS``. Amounts and
+    sums of amounts are then exact decimals, so that two runs give the same
+    bytes and near-ties never swap places; cents are rounded where they are
+    shown.
+    """
+    units = (F.col("UnitPrice").cast(f"decimal(18,{PRICE_DECIMALS})") * F.lit(10**PRICE_DECIMALS)).cast("bigint")
+    pairs = valid_products.groupBy("StockCode", "Description").agg(
+        F.sum(units).alias("_price_sum"), F.count("UnitPrice").alias("_price_n")
+    )
+    return pairs.groupBy("StockCode").agg(
+        F.min("Description").alias("Description"),
+        exact_mean_price(F.sum("_price_sum"), F.sum("_price_n")).alias("UnitPrice"),
+    )
+
+
 def product_master(valid_products: DataFrame) -> DataFrame:
     """One row per ``StockCode``: a description and the mean price.
 

@@ -131,58 +131,55 @@ def all_marts(sales: DataFrame) -> dict[str, DataFrame]:
 # ---------------------------------------------------------------------------
 # All four marts in one aggregation.
 #
-# The marts group the same joined lines three ways (country; product; day),
-# with one filter for sales and another for returns. A line's amount depends
-# only on its quantity and its code's price, so lines are first added up per
-# stock code within each grouping (``GROUPING SETS``, one pass: every line is
-# expanded into three grouping rows inside its task and folded into a map-side
-# hash aggregate). Only these partial rows meet the products: no line is
-# shuffled by stock code, a hot code has at most one row per country and day,
-# and quantities stay exact integers until they are multiplied by the price.
-# Sales and return measures are conditional aggregates side by side; a group
-# belongs to a mart only if that mart's filter kept at least one of its lines.
-
-_SET_KEYS = {"country": ["Country"], "product": [], "day": list(DATE_PARTS)}
-_PLACE_KEYS = ["Country", *DATE_PARTS]
-_ALL_KEYS = [*_PLACE_KEYS, "StockCode"]
+# A line's amount depends only on its quantity and its code's price. Lines are
+# therefore first added up by country, day and stock code (``daily_sums``: at
+# most one row a line, folded map-side), and only these rows meet the products
+# and are cut into the marts' three groupings by ``GROUPING SETS``: no line is
+# expanded or shuffled by stock code, and quantities stay exact integers until
+# they are multiplied by the price. Sales and return measures are conditional
+# aggregates side by side; a group belongs to a mart only if that mart's
+# filter kept at least one of its lines. The sums of other days can be added
+# to them later (``tillroll.plans.incremental``).
+
+SUM_KEYS = ["Country", *DATE_PARTS, "StockCode"]
+_SET_KEYS = {"country": ["Country"], "product": ["StockCode", "Description"], "day": list(DATE_PARTS)}
+_ALL_KEYS = [*SUM_KEYS, "Description"]
 
 
 def _grouping_id(set_name: str) -> int:
     """``grouping_id()`` of a set: bit i is 1 when key i is not grouped."""
-    keys = {*_SET_KEYS[set_name], "StockCode"}
     gid = 0
     for key in _ALL_KEYS:
-        gid = (gid << 1) | (0 if key in keys else 1)
+        gid = (gid << 1) | (0 if key in _SET_KEYS[set_name] else 1)
     return gid
 
 
-def mart_measures(lines: DataFrame, orders: DataFrame, products: DataFrame) -> DataFrame:
-    """One row per country, per product and per day with sales and return
-    measures; ``gid`` tells which grouping a row belongs to."""
+def daily_sums(lines: DataFrame, orders: DataFrame) -> DataFrame:
+    """Sold and returned lines and quantities per country, day and stock code."""
     sold = _not_cancelled()
     returned = _is_return()
-    by_code = (
+    return (
         lines.join(orders, "InvoiceNo")
-        .groupingSets([[*keys, "StockCode"] for keys in _SET_KEYS.values()], *_ALL_KEYS)
+        .groupBy(*SUM_KEYS)
         .agg(
-            F.grouping_id().alias("gid"),
             F.count(F.when(sold, F.lit(1))).alias("sold_lines"),
             F.sum(F.when(sold, F.col("Quantity"))).alias("sold_quantity"),
             F.count(F.when(returned, F.lit(1))).alias("returned_lines"),
             F.sum(F.when(returned, F.col("Quantity"))).alias("returned_quantity"),
         )
     )
-    per_product = F.col("gid") == F.lit(_grouping_id("product"))
+
+
+def measures_from_sums(sums: DataFrame, products: DataFrame) -> DataFrame:
+    """One row per country, per product and per day with sales and return
+    measures; ``gid`` tells which grouping a row belongs to. Amounts have the
+    price's type: exact for the decimal prices of an exact product master."""
     price = F.col("UnitPrice")
     return (
-        by_code.join(products, "StockCode")
-        .groupBy(
-            "gid",
-            *_PLACE_KEYS,
-            F.when(per_product, F.col("StockCode")).alias("StockCode"),
-            F.when(per_product, F.col("Description")).alias("Description"),
-        )
+        sums.join(products, "StockCode")
+        .groupingSets([list(keys) for keys in _SET_KEYS.values()], *_ALL_KEYS)
         .agg(
+            F.grouping_id().alias("gid"),
             F.sum(F.col("sold_quantity") * price).alias("sold_amount"),
             F.sum("sold_lines").alias("sold_lines"),
             F.sum("sold_quantity").alias("sold_quantity"),
@@ -193,6 +190,11 @@ def mart_measures(lines: DataFrame, orders: DataFrame, products: DataFrame) -> D
     )
 
 
+def mart_measures(lines: DataFrame, orders: DataFrame, products: DataFrame) -> DataFrame:
+    """The measures of all four marts from the lines, orders and products."""
+    return measures_from_sums(daily_sums(lines, orders), products)
+
+
 def marts_from_measures(measures: DataFrame) -> dict[str, DataFrame]:
     """Cut the combined measures into the four marts (same columns and types
     as the per-mart builders)."""

@@ -52,6 +52,10 @@ class RetailLayers:
     def products(self) -> DataFrame:
         return cleaning.product_master(self.products_valid)
 
+    @cached_property
+    def exact_products(self) -> DataFrame:
+        return cleaning.exact_product_master(self.products_valid)
+
     # ---- silver: orders -------------------------------------------------
     @cached_property
     def orders_parsed(self) -> DataFrame:

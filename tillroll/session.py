@@ -99,6 +99,11 @@ def delete_path(spark: SparkSession, path: str) -> None:
     target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
+
+
 def run_actions(actions: Sequence[Callable[[], T]], max_parallel: int = 4) -> list[T]:
     """Run independent Spark actions (writes) as concurrent jobs.
 

@@ -20,12 +20,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillroll.functions import as_money
-from tillroll.operators import marts, serving
-from tillroll.plans import bronze, gold, incremental, silver
+from tillroll.operators import keyset, marts, reconcile, serving, validation
+from tillroll.plans import bronze, compact, gold, incremental, manifest, silver
 from tillroll.plans.layers import RetailLayers
-from tillroll.schemas import DATE_PARTS, FLAT_EXTRACT
+from tillroll.schemas import DATE_PARTS, FLAT_EXTRACT, LINES_RAW
 from tillroll.session import materialize, run_actions, scratch_path
-from tillroll.sources import extracts, retail_views
+from tillroll.sources import clustered, extracts, retail_views
+from tillroll.sources.broken import read_csv_checked
 from tillroll.sources.sinks import write_csv, write_parquet, write_table
 from tillroll.sources.tables import read_parquet, read_table
 
@@ -39,6 +40,8 @@ RETURN_PAGE = (1, serving.TABLE_PAGE_SIZE)
 PERIOD_PAGE = (2, serving.TABLE_PAGE_SIZE)
 RANKED_PAGE = (15, 50)
 DEEP_PAGE = (13, 100)
+# Page size and number of the page that is reached by cursors.
+KEYSET_WALKS = {"sales_per_country": (10, 3), "top_products": (20, 4), "return_products": (20, 2), "sales_by_period": (100, 3)}
 PERIOD_YEAR = 1997
 PERIOD_MONTH = None
 SERIES_YEAR = 1998
@@ -387,6 +390,116 @@ def q_exact_marts(spark, d):
     return _stacked(gold.build_marts(layers.lines, layers.orders, layers.exact_products), "decimal(28,6)")
 
 
+def _joined(spark, d, build):
+    """A report over the three inputs of the sales lines."""
+    layers = _layers(spark, d)
+    return build(layers.lines, layers.orders, layers.products)
+
+
+def _keyset_walk(spark, d, name, page_size, pages):
+    """Pages of a mart, each asked for with the cursor that ends the page
+    before it, as a client does. The last one is returned."""
+    view = keyset.keyset_view(_mart(spark, d, name), keyset.mart_order(name), f"keyset-{name}")
+    cursor = None
+    for _ in range(pages - 1):
+        rows = view.page(cursor, page_size).collect()  # a page
+        cursor = keyset.decode_cursor(keyset.encode_cursor(view.cursor_of(rows[-1])))
+    return view.page(cursor, page_size)
+
+
+def q_rule_counters(spark, d):
+    """Failures of each rule, counted by the writes of both sides."""
+    _, splits = _layers(spark, d).written(scratch_path(spark, "splits"))
+    return validation.rule_counts(splits, spark)
+
+
+def q_written_lines_invalid(spark, d):
+    """Quarantined lines from the one write of both sides."""
+    lines = _layers(spark, d).lines_raw
+    return validation.write_split(lines, validation.line_rules(), scratch_path(spark, "split-lines")).invalid
+
+
+LINES_HEADER = "InvoiceNo,StockCode,Quantity"
+
+
+def _damaged_lines(spark, d):
+    """The lines as CSV records, some of them damaged: without their last
+    field, with one more, or with a quantity that is no number."""
+    text = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in ("InvoiceNo", "StockCode", "Quantity")]
+    q = F.col("Quantity")
+    record = (
+        F.when(q == 13, F.concat_ws(",", *text[:2]))
+        .when(q == 17, F.concat_ws(",", *text, F.lit("extra")))
+        .when(q == 19, F.concat(F.concat_ws(",", *text), F.lit(" pcs")))
+        .when(q == 23, F.concat(F.concat_ws(",", *text), F.lit(".0")))
+        .otherwise(F.concat_ws(",", *text))
+    )
+    return retail_views.lines_extract(spark, d).select(record.alias(LINES_HEADER))
+
+
+def _checked_lines(spark, d):
+    path = scratch_path(spark, "damaged-lines")
+    # One text column under the whole header: records are written as they are.
+    writer = _damaged_lines(spark, d).write.option("header", True).option("sep", "\x01").option("quote", "").option("emptyValue", "")
+    writer.option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path)
+    return read_csv_checked(spark, path, LINES_RAW, multi_line=False)
+
+
+def q_csv_good_lines(spark, d):
+    return _checked_lines(spark, d).good
+
+
+def q_csv_broken_lines(spark, d):
+    return _checked_lines(spark, d).broken.select("record", "reason")
+
+
+def q_manifest_lines(spark, d):
+    """Lines landed by four runs over a growing inbox, one of them repeated."""
+    root = scratch_path(spark, "inbox")
+    landed = manifest.LandedFiles(spark, f"{root}/landed", bronze.DatasetSpec("orders_line", f"{root}/csv", "", multi_line=False))
+    lines = retail_views.lines_extract(spark, d).withColumn("_part", F.pmod(F.xxhash64("InvoiceNo", "StockCode"), F.lit(3)))
+    lines = materialize(lines, "lines-delivered")
+    for part in range(3):
+        write_csv(lines.filter(F.col("_part") == part).drop("_part"), f"{root}/csv/{part}")
+        landed.run()
+    landed.run()
+    return landed.rows().drop(manifest.FILE_COLUMN)
+
+
+def _clustered_lines(spark, d):
+    path = scratch_path(spark, "clustered-lines")
+    clustered.write_clustered(retail_views.lines_extract(spark, d), path, ("InvoiceNo", "StockCode"), files=64)
+    return path
+
+
+def q_clustered_lines(spark, d):
+    return read_parquet(spark, _clustered_lines(spark, d))
+
+
+def q_clustered_point_reads(spark, d):
+    """Lines of one invoice and lines of one product, each from the few files
+    that may have them."""
+    path = _clustered_lines(spark, d)
+    invoice, code = read_parquet(spark, path).agg(F.max("InvoiceNo"), F.max("StockCode")).first()
+    reads = {"invoice": {"InvoiceNo": invoice}, "product": {"StockCode": code}, "no invoice": {"InvoiceNo": None}}
+    parts = [clustered.read_where(spark, path, **equals).select(F.lit(name).alias("read_by"), "*") for name, equals in reads.items()]
+    return functools.reduce(DataFrame.unionByName, parts)
+
+
+def q_compacted_days(spark, d):
+    """Orders landed in two deliveries, then compacted: rows and files of every day."""
+    path = scratch_path(spark, "orders-compacted")
+    orders = materialize(_layers(spark, d).orders_bronze, "orders-to-land")
+    second = F.coalesce(F.pmod(F.xxhash64("InvoiceNo"), F.lit(2)), F.lit(0)) == 1
+    write_parquet(orders.filter(~second), path, partition_by=DATE_PARTS)
+    write_parquet(orders.filter(second), path, partition_by=DATE_PARTS, mode="append")
+    compact.compact(spark, path)
+    stored = read_parquet(spark, path).withColumn("_file", F.col("_metadata.file_path"))
+    return stored.groupBy(*DATE_PARTS).agg(
+        F.count(F.lit(1)).alias("n_rows"), F.count_distinct("_file").alias("n_files"), F.count("CustomerID").alias("n_customers")
+    )
+
+
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "scan_parquet": q_scan_parquet,
     "partition_roundtrip": q_partition_roundtrip,
@@ -440,6 +553,18 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "incremental_marts": q_incremental_marts,
     "incremental_product_master": q_incremental_product_master,
     "exact_marts": q_exact_marts,
+    "sales_loss_report": functools.partial(_joined, build=reconcile.loss_report),
+    "sales_lost_lines": functools.partial(_joined, build=reconcile.lost_lines),
+    "line_outcomes": functools.partial(_joined, build=reconcile.line_outcomes),
+    **{f"keyset_{n}": functools.partial(_keyset_walk, name=n, page_size=size, pages=pages) for n, (size, pages) in KEYSET_WALKS.items()},
+    "rule_counters": q_rule_counters,
+    "written_lines_invalid": q_written_lines_invalid,
+    "csv_good_lines": q_csv_good_lines,
+    "csv_broken_lines": q_csv_broken_lines,
+    "manifest_lines": q_manifest_lines,
+    "clustered_lines": q_clustered_lines,
+    "clustered_point_reads": q_clustered_point_reads,
+    "compacted_days": q_compacted_days,
 }
 
 
@@ -699,7 +824,18 @@ exact_marts AS (
   FROM sales_exact WHERE NOT IsCancel GROUP BY "year", "month", "day"
 )"""
 
+_OUTCOMES = """
+order_rows AS (SELECT InvoiceNo, count(*) AS order_rows FROM orders_silver GROUP BY InvoiceNo),
+outcomes AS (
+  SELECT l.InvoiceNo, l.StockCode, l.Quantity, coalesce(order_rows, 0) AS order_rows,
+    CASE WHEN order_rows IS NULL THEN 'without_order' WHEN p.StockCode IS NULL THEN 'without_product'
+         WHEN order_rows > 1 THEN 'fanned_out' ELSE 'sold' END AS outcome
+  FROM lines_ok l LEFT JOIN order_rows USING (InvoiceNo) LEFT JOIN products_master p ON l.StockCode = p.StockCode
+  WHERE l.ok
+)"""
+
 _VIEWS = {
+    "outcomes": _OUTCOMES,
     "exact": _EXACT,
     "cust": _CUSTOMER_NATION,
     "orders": _ORDERS_RAW,
@@ -718,6 +854,7 @@ _DEPENDS = {
     "flat": ["cust"],
     "cust": [],
     "exact": ["orders", "products", "lines"],
+    "outcomes": ["orders", "products", "lines"],
 }
 
 
@@ -785,6 +922,31 @@ def _shown_integer(col: str) -> str:
     return f"translate(format('{{:,}}', {col}), ',', chr(8239)) AS {col}"
 
 
+def _present_sql(*columns: str) -> dict[str, str]:
+    found = {}
+    for c in columns:
+        found |= {f"{c}_not_null": f"{c} IS NOT NULL", f"{c}_not_empty": f"{c} <> ''"}
+    return found
+
+
+_RULES_SQL = [
+    (
+        "products",
+        "products_trimmed",
+        _present_sql("StockCode", "Description")
+        | {"StockCode_is_product": "upper(StockCode) NOT IN ('POST', 'POSTAGE', 'M', 'D', 'BANK CHARGES')"}
+        | {f"Description_not_{x.replace(' ', '_')}": f"NOT contains(lower(Description), '{x}')" for x in ("bad debt", "adjust", "dotcom postage", "amazon fee")}
+        | {"UnitPrice_not_null": "UnitPrice IS NOT NULL", "UnitPrice_positive": "UnitPrice > 0"},
+    ),
+    ("orders", "orders_parsed", _present_sql("InvoiceNo", "Country") | {"InvoiceDate_not_null": "InvoiceDate IS NOT NULL"}),
+    (
+        "orders_line",
+        "lines_raw",
+        _present_sql("InvoiceNo", "StockCode") | {"Quantity_not_null": "Quantity IS NOT NULL", "Quantity_not_zero": "Quantity <> 0"},
+    ),
+]
+
+
 def _build_oracle() -> dict[str, str]:
     o, p, l, m, f = _with("orders"), _with("products"), _with("lines"), _with("marts"), _with("flat")
     sql = {
@@ -907,6 +1069,33 @@ FROM (SELECT trim(StockCode) AS StockCode, trim(Description) AS Description, Uni
 WHERE {_PRODUCT_OK} GROUP BY StockCode"""
         for state, source in rows.items()
     )
+    out = _with("outcomes")
+    sql["line_outcomes"] = out + "SELECT * FROM outcomes"
+    sql["sales_lost_lines"] = out + "SELECT InvoiceNo, StockCode, Quantity, outcome FROM outcomes WHERE starts_with(outcome, 'without')"
+    sql["sales_loss_report"] = out + """SELECT outcome, count(*) AS n_lines, CAST(sum(Quantity) AS BIGINT) AS quantity,
+       CAST(sum(CASE WHEN outcome IN ('sold', 'fanned_out') THEN order_rows ELSE 0 END) AS BIGINT) AS sales_rows
+FROM outcomes GROUP BY outcome"""
+    for name, (size, pages) in KEYSET_WALKS.items():
+        source = _MART_SELECT[name].removeprefix("SELECT * FROM ")
+        sql[f"keyset_{name}"] = m + _page_sql(source, _ORDER[name], pages, size)
+    sql["rule_counters"] = _with("orders", "products", "lines") + " UNION ALL ".join(
+        f"SELECT '{dataset}' AS dataset, '{rule}' AS rule_id, count(*) FILTER (NOT coalesce({check}, FALSE)) AS n_failed FROM {source}"
+        for dataset, source, checks in _RULES_SQL
+        for rule, check in checks.items()
+    )
+    l_text = "coalesce(InvoiceNo, '') || ',' || coalesce(StockCode, '')"
+    read_back = "NULLIF(InvoiceNo, '') AS InvoiceNo, NULLIF(StockCode, '') AS StockCode, Quantity"
+    sql["csv_good_lines"] = l + f"SELECT {read_back} FROM lines_raw WHERE Quantity IS NULL OR Quantity NOT IN (13, 17, 19)"
+    sql["csv_broken_lines"] = l + f"""SELECT {l_text} || CASE Quantity WHEN 13 THEN '' WHEN 17 THEN ',17,extra' ELSE ',19 pcs' END AS record,
+       CASE Quantity WHEN 19 THEN 'type:Quantity' ELSE 'fields' END AS reason FROM lines_raw WHERE Quantity IN (13, 17, 19)"""
+    sql["manifest_lines"] = l + f"SELECT {read_back} FROM lines_raw"
+    sql["clustered_lines"] = l + "SELECT InvoiceNo, StockCode, Quantity FROM lines_raw"
+    sql["clustered_point_reads"] = l + """SELECT 'invoice' AS read_by, * FROM lines_raw WHERE InvoiceNo = (SELECT max(InvoiceNo) FROM lines_raw)
+UNION ALL SELECT 'product', * FROM lines_raw WHERE StockCode = (SELECT max(StockCode) FROM lines_raw)
+UNION ALL SELECT 'no invoice', * FROM lines_raw WHERE InvoiceNo IS NULL"""
+    sql["compacted_days"] = o + """SELECT "year", "month", "day", count(*) AS n_rows, CAST(1 AS BIGINT) AS n_files, count(CustomerID) AS n_customers
+FROM orders_bronze GROUP BY "year", "month", "day\""""
+    sql["written_lines_invalid"] = sql["lines_invalid"]
     sql["silver_orders_table"] = sql["orders_valid"]
     sql["silver_invalid_products_table"] = sql["products_invalid"]
     sql["landed_sales_by_period"] = sql["sales_by_period"]

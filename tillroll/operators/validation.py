@@ -18,8 +18,9 @@ import functools
 from dataclasses import dataclass
 from typing import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 @dataclass(frozen=True)
@@ -71,6 +72,51 @@ def split_counts(named: dict[str, tuple[DataFrame, Sequence[Rule]]]) -> DataFram
     return union.groupBy("dataset", "is_valid").agg(F.count(F.lit(1)).alias("n"))
 
 
+@dataclass(frozen=True)
+class SplitWrite:
+    """Both sides of a split as written, and what was counted on the way."""
+
+    valid: DataFrame
+    invalid: DataFrame
+    rows: int
+    failed: dict[str, int]  # by rule; a row may fail several
+    n_invalid: int
+
+
+def write_split(df: DataFrame, rules: Sequence[Rule], path: str, name: str = "split") -> SplitWrite:
+    """Write both sides in one job, one folder each, and count every rule's
+    failures in that job (``DataFrame.observe``): the input is read once.
+
+    The metrics are taken in the writing tasks, above any shuffle of the input,
+    so a task that is run again is counted once.
+    """
+    ids = [r.rule_id for r in rules]
+    if len(set(ids)) != len(ids):
+        raise ValueError("rule ids must differ")
+    side = "_valid"
+    observation = Observation(name)
+    metrics = [F.count(F.lit(1)).alias("rows"), F.count_if(~F.col(side)).alias("invalid")]
+    metrics += [F.count_if(~F.coalesce(r.check, F.lit(False))).alias(f"rule {r.rule_id}") for r in rules]
+    flagged = flag_valid(df, rules, side).observe(observation, *metrics)
+    flagged.write.mode("overwrite").partitionBy(side).parquet(path)
+    counted = observation.get
+    back = df.sparkSession.read.schema(T.StructType([*df.schema.fields, T.StructField(side, T.BooleanType())])).parquet(path)
+    return SplitWrite(
+        back.filter(F.col(side)).drop(side),
+        back.filter(~F.col(side)).drop(side),
+        counted["rows"],
+        {r: counted[f"rule {r}"] for r in ids},
+        counted["invalid"],
+    )
+
+
+def rule_counts(splits: dict[str, SplitWrite], spark: SparkSession) -> DataFrame:
+    """``(dataset, rule_id, n_failed)`` of written splits; the driver holds a
+    number for each rule."""
+    rows = [(name, rule, n) for name, split in splits.items() for rule, n in split.failed.items()]
+    return spark.createDataFrame(rows, "dataset string, rule_id string, n_failed bigint")
+
+
 # ---------------------------------------------------------------------------
 # Rule sets of the three datasets.
 

@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame
 
 from tillroll.functions.dates import date_parts
 from tillroll.operators import cleaning, marts, validation
+from tillroll.session import run_actions
 
 
 @dataclass
@@ -99,6 +100,24 @@ class RetailLayers:
             }
         )
 
+    def written(self, path: str) -> tuple[RetailLayers, dict[str, validation.SplitWrite]]:
+        """The same layers over both sides of all three splits as written under
+        ``path``, and the counts of those writes. Each dataset is read once."""
+        jobs = {
+            "products": (self.products_trimmed, validation.product_rules()),
+            "orders": (self.orders_parsed, validation.order_rules()),
+            "orders_line": (self.lines_raw, validation.line_rules()),
+        }
+        done = run_actions(
+            [lambda n=n, df=df, rules=rules: validation.write_split(df, rules, f"{path}/{n}", n) for n, (df, rules) in jobs.items()]
+        )
+        splits = dict(zip(jobs, done))
+        layers = RetailLayers(self.products_raw, self.orders_raw, self.lines_raw, self.orders_have_date_parts, self.keep_raw_dates)
+        layers._products_split = (splits["products"].valid, splits["products"].invalid)
+        layers._orders_split = (splits["orders"].valid, splits["orders"].invalid)
+        layers._lines_split = (splits["orders_line"].valid, splits["orders_line"].invalid)
+        return layers, splits
+
     # ---- gold -----------------------------------------------------------
     @cached_property
     def sales(self) -> DataFrame:

@@ -14,6 +14,7 @@ from dataclasses import dataclass
 from pyspark.errors import AnalysisException
 from pyspark.sql import SparkSession
 
+from tillroll.operators.validation import SplitWrite
 from tillroll.plans.layers import RetailLayers
 from tillroll.schemas import DATE_PARTS, ORDERS_BRONZE
 from tillroll.session import run_actions
@@ -51,6 +52,16 @@ def layers_from_bronze(spark: SparkSession, products_path: str, orders_path: str
     )
 
 
+def write_silver_counted(
+    layers: RetailLayers, staging: str, tables: SilverTables = SilverTables(), max_parallel: int = 3
+) -> dict[str, SplitWrite]:
+    """``write_silver`` over splits that are written once under ``staging``,
+    with the number of rows that failed each rule counted by those writes."""
+    written, splits = layers.written(staging)
+    write_silver(written, tables, max_parallel)
+    return splits
+
+
 def write_silver(layers: RetailLayers, tables: SilverTables = SilverTables(), max_parallel: int = 3) -> SilverTables:
     """Write the six silver tables as concurrent jobs.
 

@@ -486,17 +486,21 @@ def q_clustered_point_reads(spark, d):
     return functools.reduce(DataFrame.unionByName, parts)
 
 
-def q_compacted_days(spark, d):
-    """Orders landed in two deliveries, then compacted: rows and files of every day."""
-    path = scratch_path(spark, "orders-compacted")
+def q_compacted_months(spark, d):
+    """Orders landed by month in two deliveries, then compacted: rows and
+    files of every month."""
+    path, parts = scratch_path(spark, "orders-compacted"), ("year", "month")
     orders = materialize(_layers(spark, d).orders_bronze, "orders-to-land")
     second = F.coalesce(F.pmod(F.xxhash64("InvoiceNo"), F.lit(2)), F.lit(0)) == 1
-    write_parquet(orders.filter(~second), path, partition_by=DATE_PARTS)
-    write_parquet(orders.filter(second), path, partition_by=DATE_PARTS, mode="append")
-    compact.compact(spark, path)
+    write_parquet(orders.filter(~second), path, partition_by=parts)
+    write_parquet(orders.filter(second), path, partition_by=parts, mode="append")
+    compact.compact(spark, path, parts)
     stored = read_parquet(spark, path).withColumn("_file", F.col("_metadata.file_path"))
-    return stored.groupBy(*DATE_PARTS).agg(
-        F.count(F.lit(1)).alias("n_rows"), F.count_distinct("_file").alias("n_files"), F.count("CustomerID").alias("n_customers")
+    return stored.groupBy(*parts).agg(
+        F.count(F.lit(1)).alias("n_rows"),
+        F.count_distinct("_file").alias("n_files"),
+        F.count("CustomerID").alias("n_customers"),
+        F.count_distinct("day").alias("n_days"),
     )
 
 
@@ -564,7 +568,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "manifest_lines": q_manifest_lines,
     "clustered_lines": q_clustered_lines,
     "clustered_point_reads": q_clustered_point_reads,
-    "compacted_days": q_compacted_days,
+    "compacted_months": q_compacted_months,
 }
 
 
@@ -1093,8 +1097,8 @@ FROM outcomes GROUP BY outcome"""
     sql["clustered_point_reads"] = l + """SELECT 'invoice' AS read_by, * FROM lines_raw WHERE InvoiceNo = (SELECT max(InvoiceNo) FROM lines_raw)
 UNION ALL SELECT 'product', * FROM lines_raw WHERE StockCode = (SELECT max(StockCode) FROM lines_raw)
 UNION ALL SELECT 'no invoice', * FROM lines_raw WHERE InvoiceNo IS NULL"""
-    sql["compacted_days"] = o + """SELECT "year", "month", "day", count(*) AS n_rows, CAST(1 AS BIGINT) AS n_files, count(CustomerID) AS n_customers
-FROM orders_bronze GROUP BY "year", "month", "day\""""
+    sql["compacted_months"] = o + """SELECT "year", "month", count(*) AS n_rows, CAST(1 AS BIGINT) AS n_files,
+       count(CustomerID) AS n_customers, count(DISTINCT "day") AS n_days FROM orders_bronze GROUP BY "year", "month\""""
     sql["written_lines_invalid"] = sql["lines_invalid"]
     sql["silver_orders_table"] = sql["orders_valid"]
     sql["silver_invalid_products_table"] = sql["products_invalid"]

@@ -3,7 +3,7 @@
 Files are packed folder by folder: a file that has the target size stays in a
 bin of its own, smaller ones fill bins in order of size up to the target.
 Folders that would not get fewer files are left alone. All others are rewritten
-in one job to a staging folder beside the table, one file a bin, and then
+in one job to a staging folder beside the table, a task a bin, and then
 swapped in folder by folder: the old folder is renamed aside, the new one
 renamed into its place, the old one deleted. Only names change hands on the
 driver; rows do not.
@@ -27,7 +27,7 @@ from tillroll.schemas import DATE_PARTS
 from tillroll.session import delete_path, run_actions
 
 TARGET_BYTES = 256 << 20
-_ASIDE, _FRESH = ".old-", ".new-"
+_ASIDE = ".old-"
 
 
 def data_files(spark: SparkSession, path: str) -> DataFrame:
@@ -61,18 +61,12 @@ class _Files:
         """The path as listings name it."""
         return self._fs.makeQualified(self._path(path)).toString()
 
-    def names(self, folder: str) -> list[str]:
-        return [s.getPath().getName() for s in self._fs.listStatus(self._path(folder))]
-
     def folders(self, folder: str) -> list[str]:
         return [s.getPath().toString() for s in self._fs.listStatus(self._path(folder)) if s.isDirectory()]
 
     def exists(self, path: str) -> bool:
         return self._fs.exists(self._path(path))
 
-    def make(self, path: str) -> None:
-        self._fs.mkdirs(self._path(path))
-
     def move(self, source: str, target: str) -> None:
         if not self._fs.rename(self._path(source), self._path(target)):
             raise OSError(f"could not rename {source} to {target}")
@@ -109,8 +103,6 @@ def recover(spark: SparkSession, path: str, depth: int = len(DATE_PARTS)) -> int
                     else:
                         files.move(child, place)
                     found += 1
-                elif name.startswith(_FRESH):
-                    files.delete(child)
                 else:
                     inner.append(child)
         level = inner
@@ -139,22 +131,14 @@ def compact(
     rows = spark.read.schema(schema).option("basePath", path).parquet(*folders).withColumn("_file", F.col("_metadata.file_path"))
     # A bin has one target size of rows at most (or one big file), so a task
     # that writes a bin is bounded; a day of many bins is spread over tasks.
-    rows.join(numbered, "_file").drop("_file").repartition(*partition_by, "_bin").write.partitionBy(*partition_by, "_bin").parquet(
+    rows.join(numbered, "_file").repartition(*partition_by, "_bin").drop("_file", "_bin").write.partitionBy(*partition_by).parquet(
         f"{staging}/data"
     )
 
-    def replace(folder: str) -> int:
-        inside, fresh = folder.removeprefix(f"{path}/"), _beside(folder, _FRESH)
-        files.make(fresh)
-        moved = 0
-        for bin_folder in files.folders(f"{staging}/data/{inside}"):
-            for name in files.names(bin_folder):
-                if name.endswith(".parquet"):
-                    files.move(f"{bin_folder}/{name}", f"{fresh}/{name.replace('part-', f'part-{moved:05d}-', 1)}")
-                    moved += 1
-        swap(files, folder, fresh)
-        return moved
-
-    after = run_actions([lambda f=f: replace(f) for f in folders], max_parallel)
+    def replace(folder: str) -> None:
+        swap(files, folder, f"{staging}/data/{folder.removeprefix(f'{path}/')}")
+
+    after = data_files(spark, f"{staging}/data").count()
+    run_actions([lambda f=f: replace(f) for f in folders], max_parallel)
     delete_path(spark, staging)
-    return {"folders": len(folders), "files_before": before, "files_after": sum(after)}
+    return {"folders": len(folders), "files_before": before, "files_after": after}

@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 
 from tests.llm import brute  # noqa: F401
-from tillroll.llm import chat_format, classifier, licenses
+from tillroll.llm import chat_format, classifier, licenses, queries
 
 public_tokenizers = pytest.importorskip("public_tokenizers")
 PATH = public_tokenizers.path("byte_bpe_50k.json")
@@ -151,3 +151,23 @@ def test_blocks_of_many_statements(spark):
     names = [name for name, _ in licenses.TEMPLATES]
     line = " ".join(statement for _, statement in licenses.TEMPLATES)
     assert _licenses(spark, [" ".join([line] * 20), "license " * 3000 + line]) == [[(n, 0) for n in names * 20], [(n, 0) for n in names]]
+
+
+def test_rows_without_a_conversation_id_stay_apart(spark):
+    rows = [(None, 0, "user", "one"), (None, 0, "user", "one"), (None, 1, "assistant", "two"), (5, 0, "user", "three")]
+    turns = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").repartition(3)
+    path = queries.tokenizer_path(chat_format.TOKENIZER_FILE)
+    back = chat_format.read_back(chat_format.format_chats(turns, path), path).collect()
+    assert sorted((str(r.conv_id), [tuple(t) for t in r.turns]) for r in back) == [
+        ("5", [("user", "three")]), ("None", [("assistant", "two")]), ("None", [("user", "one")]), ("None", [("user", "one")])
+    ]
+
+
+def test_batches_are_cut_within_a_conversation(spark):
+    rows = [(c, t, ("user", "assistant")[t % 2], f"{c} {t} " + "word " * 3000) for c in range(6) for t in range(40)]  # several slices
+    turns = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").repartition(4)
+    path = queries.tokenizer_path(chat_format.TOKENIZER_FILE)
+    for r in chat_format.read_back(chat_format.format_chats(turns, path), path).collect():
+        own = [x for x in rows if x[0] == r.conv_id]
+        assert [tuple(t) for t in r.turns] == [(x[2], x[3]) for x in own]
+        assert r.loss_text == "".join(x[3] for x in own if x[2] == "assistant")

@@ -24,6 +24,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tillroll.llm import textkit
+
 TOKENIZER_FILE = "byte_bpe_50k.json"
 FIRST_RESERVED = 50257
 # Markers in the order of their reserved ids.
@@ -31,6 +33,7 @@ MARKERS = ("<s>", "</s>", "[INST]", "[/INST]", "<<SYS>>", "<</SYS>>", "[ASST]",
 RESERVED = {m: FIRST_RESERVED + i for i, m in enumerate(MARKERS)}
 ROLES = {"user": ("[INST]", "[/INST]"), "system": ("<<SYS>>", "<</SYS>>"), "assistant": ("[ASST]", "</s>")}
 LOSS_ROLE = "assistant"
+FLUSH_IDS = 1 << 17  # ids in a batch that is handed on
 ESCAPE = "\x1b"
 CONTROL = re.compile("|".join(map(re.escape, (ESCAPE, *MARKERS))))
 _ESCAPED = re.compile(f"{ESCAPE}([01])")
@@ -63,48 +66,80 @@ def _frame(role: str) -> tuple[list[str], str]:
     return ["[ROLE]", escape(role), "[/ROLE]"], "</s>"
 
 
-def _encode(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[pa.RecordBatch]:
-    """Per turn its spliced ids, the place of its text in them, its rendering."""
+class _Chats:
+    """Finished conversations as flat arrays, handed on when they are many ids."""
+
+    def __init__(self, key_type: pa.DataType) -> None:
+        self.key_type = key_type
+        self._clear()
+
+    def _clear(self) -> None:
+        self.keys: list = []
+        self.ids: list[np.ndarray] = []
+        self.loss: list[np.ndarray] = []
+        self.ends, self.shown = [0], []
+
+    def add(self, key, segments: list[np.ndarray], spans: list[tuple[int, int]], shown: list[str]) -> None:
+        ids = np.concatenate(segments)
+        edges = np.zeros(len(ids) + 1, np.int32)
+        for start, stop in spans:
+            edges[start] += 1
+            edges[stop] -= 1
+        self.keys.append(key)
+        self.ids.append(ids)
+        self.loss.append(np.cumsum(edges[:-1]).astype(bool))
+        self.ends.append(self.ends[-1] + len(ids))
+        self.shown.append("".join(shown))
+
+    def full(self) -> bool:
+        return self.ends[-1] >= FLUSH_IDS
+
+    def take(self) -> pa.RecordBatch:
+        none = [np.zeros(0, np.int32)]
+        ends = pa.array(self.ends, pa.int32())
+        ids = pa.ListArray.from_arrays(ends, pa.array(np.concatenate(self.ids or none)))
+        mask = pa.ListArray.from_arrays(ends, pa.array(np.concatenate(self.loss or none).astype(bool)))
+        columns = [pa.array(self.keys, self.key_type), ids, mask, pa.array(self.shown, pa.string())]
+        self._clear()
+        return pa.RecordBatch.from_arrays(columns, ["conv", "input_ids", "loss_mask", "formatted"])
+
+
+def _format(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[pa.RecordBatch]:
+    """Sorted turns -> conversations. Texts are encoded a bounded slice at a
+    time; only the conversation at hand and the finished ones of a batch are
+    held, as arrays."""
     tokenizer = _tokenizer(path)
+    begin = np.array([RESERVED["<s>"]], np.int32)
+    chats = key = None
+    segments: list[np.ndarray] = []
     for batch in batches:
-        roles = [r or "" for r in batch.column("role").to_pylist()]
-        texts = [escape(t or "") for t in batch.column("text").to_pylist()]
-        ids, heads, counts, shown = [], [], [], []
-        for role, text, found in zip(roles, texts, tokenizer.encode_batch(texts, add_special_tokens=False)):
-            before, after = _frame(role)
-            head = [RESERVED[before[0]]]
-            if len(before) > 1:
-                head += tokenizer.encode(before[1], add_special_tokens=False).ids + [RESERVED[before[2]]]
-            ids.append([*head, *found.ids, RESERVED[after]])
-            heads.append(len(head))
-            counts.append(len(found.ids))
-            shown.append("".join(before) + text + after)
-        yield pa.RecordBatch.from_arrays(
-            [batch.column("conv"), batch.column("turn"), batch.column("role"), batch.column("text")]
-            + [pa.array(ids, pa.list_(pa.int32())), pa.array(heads, pa.int32()), pa.array(counts, pa.int32()), pa.array(shown)],
-            ["conv", "turn", "role", "text", "ids", "head", "count", "shown"],
-        )
-
-
-def _assemble(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        out_ids, masks, shown = [], [], []
-        for turns in batch.column("turns").to_pylist():
-            lengths = np.array([len(t["ids"]) for t in turns])
-            starts = 1 + np.cumsum(lengths) - lengths  # after <s>
-            ids = np.concatenate([[RESERVED["<s>"]], *[t["ids"] for t in turns]]).astype(np.int32)
-            edges = np.zeros(len(ids) + 1, np.int64)
-            for start, t in zip(starts, turns):
-                if t["role"] == LOSS_ROLE:
-                    edges[start + t["head"]] += 1
-                    edges[start + t["head"] + t["count"]] -= 1
-            out_ids.append(ids)
-            masks.append(np.cumsum(edges[:-1]).astype(bool))
-            shown.append("<s>" + "".join(t["shown"] for t in turns))
-        yield pa.RecordBatch.from_arrays(
-            [batch.column("conv"), pa.array(out_ids, pa.list_(pa.int32())), pa.array(masks, pa.list_(pa.bool_())), pa.array(shown, pa.string())],
-            ["conv", "input_ids", "loss_mask", "formatted"],
-        )
+        if chats is None:
+            chats = _Chats(batch.schema.field("conv").type)
+        _, offsets = textkit.column_bytes(batch.column("text"))
+        for lo, hi in textkit.row_slices(offsets):
+            part = batch.slice(lo, hi - lo)
+            texts = [escape(t) for t in part.column("text").to_pylist()]
+            encoded = tokenizer.encode_batch(texts, add_special_tokens=False)
+            for conv, role, text, found in zip(part.column("conv").to_pylist(), part.column("role").to_pylist(), texts, encoded):
+                if not segments or conv is None or conv != key:
+                    if segments:
+                        chats.add(key, segments, spans, shown)
+                        if chats.full():
+                            yield chats.take()
+                    key, segments, spans, shown, at = conv, [begin], [], ["<s>"], 1
+                before, after = _frame(role)
+                head = [RESERVED[before[0]]]
+                if len(before) > 1:
+                    head += [*tokenizer.encode(before[1], add_special_tokens=False).ids, RESERVED[before[2]]]
+                ids = np.array([*head, *found.ids, RESERVED[after]], np.int32)
+                if role == LOSS_ROLE:
+                    spans.append((at + len(head), at + len(ids) - 1))
+                at += len(ids)
+                segments.append(ids)
+                shown += [*before, text, after]
+    if segments:
+        chats.add(key, segments, spans, shown)
+        yield chats.take()
 
 
 def format_chats(
@@ -119,23 +154,24 @@ def format_chats(
     of assistant texts) and ``formatted`` (the rendered template).
 
     Turns are taken in order of turn number, then role and text, so ties and
-    repeated rows stay, side by side. Null roles and texts are empty; rows
-    without a conversation id make one conversation. Other columns are not
-    used, and an empty table gives no rows. A conversation is assembled as one
-    row, as a document is.
+    repeated rows stay, side by side. Null roles and texts are empty; a row
+    without a conversation id is a conversation of its own. Other columns are
+    not used, and an empty table gives no rows.
+
+    Each text is shuffled once. Sorted turns stream through their task, which
+    holds one conversation at a time; a conversation becomes one row, as a
+    document does.
     """
     rows = turns.select(
         F.col(conv_col).alias("conv"), F.col(turn_col).alias("turn"),
         F.coalesce(F.col(role_col).cast("string"), F.lit("")).alias("role"),
         F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"),
     )
-    extra = T.StructType.fromDDL("ids array<int>, head int, count int, shown string").fields
-    encoded = rows.mapInArrow(lambda it: _encode(it, tokenizer_path), T.StructType([*rows.schema.fields, *extra]))
-    grouped = encoded.groupBy("conv").agg(
-        F.sort_array(F.collect_list(F.struct("turn", "role", "text", "ids", "head", "count", "shown"))).alias("turns")
-    )
+    apart = F.when(F.col("conv").isNull(), F.xxhash64("turn", "role", "text")).otherwise(F.xxhash64("conv"))
+    dealt = rows.withColumn("_deal", apart).repartition("_deal").sortWithinPartitions("conv", "turn", "role", "text")
     out = T.StructType([rows.schema["conv"], *T.StructType.fromDDL("input_ids array<int>, loss_mask array<boolean>, formatted string").fields])
-    return grouped.mapInArrow(_assemble, out).withColumnRenamed("conv", conv_col)
+    found = dealt.select("conv", "role", "text").mapInArrow(lambda it: _format(it, tokenizer_path), out)
+    return found.withColumnRenamed("conv", conv_col)
 
 
 _NAMES = {i: m for m, i in RESERVED.items()}
@@ -166,19 +202,22 @@ def _read(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[pa.RecordBat
     tokenizer = _tokenizer(path)
     kind = pa.list_(pa.struct([("role", pa.string()), ("text", pa.string())]))
     for batch in batches:
-        turns, losses = [], []
-        for ids, mask in zip(batch.column("input_ids"), batch.column("loss_mask")):
-            found, loss = parse_ids(ids.values.to_numpy(), ids_mask(mask), tokenizer)
-            turns.append([{"role": r, "text": t} for r, t in found])
-            losses.append(loss)
-        yield pa.RecordBatch.from_arrays(
-            [batch.column("conv"), pa.array(turns, kind), pa.array(losses, pa.string()), batch.column("formatted")],
-            ["conv", "turns", "loss_text", "formatted"],
-        )
-
-
-def ids_mask(mask) -> np.ndarray:
-    return mask.values.to_numpy(zero_copy_only=False)
+        ids, mask = batch.column("input_ids"), batch.column("loss_mask")
+        ends = np.concatenate([[0], np.cumsum(ids.value_lengths().to_numpy(zero_copy_only=False))])
+        values, flags = ids.flatten().to_numpy(), mask.flatten()
+        for lo, hi in textkit.row_slices(ends, FLUSH_IDS):
+            turns, losses = [], []
+            inside = flags.slice(ends[lo], ends[hi] - ends[lo]).to_numpy(zero_copy_only=False)
+            for r in range(lo, hi):
+                a, b = int(ends[r]), int(ends[r + 1])
+                found, loss = parse_ids(values[a:b], inside[a - ends[lo] : b - ends[lo]], tokenizer)
+                turns.append([{"role": r, "text": t} for r, t in found])
+                losses.append(loss)
+            part = batch.slice(lo, hi - lo)
+            yield pa.RecordBatch.from_arrays(
+                [part.column("conv"), pa.array(turns, kind), pa.array(losses, pa.string()), part.column("formatted")],
+                ["conv", "turns", "loss_text", "formatted"],
+            )
 
 
 def read_back(chats: DataFrame, tokenizer_path: str, conv_col: str = "conv_id") -> DataFrame:

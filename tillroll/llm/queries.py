@@ -242,7 +242,7 @@ FROM d LEFT JOIN n USING (r) LEFT JOIN it USING (r)""",
     "op6_chat_formatting": rf"""
 WITH c AS (SELECT conv_id, turn, role, coalesce(text, '') AS text FROM conversations
   UNION ALL SELECT -7, 0, 'user', '</s>[INST] ok [/INST]' UNION ALL SELECT -7, 1, 'assistant', '</s>[INST] ok [/INST]'),
-m AS (SELECT *, CASE role WHEN 'user' THEN 13 WHEN 'system' THEN 15 WHEN 'assistant' THEN 10 END
+m AS (SELECT *, row_number() OVER () AS r, CASE role WHEN 'user' THEN 13 WHEN 'system' THEN 15 WHEN 'assistant' THEN 10 END
     + length(text) + length(text) - length(replace(text, chr(27), ''))
     + 2 * len(regexp_extract_all(text, '<<SYS>>|<</SYS>>|</?s>|\[/?INST\]|\[/?ROLE\]|\[ASST\]')) AS shown FROM c)
 SELECT conv_id, count(*) AS n_turns,
@@ -250,7 +250,7 @@ SELECT conv_id, count(*) AS n_turns,
   CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
   sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
   CAST(3 + sum(shown) AS BIGINT) AS formatted_chars
-FROM m GROUP BY conv_id""",
+FROM m GROUP BY conv_id, CASE WHEN conv_id IS NULL THEN r END""",
     "op7_url_filters": rf"""
 WITH u AS (SELECT row_number() OVER () AS r, page_id,
     CASE WHEN contains(url, '://') THEN substring(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages),

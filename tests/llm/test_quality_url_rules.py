@@ -31,7 +31,11 @@ def test_measures_equal_brute_force(spark):
     rng = random.Random(1)
     texts = TEXTS + [" ".join(rng.choice("abc") for _ in range(rng.randint(0, 60))) for _ in range(60)]
     df = spark.createDataFrame([(i, t, "clash") for i, t in enumerate(texts)], "doc_id long, text string, n_words string")
-    got = {r[0]: tuple(r[1:]) for r in df.select("doc_id", *[f(F.col("text")) for f in q.MEASURES.values()]).collect()}
+    texts[0] = "word, " * 90_000 + "and so on"  # a very long text
+    df = df.filter("doc_id > 0").unionByName(spark.createDataFrame([(0, texts[0], "clash")], df.schema))
+    judged = q.judge(df, measured=True)
+    got = {r[0]: tuple(r[1:]) for r in judged.select("doc_id", *q.MEASURES).collect()}
+    assert judged.columns == ["doc_id", "text", "failed_rule", *q.MEASURES]
     assert got == {i: _measures(t) for i, t in enumerate(texts)}
 
 
@@ -41,13 +45,54 @@ def test_order_never_changes_verdicts(spark):
     df = spark.createDataFrame([(i, t) for i, t in enumerate(TEXTS + good + [good[0]])], "doc_id long, text string")
     ordered = q.order_rules(df, sample_rows=20)
     assert sorted(r.name for r in ordered) == sorted(r.name for r in q.RULES)
-    forward = df.withColumn("f", q.failed_rule(F.col("text"), q.RULES)).filter("f is null")
+    forward = df.withColumn("f", q.failed_rule(q.Doc(F.col("text"), q.words(F.col("text"))), q.RULES)).filter("f is null")
     assert sorted(r["doc_id"] for r in q.keep_good(df).collect()) == sorted(r["doc_id"] for r in forward.collect())
     assert q.keep_good(df).columns == df.columns
     assert {r["text"] for r in q.keep_good(df).collect()} == set(good)
     assert q.keep_good(df.limit(0)).count() == 0
 
 
+def _rejects(name, text):
+    n, chars, symbols, dup, repeat = _measures(text)
+    t, w = text or "", brute.WORD.findall(text or "")
+    lines = [x for x in t.split("\n") if brute.WORD.search(x)]
+    return {
+        "short": n < 20, "repeats": 100 * repeat > 30 * n, "symbols": 100 * symbols > 10 * n, "dup_lines": 100 * dup > 50 * len(lines),
+        "word_length": chars < 2 * n or chars > 15 * n, "shouting": len(re.findall("[A-Z]", t)) > len(re.findall("[a-z]", t)),
+        "stutter": 10 * sum(a == b for a, b in zip(w, w[1:])) > 3 * n,
+    }[name]
+
+
+def test_every_rule_equals_plain_python(spark):
+    rng = random.Random(7)
+    bits = ["ab", "AB", "Abc", "x", "#", "ab\n", "It", "longerwordthanmost", "\n"]
+    texts = TEXTS + [" ".join(rng.choice(rng.sample(bits, 3)) for _ in range(rng.randint(0, 90))) for _ in range(150)]
+    texts += ["A" * 40 + " " + "a" * 39, "a" * 300 + "A" * 299, "A" * 300 + "b" * 300, "A" * 300 + "é" * 900 + "b" * 301]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    text = F.col("text")
+    for known in (False, True):
+
+        def rejects(rule):
+            measured = lambda w: F.struct(*[m(q.Doc(text, w)).alias(n) for n, m in q.MEASURES.items()])
+            return q.let(q.words(text), lambda w: rule.rejects(q.Doc(text, w, measured(w) if known else None)))
+
+        rules = [rejects(r) for r in q.RULES]
+        for row in df.select("doc_id", *rules).collect():
+            assert list(row[1:]) == [_rejects(r.name, texts[row[0]]) for r in q.RULES], texts[row[0]]
+
+
+def test_first_failed_rule_is_named_and_clashing_column_gives_way(spark):
+    df = spark.createDataFrame([(1, "one two", "mine"), (2, None, "mine")], "doc_id long, text string, failed_rule string")
+    got = {r.doc_id: r.failed_rule for r in q.judge(df).collect()}
+    assert set(got) == {1, 2} and all(v in {r.name for r in q.RULES} for v in got.values())
+
+
+def test_sample_is_taken_from_everywhere(spark):
+    df = spark.range(40_000).select("id", F.lit("text").alias("text"))
+    ids = [r.id for r in q._sampled(df, 1000).collect()]
+    assert 800 < len(ids) < 1200 and max(ids) > 35_000 and min(ids) < 5_000
+
+
 RULES = [
     u.UrlRule("org/", True), u.UrlRule("example.org/es/", False), u.UrlRule("example.org/en/1", False),
     u.UrlRule("com/fr/", True), u.UrlRule("com/de/", False), u.UrlRule("a.example.org/", False),

@@ -1,15 +1,19 @@
 """Quality rules as a short-circuit cascade of native expressions.
 
 Each rule is a boolean SQL expression that is true for a text to reject. The
-rules' costs (seconds on a sample, less the cost of an empty pass) and
-rejection shares are estimated on the same bounded sample, and the rules are
-tried in the order of rejections per second. ``CASE`` evaluates its branches
-in order and stops at the first that holds, so later rules run only for texts
-that earlier ones let through. The order changes the cost and the rule that a
-rejection is booked under, never the verdict.
+rules' costs (least of several timed passes over a sample, less the cost of an
+empty pass) and rejection shares are estimated on the same bounded sample, and
+the rules are tried in the order of rejections per second. ``CASE`` evaluates
+its branches in order and stops at the first that holds, so later rules run
+only for texts that earlier ones let through. The order changes the cost and
+the rule that a rejection is booked under, never the verdict.
+
+A text is split into words once, whatever rules read them; measures that are
+asked for as columns are not computed again by the rules.
 
 A null text has no words and is rejected as short; an empty table gives an
-empty result; repeated rows are judged alike; texts are scanned whole.
+empty result; repeated rows are judged alike; texts are scanned whole. An input
+column of a result's name (``failed_rule``) gives way to it.
 """
 
 from __future__ import annotations
@@ -23,11 +27,11 @@ from pyspark.sql import functions as F
 
 # White space, words and symbols of the base measures.
 SPACE_CHARS = " \t\n\x0b\x0c\r"
-WORD_PATTERN = r"[^\x20\x09-\x0D]+"
 SYMBOL_CHARS = "#*$%&|<>"
 REPEAT_WINDOW = 8
 
 SAMPLE_ROWS = 2_000
+TIMED_RUNS = 3
 
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -39,33 +43,41 @@ def _text(text: Column) -> Column:
     return F.coalesce(text.cast("string"), F.lit(""))
 
 
-def _without(text: Column, chars: str) -> Column:
-    return F.translate(text, chars, "")
+def words(text: Column) -> Column:
+    trimmed = F.btrim(_text(text), F.lit(SPACE_CHARS))
+    return F.when(trimmed == "", F.array().cast("array<string>")).otherwise(F.split(trimmed, f"[{SPACE_CHARS}]+", -1))
 
 
-def words(text: Column) -> Column:
-    return F.regexp_extract_all(_text(text), F.lit(WORD_PATTERN), F.lit(0))
+class Doc:
+    """A text, its words and the measures of both. ``known`` measures are taken
+    as they are, others are computed where they are asked for."""
 
+    def __init__(self, text: Column, words: Column, known: Column | None = None):
+        self.text, self.words, self.known = text, words, known
 
-def n_words(text: Column) -> Column:
-    return F.regexp_count(_text(text), F.lit(WORD_PATTERN)).cast("bigint")
+    def __getitem__(self, measure: str) -> Column:
+        return MEASURES[measure](self) if self.known is None else self.known[measure]
 
 
-def word_chars(text: Column) -> Column:
-    return F.length(_without(_text(text), SPACE_CHARS)).cast("bigint")
+def _lines(text: Column) -> Column:
+    """Lines with a word."""
+    return F.filter(F.split(_text(text), "\n", -1), lambda line: F.btrim(line, F.lit(SPACE_CHARS)) != "")
 
 
-def n_symbols(text: Column) -> Column:
-    t = _text(text)
-    return (F.length(t) - F.length(_without(t, SYMBOL_CHARS))).cast("bigint")
+def _n_words(doc: Doc) -> Column:
+    return F.size(doc.words).cast("bigint")
 
 
-def _lines(text: Column) -> Column:
-    return F.filter(F.split(_text(text), "\n", -1), lambda line: F.length(_without(line, SPACE_CHARS)) > 0)
+def _word_chars(doc: Doc) -> Column:
+    return F.length(F.array_join(doc.words, "")).cast("bigint")
+
 
+def _n_symbols(doc: Doc) -> Column:
+    return F.regexp_count(_text(doc.text), F.lit(f"[{SYMBOL_CHARS}]")).cast("bigint")
 
-def n_dup_lines(text: Column) -> Column:
-    return let(_lines(text), lambda x: (F.size(x) - F.size(F.array_distinct(x))).cast("bigint"))
+
+def _n_dup_lines(doc: Doc) -> Column:
+    return let(_lines(doc.text), lambda x: (F.size(x) - F.size(F.array_distinct(x))).cast("bigint"))
 
 
 def _covered(hashes: Column) -> Column:
@@ -90,107 +102,146 @@ def _covered(hashes: Column) -> Column:
     return F.aggregate(let(placed, positions), start, step, lambda acc: acc["total"].cast("bigint"))
 
 
-def n_repeat_words(text: Column) -> Column:
-    """Words in windows of 8 words found twice or more (by 64-bit window hash)."""
+def _n_repeat_words(doc: Doc) -> Column:
+    """Words in windows of 8 words found twice or more (by 64-bit hash of the
+    words' 64-bit hashes)."""
+    none = F.lit(0).cast("bigint")
 
-    def hashed(w: Column) -> Column:
-        return F.transform(F.sequence(F.lit(1), F.size(w) - (REPEAT_WINDOW - 1)), lambda i: F.xxhash64(F.slice(w, i, REPEAT_WINDOW)))
+    def windows(h: Column) -> Column:
+        whole = F.slice(h, 1, F.size(h) - (REPEAT_WINDOW - 1))
+        return F.transform(whole, lambda x, i: F.xxhash64(x, *[F.get(h, i + k) for k in range(1, REPEAT_WINDOW)]))
 
-    def of_words(w: Column) -> Column:
-        some = let(
-            hashed(w),
-            lambda h: F.when(F.size(F.array_distinct(h)) < F.size(h), _covered(h)).otherwise(F.lit(0).cast("bigint")),
-        )
-        return F.when(F.size(w) > REPEAT_WINDOW, some).otherwise(F.lit(0).cast("bigint"))
+    def of_windows(h: Column) -> Column:
+        return F.when(F.size(F.array_distinct(h)) < F.size(h), _covered(h)).otherwise(none)
 
-    return let(words(text), of_words)
+    hashes = F.transform(doc.words, lambda w: F.xxhash64(w))
+    return F.when(F.size(doc.words) > REPEAT_WINDOW, let(let(hashes, windows), of_windows)).otherwise(none)
 
 
-MEASURES: dict[str, Callable[[Column], Column]] = {
-    "n_words": n_words,
-    "word_chars": word_chars,
-    "n_symbols": n_symbols,
-    "n_dup_lines": n_dup_lines,
-    "n_repeat_words": n_repeat_words,
+MEASURES: dict[str, Callable[[Doc], Column]] = {
+    "n_words": _n_words,
+    "word_chars": _word_chars,
+    "n_symbols": _n_symbols,
+    "n_dup_lines": _n_dup_lines,
+    "n_repeat_words": _n_repeat_words,
 }
 
 
 @dataclass(frozen=True)
 class Rule:
-    """``rejects`` maps a text column to a boolean column, never null."""
+    """``rejects`` maps a document to a boolean column, never null."""
 
     name: str
-    rejects: Callable[[Column], Column]
+    rejects: Callable[[Doc], Column]
 
 
-def _shouts(text: Column) -> Column:
-    t = _text(text)
-    upper = F.regexp_count(t, F.lit("[A-Z]"))
-    lower = F.regexp_count(t, F.lit("[a-z]"))
-    return upper > lower
+def _word_length(doc: Doc) -> Column:
+    return let(
+        F.struct(doc["word_chars"].alias("c"), doc["n_words"].alias("n")), lambda x: (x["c"] < 2 * x["n"]) | (x["c"] > 15 * x["n"])
+    )
 
 
-def _stutters(text: Column) -> Column:
-    """More than three in ten words equal the word before them."""
+def _shouts(doc: Doc) -> Column:
+    """More capital than small letters (A-Z, a-z). With u capitals, u small
+    letters near the beginning settle it; the whole text is counted otherwise."""
+    t = _text(doc.text)
 
-    def of_words(w: Column) -> Column:
-        same = F.zip_with(w, F.slice(w, 2, F.size(w)), lambda a, b: F.coalesce(a == b, F.lit(False)))
-        return 10 * F.size(F.filter(same, lambda x: x)) > 3 * F.size(w)
+    def small(part: Column) -> Column:
+        return F.length(F.regexp_replace(part, "[^a-z]+", ""))
 
-    return let(words(text), of_words)
+    def of_capitals(u: Column) -> Column:
+        return (u > 0) & (u > small(F.substring(t, F.lit(1), 4 * u + 100))) & (u > small(t))
+
+    return let(F.regexp_count(t, F.lit("[A-Z]")), of_capitals)
+
+
+def _stutters(doc: Doc) -> Column:
+    """More than three in ten words equal the word before them."""
+    w = doc.words
+    same = F.filter(w, lambda x, i: (i > 0) & (x == F.get(w, i - 1)))
+    return 10 * F.size(same) > 3 * F.size(w)
 
 
 # Thresholds: documents of ordinary prose are far from all of them.
-SHORT = Rule("short", lambda t: n_words(t) < 20)
-REPEATS = Rule("repeats", lambda t: 100 * n_repeat_words(t) > 30 * n_words(t))
-SYMBOLS = Rule("symbols", lambda t: 100 * n_symbols(t) > 10 * n_words(t))
-DUP_LINES = Rule("dup_lines", lambda t: 100 * n_dup_lines(t) > 50 * let(_lines(t), F.size))
-WORD_LENGTH = Rule("word_length", lambda t: (word_chars(t) < 2 * n_words(t)) | (word_chars(t) > 15 * n_words(t)))
+SHORT = Rule("short", lambda d: d["n_words"] < 20)
+REPEATS = Rule("repeats", lambda d: 100 * d["n_repeat_words"] > 30 * d["n_words"])
+SYMBOLS = Rule("symbols", lambda d: 100 * d["n_symbols"] > 10 * d["n_words"])
+DUP_LINES = Rule("dup_lines", lambda d: 100 * d["n_dup_lines"] > 50 * F.size(_lines(d.text)))
+WORD_LENGTH = Rule("word_length", _word_length)
 SHOUTING = Rule("shouting", _shouts)
 STUTTER = Rule("stutter", _stutters)
 BASE_RULES = (SHORT, REPEATS)
 RULES = (*BASE_RULES, SYMBOLS, DUP_LINES, WORD_LENGTH, SHOUTING, STUTTER)
 
 
+def _sampled(docs: DataFrame, sample_rows: int) -> DataFrame:
+    """About ``sample_rows`` rows from everywhere in the table, or all of it."""
+    rows = docs.count()
+    return docs if rows <= sample_rows else docs.sample(fraction=sample_rows / rows, seed=17)
+
+
+def _rejected(text: Column, rule: Rule) -> Column:
+    return let(words(text), lambda w: rule.rejects(Doc(text, w)))
+
+
 def order_rules(docs: DataFrame, text_col: str = "text", rules: Sequence[Rule] = RULES, sample_rows: int = SAMPLE_ROWS) -> list[Rule]:
-    """The rules by rejections per second on a sample of ``sample_rows`` rows."""
-    sample = docs.select(F.col(text_col).alias("t")).limit(sample_rows).persist()
+    """The rules by rejections per second on a sample of about ``sample_rows``
+    rows; each is timed ``TIMED_RUNS`` times, the first of them to warm it up."""
+    sample = _sampled(docs.select(F.col(text_col).alias("t")), sample_rows).persist()
     try:
         rows = sample.count()
 
         def seconds(rejects: Column) -> tuple[float, int]:
-            began = time.perf_counter()
-            hits = sample.agg(F.count_if(rejects)).first()[0]
-            return time.perf_counter() - began, hits
+            took = []
+            for _ in range(TIMED_RUNS):
+                began = time.perf_counter()
+                hits = sample.agg(F.count_if(rejects)).first()[0]
+                took.append(time.perf_counter() - began)
+            return min(took), hits
 
         if not rows:
             return list(rules)
-        seconds(F.length("t") < 0)
         empty, _ = seconds(F.length("t") < 0)
         found = []
         for rule in rules:
-            took, hits = seconds(rule.rejects(F.col("t")))
+            took, hits = seconds(_rejected(F.col("t"), rule))
             found.append((hits / rows / max(took - empty, 1e-3), rule))
     finally:
         sample.unpersist()
     return [rule for _, rule in sorted(found, key=lambda x: (-x[0], x[1].name))]
 
 
-def failed_rule(text: Column, ordered: Sequence[Rule]) -> Column:
-    """Name of the first rule that rejects the text, else null."""
-    out = F.when(ordered[0].rejects(text), F.lit(ordered[0].name))
+def failed_rule(doc: Doc, ordered: Sequence[Rule]) -> Column:
+    """Name of the first rule that rejects the document, else null."""
+    out = F.when(ordered[0].rejects(doc), F.lit(ordered[0].name))
     for rule in ordered[1:]:
-        out = out.when(rule.rejects(text), F.lit(rule.name))
+        out = out.when(rule.rejects(doc), F.lit(rule.name))
     return out
 
 
-def judge(docs: DataFrame, text_col: str = "text", rules: Sequence[Rule] = RULES, sample_rows: int = SAMPLE_ROWS) -> DataFrame:
-    """``docs`` with ``failed_rule`` (null: kept), by the ordered cascade."""
+def judge(
+    docs: DataFrame, text_col: str = "text", rules: Sequence[Rule] = RULES, sample_rows: int = SAMPLE_ROWS, measured: bool = False
+) -> DataFrame:
+    """``docs`` with ``failed_rule`` (null: kept), by the ordered cascade, and
+    with all measures as columns if they are asked for (an input column of the
+    same name gives way)."""
     ordered = order_rules(docs, text_col, rules, sample_rows)
-    return docs.withColumn("failed_rule", failed_rule(F.col(text_col), ordered))
+    text = F.col(text_col)
+    if not measured:
+        return docs.withColumn("failed_rule", let(words(text), lambda w: failed_rule(Doc(text, w), ordered)))
+
+    def of_words(w: Column) -> Column:
+        measures = F.struct(*[measure(Doc(text, w)).alias(name) for name, measure in MEASURES.items()])
+        return let(measures, lambda m: F.struct(m.alias("m"), failed_rule(Doc(text, w, m), ordered).alias("failed_rule")))
+
+    judged = docs.select(F.struct(*docs.columns).alias("row"), let(words(text), of_words).alias("found"))
+    results = {"failed_rule": F.col("found.failed_rule"), **{name: F.col(f"found.m.{name}") for name in MEASURES}}
+    kept = [F.col("row").getField(c).alias(c) for c in docs.columns if c not in results]
+    return judged.select(*kept, *[value.alias(name) for name, value in results.items()])
 
 
 def keep_good(docs: DataFrame, text_col: str = "text", rules: Sequence[Rule] = RULES, sample_rows: int = SAMPLE_ROWS) -> DataFrame:
     """The rows that no rule rejects, with the columns of ``docs``."""
     ordered = order_rules(docs, text_col, rules, sample_rows)
-    return docs.filter(failed_rule(F.col(text_col), ordered).isNull())
+    text = F.col(text_col)
+    return docs.filter(let(words(text), lambda w: failed_rule(Doc(text, w), ordered)).isNull())

@@ -31,10 +31,7 @@ def _hex_sha256(col) -> F.Column:
 
 
 def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    judged = quality_rules.judge(_table(spark, sf_dir, "documents").select("doc_id", "text"))
-    measured = judged.select(
-        "doc_id", "failed_rule", *[measure(F.col("text")).alias(name) for name, measure in quality_rules.MEASURES.items()]
-    )
+    measured = quality_rules.judge(_table(spark, sf_dir, "documents").select("doc_id", "text"), measured=True)
     base_failed = (F.col("n_words") < 20) | (100 * F.col("n_repeat_words") > 30 * F.col("n_words"))
     return measured.select(
         "doc_id",

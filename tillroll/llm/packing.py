@@ -20,7 +20,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
-from itertools import chain
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -135,23 +135,22 @@ class WordTokenizer:
         # Left as they are: texts that may hold a special token's string, or
         # combining marks (U+0300-036F), which compose before lower-casing.
         split = [(t if b"<|" in t or b"\xcc" in t or b"\xcd" in t else t.lower()).split() for t in texts]
-        known = self.known
-        new = {w for words in split for w in words if w not in known}
-        if len(known) + len(new) > CACHE_WORDS:
-            self._reset()
-            known = self.known
-            new = {w for words in split for w in words}
-        if new:
+        sizes = np.fromiter(map(len, split), np.int64, len(split))
+        words = list(chain.from_iterable(split))
+        number = np.fromiter(map(self.known.get, words, repeat(-1)), np.int64, len(words))
+        if len(number) and number.min() < 0:
+            new = {words[k] for k in np.flatnonzero(number < 0).tolist()}
+            if len(self.known) + len(new) > CACHE_WORDS:
+                self._reset()
+                new = set(words)
             self._learn(list(new))
-        out = []
-        for words in split:
-            number = np.fromiter(map(known.__getitem__, words), np.int64, len(words))
-            lengths = self.lengths[number]
-            ends = np.cumsum(lengths)
-            total = int(ends[-1]) if len(ends) else 0
-            place = np.repeat(self.starts[number] - (ends - lengths), lengths) + np.arange(total)
-            out.append(self.pool[place])
-        return out
+            number = np.fromiter(map(self.known.__getitem__, words), np.int64, len(words))
+        lengths = self.lengths[number]
+        ends = np.cumsum(lengths)
+        total = int(ends[-1]) if len(ends) else 0
+        ids = self.pool[np.repeat(self.starts[number] - (ends - lengths), lengths) + np.arange(total)]
+        cuts = np.concatenate([[0], ends])[np.cumsum(sizes)]
+        return np.split(ids, cuts[:-1]) if len(texts) else []
 
 
 @lru_cache(maxsize=1)
@@ -175,10 +174,15 @@ class _Piece:
 
 
 class _Packer:
+    """Pieces that wait for a bin, with their demands in fixed arrays."""
+
     def __init__(self, limits: Limits, first_id: int):
         self.limits, self.next_id = limits, first_id
-        self.pool: list[_Piece] = []
-        self.demand = np.zeros((0, 3))
+        room = limits.pool + 2
+        self.size = 0
+        self.pool: list[_Piece | None] = [None] * room
+        self.demand = np.zeros((room, 3))
+        self.silent = np.zeros(room)  # leading ids without loss
         self.docs: dict[int, tuple[object, np.ndarray]] = {}
         self.waiting: dict[int, int] = {}  # pieces of a document not yet placed
         self.scale = np.array([limits.tokens, limits.segments, limits.loss_tokens], float)
@@ -188,6 +192,21 @@ class _Packer:
         silent = max(0, min(piece.quiet - piece.start, piece.length))
         return min(piece.length, tokens, silent + loss)
 
+    def _push(self, piece: _Piece) -> None:
+        self.waiting[piece.doc] = self.waiting.get(piece.doc, 0) + 1
+        at = self.size
+        self.pool[at] = piece
+        self.demand[at] = piece.length, 1, piece.loss()
+        self.silent[at] = max(0, min(piece.quiet - piece.start, piece.length))
+        self.size += 1
+
+    def _take(self, at: int) -> _Piece:
+        piece, last = self.pool[at], self.size - 1
+        self.pool[at], self.pool[last] = self.pool[last], None
+        self.demand[at], self.silent[at] = self.demand[last], self.silent[last]
+        self.size = last
+        return piece
+
     def _emit(self, bin_: list[_Piece], full: bool) -> Iterator[tuple]:
         """Rows of a sequence; of several of powers of two if it is not full."""
         total = sum(p.length for p in bin_)
@@ -210,9 +229,6 @@ class _Packer:
             if not self.waiting[p.doc]:
                 del self.docs[p.doc], self.waiting[p.doc]
 
-    def _put(self, piece: _Piece) -> None:
-        self.waiting[piece.doc] = self.waiting.get(piece.doc, 0) + 1
-
     def add(self, number: int, key: object, ids: np.ndarray, quiet: int) -> Iterator[tuple]:
         self.docs[number] = (key, ids)
         piece = _Piece(number, 0, len(ids), quiet)
@@ -220,48 +236,41 @@ class _Packer:
         while piece.length >= self.limits.tokens:
             take = self._rooms(piece, self.limits.tokens, self.limits.loss_tokens)
             cut = _Piece(number, piece.start, take, quiet)
-            self._put(cut)
+            self.waiting[number] += 1
             yield from self._emit([cut], take == self.limits.tokens)
             piece = _Piece(number, piece.start + take, piece.length - take, quiet)
         if piece.length:
-            self._put(piece)
-            self.pool.append(piece)
-            self.demand = np.vstack([self.demand, [piece.length, 1, piece.loss()]])
+            self._push(piece)
         self.waiting[number] -= 1
         if not self.waiting[number]:
             del self.docs[number], self.waiting[number]
-        while len(self.pool) >= self.limits.pool:
+        while self.size >= self.limits.pool:
             yield from self._fill()
 
-    def _take(self, at: int) -> _Piece:
-        self.demand = np.delete(self.demand, at, axis=0)
-        return self.pool.pop(at)
-
     def _fill(self) -> Iterator[tuple]:
         left = self.scale.copy()
         chosen: list[_Piece] = []
-        while self.pool and left[0] and left[1]:
-            fits = np.flatnonzero((self.demand <= left).all(axis=1))
+        while self.size and left[0] and left[1]:
+            demand = self.demand[: self.size]
+            fits = np.flatnonzero((demand <= left).all(axis=1))
             if len(fits):
-                score = (self.demand[fits] / self.scale) @ (left / self.scale)
+                score = (demand[fits] / self.scale) @ (left / self.scale)
                 piece = self._take(int(fits[score.argmax()]))
             else:
-                rooms = [self._rooms(p, int(left[0]), int(left[2])) for p in self.pool]
-                at = int(np.argmax(rooms))
-                if not rooms[at]:
+                rooms = np.minimum(np.minimum(demand[:, 0], left[0]), self.silent[: self.size] + left[2])
+                at = int(rooms.argmax())
+                take = int(rooms[at])
+                if not take:
                     break
                 whole = self._take(at)
-                piece = _Piece(whole.doc, whole.start, rooms[at], whole.quiet)
-                rest = _Piece(whole.doc, whole.start + rooms[at], whole.length - rooms[at], whole.quiet)
-                self._put(rest)
-                self.pool.append(rest)
-                self.demand = np.vstack([self.demand, [rest.length, 1, rest.loss()]])
+                piece = _Piece(whole.doc, whole.start, take, whole.quiet)
+                self._push(_Piece(whole.doc, whole.start + take, whole.length - take, whole.quiet))
             chosen.append(piece)
             left -= [piece.length, 1, piece.loss()]
         yield from self._emit(chosen, left[0] == 0)
 
     def finish(self) -> Iterator[tuple]:
-        while self.pool:
+        while self.size:
             yield from self._fill()
 
 
@@ -272,29 +281,38 @@ _RESULT = (
 
 def _batch(rows: list[tuple], doc_type: pa.DataType) -> pa.RecordBatch:
     key, start, length, ids, total, sequence, at, loss = zip(*rows)
+    ends = np.concatenate([[0], np.cumsum(np.array(length) * 4)]).astype(np.int32)
+    flat = np.concatenate(ids).astype("<u4")
+    binary = pa.BinaryArray.from_buffers(pa.binary(), len(rows), [None, pa.py_buffer(ends), pa.py_buffer(flat)])
     return pa.RecordBatch.from_arrays(
-        [pa.array([k.as_py() for k in key], doc_type), *(pa.array(x, pa.int64()) for x in (start, length))]
-        + [pa.array([x.astype("<u4").tobytes() for x in ids], pa.binary()), *(pa.array(x, pa.int64()) for x in (total, sequence, at, loss))],
+        [pa.array(key, doc_type), *(pa.array(x, pa.int64()) for x in (start, length)), binary]
+        + [pa.array(x, pa.int64()) for x in (total, sequence, at, loss)],
         ["doc", "start", "length", "ids", "doc_tokens", "sequence_id", "offset", "loss_tokens"],
     )
 
 
+def _texts(column: pa.Array) -> tuple[memoryview, list[int], np.ndarray]:
+    data, offsets = textkit.column_bytes(column)
+    return memoryview(data), offsets.tolist(), offsets
+
+
 def _pack(batches: Iterator[pa.RecordBatch], path: str, end_id: int, limits: Limits) -> Iterator[pa.RecordBatch]:
     tokenizer = _tokenizer(path)
     packer = _Packer(limits, TaskContext.get().partitionId() << 40)
+    end, none = np.array([end_id], np.uint32), np.zeros(0, np.uint32)
     number, rows, doc_type = 0, [], None
     for batch in batches:
         docs = batch.column("doc")
         doc_type = docs.type
-        data, offsets = textkit.column_bytes(batch.column("text"))
-        prompt, cuts = textkit.column_bytes(batch.column("prompt"))
+        raw, at, offsets = _texts(batch.column("text"))
+        prompted = "prompt" in batch.schema.names
+        if prompted:
+            head, cuts, _ = _texts(batch.column("prompt"))
         for lo, hi in textkit.row_slices(offsets):
-            raw, head = data.data, prompt.data
-            ids = tokenizer.encode([bytes(raw[offsets[r] : offsets[r + 1]]) for r in range(lo, hi)])
-            before = tokenizer.encode([bytes(head[cuts[r] : cuts[r + 1]]) for r in range(lo, hi)])
-            for r, own, quiet in zip(range(lo, hi), ids, before):
-                whole = np.concatenate([quiet, own, np.array([end_id], np.uint32)])
-                rows += packer.add(number, docs[r], whole, len(quiet))
+            ids = tokenizer.encode([bytes(raw[at[r] : at[r + 1]]) for r in range(lo, hi)])
+            before = tokenizer.encode([bytes(head[cuts[r] : cuts[r + 1]]) for r in range(lo, hi)]) if prompted else repeat(none)
+            for key, own, quiet in zip(docs.slice(lo, hi - lo).to_pylist(), ids, before):
+                rows += packer.add(number, key, np.concatenate([quiet, own, end]), len(quiet))
                 number += 1
             if len(rows) >= 1024:
                 yield _batch(rows, doc_type)
@@ -323,7 +341,7 @@ def pack_documents(
     and an empty table gives no pieces. ``tokenizer_path`` must be readable on
     every executor and drop white space (see ``WordTokenizer``).
     """
-    prompt = F.col(prompt_col).cast("string") if prompt_col else F.lit("")
-    rows = docs.select(F.col(id_col).alias("doc"), F.col(text_col).cast("string").alias("text"), F.coalesce(prompt, F.lit("")).alias("prompt"))
+    prompt = [F.col(prompt_col).cast("string").alias("prompt")] if prompt_col else []
+    rows = docs.select(F.col(id_col).alias("doc"), F.col(text_col).cast("string").alias("text"), *prompt)
     schema = T.StructType([rows.schema["doc"], *T.StructType.fromDDL(_RESULT).fields])
     return rows.mapInArrow(lambda it: _pack(it, tokenizer_path, end_id, limits), schema).withColumnRenamed("doc", id_col)

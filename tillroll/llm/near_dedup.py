@@ -8,17 +8,20 @@ groups are the connected components of these links.
 2. The first 128 minima per text make 32 bands of 4. At the threshold a pair shares no
    band with probability (1 - 0.75^4)^32 = 5e-6. Texts without a shared band
    need no further look.
-3. Texts with a shared band get 512 minima, of which only the low 4 bits are
-   kept, packed into thirty-two 64-bit words.
-   In each band bucket every text is paired with the bucket's least text (a
-   star, not all pairs), the share of equal 4-bit fields is counted with bit
-   operations and corrected for chance matches (1 in 16), and pairs far below
-   the threshold (4.5 standard errors) go. The rest are confirmed on full sets.
+3. Texts with a shared band get 1,024 minima, of which only the low 4 bits are
+   kept, packed into sixty-four 64-bit words.
+   Each bucket has a centre, and every text is paired with one of its buckets'
+   centres, the one it shares most buckets with (one pair a text, not all
+   pairs). The share of equal 4-bit fields is counted with bit operations and
+   corrected for chance matches (1 in 16), and pairs far below the threshold
+   (4.5 standard errors) go. The rest are confirmed on full sets. This is
+   repeated with other centres for whole components, one pair a component,
+   while it links any.
 4. Components come from iterated minimum labels. Buckets that still hold
    several components are searched again for pairs *between* components, by
-   the same signatures: first each outsider's most similar text of every other
-   component, then, in rounds of growing shares of the pairs, whichever pairs
-   are still in different components. Confirmed links join the others after
+   the same signatures: first each outsider's most similar text outside its
+   component, a few times over, then, in rounds of growing shares of the pairs,
+   whichever pairs are still in different components. Confirmed links join the others after
    each round. Groups close up after a round or two, so few pairs are left to
    confirm, yet none is left out. A bucket is searched in cells of about a
    thousand outsiders by a thousand members, whatever its size.
@@ -27,7 +30,6 @@ groups are the connected components of these links.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -45,10 +47,13 @@ BANDS = 32
 ROWS = 4
 BITS = 4
 BANDED = BANDS * ROWS
-MINIMA = 512
+MINIMA = 1024
 SIGNATURE_WORDS = MINIMA * BITS // 64
 CELL = 1024
-# After the round of best partners: pairs by hash, in shares of 64.
+STAR_ROUNDS = 2
+# Rounds in which an outsider is paired with its most similar text of another
+# component; after them: all pairs by hash, in shares of 64.
+BEST_ROUNDS = 2
 SHARES = ((0, 8), (8, 64))
 # 4.5 standard errors of the estimate at the threshold (missed with 3e-6),
 # where 4-bit fields agree with probability 1/16 + 15/16 * 0.75.
@@ -152,14 +157,17 @@ def _feature_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 def estimate(a: str, b: str) -> Column:
     """Collision-corrected similarity of two packed signatures, by bit counts."""
     low = int("1" * (64 // BITS), 16)
-    differ = []
-    for i in range(SIGNATURE_WORDS):
-        x = F.col(a)[i].bitwiseXOR(F.col(b)[i])
+
+    def fields(x: Column) -> Column:
+        """How many of a word's fields are not zero."""
         x = x.bitwiseOR(F.shiftrightunsigned(x, 1))
         x = x.bitwiseOR(F.shiftrightunsigned(x, 2))
-        differ.append(F.bit_count(x.bitwiseAND(F.lit(low))))
+        return F.bit_count(x.bitwiseAND(F.lit(low)))
+
+    words = F.zip_with(a, b, lambda p, q: fields(p.bitwiseXOR(q)))
+    differ = F.aggregate(words, F.lit(0), lambda total, n: total + n)
     chance = 1.0 / (1 << BITS)
-    equal = F.lit(1.0) - reduce(lambda p, q: p + q, differ) / F.lit(float(MINIMA))
+    equal = F.lit(1.0) - differ / F.lit(float(MINIMA))
     return (equal - F.lit(chance)) / F.lit(1 - chance)
 
 
@@ -192,8 +200,7 @@ def _between(batches: Iterator[pa.RecordBatch], floor: float, share: tuple[int,
     """Pairs of likely similar texts of different components in one cell.
 
     A pair is given out in the first bucket its texts share. Without ``share``
-    these are, for every outsider and other component, the best partner of the
-    cell; with it the pairs whose hash falls into that share. Pairs that are
+    this is, for every outsider, the best partner of the cell; with it the pairs whose hash falls into that share. Pairs that are
     left for later rounds are reported by one text paired with itself.
     """
     later = share is None or share[1] < 64
@@ -228,11 +235,10 @@ def _between(batches: Iterator[pa.RecordBatch], floor: float, share: tuple[int,
                 if not len(other):
                     continue
                 if share is None:
-                    order = np.lexsort((-score, group[other]))
-                    best = order[np.concatenate([[True], np.diff(group[other][order]) != 0])]
-                    if len(best) < len(other):
+                    if len(other) > 1:
                         waiting = i
-                    other, score = other[best], score[best]
+                    best = score.argmax()
+                    other, score = other[best : best + 1], score[best : best + 1]
                 else:
                     place = np.array([_place(nodes[i], nodes[j]) for j in other.tolist()])
                     if (place >= share[1]).any():
@@ -314,6 +320,38 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return pairs.join(left, "a").join(right, "b").mapInArrow(lambda it: _confirm(it, percent), "a binary, b binary")
 
 
+def _star_pairs(found: DataFrame, labels: DataFrame | None, turn: int) -> DataFrame:
+    """One pair ``(a, b)`` per component that shares a bucket with another one.
+
+    A component is represented in a bucket by one of its texts, and the bucket
+    by one of these, both by a hash that differs from turn to turn. Of the
+    pairs with its buckets' centres a component keeps the one that occurs in
+    most buckets.
+    """
+    placed = found.select("node", F.explode("bands").alias("band"))
+    if labels is None:
+        placed = placed.withColumn("label", F.col("node"))
+    else:
+        placed = found.select("node", "bands").join(labels, "node", "left").select(
+            "node", F.explode("bands").alias("band"), F.coalesce("label", "node").alias("label")
+        )
+    least = F.min(F.struct(F.xxhash64("node", F.lit(turn)).alias("h"), "node", "label")).alias("x")
+    stands = placed.groupBy("band", "label").agg(least).select("band", "x")
+    centres = (
+        stands.groupBy("band")
+        .agg(F.min("x").alias("centre"), F.count(F.lit(1)).alias("n"))
+        .filter("n > 1")
+        .select("band", "centre")
+    )
+    pairs = (
+        join_hot(stands, centres, ["band"])
+        .filter("x.label <> centre.label")
+        .groupBy(F.col("x.label").alias("label"), F.col("centre.node").alias("a"), F.col("x.node").alias("b"))
+        .agg(F.count(F.lit(1)).alias("n"))
+    )
+    return pairs.groupBy("label").agg(F.max(F.struct("n", "a", "b")).alias("most")).select("most.a", "most.b")
+
+
 def _seats(found: DataFrame, labels: DataFrame) -> DataFrame:
     """The places ``(band, pos, node)`` of all buckets that hold several
     components, with the bucket's numbers of cells. Texts outside the bucket's
@@ -386,7 +424,7 @@ def _across(seats: DataFrame, found: DataFrame, labels: DataFrame, floor: float,
     )
     if share is None:
         # n > 1: cells had partners that are not the best of all
-        best = pairs.groupBy("a", "label").agg(F.max(F.struct("score", "b")).alias("best"), F.count(F.lit(1)).alias("n"))
+        best = pairs.groupBy("a").agg(F.max(F.struct("score", "b")).alias("best"), F.count(F.lit(1)).alias("n"))
         return best.select("a", F.col("best.b").alias("b"), (F.col("n") > 1).alias("more"))
     return pairs.select("a", "b", F.lit(False).alias("more"))
 
@@ -418,38 +456,36 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", per
     )
     found = features.filter("bands is not null")
     sets = found.select("node", "shingles")
-    places = found.select(F.explode("bands").alias("band"), "node", "marks")
-    buckets = (
-        places.groupBy("band")
-        .agg(F.min("node").alias("a"), F.count(F.lit(1)).alias("n"))
-        .filter("n > 1")
-        .select(F.bitwise_not("band").alias("_band"), "a")
-    )
     floor = percent / 100 - SLACK
     marks = found.select("node", "marks")
-    stars = (
-        places.select("band", F.col("node").alias("b"))
-        .join(buckets, F.bitwise_not(F.col("band")) == F.col("_band"))
-        .filter("a <> b")
-        .select("a", "b")
-        .distinct()
-    )
-    likely = (
-        stars.join(marks.select(F.col("node").alias("a"), F.col("marks").alias("marks_a")), "a")
-        .join(marks.select(F.col("node").alias("b"), F.col("marks").alias("marks_b")), "b")
-        .filter(estimate("marks_a", "marks_b") >= F.lit(floor))
-        .select("a", "b")
-    )
-    links = materialize(_confirmed(likely, sets, percent), "near-links")
-    labels = components(links, "near-first")
+    links, labels = None, None
+    for turn in range(STAR_ROUNDS):
+        likely = (
+            _star_pairs(found, labels, turn)
+            .join(marks.select(F.col("node").alias("a"), F.col("marks").alias("marks_a")), "a")
+            .join(marks.select(F.col("node").alias("b"), F.col("marks").alias("marks_b")), "b")
+            .filter(estimate("marks_a", "marks_b") >= F.lit(floor))
+            .select("a", "b")
+        )
+        new = materialize(_confirmed(likely, sets, percent), "near-links")
+        some = new.limit(1).count()
+        if some or links is None:
+            links = new if links is None else links.unionByName(new)
+            labels = components(links, "near-first")
+        if not some:
+            break
 
     seats = materialize(_seats(found, labels), "near-seats")
-    for share in (None, *SHARES):
+    rounds = [None] * BEST_ROUNDS + list(SHARES)
+    while rounds:
+        share = rounds.pop(0)
         across = materialize(_across(seats, found, labels, floor, share), "near-across")
         more = materialize(_confirmed(across.filter("a <> b"), sets, percent), "near-more-links")
         if more.limit(1).count():
             links = links.unionByName(more)
             labels = components(links, "near-next")
+        elif share is None:
+            rounds = list(SHARES)
         if not across.filter("a = b OR more").limit(1).count():
             break
 

@@ -101,3 +101,20 @@ def test_empty_corpus(spark, corpus):
         out = stage(spark, df, path)
         assert out.count() == 0
         df = out if set(df.columns) <= set(out.columns) else df
+
+
+def test_clashing_columns_and_repeated_rows_keep_their_values(spark, corpus):
+    path, rows, _ = corpus
+    docs = spark.read.parquet(f"{path}/documents.parquet")
+    docs = docs.unionByName(docs.filter("doc_id = 102")).selectExpr(
+        "*", "'mine' AS kept", "7 AS n_removed", "8L AS n_symbols", "'x' AS removed", "'y' AS failed_rule", "'z' AS items", "doc_id AS _row"
+    )
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, docs, path)
+        assert out.columns == docs.columns and out.dtypes == docs.dtypes, name
+        docs = spark.createDataFrame(out.collect(), out.schema)
+    got = docs.collect()
+    assert got and all((r.kept, r.n_removed, r.n_symbols, r.removed, r.failed_rule, r.items, r._row) == ("mine", 7, 8, "x", "y", "z", r.doc_id) for r in got)
+    assert sum(r.doc_id == 102 for r in got) == 1
+    packed = corpus_pipeline.STAGES[-1][1](spark, docs, path)
+    assert "ids" in packed.columns and all(len(r.ids) == 4 * r.length for r in packed.collect())

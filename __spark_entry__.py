@@ -13,6 +13,7 @@ order by their measure and then by the mart's grain keys ascending.
 from __future__ import annotations
 
 import functools
+import importlib.util
 import uuid
 from collections.abc import Callable
 
@@ -23,11 +24,11 @@ from tillroll.functions import as_money
 from tillroll.operators import keyset, marts, reconcile, serving, validation
 from tillroll.plans import bronze, compact, gold, incremental, manifest, silver
 from tillroll.plans.layers import RetailLayers
-from tillroll.schemas import DATE_PARTS, FLAT_EXTRACT, LINES_RAW
+from tillroll.schemas import DATE_PARTS, FLAT_EXTRACT, LINES_RAW, PRODUCTS_RAW
 from tillroll.session import materialize, run_actions, scratch_path
 from tillroll.sources import clustered, extracts, retail_views
 from tillroll.sources.broken import read_csv_checked
-from tillroll.sources.sinks import write_csv, write_parquet, write_table
+from tillroll.sources.sinks import INGEST_PARTITIONS, write_csv, write_parquet, write_table
 from tillroll.sources.tables import read_parquet, read_table
 
 FLAGSHIP_SF_DIR = "/root/testdata/sf0.001"
@@ -504,6 +505,23 @@ def q_compacted_months(spark, d):
     )
 
 
+def q_landed_in_eight_files(spark, d):
+    """Lines landed in the fixed number of files: rows and files."""
+    path = scratch_path(spark, "eight-files")
+    write_parquet(retail_views.lines_extract(spark, d), path, num_partitions=INGEST_PARTITIONS)
+    stored = read_parquet(spark, path).withColumn("_file", F.col("_metadata.file_path"))
+    return stored.agg(
+        F.count(F.lit(1)).alias("n_rows"), F.count_distinct("_file").alias("n_files"), F.sum("Quantity").alias("quantity")
+    )
+
+
+def q_headers_cleaned(spark, d):
+    """Products from a CSV whose header has a byte order mark and blanks."""
+    path = scratch_path(spark, "marked-header")
+    write_csv(retail_views.products_extract(spark, d).toDF("\ufeffStockCode", " Description ", "UnitPrice "), path)
+    return extracts.read_csv(spark, path, schema=PRODUCTS_RAW, multi_line=False)
+
+
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "scan_parquet": q_scan_parquet,
     "partition_roundtrip": q_partition_roundtrip,
@@ -569,6 +587,8 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "clustered_lines": q_clustered_lines,
     "clustered_point_reads": q_clustered_point_reads,
     "compacted_months": q_compacted_months,
+    "landed_in_eight_files": q_landed_in_eight_files,
+    "headers_cleaned": q_headers_cleaned,
 }
 
 
@@ -579,12 +599,13 @@ def entry(spark: SparkSession) -> DataFrame:
 
 def _optional() -> tuple[dict, dict]:
     """Queries and SQL of the optional operator subpackage and its pipeline;
-    nothing where they are not installed."""
-    try:
-        import corpus_pipeline
-        from tillroll.llm import queries as operators
-    except ImportError:
+    nothing where these are not installed. A dependency that they lack is an
+    error."""
+    if not (importlib.util.find_spec("tillroll.llm") and importlib.util.find_spec("corpus_pipeline")):
         return {}, {}
+    import corpus_pipeline
+    from tillroll.llm import queries as operators
+
     found, sql = dict(operators.QUERIES), dict(operators.ORACLE_SQL)
     found["pipeline"] = corpus_pipeline.run
     if corpus_pipeline.ORACLE_SQL:
@@ -1099,6 +1120,8 @@ UNION ALL SELECT 'product', * FROM lines_raw WHERE StockCode = (SELECT max(Stock
 UNION ALL SELECT 'no invoice', * FROM lines_raw WHERE InvoiceNo IS NULL"""
     sql["compacted_months"] = o + """SELECT "year", "month", count(*) AS n_rows, CAST(1 AS BIGINT) AS n_files,
        count(CustomerID) AS n_customers, count(DISTINCT "day") AS n_days FROM orders_bronze GROUP BY "year", "month\""""
+    sql["landed_in_eight_files"] = l + "SELECT count(*) AS n_rows, CAST(8 AS BIGINT) AS n_files, CAST(sum(Quantity) AS BIGINT) AS quantity FROM lines_raw"
+    sql["headers_cleaned"] = p + "SELECT NULLIF(StockCode, '') AS StockCode, NULLIF(Description, '') AS Description, UnitPrice FROM products_raw"
     sql["written_lines_invalid"] = sql["lines_invalid"]
     sql["silver_orders_table"] = sql["orders_valid"]
     sql["silver_invalid_products_table"] = sql["products_invalid"]

@@ -73,3 +73,19 @@ def test_stream_needs_a_checkpoint():
 
     with pytest.raises(TypeError):
         ingest_stream(None, None)
+
+
+def test_a_large_file_without_line_breaks_is_read_by_many_tasks(spark, tmp_path):
+    path = tmp_path / "lines.csv"
+    path.write_text("InvoiceNo,StockCode,Quantity\n" + "".join(f"{i},a,1\n" for i in range(40_000)))
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "64k")
+    try:
+        tasks = {m: extracts.read_csv(spark, str(path), schema=LINES_RAW, multi_line=m).rdd.getNumPartitions() for m in (True, False)}
+        assert tasks[True] == 1 and tasks[False] >= 4
+        assert extracts.read_csv(spark, str(path), schema=LINES_RAW, multi_line=False).count() == 40_000
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    specs = {s.name: s.multi_line for s in bronze.standard_specs("in", "out")}
+    assert specs == {"orders_line": False, "orders": True, "products": True}
+    assert not any(s.multi_line for s in bronze.standard_specs("in", "out", multi_line=False))

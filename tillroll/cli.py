@@ -40,13 +40,13 @@ def _silver_tables(database: str):
 def cmd_split(args) -> None:
     from tillroll.plans.split import split_job
 
-    split_job(_spark("split"), args.extract, args.output)
+    split_job(_spark("split"), args.extract, args.output, multi_line=not args.single_line)
 
 
 def cmd_bronze(args) -> None:
     from tillroll.plans.bronze import ingest, standard_specs
 
-    ingest(_spark("bronze"), standard_specs(args.input, args.output), infer=args.infer)
+    ingest(_spark("bronze"), standard_specs(args.input, args.output, multi_line=not args.single_line), infer=args.infer)
 
 
 def cmd_silver(args) -> None:
@@ -94,12 +94,14 @@ def parser() -> argparse.ArgumentParser:
     s = sub.add_parser("split")
     s.add_argument("--extract", action="append", required=True)
     s.add_argument("--output", required=True)
+    s.add_argument("--single-line", action="store_true", help="no line breaks inside quoted text: large files are split over tasks")
     s.set_defaults(fn=cmd_split)
 
     s = sub.add_parser("bronze")
     s.add_argument("--input", required=True)
     s.add_argument("--output", required=True)
     s.add_argument("--infer", action="store_true", help="infer column types instead of the declared schemas")
+    s.add_argument("--single-line", action="store_true", help="no line breaks inside quoted text: large files are split over tasks")
     s.set_defaults(fn=cmd_bronze)
 
     s = sub.add_parser("silver")

@@ -45,13 +45,18 @@ DEFAULT_SCHEMAS = {"products": PRODUCTS_RAW, "orders": ORDERS_RAW, "orders_line"
 
 
 # The dataset names of the ingest (``orders_line`` and so on).
-def standard_specs(input_dir: str, output_dir: str) -> list[DatasetSpec]:
-    """The three datasets under one input folder and one output root."""
+def standard_specs(input_dir: str, output_dir: str, multi_line: bool = True) -> list[DatasetSpec]:
+    """The three datasets under one input folder and one output root.
+
+    The lines have no free text, so their files are always split over tasks;
+    ``multi_line`` says whether orders and products may have line breaks inside
+    quoted text.
+    """
     i, o = input_dir.rstrip("/"), output_dir.rstrip("/")
     return [
-        DatasetSpec("orders_line", f"{i}/orders_line.csv", f"{o}/orders_line", schema=LINES_RAW),
-        DatasetSpec("orders", f"{i}/orders.csv", f"{o}/orders_partitioned", partitioned=True, schema=ORDERS_RAW),
-        DatasetSpec("products", f"{i}/products.csv", f"{o}/products_partitioned", schema=PRODUCTS_RAW),
+        DatasetSpec("orders_line", f"{i}/orders_line.csv", f"{o}/orders_line", schema=LINES_RAW, multi_line=False),
+        DatasetSpec("orders", f"{i}/orders.csv", f"{o}/orders_partitioned", partitioned=True, schema=ORDERS_RAW, multi_line=multi_line),
+        DatasetSpec("products", f"{i}/products.csv", f"{o}/products_partitioned", schema=PRODUCTS_RAW, multi_line=multi_line),
     ]
 
 

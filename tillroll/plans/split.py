@@ -19,10 +19,14 @@ from tillroll.sources.extracts import concat_extracts, read_latin1_csv, split_ex
 from tillroll.sources.sinks import write_csv
 
 
-def split_job(spark: SparkSession, extract_paths: Sequence[str], output_dir: str, max_parallel: int = 3) -> dict[str, str]:
+def split_job(
+    spark: SparkSession, extract_paths: Sequence[str], output_dir: str, max_parallel: int = 3, multi_line: bool = True
+) -> dict[str, str]:
     """Write ``products.csv``, ``orders.csv`` and ``orders_line.csv`` folders
-    under ``output_dir``; returns their locations by dataset name."""
-    flat = concat_extracts(*[read_latin1_csv(spark, p, schema=FLAT_EXTRACT) for p in extract_paths])
+    under ``output_dir``; returns their locations by dataset name. Turn
+    ``multi_line`` off for extracts without line breaks inside quoted text:
+    each file is then split over tasks."""
+    flat = concat_extracts(*[read_latin1_csv(spark, p, schema=FLAT_EXTRACT, multi_line=multi_line) for p in extract_paths])
     staging = scratch_path(spark, "flat-extracts")
     flat.write.parquet(staging)
     staged = spark.read.schema(flat.schema).parquet(staging)

@@ -100,9 +100,12 @@ def typed_column(name: str, data_type: T.DataType) -> Column:
     return text.try_cast(data_type)
 
 
-def read_latin1_csv(spark: SparkSession, paths: str | Sequence[str], schema: T.StructType | None = None) -> DataFrame:
-    """The yearly extracts are ISO-8859-1 encoded."""
-    return read_csv(spark, paths, schema=schema, encoding=LATIN_1, infer=schema is None)
+def read_latin1_csv(
+    spark: SparkSession, paths: str | Sequence[str], schema: T.StructType | None = None, multi_line: bool = True
+) -> DataFrame:
+    """The yearly extracts are ISO-8859-1 encoded. Without ``multi_line`` large
+    files are read by many tasks."""
+    return read_csv(spark, paths, schema=schema, encoding=LATIN_1, infer=schema is None, multi_line=multi_line)
 
 
 def concat_extracts(*extracts: DataFrame) -> DataFrame:

@@ -47,6 +47,8 @@ def ingest_stream(
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     stream = bronze_frame(apply_schema(reader.csv(spec.input), schema), spec.partitioned)
+    if spec.partitioned:
+        stream = stream.repartition(*DATE_PARTS)  # a day's rows of a batch go to one file, not to one a task
     writer = (
         stream.writeStream.format("parquet")
         .option("path", spec.output)

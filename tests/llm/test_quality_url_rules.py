@@ -2,6 +2,8 @@
 
 import random
 import re
+import sys
+import time
 from collections import Counter
 
 from pyspark.sql import functions as F
@@ -111,7 +113,7 @@ def _judge(url):
         r for r in RULES
         if (host == r.host or host.endswith("." + r.host)) and (path.startswith(r.path) or r.path == "/")
     ]
-    best = max(fits, key=lambda r: len(r.prefix), default=None)
+    best = max(fits, key=lambda r: (len(r.prefix), r.prefix, r.allow), default=None)
     return host, path, best.prefix if best else None, best.allow if best else True
 
 
@@ -130,3 +132,32 @@ def test_url_rules_equal_brute_force(spark):
     assert got == sorted(((i, *_judge(x)) for i, x, _ in rows), key=str)
     assert u.judge_urls(df.limit(0), RULES).count() == 0
     assert {r["rule"] for r in u.judge_urls(df, []).collect()} == {None}
+
+
+def test_sweep_over_many_chunks_equals_brute_force(spark, monkeypatch):
+    rng = random.Random(6)
+    label = lambda: rng.choice(["a", "b", "c", "-", "a-", "é"])
+    hosts = [".".join(label() for _ in range(rng.randint(1, 4))) for _ in range(400)]
+    rules = [u.UrlRule(f"{rng.choice(hosts)}/{rng.choice(['', 'x', 'x/', 'y'])}", rng.random() < 0.5) for _ in range(300)]
+    rules = list({r.prefix: r for r in rules}.values())
+    rows = [(i, f"http://{rng.choice(['', label() + '.'])}{rng.choice(hosts)}/{rng.choice(['', 'x', 'x/1', 'y', 'z'])}") for i in range(500)]
+    monkeypatch.setattr(sys.modules[__name__], "RULES", rules)
+    df = spark.createDataFrame(rows, "page_id long, url string")
+    for chunk in (1, 7, 64):
+        monkeypatch.setattr(u, "CHUNK", chunk)
+        got = {r["page_id"]: (r["host"], r["path"], r["rule"], r["allowed"]) for r in u.judge_urls(df, rules, salts=2).collect()}
+        assert got == {i: _judge(x) for i, x in rows}
+
+
+def test_sweep_of_many_rules_is_not_quadratic(spark):
+    rules = [u.UrlRule(f"s{i % 7}.h{i}.d{i % 100}.org/p", i % 2 == 0) for i in range(16_000)]
+    began = time.monotonic()
+    assert u.segments(spark, rules).count() == 32_000
+    assert time.monotonic() - began < 60  # the sweep with one growing array took over 200 s
+
+
+def test_ties_go_to_the_greater_prefix_and_to_allow(spark):
+    rules = [u.UrlRule("b.c/", False), u.UrlRule("c/x/", False), u.UrlRule("d/", False), u.UrlRule("d/", True)]
+    df = spark.createDataFrame([(1, "http://b.c/x/"), (2, "http://d/"), (3, "http://d/" + "y/" * 200_000)], "page_id long, url string")
+    got = {r["page_id"]: (r["rule"], r["allowed"]) for r in u.judge_urls(df, rules, salts=2).collect()}
+    assert got == {1: ("c/x/", False), 2: ("d/", True), 3: ("d/", True)}

@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 MAX_RULES = 100_000
+CHUNK = 64  # events swept from one empty stack
 
 
 @dataclass(frozen=True)
@@ -62,9 +63,40 @@ def host_key(host: Column) -> Column:
     return F.concat(F.array_join(F.reverse(F.split(host, r"\.", -1)), "."), F.lit("."))
 
 
+def _sweep(chunk: Column) -> Column:
+    """One chunk of events swept by itself: ``out`` has for every event how many
+    intervals of before the chunk have closed by then (``pops``) and the stack
+    of those opened in it; ``pops`` and ``stack`` are those of its end."""
+    at = "pops:int,stack:array<int>"
+    state = f"struct<{at},out:array<struct<start:string,{at}>>>"
+    nothing = F.struct(F.lit(0).alias("pops"), F.array().alias("stack"), F.array().alias("out")).cast(state)
+
+    def step(acc: Column, e: Column) -> Column:
+        opens, some = e["opens"] == 1, F.size(acc["stack"]) > 0
+        stack = (
+            F.when(opens, F.concat(acc["stack"], F.array(e["id"])))
+            .when(some, F.slice(acc["stack"], 1, F.size(acc["stack"]) - 1))
+            .otherwise(acc["stack"])
+        )
+        pops = acc["pops"] + F.when(opens | some, F.lit(0)).otherwise(F.lit(1))
+        return F.struct(pops, stack, F.concat(acc["out"], F.array(F.struct(e["key"].alias("start"), pops.alias("pops"), stack.alias("stack"))))).cast(state)
+
+    return F.aggregate(chunk, nothing, step)
+
+
+def _resumed(base: Column, part: Column) -> Column:
+    """The whole stack, from the stack before a chunk and the chunk's own part."""
+    return F.concat(F.slice(base, 1, F.size(base) - part["pops"]), part["stack"])
+
+
 def segments(spark, rules: Sequence[UrlRule]) -> DataFrame:
     """``(start, active)``: boundaries in key order with the rules active from
-    there on, by a stack over the sorted interval ends."""
+    there on, by a stack over the sorted interval ends.
+
+    The events are swept in chunks of ``CHUNK``, each from an empty stack, and
+    the stacks at the chunks' ends then complete them, so that no array grows
+    over all events while it is copied at each of them.
+    """
     schema = "host string, path string, rule string, allow boolean"
     frame = spark.createDataFrame([(r.host, r.path, r.prefix, r.allow) for r in rules], schema).distinct()
     # A rule without a path reaches the whole host; an empty path equals "/".
@@ -72,30 +104,35 @@ def segments(spark, rules: Sequence[UrlRule]) -> DataFrame:
     by_host = (
         frame.groupBy(host_key(F.col("host")).alias("start"))
         .agg(F.sort_array(F.collect_list(rule)).alias("rules"))
-        .withColumn("end", F.concat(F.expr("substring(start, 1, length(start) - 1)"), F.lit("/")))
+        .select("start", F.concat(F.expr("substring(start, 1, length(start) - 1)"), F.lit("/")).alias("end"), "rules")
+        .agg(F.collect_list(F.struct("start", "end", "rules")).alias("hosts"))
+    )
+
+    def ends(host: Column, i: Column) -> Column:
+        # at one key intervals close before others open
+        return F.array(
+            F.struct(host["end"].alias("key"), F.lit(0).alias("opens"), i.alias("id")),
+            F.struct(host["start"].alias("key"), F.lit(1).alias("opens"), i.alias("id")),
+        )
+
+    events = by_host.withColumn("events", F.sort_array(F.flatten(F.transform("hosts", ends))))
+    numbers = F.expr(f"sequence(0, greatest(cast(size(events) as int) - 1, 0) div {CHUNK})")
+    chunks = F.transform(numbers, lambda i: F.slice("events", (i * CHUNK + 1).cast("int"), CHUNK))
+    swept = events.withColumn("chunks", F.transform(chunks, _sweep))
+    stacks = "struct<stack:array<int>,before:array<array<int>>>"
+    before = F.aggregate(
+        "chunks",
+        F.struct(F.array().alias("stack"), F.array().alias("before")).cast(stacks),
+        lambda acc, c: F.struct(_resumed(acc["stack"], c), F.concat(acc["before"], F.array(acc["stack"]))).cast(stacks),
+        lambda acc: acc["before"],
     )
-    events = by_host.select(
-        F.explode(
-            F.array(
-                # at one key intervals close before others open
-                F.struct(F.col("end").alias("key"), F.lit(0).alias("opens"), F.col("rules")),
-                F.struct(F.col("start").alias("key"), F.lit(1).alias("opens"), F.col("rules")),
-            )
-        ).alias("e")
-    ).agg(F.sort_array(F.collect_list("e")).alias("events"))
-    stack_type = "array<array<struct<path:string,rule:string,allow:boolean>>>"
-    state = f"struct<stack:{stack_type},out:array<struct<start:string,active:{stack_type}>>>"
-    swept = events.select(
-        F.expr(
-            f"""aggregate(events, cast(named_struct('stack', array(), 'out', array()) as {state}), (acc, e) ->
-                transform(array(if(e.opens = 1, concat(acc.stack, array(e.rules)), slice(acc.stack, 1, size(acc.stack) - 1))),
-                  s -> cast(named_struct('stack', s, 'out',
-                    concat(acc.out, array(named_struct('start', e.key, 'active', s)))) as {state}))[0],
-                acc -> acc.out)"""
-        ).alias("out")
+    parts = swept.select("hosts", F.transform("chunks", lambda c: c["out"]).alias("out"), before.alias("before"))
+    one = parts.select("hosts", "before", F.posexplode("out").alias("chunk", "out")).select(
+        "hosts", "chunk", F.expr("before[chunk]").alias("before"), F.posexplode("out").alias("at", "s")
     )
-    return swept.select(F.posexplode("out").alias("no", "s")).select(
-        "no", F.col("s.start").alias("start"), F.flatten("s.active").alias("active")
+    rules_of = F.transform(_resumed(F.col("before"), F.col("s")), lambda i: F.col("hosts")[i]["rules"])
+    return one.select(
+        (F.col("chunk") * CHUNK + F.col("at")).cast("int").alias("no"), F.col("s.start").alias("start"), F.flatten(rules_of).alias("active")
     )
 
 
@@ -111,7 +148,8 @@ def judge_urls(
     and ``allowed`` (the rule's, else ``default_allow``).
 
     Null urls and urls without ``://`` have empty host and path, which no rule
-    fits. Repeated rows are judged alike; columns of ``pages`` named like the
+    fits. Of equally long rules the greater prefix wins, and of one prefix with
+    both verdicts the one that allows. Repeated rows are judged alike; columns of ``pages`` named like the
     results are replaced. An empty table or rule set is allowed.
     """
     if len(rules) > max_rules:

@@ -48,7 +48,7 @@ def test_leaks_equal_brute_force(spark, piece, monkeypatch):
     df = spark.createDataFrame(rows, "doc_id long, text string, spans string")
     if piece < 1 << 20:  # the scan itself, over pieces
         monkeypatch.setattr(decontam, "PIECE_CHARS", piece)
-        patterns, owners, ids = decontam.patterns_of([(None if a is None else str(a), t) for a, t in items], 4)
+        patterns = [r.pattern for r in decontam.windows_of(bench, "item_id", "text", 4).select("pattern").distinct().collect()]
         auto = decontam._automaton(patterns)
         for t in docs:
             words = decontam.normal_words(t)
@@ -71,8 +71,25 @@ def test_leaks_of_empty_tables(spark):
     docs = spark.createDataFrame([(1, "a b")], "doc_id long, text string")
     assert decontam.find_leaks(docs, bench).first()["n_hit"] == 0
     assert decontam.find_leaks(docs.limit(0), bench).count() == 0
-    with pytest.raises(ValueError):
-        decontam.find_leaks(docs, docs.withColumnRenamed("doc_id", "item_id"), max_pattern_bytes=1)
+
+
+def test_a_benchmark_over_one_automaton_is_scanned_in_shards(spark):
+    items, docs = _corpus(3)
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    df = spark.createDataFrame([(i, t, "clash") for i, t in enumerate(docs)], "doc_id long, text string, runs string")
+    size = sum(len((t or "").encode()) for _, t in items) * 4
+    whole = decontam.find_leaks(df, bench, window=4)
+    shards = decontam.find_leaks(df, bench, window=4, max_pattern_bytes=size // 3)
+    assert shards.columns == whole.columns and sorted(map(str, shards.collect())) == sorted(map(str, whole.collect()))
+
+
+def test_text_over_one_piece(spark):
+    item = "alpha beta gamma delta epsilon zeta eta theta iota kappa lambda"
+    text = "word " * 300_000 + item + " word" * 100 + " Alpha, " + item[6:]
+    df = spark.createDataFrame([(1, text)], "doc_id long, text string")
+    row = decontam.find_leaks(df, spark.createDataFrame([(1, item)], "item_id long, text string")).first()
+    assert len(text) > decontam.PIECE_CHARS and (row["n_words"], row["n_hit"], row["items"]) == (300_122, 22, ["1"])
+    assert [text[s["start"] : s["stop"]].split()[-1] for s in row["spans"]] == ["lambda", "lambda"]
 
 
 def test_word_tokenizer_equals_tokenizer(monkeypatch):

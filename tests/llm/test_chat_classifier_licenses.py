@@ -146,6 +146,37 @@ def test_wrapped_statements_and_templates_of_several_lines(spark):
     assert _licenses(spark, [text, prose + "a License\n" + prose], [("own", full), *licenses.TEMPLATES]) == [[("own", 2)], []]
 
 
+def test_templates_without_license_words(spark):
+    free = ("Unlicense", "This is free and unencumbered software released into the public domain.")
+    texts = ["Words before. " + free[1] + " Words after.", "THIS IS FREE, AND UNENCUMBERED\n software released to the public domain", "public software"]
+    assert _licenses(spark, texts, [free]) == [[("Unlicense", 0)], [("Unlicense", 1)], []]
+    assert _licenses(spark, texts, [("none", "...")]) == _licenses(spark, texts, []) == [[], [], []]
+
+
+def test_no_acceptable_stretch_is_outside_the_blocks(spark):
+    """All stretches of all texts against the templates, one by one."""
+    rng = np.random.default_rng(5)
+    templates = [("a", "p q r s t u"), ("b", "q Q r v"), ("c", "w"), ("d", "p p p q s x y z")]
+    letters = list("pqrstuvwxyz") + list("mnopP") * 3
+    texts = [" ".join(rng.choice(letters, rng.integers(0, 40))) for _ in range(150)]
+    for i in range(0, 150, 3):  # a changed template inside
+        words = templates[i % 4][1].split()
+        words[rng.integers(len(words))] = "m"
+        texts[i] += " " + " ".join(words) + " n"
+    _, coded = licenses._coded(tuple(templates))
+    numbers = licenses._coded(tuple(templates))[0]
+    found = _licenses(spark, texts, templates)
+    some = 0
+    for text, got in zip(texts, found):
+        have = np.array([numbers.get(w.lower(), 0) for w in text.split()], np.int64)
+        best = [licenses.differences(want, have)[0].min() if len(have) else len(want) for want in coded]
+        accepted = [d <= int(licenses.MAX_DIFFERENCE * len(want)) for d, want in zip(best, coded)]
+        assert bool(got) == any(accepted)
+        assert {name for name, _ in got} <= {t[0] for t, ok in zip(templates, accepted) if ok}
+        some += bool(got)
+    assert 30 < some < 150
+
+
 def test_blocks_of_many_statements(spark):
     # one long line, and long rows of license words: several blocks
     names = [name for name, _ in licenses.TEMPLATES]

@@ -1,9 +1,14 @@
 """License scans by conditional compression.
 
-Candidate blocks (the words around a license word, on both sides as many as the
-longest stretch that can be accepted has; line breaks and marks of comments are
-white space) are compressed alone and with
-each license template as a zstandard raw-content dictionary. The saving against
+Candidate blocks come from the templates themselves. A stretch that can be
+accepted differs from its template in few words, so it holds one of that
+template's key words (its longest words, one more than may differ), and as many
+of its words as may not differ, close together. Texts without a key word never
+leave the JVM's filter; in the others each place where enough words of a
+template stand close together, with as many words on both sides as the longest
+accepted stretch has, is a block (line breaks and marks of comments are white
+space). Blocks are compressed alone and with each template they may hold as a
+zstandard raw-content dictionary. The saving against
 the plain size only ranks the templates (beside prose it is small for a
 word-for-word statement too); the best ones are then accepted or rejected by
 exact comparison of words: the differing words between the template and the
@@ -16,6 +21,7 @@ from __future__ import annotations
 
 import re
 from bisect import bisect_right
+from collections import Counter
 from collections.abc import Iterator, Sequence
 from functools import lru_cache
 
@@ -25,7 +31,25 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# Statements that name the licenses.
+# Statements that name the licenses, and whole license texts.
+_MIT = """Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated
+documentation files (the "Software"), to deal in the Software without restriction, including without limitation the
+rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit
+persons to whom the Software is furnished to do so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all copies or substantial portions of the
+Software.
+
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE
+WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR
+COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR
+OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE."""
+_ISC = """Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby
+granted, provided that the above copyright notice and this permission notice appear in all copies."""
+_UNLICENSE = """This is free and unencumbered software released into the public domain.
+
+Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software, either in source code form or
+as a compiled binary, for any purpose, commercial or non-commercial, and by any means."""
 TEMPLATES = (
     ("MIT", "Released under the MIT License."),
     ("Apache-2.0", "Licensed under the Apache License, Version 2.0."),
@@ -36,10 +60,12 @@ TEMPLATES = (
     ("BSD-3-Clause", "Redistribution and use in source and binary forms, with or without modification, are permitted."),
     ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."),
     ("All-rights-reserved", "Copyright. All rights reserved."),
+    ("MIT", _MIT),
+    ("ISC", _ISC),
+    ("Unlicense", _UNLICENSE),
 )
-HINT = r"(?i)licen[cs]e|copyright|creative\W+commons|\bCC\W+BY\b|rights\W+reserved|redistribution|copying"
 MAX_DIFFERENCE = 0.25
-BLOCK_REACHES = 8  # a longer row of license words is more than one block
+BLOCK_REACHES = 8  # a longer row of template words is more than one block
 _WORD = re.compile(r"[^\W_]+(?:[.-][^\W_]+)*")
 
 
@@ -61,12 +87,12 @@ def _compressors(templates: tuple[tuple[str, str], ...]):
     return plain, with_template
 
 
-def savings(block: str, templates: tuple[tuple[str, str], ...]) -> list[float]:
-    """Share of the block's compressed size that each template saves."""
+def savings(block: str, templates: tuple[tuple[str, str], ...], some: Sequence[int]) -> dict[int, float]:
+    """Share of the block's compressed size that each of ``some`` templates saves."""
     plain, with_template = _compressors(templates)
     raw = block.encode("utf-8", "surrogatepass")
     alone = len(plain.compress(raw))
-    return [1 - len(c.compress(raw)) / alone for c in with_template]
+    return {k: 1 - len(with_template[k].compress(raw)) / alone for k in some}
 
 
 @lru_cache(maxsize=4)
@@ -77,6 +103,56 @@ def _coded(templates: tuple[tuple[str, str], ...]) -> tuple[dict[str, int], list
     return numbers, coded
 
 
+def key_words(templates: Sequence[tuple[str, str]]) -> list[str]:
+    """Words of which every acceptable stretch of any template holds one.
+
+    A template of n words may lack int(MAX_DIFFERENCE * n) of them, so any words
+    that make up one more of its places will do. Long words come first, as
+    they are the rarer ones in most texts.
+    """
+    found: set[str] = set()
+    for _, text in templates:
+        words = _words(text)
+        places, spare = Counter(words), int(MAX_DIFFERENCE * len(words))
+        for word in sorted(places, key=lambda w: (-len(w), w)):
+            if spare < 0:
+                break
+            found.add(word)
+            spare -= places[word]
+    return sorted(found)
+
+
+def _key_pattern(templates: Sequence[tuple[str, str]]) -> str | None:
+    """A Java pattern for the beginning of a key word; words are no case apart."""
+    keys = key_words(templates)
+    return r"(?iu)(?<![\p{L}\p{N}])(?:" + "|".join(rf"\Q{k}\E" for k in keys) + ")" if keys else None
+
+
+def crowded(have: np.ndarray, coded: list[np.ndarray]) -> np.ndarray:
+    """The places of template words in stretches long enough for a template,
+    with one difference allowed for each word more, and full enough of its words."""
+    out = np.zeros(len(have), bool)
+    for want in coded:
+        n = len(want)
+        limit = int(MAX_DIFFERENCE * n)
+        if not n:
+            continue
+        member = np.isin(have, want)
+        total = np.concatenate([[0], np.cumsum(member)])
+        stop = np.minimum(np.arange(len(have)) + n + limit, len(have))
+        first = np.flatnonzero(total[stop] - total[:-1] >= n - limit)
+        edge = np.zeros(len(have) + 1, np.int64)
+        np.add.at(edge, first, 1)
+        np.add.at(edge, stop[first], -1)
+        out |= member & (np.cumsum(edge[:-1]) > 0)
+    return np.flatnonzero(out)
+
+
+def possible(have: np.ndarray, coded: list[np.ndarray]) -> list[int]:
+    """The templates of which a block holds enough words."""
+    return [k for k, want in enumerate(coded) if len(want) and int(np.isin(want, have).sum()) >= len(want) - int(MAX_DIFFERENCE * len(want))]
+
+
 def differences(want: np.ndarray, have: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """For every end in ``have`` the fewest differing words of a stretch that
     ends there, and that stretch's start (the latest of equal ones)."""
@@ -118,7 +194,7 @@ def stretches(have: np.ndarray, lo: int, hi: int, coded: list[np.ndarray], order
 
 
 def blocks(hints: Sequence[int], reach: int, n_words: int) -> Iterator[tuple[int, int, int]]:
-    """``(lo, hi, last)``: word ranges around license words (by word number),
+    """``(lo, hi, last)``: word ranges around template words (by word number),
     of ``reach`` words before the first and after the last one. Hints with
     common words share a block. In a long row of hints a block ends early: the
     stretches that start after its word ``last`` are left to the next block,
@@ -137,23 +213,24 @@ def blocks(hints: Sequence[int], reach: int, n_words: int) -> Iterator[tuple[int
 
 
 def scan_text(text: str, templates: tuple[tuple[str, str], ...]) -> list[dict]:
-    hints = [m.start() for m in re.finditer(HINT, text)]
-    if not hints:
-        return []
     numbers, coded = _coded(templates)
     reach = int((1 + MAX_DIFFERENCE) * max(map(len, coded), default=0))
-    starts, ends, have = np.fromiter(
-        ((m.start(), m.end(), numbers.get(m.group().lower(), 0)) for m in _WORD.finditer(text)), np.dtype((np.int64, 3))
-    ).T
+    words = [(m.start(), m.end(), numbers.get(m.group().lower(), 0)) for m in _WORD.finditer(text)]
+    if not words:
+        return []
+    starts, ends, have = np.array(words, np.int64).T
+    at = crowded(have, coded).tolist()
     out: list[dict] = []
     done = 0
-    at = (np.searchsorted(starts, hints, side="right") - 1).tolist()
     for lo, hi, last in blocks(at, reach, len(have)):
         lo = max(lo, done)
         if lo >= hi:
             continue
-        saving = savings(text[starts[lo] : ends[hi - 1]], templates)
-        order = sorted(range(len(templates)), key=lambda k: (-saving[k], k))
+        some = possible(have[lo:hi], coded)
+        if not some:
+            continue
+        saving = savings(text[starts[lo] : ends[hi - 1]], templates, some)
+        order = sorted(some, key=lambda k: (-saving[k], k))
         for a, b, k, differ in stretches(have, lo, hi, coded, order):
             if a > last:
                 break
@@ -185,14 +262,16 @@ def _scan(batches: Iterator[pa.RecordBatch], templates: tuple[tuple[str, str], .
 def scan_licenses(docs: DataFrame, text_col: str = "text", templates: Sequence[tuple[str, str]] = TEMPLATES) -> DataFrame:
     """``docs`` with ``licenses``: the stretches found, in text order.
 
-    Texts without a license word (null and empty ones among them) get an empty
-    list without leaving the JVM's filter; whole texts are searched. Repeated
+    Texts without a key word (null and empty ones among them) get an empty list
+    without leaving the JVM's filter; whole texts are searched. Templates
+    without words are never found. Repeated
     rows are scanned alike, a column named ``licenses`` is replaced, and an
     empty table gives no rows.
     """
     names = [c for c in docs.columns if c != "licenses"]
     fixed = tuple(tuple(t) for t in templates)
-    hinted = F.coalesce(F.col(text_col).cast("string").rlike(HINT), F.lit(False))
+    keys = _key_pattern(fixed)
+    hinted = F.coalesce(F.col(text_col).cast("string").rlike(keys), F.lit(False)) if keys else F.lit(False)
     rows = docs.select(
         F.struct(*docs.columns).alias("doc"), F.when(hinted, F.col(text_col).cast("string")).otherwise(F.lit("")).alias("text")
     )

@@ -57,6 +57,72 @@ def test_classifier_held_out(spark, sf_small):
     assert classifier.fit([], []).out.sum() == 0
 
 
+def _one_score(net, text):
+    """The network as loops over chunks, steps and filters."""
+    c = classifier
+    halves = -(-(len(text) + c.WIDTH) // c.HALF)
+    symbols = list(text) + [c.PAD] * (halves * c.HALF + c.WIDTH - len(text))
+    grams = [bytes(text[i : i + c.REPEAT_BYTES]) for i in range(len(text) - c.REPEAT_BYTES + 1)]
+    twice = [grams.count(g) > 1 for g in grams] + [False] * len(symbols)
+
+    def at(p):
+        z = net.bias.astype(float)
+        for k in range(c.WIDTH):
+            z = z + net.embed[symbols[p + k]].astype(float) @ net.filters[k] + twice[p + k] * net.repeat[k]
+        return np.maximum(z, 0)
+
+    steps = [at(p) for p in range(0, halves * c.HALF, c.STEP)]
+    steps[-1] = np.zeros(c.FILTERS)
+    wide, step = 2 * c.HALF // c.STEP, c.HALF // c.STEP
+    chunks = np.array([np.max(steps[i : i + wide], axis=0) for i in range(0, len(steps), step)])
+    return 1 / (1 + np.exp(-(np.hstack([chunks.mean(axis=0), chunks.max(axis=0)]) @ net.out + net.base[0])))
+
+
+def _some_bytes():
+    rng = random.Random(4)
+    line = b"a line that occurs more than once here\n"
+    texts = [b"", b"x", line, line * 2, bytes(rng.randrange(256) for _ in range(247)), line * 13, "é日本 ".encode() * 40]
+    texts += [bytes(rng.choice(b"abc ") for _ in range(rng.randint(200, 900))) for _ in range(6)]
+    return texts, np.concatenate([[0], np.cumsum([len(t) for t in texts])])
+
+
+def test_scores_equal_loops():
+    texts, offsets = _some_bytes()
+    net = classifier._fresh(2)
+    got = classifier.score_rows(net, np.frombuffer(b"".join(texts), np.uint8), offsets)
+    assert np.allclose(got, [_one_score(net, t) for t in texts], atol=1e-4)
+
+
+def test_gradients_equal_differences():
+    texts, offsets = _some_bytes()
+    net = classifier._fresh(3)
+    for name in ("embed", "filters", "repeat", "bias", "out", "base"):
+        setattr(net, name, getattr(net, name).astype(np.float64))
+    parts = classifier.layout(np.frombuffer(b"".join(texts), np.uint8), offsets)
+    rng = np.random.default_rng(1)
+    labels, weights = rng.integers(0, 2, len(texts)).astype(float), rng.random(len(texts)) + 0.5
+
+    def loss():
+        symbols, repeated, halves = parts
+        pooled, _ = classifier._pool(classifier._activations(net, symbols, repeated, halves), halves)
+        p = classifier._probability(net, pooled, halves)[0]
+        return -((labels * np.log(p) + (1 - labels) * np.log(1 - p)) * weights).sum() / weights.sum()
+
+    compared = 0
+    for array, gradient in zip(net.arrays(), classifier._gradients(net, parts, labels, weights)):
+        flat, slopes = array.reshape(-1), gradient.reshape(-1)
+        for i in rng.permutation(len(flat))[:40]:
+            old, eps = flat[i], 1e-6
+            flat[i] = old + eps
+            up = loss()
+            flat[i] = old - eps
+            down = loss()
+            flat[i] = old
+            assert abs((up - down) / (2 * eps) - slopes[i]) < 1e-4
+            compared += slopes[i] != 0
+    assert compared > 60
+
+
 def test_whole_text_counts():
     net = classifier.fit([b"good text here " * 20, b"### $$$ %%% " * 25] * 30, [1, 0] * 30, epochs=4)
     clean = b"good text here " * 400

@@ -3,7 +3,7 @@
 import random
 
 from tests.llm import brute
-from tillroll.llm import near_dedup
+from tillroll.llm import near_dedup, textkit
 
 
 def _sets(texts):
@@ -143,3 +143,19 @@ def test_label_join_shuffles_both_sides(spark, monkeypatch):
     executed = out._jdf.queryExecution().executedPlan().toString()
     # one shuffle for the aggregate and one for each side of the join
     assert "Join" in plan and executed.count("hashpartitioning") >= 3 and executed.count("hashpartitioning(concat(") + executed.count("hashpartitioning(_label") == 2
+
+
+def test_a_text_over_one_slice(spark):
+    rng = random.Random(8)
+    words = [f"w{rng.randrange(10**6)}" for _ in range(60_000)]
+    edited = list(words)
+    for at in range(0, 60_000, 60):  # 5 of 60 shingles differ: similarity 55/65
+        edited[at] = "edit"
+    far = list(words)
+    for at in range(0, 60_000, 20):  # 15/25
+        far[at] = "far"
+    texts = [" ".join(words), " ".join(edited), " ".join(far), " ".join(words[:100])]
+    assert len(texts[0]) > textkit.SLICE_BYTES
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in near_dedup.link_documents(df).collect()}
+    assert got == {i: (len(s), c) for i, (s, c) in enumerate(zip(_sets(texts), [0, 0, 2, 3]))}

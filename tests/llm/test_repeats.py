@@ -1,11 +1,12 @@
 """Substring removal (bytes and words) against brute force."""
 
 import random
+from collections import Counter
 
 import pytest
 
 from tests.llm import brute
-from tillroll.llm import phrase_dedup, suffix_dedup
+from tillroll.llm import phrase_dedup, suffix_dedup, textkit
 
 
 def _texts(seed: int, alphabet: str, size: int = 40) -> list[str | None]:
@@ -69,6 +70,46 @@ def test_words_equal_brute_force(spark, seed, window, gram, hot):
     assert got == want
 
 
+def test_production_bytes_and_a_text_over_one_slice(spark):
+    rng = random.Random(11)
+    noise = lambda n: "".join(rng.choice("abcdefghijklmnopqrstuvwxyz \n") for _ in range(n))
+    passage = noise(260)
+    long = noise(150_000) + passage + noise(150_000) + passage[:230] + noise(9)
+    texts = [long, noise(50) + passage[30:229] + noise(60), noise(50) + passage[30:230] + noise(60), passage, passage, "é" * 300, noise(199), None, ""]
+    texts += [texts[6], "y" * 199, "y" * 199, "z" * 200]
+    rows = [(i, t) for i, t in enumerate(texts)]
+    data = [(t or "").encode() for t in texts]
+    assert len(data[0]) > textkit.SLICE_BYTES
+    seen = Counter(d[i : i + 200] for d in data for i in range(len(d) - 199))
+    want = []
+    for i, d in enumerate(data):
+        flags = bytearray(len(d))
+        for at in range(len(d) - 199):
+            if seen[d[at : at + 200]] > 1:
+                flags[at : at + 200] = b"\1" * 200
+        want.append((i, bytes(b for b, f in zip(d, flags) if not f), sum(flags), brute.runs([bool(f) for f in flags])))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert suffix_dedup.WINDOW_BYTES == 200
+    got = sorted(
+        (r["doc_id"], bytes(r["kept"]), r["n_removed"], [(s["start"], s["stop"]) for s in r["removed"]])
+        for r in suffix_dedup.remove_repeated_bytes(df).collect()
+    )
+    assert got == want and want[0][2] == 490 and want[1][2] == 0 and want[2][2] == 200
+
+
+def test_production_words_and_a_text_over_one_slice(spark):
+    rng = random.Random(12)
+    words = lambda n: [f"w{rng.randrange(10**6)}" for _ in range(n)]
+    passage = words(50)
+    texts = [words(30_000) + passage + words(30_000) + passage[:35], words(9) + passage[5:39], words(9) + passage[5:45] + words(3), passage[:35]]
+    flags = brute.covered(texts, phrase_dedup.WINDOW_WORDS)
+    df = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(texts)], "doc_id long, text string")
+    assert phrase_dedup.WINDOW_WORDS == 35 and len(" ".join(texts[0])) > textkit.SLICE_BYTES
+    got = {r["doc_id"]: (r["kept"], r["n_removed"]) for r in phrase_dedup.remove_repeated_passages(df).collect()}
+    assert got == {i: (" ".join(w for w, f in zip(t, fl) if not f), sum(fl)) for i, (t, fl) in enumerate(zip(texts, flags))}
+    assert [got[i][1] for i in range(4)] == [80, 0, 40, 35]
+
+
 def test_empty_tables(spark):
     empty = spark.createDataFrame([], "doc_id long, text string")
     assert suffix_dedup.remove_repeated_bytes(empty).collect() == []

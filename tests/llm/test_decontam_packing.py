@@ -133,3 +133,15 @@ def test_packing_is_complete_and_within_limits(spark, limits):
         assert total == limits.tokens or total & (total - 1) == 0
         assert total <= limits.tokens and len(own) <= limits.segments + 1 and sum(r["loss_tokens"] for r in own) <= limits.loss_tokens
     assert packing.pack_documents(df.limit(0), PATH).count() == 0
+
+
+def test_words_with_closing_punctuation_share_an_entry():
+    """The letters are one entry, whatever follows them; white space at the
+    ends and empty texts give no ids."""
+    from tokenizers import Tokenizer
+
+    words, plain = packing.WordTokenizer(PATH), Tokenizer.from_file(PATH)
+    texts = ["alphaish alphaish, alphaish. Alphaish!?", "", " \n", "\talphaish;\x0b ", "großß, 12. a.b, ..., übe:"]
+    got = [x.tolist() for x in words.encode([t.encode() for t in texts])]
+    assert got == [plain.encode(t, add_special_tokens=False).ids for t in texts]
+    assert not {b"alphaish,", b"alphaish.", b"alphaish!?"} & set(words.known) and b"alphaish" in words.known

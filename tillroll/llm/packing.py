@@ -24,6 +24,7 @@ from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -33,7 +34,9 @@ from tillroll.llm import textkit
 
 TOKENIZER_FILE = "word_bpe_49k.json"
 END_ID = 2
-CACHE_WORDS = 700_000
+CACHE_WORDS = 500_000
+# Bytes of text split at once: larger slices have fewer distinct words in all.
+SLICE_BYTES = 1 << 22
 _CLOSERS = b".,;:!?"
 
 
@@ -65,9 +68,11 @@ class WordTokenizer:
 
     For a tokenizer that lower-cases, drops white space and never joins across it
     (its pre-tokenizer splits there), the ids of a text are those of its
-    ASCII-white-space-separated words one after the other. Each distinct word
-    is encoded once; the cache is bounded. The vocabulary is byte-level BPE with
-    letters, digits and other characters as separate pre-tokens.
+    ASCII-white-space-separated words one after the other. The vocabulary is
+    byte-level BPE with letters, digits and other characters as separate
+    pre-tokens, so a word of letters with closing punctuation is two entries,
+    its letters and its tail. Each distinct entry is encoded once; their number
+    is bounded.
     """
 
     def __init__(self, path: str):
@@ -81,44 +86,24 @@ class WordTokenizer:
         self._reset()
 
     def _reset(self) -> None:
-        self.known: dict[bytes, int] = {}
-        self.cores: dict[bytes, list[int]] = {}
-        self.tails: dict[bytes, list[int]] = {}
-        self.lengths = np.zeros(0, np.int64)
-        self.starts = np.zeros(0, np.int64)
+        """Entry 0 is empty."""
+        self.known: dict[bytes, int] = {b"": 0}
+        self.lengths = np.zeros(1, np.int64)
+        self.starts = np.zeros(1, np.int64)
         self.pool = np.zeros(0, np.uint32)
 
-    def _by_parts(self, word: bytes) -> list[int] | None:
-        """Ids of a word of lower-case Latin letters with closing punctuation,
-        from the model alone; None for any other word. Letters and punctuation
-        are separate pre-tokens, and normalisation changes neither."""
-        core = word.rstrip(_CLOSERS)
-        if not core or (core[-1] >= 0x80 and len(core) < len(word) and not core.decode("utf-8", "replace").isalpha()):
-            return None
-        ids = self.cores.get(core)
-        if ids is None:
-            text = core.decode("utf-8", "replace")
-            if not text.isalpha() or max(text) > "\u024f" or text != text.lower():
-                return None
-            ids = [t.id for t in self.model.tokenize("".join(map(_BYTE_CHARS.__getitem__, core)))]
-            self.cores[core] = ids
-        if len(core) == len(word):
-            return ids
-        tail = word[len(core) :]
-        closing = self.tails.get(tail)
-        if closing is None:
-            closing = self.tails[tail] = self.tokenizer.encode(tail.decode(), add_special_tokens=False).ids
-        return ids + closing
-
     def _learn(self, new: list[bytes]) -> None:
+        """Words of lower-case Latin letters, which normalisation does not
+        change, are encoded by the model alone."""
         parts: list[list[int]] = []
         alone: list[int] = []
         for k, word in enumerate(new):
-            ids = self._by_parts(word)
-            if ids is None:
+            if _plain(word):
+                chars = word.decode() if word.isascii() else "".join(map(_BYTE_CHARS.__getitem__, word))
+                parts.append([t.id for t in self.model.tokenize(chars)])
+            else:
                 alone.append(k)
-                ids = []
-            parts.append(ids)
+                parts.append([])
         texts = [new[k].decode("utf-8", "replace") for k in alone]
         for k, found in zip(alone, self.tokenizer.encode_batch(texts, add_special_tokens=False)):
             parts[k] = found.ids
@@ -130,27 +115,58 @@ class WordTokenizer:
         for w in new:
             self.known[w] = len(self.known)
 
-    def encode(self, texts: list[bytes]) -> list[np.ndarray]:
-        # The tokenizer lower-cases; doing it here makes fewer distinct words.
-        # Left as they are: texts that may hold a special token's string, or
-        # combining marks (U+0300-036F), which compose before lower-casing.
-        split = [(t if b"<|" in t or b"\xcc" in t or b"\xcd" in t else t.lower()).split() for t in texts]
-        sizes = np.fromiter(map(len, split), np.int64, len(split))
-        words = list(chain.from_iterable(split))
-        number = np.fromiter(map(self.known.get, words, repeat(-1)), np.int64, len(words))
+    def _entries(self, words: list[bytes]) -> np.ndarray:
+        """The two entries of each word, one after the other."""
+        entries: list[bytes] = []
+        for word in words:
+            if word[-1:] in _CLOSERS and _plain(core := word.rstrip(_CLOSERS)):
+                entries += (core, word[len(core) :])
+            else:
+                entries += (word, b"")
+        number = np.fromiter(map(self.known.get, entries, repeat(-1)), np.int64, len(entries))
         if len(number) and number.min() < 0:
-            new = {words[k] for k in np.flatnonzero(number < 0).tolist()}
+            new = {entries[k] for k in np.flatnonzero(number < 0).tolist()}
             if len(self.known) + len(new) > CACHE_WORDS:
                 self._reset()
-                new = set(words)
+                new = set(entries) - {b""}
             self._learn(list(new))
-            number = np.fromiter(map(self.known.__getitem__, words), np.int64, len(words))
-        lengths = self.lengths[number]
-        ends = np.cumsum(lengths)
-        total = int(ends[-1]) if len(ends) else 0
-        ids = self.pool[np.repeat(self.starts[number] - (ends - lengths), lengths) + np.arange(total)]
-        cuts = np.concatenate([[0], ends])[np.cumsum(sizes)]
-        return np.split(ids, cuts[:-1]) if len(texts) else []
+            number = np.fromiter(map(self.known.__getitem__, entries), np.int64, len(entries))
+        return number
+
+    def encode(self, texts: list[bytes]) -> list[np.ndarray]:
+        if not texts:
+            return []
+        # The tokenizer lower-cases; doing it here makes fewer distinct words.
+        # Left as they are: texts that may hold a special token's string, or
+        # combining marks (U+0300-036F), which compose before lower-casing.
+        lowered = [t if b"<|" in t or b"\xcc" in t or b"\xcd" in t else t.lower() for t in texts]
+        # white space at a text's ends makes an empty word there
+        split = pc.ascii_split_whitespace(pa.array(lowered, pa.large_binary()).cast(pa.large_string(), safe=False))
+        sizes = pc.list_value_length(split).to_numpy()
+        coded = pc.list_flatten(split).cast(pa.large_binary()).dictionary_encode()
+        # the slice's distinct words in a pool of their own, then its words
+        pairs = self._entries(coded.dictionary.to_pylist())
+        local, lengths = _gather(self.pool, self.starts[pairs], self.lengths[pairs])
+        lengths = lengths.reshape(-1, 2).sum(axis=1)
+        number = coded.indices.to_numpy()
+        ids, lengths = _gather(local, (np.cumsum(lengths) - lengths)[number], lengths[number])
+        cuts = np.concatenate([[0], np.cumsum(lengths)])[np.cumsum(sizes)]
+        return np.split(ids, cuts[:-1])
+
+
+def _plain(word: bytes) -> bool:
+    """Lower-case Latin letters only."""
+    if word.isascii():
+        return word.isalpha() and word.islower()
+    text = word.decode("utf-8", "replace")
+    return text.isalpha() and max(text) <= "\u024f" and text == text.lower()
+
+
+def _gather(pool: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """``pool[start:start+length]`` of all spans one after the other, and the lengths."""
+    ends = np.cumsum(lengths)
+    total = int(ends[-1]) if len(ends) else 0
+    return pool[np.repeat(starts - (ends - lengths), lengths) + np.arange(total)], lengths
 
 
 @lru_cache(maxsize=1)
@@ -308,7 +324,7 @@ def _pack(batches: Iterator[pa.RecordBatch], path: str, end_id: int, limits: Lim
         prompted = "prompt" in batch.schema.names
         if prompted:
             head, cuts, _ = _texts(batch.column("prompt"))
-        for lo, hi in textkit.row_slices(offsets):
+        for lo, hi in textkit.row_slices(offsets, SLICE_BYTES):
             ids = tokenizer.encode([bytes(raw[at[r] : at[r + 1]]) for r in range(lo, hi)])
             before = tokenizer.encode([bytes(head[cuts[r] : cuts[r + 1]]) for r in range(lo, hi)]) if prompted else repeat(none)
             for key, own, quiet in zip(docs.slice(lo, hi - lo).to_pylist(), ids, before):

@@ -2,6 +2,8 @@
 
 import random
 
+import pytest
+
 from tests.llm import brute
 from tillroll.llm import near_dedup, textkit
 
@@ -159,3 +161,21 @@ def test_a_text_over_one_slice(spark):
     df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in near_dedup.link_documents(df).collect()}
     assert got == {i: (len(s), c) for i, (s, c) in enumerate(zip(_sets(texts), [0, 0, 2, 3]))}
+
+
+@pytest.mark.parametrize("block", [1, 3, 1 << 17])
+def test_components_by_blocks_of_links(spark, monkeypatch, block):
+    """Chains, a star, a loop and a node linked with itself, whatever the
+    number of blocks; one block is done after one table."""
+    monkeypatch.setattr(near_dedup, "BLOCK", block)
+    tables = []
+    write = near_dedup.materialize
+    monkeypatch.setattr(near_dedup, "materialize", lambda df, name: (tables.append(name), write(df, name))[1])
+    pairs = [(i, i + 1) for i in range(10, 19)] + [(30, 25), (30, 26), (27, 30), (41, 40), (40, 42), (42, 41), (50, 50)]
+    name = lambda i: b"%02d" % i
+    edges = spark.createDataFrame([(bytearray(name(a)), bytearray(name(b))) for a, b in pairs], "a binary, b binary").repartition(4)
+    got = {bytes(r["node"]): bytes(r["label"]) for r in near_dedup.components(edges).collect()}
+    least = {**dict.fromkeys(range(10, 20), 10), **dict.fromkeys([25, 26, 27, 30], 25), **dict.fromkeys([40, 41, 42], 40), 50: 50}
+    assert got == {name(i): name(k) for i, k in least.items()}
+    if block > len(pairs):
+        assert tables == ["components-stars"]

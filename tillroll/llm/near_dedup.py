@@ -17,7 +17,8 @@ groups are the connected components of these links.
    (4.5 standard errors) go. The rest are confirmed on full sets. This is
    repeated with other centres for whole components, one pair a component,
    while it links any.
-4. Components come from iterated minimum labels. Buckets that still hold
+4. Components come from stars within blocks of links and, over several blocks,
+   iterated minimum labels. Buckets that still hold
    several components are searched again for pairs *between* components, by
    the same signatures: first each outsider's most similar text outside its
    component, a few times over, then, in rounds of growing shares of the pairs,
@@ -50,6 +51,8 @@ BANDED = BANDS * ROWS
 MINIMA = 1024
 SIGNATURE_WORDS = MINIMA * BITS // 64
 CELL = 1024
+# Links that one task connects at once (about 32 bytes each).
+BLOCK = 1 << 17
 STAR_ROUNDS = 2
 # Rounds in which an outsider is paired with its most similar text of another
 # component; after them: all pairs by hash, in shares of 64.
@@ -269,19 +272,59 @@ def _place(a: bytes, b: bytes) -> int:
     return (a[0] ^ b[0]) & 63
 
 
+def _stars(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The links of a task as stars ``(node, label)`` around the least node of
+    each group they connect; after ``BLOCK`` links the next stars begin."""
+    above: dict[bytes, bytes] = {}
+
+    def top(x: bytes) -> bytes:
+        path = []
+        while (up := above.setdefault(x, x)) != x:
+            path.append(x)
+            x = up
+        for y in path:
+            above[y] = x
+        return x
+
+    def stars() -> pa.RecordBatch:
+        nodes = list(above)
+        return pa.RecordBatch.from_arrays([pa.array(nodes, pa.binary()), pa.array(list(map(top, nodes)), pa.binary())], ["node", "label"])
+
+    links = 0
+    for batch in batches:
+        for a, b in zip(batch.column("a").to_pylist(), batch.column("b").to_pylist()):
+            x, y = top(a), top(b)
+            if x != y:
+                above[max(x, y)] = min(x, y)
+            links += 1
+            if links == BLOCK:
+                yield stars()
+                above.clear()
+                links = 0
+    if above:
+        yield stars()
+
+
 def components(edges: DataFrame, name: str = "components") -> DataFrame:
     """``(node, label)`` of every node of ``edges(a, b)``: the least node of its
-    component. Each round takes the least label around a node and then that
-    label's own label, until nothing changes; tables between rounds are written
-    to the shared scratch folder."""
-    both = edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    both = materialize(both, f"{name}-edges")
-    labels = materialize(both.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("label")).withColumnRenamed("a", "node"), f"{name}-0")
+    component. Blocks of at most ``BLOCK`` links first become stars, each in
+    one task; a single block is done with that. Over the stars of several
+    blocks each round takes the least label around a node and then that
+    label's own label, until nothing changes; tables between rounds are
+    written to the shared scratch folder. ``edges`` are read twice."""
+    blocks = -(-edges.count() // BLOCK)
+    stars = materialize(edges.coalesce(max(1, blocks)).mapInArrow(_stars, "node binary, label binary"), f"{name}-stars")
+    if blocks <= 1:
+        return stars
+    both = stars.select(F.col("node").alias("a"), F.col("label").alias("b")).filter("a <> b")
+    both = materialize(both.unionByName(both.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), f"{name}-edges")
+    # a node linked with itself alone has a star, but no neighbour
+    labels = materialize(stars.groupBy("node").agg(F.min("label").alias("label")), f"{name}-0")
     for turn in range(1, 100):
         around = (
             both.join(labels.withColumnRenamed("node", "b"), "b").groupBy("a").agg(F.min("label").alias("least"))
         )
-        lower = labels.join(around.withColumnRenamed("a", "node"), "node").select(
+        lower = labels.join(around.withColumnRenamed("a", "node"), "node", "left").select(
             "node", F.col("label").alias("old"), F.least("label", "least").alias("label")
         )
         jump = labels.select(F.col("node").alias("label"), F.col("label").alias("beyond"))
@@ -313,11 +356,17 @@ def _texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     )
 
 
-def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Pairs ``(a, b)`` whose full sets reach the threshold."""
-    left = sets.select(F.col("node").alias("a"), F.col("shingles").alias("set_a"))
-    right = sets.select(F.col("node").alias("b"), F.col("shingles").alias("set_b"))
-    return pairs.join(left, "a").join(right, "b").mapInArrow(lambda it: _confirm(it, percent), "a binary, b binary")
+def _confirmed(pairs: DataFrame, found: DataFrame, percent: int, floor: float | None = None) -> DataFrame:
+    """Pairs ``(a, b)`` whose full sets reach the threshold; with ``floor`` only
+    those whose signatures reach that are compared."""
+    for side in ("a", "b"):
+        taken = [F.col("node").alias(side), F.col("shingles").alias(f"set_{side}")]
+        if floor is not None:
+            taken.append(F.col("marks").alias(f"marks_{side}"))
+        pairs = pairs.join(found.select(*taken), side)
+    if floor is not None:
+        pairs = pairs.filter(estimate("marks_a", "marks_b") >= F.lit(floor))
+    return pairs.select("a", "b", "set_a", "set_b").mapInArrow(lambda it: _confirm(it, percent), "a binary, b binary")
 
 
 def _star_pairs(found: DataFrame, labels: DataFrame | None, turn: int) -> DataFrame:
@@ -455,19 +504,10 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", per
         "near-features",
     )
     found = features.filter("bands is not null")
-    sets = found.select("node", "shingles")
     floor = percent / 100 - SLACK
-    marks = found.select("node", "marks")
     links, labels = None, None
     for turn in range(STAR_ROUNDS):
-        likely = (
-            _star_pairs(found, labels, turn)
-            .join(marks.select(F.col("node").alias("a"), F.col("marks").alias("marks_a")), "a")
-            .join(marks.select(F.col("node").alias("b"), F.col("marks").alias("marks_b")), "b")
-            .filter(estimate("marks_a", "marks_b") >= F.lit(floor))
-            .select("a", "b")
-        )
-        new = materialize(_confirmed(likely, sets, percent), "near-links")
+        new = materialize(_confirmed(_star_pairs(found, labels, turn), found, percent, floor), "near-links")
         some = new.limit(1).count()
         if some or links is None:
             links = new if links is None else links.unionByName(new)
@@ -480,7 +520,7 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", per
     while rounds:
         share = rounds.pop(0)
         across = materialize(_across(seats, found, labels, floor, share), "near-across")
-        more = materialize(_confirmed(across.filter("a <> b"), sets, percent), "near-more-links")
+        more = materialize(_confirmed(across.filter("a <> b").select("a", "b"), found, percent), "near-more-links")
         if more.limit(1).count():
             links = links.unionByName(more)
             labels = components(links, "near-next")

@@ -2,6 +2,7 @@
 
 import json
 import os
+import re
 import tempfile
 
 import pytest
@@ -10,6 +11,7 @@ from pyspark.sql import functions as F
 from tillroll.operators import marts, serving
 from tillroll.plans.layers import RetailLayers
 from tillroll.schemas import LINES_RAW, ORDERS_RAW, PRODUCTS_RAW
+from tillroll.sources import extracts, retail_views
 
 SKEW_CONF = {
     "spark.sql.autoBroadcastJoinThreshold": "-1",
@@ -209,3 +211,55 @@ def test_hot_day_is_written_by_several_tasks(spark):
     assert spark.read.parquet(out).count() == n
 
 
+def _line_tables(spark, root, n_lines):
+    """The tables of the flat extract, with three lines an order and 40 parts."""
+    n_orders = -(-n_lines // 3)
+    k = F.col("id")
+    tables = {
+        "nation": spark.range(2).select(k.alias("n_nationkey"), F.concat(F.lit("NATION_"), k).alias("n_name")),
+        "customer": spark.range(10).select(k.alias("c_custkey"), (k % 2).alias("c_nationkey")),
+        "part": spark.range(40).select(
+            k.alias("p_partkey"), F.concat(F.lit("part "), k).alias("p_name"), (k + 0.5).alias("p_retailprice")
+        ),
+        "orders": spark.range(n_orders).select(
+            k.alias("o_orderkey"),
+            (k % 10).alias("o_custkey"),
+            F.lit("O").alias("o_orderstatus"),
+            F.expr("timestamp'1998-01-01 00:00:00' + make_interval(0, 0, 0, CAST(id % 150 AS INT))").alias("o_orderdate"),
+        ),
+        "lineitem": spark.range(n_lines).select(
+            F.expr("id div 3").alias("l_orderkey"),
+            (k % 37).alias("l_partkey"),
+            (k % 3 + 1).cast("int").alias("l_linenumber"),
+            F.lit(2.0).alias("l_quantity"),
+            F.lit("N").alias("l_returnflag"),
+            F.lit("O").alias("l_linestatus"),
+        ),
+    }
+    for name, df in tables.items():
+        df.coalesce(1).write.parquet(f"{root}/{name}.parquet")
+
+
+def test_tasks_of_the_flat_extract_get_a_bounded_number_of_lines(spark, tmp_path, monkeypatch):
+    cores = spark.sparkContext.defaultParallelism
+    _line_tables(spark, tmp_path, 300 * cores)
+    small = extracts.split_products(extracts.concat_extracts(*retail_views.yearly_extracts(spark, str(tmp_path))))
+    expected = sorted(map(tuple, small.collect()))
+    assert expected == sorted((str(p), f"part {p}", p + 0.5) for p in range(37))
+    monkeypatch.setattr(retail_views, "LINES_PER_TASK", 50, raising=False)
+    thresholds = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
+    old = {k: spark.conf.get(k) for k in thresholds}
+    try:
+        for k in thresholds:
+            spark.conf.set(k, "-1")
+        flat = retail_views.flat_extract(spark, str(tmp_path))
+        assert len(flat.collect()) == 300 * cores
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    ran = flat._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    # Adaptive execution had merged these partitions into one, below both sorts.
+    for key in ("l_orderkey", "o_orderkey"):
+        assert re.search(rf"Sort \[{key}\b[^\n]*\n[ :|+-]*ShuffleQueryStage[^\n]*\n[ :|+-]*Exchange hashpartitioning\({key}#\w+, {6 * cores}\)", ran), ran
+    split = extracts.split_products(extracts.concat_extracts(*retail_views.yearly_extracts(spark, str(tmp_path))))
+    assert sorted(map(tuple, split.collect())) == expected

@@ -33,6 +33,9 @@ UNSPECIFIED_NATION = "NATION_24"
 SPLIT_A_BEFORE = "1998-04-01"
 SPLIT_B_FROM = "1998-03-01"
 
+# Lines a task sorts and adds up where the joins of the flat extract are large.
+LINES_PER_TASK = 1_000_000
+
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
@@ -189,10 +192,22 @@ def lines_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _dealt(line: DataFrame, key: str) -> DataFrame:
+    """Lines dealt by ``key`` in so many partitions that each has at most about
+    ``LINES_PER_TASK`` (the planner may take ``spark.sql.shuffle.partitions``
+    where that is more); as they are when a partition a core is enough.
+    Adaptive execution sizes the tasks of a join by compressed bytes, of which
+    narrow lines need few: millions of them met in one task, with its sorts and
+    sums. Partitions of a given number are not merged.
+    """
+    n = -(-line.count() // LINES_PER_TASK)
+    return line.repartition(n, key) if n > line.sparkSession.sparkContext.defaultParallelism else line
+
+
 def flat_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per line with all attributes (the yearly-extract shape), plus
     the order date used to cut the two extracts."""
-    line = _table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_quantity")
+    line = _dealt(_table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_quantity"), "l_orderkey")
     part = _table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_retailprice")
     orders = _orders_with_nation(spark, sf_dir)
     o = F.col("o_orderkey")

@@ -360,7 +360,7 @@ def q_incremental_marts(spark, d):
     in which the first and the last day were wrong, and a second one of these
     two days alone."""
     layers = _layers(spark, d)
-    orders = materialize(layers.orders, "orders-delivered")
+    orders = materialize(layers.orders.select("InvoiceNo", "Country", "IsCancel", *DATE_PARTS), "orders-delivered")
     edge = orders.agg(*[f(F.struct(*DATE_PARTS)).alias(f.__name__) for f in (F.min, F.max)]).first()
     days = [tuple(x) for x in edge if x is not None]
     wrong = F.struct(*DATE_PARTS).isin(*[F.struct(*[F.lit(p) for p in day]) for day in days]) if days else F.lit(False)

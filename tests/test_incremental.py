@@ -67,6 +67,19 @@ def test_a_day_without_orders_is_emptied_and_a_stopped_delivery_does_not_count(s
     assert [tuple(r) for r in store.marts(products)["sales_by_period"].collect()] == [(2010, 1, 2, 10.0, 1, 10)]
 
 
+def test_marts_meet_the_sums_once(spark):
+    products = spark.createDataFrame([("a", "one", 1.5), ("b", "two", 2.0)], PRODUCTS)
+    orders = spark.createDataFrame([("1", "France", False, 2010, 1, 1), ("2", "Spain", True, 2010, 1, 2)], ORDERS)
+    lines = spark.createDataFrame([("1", "a", 2), ("1", "b", -1), ("2", "b", 4)], LINES)
+    store = incremental.DailySums(spark, scratch_path(spark, "sums"))
+    store.deliver(lines, orders)
+    built = store.marts(products)
+    for name, df in built.items():
+        files = df.inputFiles()
+        assert files and not any(f"{store.path}/" in f for f in files), name
+    assert collected(built) == collected(gold.build_marts(lines, orders, products, strategy="recompute"))
+
+
 def test_a_delivery_reads_the_changed_days_only(spark):
     rng = random.Random(2)
     orders, _ = delivery(rng, [(2010, m, d) for m in (1, 2) for d in range(1, 5)], 0)

@@ -263,3 +263,19 @@ def test_tasks_of_the_flat_extract_get_a_bounded_number_of_lines(spark, tmp_path
         assert re.search(rf"Sort \[{key}\b[^\n]*\n[ :|+-]*ShuffleQueryStage[^\n]*\n[ :|+-]*Exchange hashpartitioning\({key}#\w+, {6 * cores}\)", ran), ran
     split = extracts.split_products(extracts.concat_extracts(*retail_views.yearly_extracts(spark, str(tmp_path))))
     assert sorted(map(tuple, split.collect())) == expected
+
+
+def test_lines_are_narrow_where_they_meet_the_orders(spark, tmp_path):
+    _line_tables(spark, tmp_path, 300)
+    lines = retail_views.lines_extract(spark, str(tmp_path))
+    above = lines._jdf.queryExecution().executedPlan().toString().split("Exchange hashpartitioning(l_orderkey")
+    assert len(above) == 2
+    for column in ("l_linenumber", "l_returnflag", "l_linestatus"):
+        assert column not in above[0] and column in above[1]
+    rows = lines.collect()
+    assert len(rows) == 300
+    got = {(r.StockCode, r.Quantity) for r in rows if r.InvoiceNo == "5"}  # lines 15 to 17; part 15 is padded on second lines
+    assert got == {("15", 2), ("16", 2), ("17", 2)}
+    assert [r.StockCode for r in rows if r.StockCode and r.StockCode.startswith(" ") and r.StockCode != " d "] == [
+        " 15 " for i in range(300) if i % 37 == 15 and i % 3 == 1
+    ]

@@ -26,7 +26,7 @@ from pyspark.sql import types as T
 
 from tillroll.operators import cleaning, marts, validation
 from tillroll.schemas import DATE_PARTS
-from tillroll.session import delete_path, path_exists
+from tillroll.session import delete_path, materialize, path_exists
 from tillroll.sources.extracts import PRODUCT_COLUMNS
 
 Day = tuple[int, int, int]
@@ -107,7 +107,9 @@ class DailySums(_BatchedStore):
         return rows.join(self.days(), [*DATE_PARTS, "batch"]).drop("batch")
 
     def marts(self, products: DataFrame) -> dict[str, DataFrame]:
-        return marts.marts_from_measures(marts.measures_from_sums(self.sums(), products))
+        """The four marts, cut from one stored copy of their measures (a row per
+        country, product and day): the sums meet the products once, not once a mart."""
+        return marts.marts_from_measures(materialize(marts.measures_from_sums(self.sums(), products), "mart-measures"))
 
     def compact(self) -> int:
         """Write what counts as one batch and delete the others. Readers that

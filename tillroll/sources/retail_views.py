@@ -174,22 +174,24 @@ def orders_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def lines_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     """InvoiceNo, StockCode, Quantity (int). Codes are not padded but for second
-    lines of parts with key % 200 == 15; these match no product."""
-    line = _table(spark, sf_dir, "lineitem").select(
-        "l_orderkey", "l_partkey", "l_linenumber", "l_quantity", "l_returnflag", "l_linestatus"
-    )
-    status = _table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus")
-    joined = line.join(status, F.col("l_orderkey") == F.col("o_orderkey"), "left")
+    lines of parts with key % 200 == 15; these match no product.
+
+    What a line alone decides is made before the lines meet the orders' states,
+    so that a shuffle there carries a key, a code and a quantity.
+    """
     o = F.col("l_orderkey")
     code = _stock_code(F.col("l_partkey"), padded=False)
     padded = (F.col("l_partkey") % PART_MOD == PADDED_LINE_CODE) & (F.col("l_linenumber") == 2)
-    return joined.select(
-        _invoice_no(o, F.col("o_orderstatus")).alias("InvoiceNo"),
+    line = _table(spark, sf_dir, "lineitem").select(
+        o,
         F.when(padded, F.concat(F.lit(" "), code, F.lit(" "))).otherwise(code).alias("StockCode"),
         _quantity(
             o, F.col("l_linenumber"), F.col("l_quantity"), F.col("l_returnflag"), F.col("l_linestatus")
         ).alias("Quantity"),
     )
+    status = _table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus")
+    joined = line.join(status, o == F.col("o_orderkey"), "left")
+    return joined.select(_invoice_no(o, F.col("o_orderstatus")).alias("InvoiceNo"), "StockCode", "Quantity")
 
 
 def _dealt(line: DataFrame, key: str) -> DataFrame:
